@@ -1,6 +1,6 @@
 """All queries over the test tables, each with the SQL it is checked against."""
 
-from . import nested, planning, projections, scans, summaries  # noqa: F401
+from . import actions, nested, planning, projections, scans, summaries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
