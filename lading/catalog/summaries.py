@@ -22,8 +22,10 @@ def _results(spark, sf):
 @query("sync_summary", using("results") + """
 , p as (select cast(sum(size) as bigint) as total_bytes, cast(count_if(action = 'copy') as bigint) as total_objects,
                cast(count_if(action in ('skip_checkpoint', 'skip_since')) as bigint) as early from plan),
-  r as (select count(*) as processed_objects, cast(count_if(success and not skipped) as bigint) as uploaded,
-               cast(count_if(skipped) as bigint) as late, cast(count_if(not success) as bigint) as failed,
+  r as (select count(*) as processed_objects,
+               cast(coalesce(count_if(success and not skipped), 0) as bigint) as uploaded,
+               cast(coalesce(count_if(skipped), 0) as bigint) as late,
+               cast(coalesce(count_if(not success), 0) as bigint) as failed,
                cast(coalesce(sum(size) filter (success and not skipped), 0) as bigint)
                  as transferred_bytes,
                string_agg(key || '=' || error, ';' order by key)

@@ -14,6 +14,7 @@ from ..functions.text import run_duration
 from ..operators.acl import acl_copy
 from ..operators.limits import failed_sample
 from ..operators.joins import metadata_attach
+from ..operators.running import byte_slices
 from ..plans.options import SyncOptions, ValidateOptions
 from ..plans.sync import dry_run_plan, mirror_plan, sync_summary
 from ..plans.validate import undecided_bodies, validate, validation_summary
@@ -43,16 +44,33 @@ def _stored(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _store_plan(plan: DataFrame, path: str, batches: int) -> DataFrame:
-    """The plan by action, copies also by batch.
+def _store_plan(plan: DataFrame, path: str) -> DataFrame:
+    """The plan, one folder per action.
 
     The rebalance step splits a frequent action over many files and merges rare ones.
     """
-    batch = F.when(
-        F.col("action") == "copy", F.pmod(F.xxhash64("key"), F.lit(batches))
-    ).otherwise(-1).cast("int")
-    laid_out = plan.withColumn("batch", batch).hint("rebalance", F.col("action"), F.col("batch"))
-    return _stored(laid_out, path, "action", "batch")
+    return _stored(plan.hint("rebalance", F.col("action")), path, "action")
+
+
+def _store_copies(
+    plan: DataFrame, path: str, options: SyncOptions, source_heads: DataFrame | None,
+    task_bytes: int, batches: int,
+) -> tuple[DataFrame, int]:
+    """The copies with ``batch`` and, inside it, ``task``; and the number of tasks in a batch.
+
+    Tasks carry about equal numbers of bytes, batches equal numbers of tasks. Both are fixed
+    once for the whole run.
+    """
+    rows = plan.filter("action = 'copy'").select("key", "target_key", "size", "target_included")
+    if options.preserve_metadata and source_heads is not None:
+        rows = metadata_attach(rows, source_heads).drop("metadata")
+    sliced = byte_slices(rows, task_bytes)
+    last = sliced.agg(F.max("task")).first()[0]
+    per_batch = -(-((last or 0) + 1) // batches)
+    task, size = F.col("task"), F.lit(per_batch)
+    laid_out = sliced.withColumns({
+        "batch": F.floor(task / size).cast("int"), "task": (task % size).cast("int")})
+    return _stored(laid_out, path, "batch"), per_batch
 
 
 def run_sync(
@@ -63,9 +81,9 @@ def run_sync(
 ) -> DataFrame:
     """Mirrors the source onto the target and returns the one-row summary.
 
-    The plan is written first, so that acting on it cannot change it. Copies run in batches by
-    key hash; after each batch its keys enter the checkpoint, and a run with ``resume`` leaves
-    them out. All counts come from the written result tables.
+    The plan is written first, so that acting on it cannot change it. Copies run in at most
+    ``batches`` steps; after each one its keys enter the checkpoint, and a run with ``resume``
+    leaves them out. All counts come from the written result tables.
     """
     spark = source.sparkSession
     sync_id = sync_id or new_run_id("sync")
@@ -81,16 +99,17 @@ def run_sync(
 
     checkpoint = records.read_checkpoints(spark, store) if resume else None
     plan = _store_plan(
-        mirror_plan(source, target, options, checkpoint, all_rows=True), f"{folder}/plan", batches)
+        mirror_plan(source, target, options, checkpoint, all_rows=True), f"{folder}/plan")
 
     if options.dry_run:
         preview = _stored(dry_run_plan(plan), f"{folder}/results")
         deletion = F.col("reason") == "[DRY-RUN] Would delete"
         results, deletes = preview.filter(~deletion), preview.filter(deletion)
     else:
+        copies, tasks = _store_copies(
+            plan, f"{folder}/copies", options, source_heads, task_bytes, batches)
         results = _copy_in_batches(
-            spark, plan, options, store, folder, sync_id, source_root, target_root,
-            source_heads, batches, task_bytes)
+            copies, tasks, options, store, folder, sync_id, source_root, target_root)
         deletes = None
         if options.delete:
             orphans = plan.filter("action = 'delete'")
@@ -104,21 +123,19 @@ def run_sync(
 
 
 def _copy_in_batches(
-    spark, plan, options, store, folder, sync_id, source_root, target_root, source_heads,
-    batches, task_bytes,
+    copies: DataFrame, tasks: int, options: SyncOptions, store: str, folder: str, sync_id: str,
+    source_root: str, target_root: str,
 ) -> DataFrame:
     path = f"{folder}/results"
-    for batch in range(batches):
-        rows = plan.filter((F.col("action") == "copy") & (F.col("batch") == batch))
-        if options.preserve_metadata and source_heads is not None:
-            rows = metadata_attach(rows, source_heads).drop("metadata")
+    last = copies.agg(F.max("batch")).first()[0]
+    for batch in range((last or 0) + 1):
+        rows = copies.filter(F.col("batch") == batch).repartitionById(tasks, F.col("task"))
         results = _stored(
-            copy_objects(
-                rows, source_root, target_root, options.part_bytes, task_bytes),
+            copy_objects(rows, source_root, target_root, options.part_bytes),
             f"{path}/batch={batch}")
-        records.checkpoint_write(results, store, sync_id, *(
-            options.source_bucket, options.target_bucket), batch=batch)
-    return spark.read.schema(RESULT).option("basePath", path).parquet(path)
+        records.checkpoint_write(
+            results, store, sync_id, options.source_bucket, options.target_bucket, batch)
+    return copies.sparkSession.read.schema(RESULT).option("basePath", path).parquet(path)
 
 
 def _carry_over(results, options, store, sync_id, source_heads, source_acls) -> None:

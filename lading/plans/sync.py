@@ -49,8 +49,8 @@ def _classified(
     if checkpoint is not None:
         keys = checkpoint_keys(checkpoint, options.source_bucket, options.target_bucket)
         handled = prefix_filter(keys, options.source_prefix).select(
-            relative_key("key", options.source_prefix).alias("rel_key"), F.lit(True).alias("done")
-        ).distinct()
+            relative_key("key", options.source_prefix).alias("rel_key")
+        ).distinct().withColumn("done", F.lit(True))
         src = src.join(handled, "rel_key", "left")
         done = F.coalesce(F.col("done"), F.lit(False))
     joined = src.join(keyed_target(target, options.target_prefix), "rel_key", how)
