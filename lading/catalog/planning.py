@@ -164,7 +164,12 @@ select key, (part_number - 1) // 10 as block, count(*) as n_parts,
                   order by part_number) as manifest
 from p group by 1, 2""")
 def part_order(spark, sf):
-    uploaded = parts.part_plan(fx.large_objects(spark, sf)).select(
+    # Objects are spread by key before each becomes some thirty parts; the parts of a key are
+    # then already together and are not shuffled again. The number is given, since adaptive
+    # coalescing would size the partitions by the few bytes that come in.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = fx.large_objects(spark, sf).repartition(tasks, "key")
+    uploaded = parts.part_plan(spread).select(
         "key", "part_number",
         F.md5(F.concat("key", F.lit("#"), F.col("part_number").cast("string"))).alias("etag"))
     return parts.part_order(uploaded, 10).select(

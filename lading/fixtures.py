@@ -21,8 +21,21 @@ _T_SIZE = "case when doc_id % 11 = 0 then size + 1 else size end"
 _T_ETAG = "case when doc_id % 7 = 0 then md5(etag) else etag end"
 
 
+# Given layouts spare a job per table that would only read file footers.
+_LAYOUTS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+                " c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+              " value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_LAYOUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _documents(spark: SparkSession, sf_dir: str, prefix: str = SOURCE_PREFIX) -> DataFrame:
