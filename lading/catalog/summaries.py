@@ -266,7 +266,29 @@ def report_json(spark, sf):
         "sync_id", "status", "uploaded", "skipped", "failed", "dry_run"))
 
 
-@query("report_preview_migration")
+_TOTAL_TEXT = """case when sum(size) < 1048576 then printf('%.2f KB', sum(size) / 1024.0::double)
+  when sum(size) < 1073741824 then printf('%.2f MB', sum(size) / 1048576.0::double)
+  else printf('%.2f GB', sum(size) / 1073741824.0::double) end"""
+
+_PREVIEW_TEXT = " || ".join([
+    _rule(), _blank("MIGRATION PREVIEW"), _rule(), _blank(),
+    _line("Source:", "'src-bucket'"), _line("Prefix:", "'docs/'"), _line("Target:", "'tgt-bucket'"),
+    _blank(), _blank("  Statistics:"), _line("  Objects:", "format('{:,}', count(*))"),
+    _line("  Total size:", _TOTAL_TEXT), _blank(), _blank("  Objects to migrate:"),
+    f"'  {'Key':<38} {'Size':>12} {'Last modified':<20}' || chr(10)",
+    "'  " + "-" * 56 + "' || chr(10)", "(select lines from shown) || chr(10)",
+    "case when count(*) > 50 then '  ... ' || (count(*) - 50) || ' more objects' || chr(10)"
+    " else '' end", _blank(), "'" + "=" * 60 + "'",
+])
+
+
+@query("report_preview_migration", using("diff") + f"""
+, first as (select key, {_SIZE_TEXT} as size_text, last_modified from diff where why is not null
+            order by key limit 50),
+  shown as (select string_agg('  ' || rpad(key, 38, ' ') || ' ' || lpad(size_text, 12, ' ') || ' '
+              || rpad(strftime(last_modified, '%Y-%m-%dT%H:%M:%S'), 20, ' '), chr(10)
+              order by key) as lines from first)
+select {_PREVIEW_TEXT} as preview from diff where why is not null""")
 def report_preview_migration(spark, sf):
     todo = sync.sync_plan(*_sides(spark, sf), _ALL).filter("action = 'copy'")
     return reports.migration_preview_text(todo, fx.SOURCE_BUCKET, fx.TARGET_BUCKET, "docs/")
@@ -277,11 +299,8 @@ select '%s' || chr(10) || 'SYNC PREVIEW' || chr(10) || '%s' || chr(10) || chr(10
   || '  Source:  src-bucket' || chr(10) || '  Target:  tgt-bucket' || chr(10)
   || '  Since:   2024-01-01T04:00:00' || chr(10) || chr(10) || '  Statistics:' || chr(10)
   || '    Objects: ' || format('{:,}', count(*)) || chr(10) || '    Total size: '
-  || case when sum(size) < 1048576 then printf('%%.2f KB', sum(size) / 1024.0::double)
-          when sum(size) < 1073741824 then printf('%%.2f MB', sum(size) / 1048576.0::double)
-          else printf('%%.2f GB', sum(size) / 1073741824.0::double) end
-  || chr(10) || chr(10) || '%s' as preview
-from diff where why is not null""" % (("=" * 60,) * 3))
+  || %s || chr(10) || chr(10) || '%s' as preview
+from diff where why is not null""" % ("=" * 60, "=" * 60, _TOTAL_TEXT, "=" * 60))
 def report_preview_sync(spark, sf):
     todo = sync.sync_plan(*_sides(spark, sf), _ALL).filter("action = 'copy'")
     return reports.sync_preview_text(

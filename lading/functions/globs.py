@@ -1,10 +1,13 @@
-"""Shell globs as Java regular expressions.
+"""Shell globs as column predicates.
 
-``*`` and ``?`` cross ``/``; matching is case-sensitive and covers the whole key.
+``*`` and ``?`` cross ``/``; matching is case-sensitive and covers the whole key. Globs with
+at most two stars at the ends become plain string predicates, which a Parquet scan can use to
+skip row groups; the others become anchored regular expressions.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -68,10 +71,31 @@ def glob_to_regex(pattern: str) -> str:
     return r"(?s)\A" + "".join(out) + r"\z"
 
 
+def _matches(key: Column, pattern: str) -> Column:
+    """One glob as the cheapest predicate that says the same."""
+    if not re.search(r"[?\[]", pattern):
+        pieces = re.sub(r"\*+", "*", pattern).split("*")
+        if len(pieces) == 1:
+            return key == pattern
+        first, last = pieces[0], pieces[-1]
+        if len(pieces) == 2:
+            tests = ([key.startswith(first)] if first else []) + (
+                [key.endswith(last)] if last else [])
+            if not tests:
+                return key.isNotNull()
+            if len(tests) == 1:
+                return tests[0]
+            # The two ends must not overlap.
+            return tests[0] & tests[1] & (F.char_length(key) >= len(first) + len(last))
+        if len(pieces) == 3 and not first and not last:
+            return key.contains(pieces[1])
+    return key.rlike(glob_to_regex(pattern))
+
+
 def glob_match(key: Column | str, patterns: Iterable[str]) -> Column:
     """True where any pattern matches."""
-    tests = [_col(key).rlike(glob_to_regex(p)) for p in patterns]
-    return reduce(lambda a, b: a | b, tests, F.lit(False)) if tests else F.lit(False)
+    tests = [_matches(_col(key), p) for p in patterns]
+    return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
 def glob_included(

@@ -60,8 +60,17 @@ def checkpoint_write(
         "key"), store, CHECKPOINTS, run_id, batch)
 
 
-def read_checkpoints(spark: SparkSession, store: str) -> DataFrame:
-    return _read(spark, store, CHECKPOINTS, CHECKPOINT).select(*CHECKPOINT.names)
+def checkpoint_inherit(spark: SparkSession, store: str, run_id: str, resumed: str) -> DataFrame:
+    """The checkpoint of the run that is resumed, which becomes part of the new run's own."""
+    _write(read_checkpoints(spark, store, resumed), store, CHECKPOINTS, run_id, -1)
+    return read_checkpoints(spark, store, run_id)
+
+
+def read_checkpoints(spark: SparkSession, store: str, run_id: str | None = None) -> DataFrame:
+    """Handled keys of one run (only its folder is read), or of all runs."""
+    rows = _read(spark, store, CHECKPOINTS, CHECKPOINT)
+    rows = rows.filter(F.col("run") == run_id) if run_id else rows
+    return rows.select(*CHECKPOINT.names)
 
 
 def report_write(report: DataFrame, store: str, run_id: str) -> None:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..constants import CANCELLED, FAILED_ROWS
 from ..functions.keys import instant
@@ -76,14 +77,16 @@ def _store_copies(
 def run_sync(
     source: DataFrame, target: DataFrame, options: SyncOptions, store: str,
     source_root: str, target_root: str, source_heads: DataFrame | None = None,
-    source_acls: DataFrame | None = None, resume: bool = False, batches: int = 8,
+    source_acls: DataFrame | None = None, resume: str | None = None, batches: int = 8,
     task_bytes: int = TASK_BYTES, sync_id: str | None = None,
+    progress: Callable[[dict], None] | None = None,
 ) -> DataFrame:
     """Mirrors the source onto the target and returns the one-row summary.
 
     The plan is written first, so that acting on it cannot change it. Copies run in at most
-    ``batches`` steps; after each one its keys enter the checkpoint, and a run with ``resume``
-    leaves them out. All counts come from the written result tables.
+    ``batches`` steps; after each one its keys enter the checkpoint, and ``progress`` is told
+    the counts so far. ``resume`` names an interrupted run whose handled keys are left out.
+    All counts of the summary come from the written result tables.
     """
     spark = source.sparkSession
     sync_id = sync_id or new_run_id("sync")
@@ -97,7 +100,7 @@ def run_sync(
         if prefix_filter(source, options.source_prefix).isEmpty():
             raise EmptySourceError("the source lists no object; nothing is deleted")
 
-    checkpoint = records.read_checkpoints(spark, store) if resume else None
+    checkpoint = records.checkpoint_inherit(spark, store, sync_id, resume) if resume else None
     plan = _store_plan(
         mirror_plan(source, target, options, checkpoint, all_rows=True), f"{folder}/plan")
 
@@ -109,7 +112,7 @@ def run_sync(
         copies, tasks = _store_copies(
             plan, f"{folder}/copies", options, source_heads, task_bytes, batches)
         results = _copy_in_batches(
-            copies, tasks, options, store, folder, sync_id, source_root, target_root)
+            copies, tasks, options, store, folder, sync_id, source_root, target_root, progress)
         deletes = None
         if options.delete:
             orphans = plan.filter("action = 'delete'")
@@ -124,20 +127,34 @@ def run_sync(
 
 def _copy_in_batches(
     copies: DataFrame, tasks: int, options: SyncOptions, store: str, folder: str, sync_id: str,
-    source_root: str, target_root: str,
+    source_root: str, target_root: str, progress: Callable[[dict], None] | None,
 ) -> DataFrame:
     path = f"{folder}/results"
-    last = copies.agg(F.max("batch")).first()[0]
+    last, total = copies.agg(F.max("batch"), F.count("*")).first()
+    so_far = dict.fromkeys(("processed", "uploaded", "skipped", "failed"), 0)
     for batch in range((last or 0) + 1):
         rows = copies.filter(F.col("batch") == batch).repartitionById(tasks, F.col("task"))
-        results = _stored(
-            copy_objects(rows, source_root, target_root, options.part_bytes),
-            f"{path}/batch={batch}")
+        counts = Observation(f"batch {batch}")
+        moved = copy_objects(rows, source_root, target_root, options.part_bytes)
+        results = _stored(moved.observe(counts, *_batch_counts()), f"{path}/batch={batch}")
         records.checkpoint_write(
             results, store, sync_id, options.source_bucket, options.target_bucket, batch)
+        if progress:
+            for name, count in counts.get.items():
+                so_far[name] += count or 0
+            progress({**so_far, "total": total})
     return copies.sparkSession.read.schema(RESULT).option("basePath", path).parquet(path)
 
 
+def _batch_counts() -> list[Column]:
+    """Counters gathered while a batch is written, without a second pass."""
+    ok, skipped = F.col("success"), F.col("skipped")
+    return [
+        F.count(F.lit(1)).alias("processed"), F.count_if(ok & ~skipped).alias("uploaded"),
+        F.count_if(ok & skipped).alias("skipped"), F.count_if(~ok).alias("failed"),
+    ]
+
+
 def _carry_over(results, options, store, sync_id, source_heads, source_acls) -> None:
     """Metadata and lists of the copied objects, under their new keys."""
     copied = results.filter("success and not skipped").select("key", "target_key")

@@ -1,8 +1,9 @@
 """Joins between a source and a target inventory.
 
-A listing holds each key once; ``latest_per_key`` brings feeds and versioned listings into
-that form first. All joins here are equi-joins on the relative key, so each side is shuffled
-at most once and no hint overrides the size checks of the engine.
+A listing holds each key once. Feeds and versioned listings do not; ``repeated_keys`` reduces
+both sides to the newest row of each key, before the shuffle as far as possible and in the
+partitioning the join needs anyway. All joins here are equi-joins on the relative key, so each
+side is shuffled at most once and no hint overrides the size checks of the engine.
 """
 
 from __future__ import annotations
@@ -11,30 +12,37 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import etag_normalize, relative_key
 from ..functions.maps import map_or_empty
-from ..sources.inventory import prefix_filter
+from ..sources.inventory import latest_per_key, prefix_filter
 
 
 def _size(column: str = "size") -> Column:
     return F.coalesce(F.col(column), F.lit(0).cast("long"))
 
 
-def keyed_source(source: DataFrame, prefix: str = "") -> DataFrame:
+def keyed_source(
+    source: DataFrame, prefix: str = "", repeated_keys: bool = False
+) -> DataFrame:
     """Source rows below the prefix with ``rel_key`` and comparable size and ETag."""
-    return prefix_filter(source, prefix).withColumns({
+    rows = prefix_filter(source, prefix).withColumns({
         "rel_key": relative_key("key", prefix),
         "size": _size(),
         "etag": etag_normalize("etag"),
     })
+    return latest_per_key(rows, "rel_key") if repeated_keys else rows
 
 
-def keyed_target(target: DataFrame, prefix: str = "") -> DataFrame:
+def keyed_target(
+    target: DataFrame, prefix: str = "", repeated_keys: bool = False
+) -> DataFrame:
     """Only what a comparison needs from the target: relative key, full key, size, ETag."""
-    return prefix_filter(target, prefix).select(
+    rows = prefix_filter(target, prefix).select(
         relative_key("key", prefix).alias("rel_key"),
         F.col("key").alias("t_key"),
         _size().alias("t_size"),
         etag_normalize("etag").alias("t_etag"),
+        *(["last_modified"] if repeated_keys else []),
     )
+    return latest_per_key(rows, "rel_key").drop("last_modified") if repeated_keys else rows
 
 
 def difference() -> Column:
@@ -47,11 +55,12 @@ def difference() -> Column:
 
 
 def diff_join(
-    source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = ""
+    source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = "",
+    repeated_keys: bool = False,
 ) -> DataFrame:
     """Source rows that have to be copied, with the reason: missing, etag or size."""
-    joined = keyed_source(source, source_prefix).join(
-        keyed_target(target, target_prefix), "rel_key", "left"
+    joined = keyed_source(source, source_prefix, repeated_keys).join(
+        keyed_target(target, target_prefix, repeated_keys), "rel_key", "left"
     )
     return joined.withColumn("reason", difference()).filter(F.col("reason").isNotNull()).select(
         "key", "rel_key", "size", "etag", "reason"
@@ -59,23 +68,26 @@ def diff_join(
 
 
 def orphan_anti_join(
-    source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = ""
+    source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = "",
+    repeated_keys: bool = False,
 ) -> DataFrame:
     """Target rows without any source row; no glob, time or checkpoint rule takes part."""
     present = prefix_filter(source, source_prefix).select(
         relative_key("key", source_prefix).alias("rel_key")
     )
-    return keyed_target(target, target_prefix).join(present, "rel_key", "left_anti").select(
+    present = present.distinct() if repeated_keys else present
+    return keyed_target(target, target_prefix, repeated_keys).join(present, "rel_key", "left_anti").select(
         F.col("t_key").alias("key"), "rel_key", F.col("t_size").alias("size")
     )
 
 
 def mirror_status(
-    source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = ""
+    source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = "",
+    repeated_keys: bool = False,
 ) -> DataFrame:
     """Both sides in one pass: missing, etag, size, same or orphan for every relative key."""
-    joined = keyed_source(source, source_prefix).join(
-        keyed_target(target, target_prefix), "rel_key", "full_outer"
+    joined = keyed_source(source, source_prefix, repeated_keys).join(
+        keyed_target(target, target_prefix, repeated_keys), "rel_key", "full_outer"
     )
     status = F.when(F.col("key").isNull(), F.lit("orphan")).otherwise(
         F.coalesce(difference(), F.lit("same"))

@@ -42,7 +42,9 @@ def running_totals(
     within = Window.partitionBy("_slice").orderBy(*order_by).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    summed = pinned.join(F.broadcast(offsets), "_slice").withColumns({
+    # Each slice goes to the task of its own number, and the window needs no other exchange.
+    apart = pinned.repartitionById(slices, F.col("_slice"))
+    summed = apart.join(F.broadcast(offsets), "_slice").withColumns({
         name: F.col(f"_o_{name}") + F.sum(f"_m_{name}").over(within) for name in totals
     })
     extra = ["_slice"] + [f"_{tag}_{name}" for name in totals for tag in "mo"]

@@ -9,6 +9,9 @@ from ..constants import DIGEST_LIMIT_BYTES
 
 @dataclass(frozen=True)
 class SyncOptions:
+    """``since`` is UTC text; ``repeated_keys`` says that the inventories may hold several rows
+    of one key (feeds, versioned listings), of which the newest counts."""
+
     source_bucket: str = ""
     target_bucket: str = ""
     source_prefix: str = ""
@@ -24,6 +27,7 @@ class SyncOptions:
     include_patterns: tuple[str, ...] = ()
     dry_run: bool = False
     allow_empty_source: bool = False
+    repeated_keys: bool = False
 
     @property
     def part_bytes(self) -> int:

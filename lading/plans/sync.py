@@ -41,9 +41,10 @@ def _classified(
     The checkpoint is brought to relative keys too (below one prefix that is one-to-one), so
     both joins use the same key and the source is shuffled once for the two of them.
     """
-    src = keyed_source(source, options.source_prefix).select(
-        "rel_key", "key", "size", "etag", "last_modified",
-        storage_class_pick("storage_class", options.storage_class).alias("storage_class"),
+    repeated = options.repeated_keys
+    needed = source.select("key", "last_modified", "size", "etag", "storage_class")
+    src = keyed_source(needed, options.source_prefix, repeated).withColumn(
+        "storage_class", storage_class_pick("storage_class", options.storage_class)
     )
     done: Column = F.lit(False)
     if checkpoint is not None:
@@ -53,7 +54,8 @@ def _classified(
         ).distinct().withColumn("done", F.lit(True))
         src = src.join(handled, "rel_key", "left")
         done = F.coalesce(F.col("done"), F.lit(False))
-    joined = src.join(keyed_target(target, options.target_prefix), "rel_key", how)
+    tgt = keyed_target(target, options.target_prefix, repeated)
+    joined = src.join(tgt, "rel_key", how)
 
     at = F.col("last_modified")
     too_old = F.lit(False) if options.since is None else F.coalesce(

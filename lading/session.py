@@ -9,19 +9,15 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: the checkpoint folder of the session, with its scheme.
 
-    Only where the session names none (unit tests on one machine) a temporary folder is
-    made and set.
+    The session's ``spark.checkpoint.dir`` decides where it is. Only where that names none
+    (unit tests on one machine) a temporary folder is made and set.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named.rstrip("/")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lading-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lading-"))
     return context.getCheckpointDir().rstrip("/")
 
 

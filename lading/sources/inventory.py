@@ -84,17 +84,23 @@ def tree_key(path: Column | str, root: str) -> Column:
     return F.substring(path, F.instr(path, marker) + len(marker), F.lit(2147483647))
 
 
-def latest_per_key(inventory: DataFrame, *keys: str) -> DataFrame:
-    """The newest row of each key, for feeds and versioned listings that repeat keys.
+def latest_per_key(rows: DataFrame, *keys: str) -> DataFrame:
+    """The newest row of each key, for feeds and versioned listings or heads that repeat keys.
 
     A plain aggregate: rows of a hot key are combined before the shuffle. Ties on the time
     are settled by the remaining columns, so the outcome is the same on every run.
     """
     keys = keys or ("key",)
-    rest = [c for c in inventory.columns if c not in keys and c != "last_modified"]
-    newest = F.max(F.struct("last_modified", *rest)).alias("newest")
-    return inventory.groupBy(*keys).agg(newest).select(
-        *[F.col(c) if c in keys else F.col(f"newest.{c}") for c in inventory.columns]
+    rest = [c for c in rows.columns if c not in keys and c != "last_modified"]
+    # Maps have no order; they are carried along but settle nothing.
+    ordered = [c for c in rest if "map<" not in rows.schema[c].dataType.simpleString()]
+    rank = F.struct("last_modified", *ordered)
+    if ordered == rest:
+        newest = F.max(rank)
+    else:
+        newest = F.max_by(F.struct("last_modified", *rest), rank)
+    return rows.groupBy(*keys).agg(newest.alias("newest")).select(
+        *[F.col(c) if c in keys else F.col(f"newest.{c}") for c in rows.columns]
     )
 
 

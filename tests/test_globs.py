@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lading.functions.globs import glob_included, glob_to_regex
+from lading.functions.globs import glob_included, glob_match, glob_to_regex
 from lading.operators.filters import glob_filter
 
 
@@ -52,14 +52,32 @@ def test_agrees_with_the_shell_rules_on_random_keys(spark):
     keys = ["", "a", "b", "c", "a.b", "test.txt", "docs/x", "a\n", "\n", "]", "[", "\\", "^", "-",
             "&", "|", "~", "é", "ö", "a b", "#a", "a\\b", "a-b"] + [
         "".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(120)]
+    frame = spark.createDataFrame([(k,) for k in keys], "key string")
+    wrong = []
+    for start in range(0, len(patterns), 60):
+        some = patterns[start:start + 60]
+        rows = frame.select("key", *[
+            glob_match("key", [p]).alias(f"p{i}") for i, p in enumerate(some)]).collect()
+        assert len(rows) == len(keys)
+        wrong += [
+            (p, r.key, r[f"p{i}"]) for r in rows for i, p in enumerate(some)
+            if r[f"p{i}"] != fnmatch.fnmatchcase(r.key, p)]
+    assert wrong == []
+
+
+def test_regular_expressions_agree_as_well(spark):
+    """The general form, also for the globs that are normally done without it."""
+    keys = ["", "a", "ab", "a.b", "docs/x", "x\n", "\n", "test.tmp", "a b"]
     frame = spark.createDataFrame(
-        [(p, glob_to_regex(p)) for p in patterns], "pattern string, regex string"
-    ).join(spark.createDataFrame([(keys,)], "keys array<string>")).select(
-        "pattern", "regex", F.explode("keys").alias("key"))
+        [(p, glob_to_regex(p), k) for p in PATTERNS for k in keys],
+        "pattern string, regex string, key string")
     rows = frame.select("pattern", "key", F.rlike("key", F.col("regex")).alias("hit")).collect()
-    wrong = [
-        (r.pattern, r.key, r.hit) for r in rows
-        if r.hit != fnmatch.fnmatchcase(r.key, r.pattern)
-    ]
-    assert len(rows) == len(patterns) * len(keys)
-    assert wrong == []
+    assert [r for r in rows if r.hit != fnmatch.fnmatchcase(r.key, r.pattern)] == []
+
+
+def test_simple_globs_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([("a",)], "key string").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    plan = glob_filter(stored, ["*.tmp"], ["logs/*", "*mid*"])._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "Not(StringEndsWith(key,.tmp))" in text and "RLIKE" not in text

@@ -92,15 +92,23 @@ def test_one_failure_does_not_stop_the_rest_and_resume_retries_it(spark, invento
     files = {**FILES, "lost": b"lost"}
     source = _listing(inventory, files)
     empty = source.limit(0)
+    told = []
     first = runs.run_sync(
-        source, empty, OPTIONS, store, source_root, target_root, batches=3).first()
+        source, empty, OPTIONS, store, source_root, target_root, batches=3, task_bytes=5000,
+        progress=told.append).first()
+    assert len(told) == 3 and told[-1] == {
+        "processed": 6, "uploaded": 5, "skipped": 0, "failed": 1, "total": 6}
     assert (first.status, first.uploaded, first.failed) == ("completed_with_errors", 5, 1)
     assert [f.key for f in first.failed_list] == ["lost"]
     assert records.read_checkpoints(spark, store).count() == 5
     _tree(Path(source_root), {"lost": b"lost"})
     second = runs.run_sync(
-        source, empty, OPTIONS, store, source_root, target_root, resume=True, batches=3).first()
+        source, empty, OPTIONS, store, source_root, target_root, resume=first.sync_id).first()
     assert (second.skipped, second.uploaded, second.failed) == (5, 1, 0)
+    assert records.read_checkpoints(spark, store, second.sync_id).count() == 6
+    third = runs.run_sync(
+        source, empty, OPTIONS, store, source_root, target_root, resume=second.sync_id).first()
+    assert (third.skipped, third.total_objects) == (6, 0)
     assert _found(target_root)["lost"] == b"lost"
 
 

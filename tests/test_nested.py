@@ -12,6 +12,7 @@ from lading.plans.options import ValidateOptions
 from lading.schemas import ACL, HEAD, RAW_ACL
 from lading.sources.acls import acl_scan
 from lading.sources.heads import head_scan, object_info
+from lading.sources.inventory import latest_per_key
 
 
 def _one(spark, column):
@@ -68,6 +69,15 @@ def test_point_lookup_by_version(spark):
     assert object_info(table, "l").count() == 1 and object_info(table, "none").count() == 0
 
 
+def test_newest_head_of_a_key(spark):
+    from datetime import datetime
+
+    table = heads(
+        spark, *[{"key": "k", "metadata": {"v": str(i)}, "last_modified": datetime(2024, 1, i)}
+                 for i in (1, 3, 2)])
+    assert latest_per_key(table).first().metadata == {"v": "3"}
+
+
 def test_compare_fields(spark):
     left = heads(spark, {"key": "k", "content_type": "a", "etag": "1", "metadata": {"x": "1"}})
     right = heads(spark, {"key": "k", "content_type": "a", "etag": "2",

@@ -99,3 +99,17 @@ def test_small_checkpoints_are_broadcast_by_size(spark, stored):
 def test_stored_plan_is_rebalanced(stored, tmp_path):
     plan = sync.mirror_plan(*stored, OPTIONS, all_rows=True).hint("rebalance", F.col("action"))
     assert "REBALANCE" in _plan(plan).upper()
+
+
+def test_repeated_keys_cost_no_further_shuffle(stored):
+    plan = _plan(joins.diff_join(*stored, "s/", "s/", repeated_keys=True))
+    assert plan.count("Exchange hashpartitioning") == 2 and "partial_max" in plan
+
+
+def test_running_totals_exchange_rows_once_after_the_checkpoint(spark, stored):
+    from lading.operators.running import running_totals
+
+    plan = _plan(running_totals(stored[0].select("key", "size"), ["key"], {"t": F.col("size")}))
+    rows_moved = plan.count("Exchange") - plan.count("BroadcastExchange")
+    # One for the rows; two more move one row per slice (its total, and the offsets' order).
+    assert rows_moved == 3, plan

@@ -247,6 +247,12 @@ def test_one_key_with_a_third_of_all_rows(inventory, spark):
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as last_modified",
         "id as size", "cast(null as string) as storage_class", "cast(id as string) as etag",
         "cast(null as string) as version_id")
-    plan = sync.sync_plan(inv.latest_per_key(hot), inventory(("k1", 1, "1")), SyncOptions())
-    assert plan.count() == 2001
-    assert _rows(plan.filter("key = 'hot'"), "size") == [(2997,)]
+    target = inventory(("k1", 1, "1"), ("gone", 1, "a", "2024-01-01"), ("gone", 2, "b", "2024-01-02"))
+    options = SyncOptions(repeated_keys=True, delete=True)
+    for source in (hot, inv.latest_per_key(hot)):
+        plan = sync.mirror_plan(source, target, options, all_rows=True)
+        assert plan.count() == 2002
+        assert _rows(plan.filter("key = 'hot'"), "size", "action") == [(2997, "copy")]
+        assert _rows(plan.filter("action = 'delete'"), "key", "size") == [("gone", 2)]
+    assert joins.orphan_anti_join(hot, target, repeated_keys=True).count() == 1
+    assert joins.mirror_status(hot, target, repeated_keys=True).count() == 2002
