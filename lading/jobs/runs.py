@@ -20,7 +20,7 @@ from ..plans.options import SyncOptions, ValidateOptions
 from ..plans.sync import dry_run_plan, mirror_plan, sync_summary
 from ..plans.validate import undecided_bodies, validate, validation_summary
 from ..schemas import RESULT
-from ..sources.inventory import prefix_filter
+from ..sources.inventory import prefix_filter, single
 from . import records
 from .objects import balanced, copy_objects, delete_objects, digest_objects
 
@@ -64,7 +64,8 @@ def _store_copies(
     """
     rows = plan.filter("action = 'copy'").select("key", "target_key", "size", "target_included")
     if options.preserve_metadata and source_heads is not None:
-        rows = metadata_attach(rows, source_heads).drop("metadata")
+        rows = metadata_attach(
+            rows, source_heads, repeated_keys=options.repeated_keys).drop("metadata")
     sliced = byte_slices(rows, task_bytes)
     last = sliced.agg(F.max("task")).first()[0]
     per_batch = -(-((last or 0) + 1) // batches)
@@ -160,7 +161,7 @@ def _carry_over(results, options, store, sync_id, source_heads, source_acls) ->
     copied = results.filter("success and not skipped").select("key", "target_key")
 
     def moved(table: DataFrame) -> DataFrame:
-        return table.join(copied, "key").withColumns({
+        return single(table, options.repeated_keys).join(copied, "key").withColumns({
             "key": F.col("target_key"), "bucket": F.lit(options.target_bucket)})
 
     if options.preserve_metadata and source_heads is not None:

@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.acl import acl_copy_grants, acl_copy_owner, grantee_label, grants_match
 from ..functions.keys import basename_target
+from ..sources.inventory import single
 
 
 def acl_compare(
-    source_acls: DataFrame, target_acls: DataFrame, mode: str = "reference", how: str = "inner"
+    source_acls: DataFrame, target_acls: DataFrame, mode: str = "reference", how: str = "inner",
+    repeated_keys: bool = True,
 ) -> DataFrame:
     """``key, match, owner_match, grants_match`` for the keys of two ACL tables."""
-    left = source_acls.select(
-        "key", F.col("owner.id").alias("s_owner"), F.col("grants").alias("s_grants"))
-    right = target_acls.select(
-        "key", F.col("owner.id").alias("t_owner"), F.col("grants").alias("t_grants"))
+    def side(acls: DataFrame, name: str) -> DataFrame:
+        return single(acls.select(
+            "key", F.col("owner.id").alias(f"{name}_owner"), F.col("grants").alias(f"{name}_grants")
+        ), repeated_keys)
+
+    left, right = side(source_acls, "s"), side(target_acls, "t")
     owner = F.col("s_owner").eqNullSafe(F.col("t_owner"))
     grants = grants_match(F.col("s_grants"), F.col("t_grants"), mode)
     return left.join(right, "key", how).select(
@@ -31,9 +35,12 @@ def acl_copy(acls: DataFrame) -> DataFrame:
     })
 
 
-def acl_batch_copy(acls: DataFrame, keys: DataFrame, target_prefix: str = "") -> DataFrame:
+def acl_batch_copy(
+    acls: DataFrame, keys: DataFrame, target_prefix: str = "", repeated_keys: bool = True
+) -> DataFrame:
     """Copies the lists of listed keys; a key without a list is a failure row."""
-    found = acls.select("key", "owner", "grants", F.lit(True).alias("found"))
+    found = single(acls.select("key", "owner", "grants"), repeated_keys).withColumn(
+        "found", F.lit(True))
     success = F.coalesce(F.col("found"), F.lit(False))
     return keys.select("key").join(found, "key", "left").select(
         "key",

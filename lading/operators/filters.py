@@ -38,7 +38,7 @@ def checkpoint_filter(
     No hint is given: the engine broadcasts the checkpoint only below its size threshold and
     shuffles both sides by key otherwise.
     """
-    done = checkpoint_keys(checkpoint, source_bucket, target_bucket)
+    done = checkpoint_keys(checkpoint, source_bucket, target_bucket).distinct()
     return inventory.join(done, "key", "left_anti")
 
 

@@ -1,9 +1,10 @@
 """Joins between a source and a target inventory.
 
-A listing holds each key once. Feeds and versioned listings do not; ``repeated_keys`` reduces
-both sides to the newest row of each key, before the shuffle as far as possible and in the
-partitioning the join needs anyway. All joins here are equi-joins on the relative key, so each
-side is shuffled at most once and no hint overrides the size checks of the engine.
+Tables may repeat keys (feeds, versioned listings and heads), and one key may hold a large
+share of them. So both sides are reduced to the newest row of each key: partly before the
+shuffle, then in the partitioning the join needs anyway. ``repeated_keys=False`` saves that
+for plain listings, which hold each key once. All joins here are equi-joins on one key, so
+each side is shuffled at most once and no hint overrides the size checks of the engine.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.keys import etag_normalize, relative_key
 from ..functions.maps import map_or_empty
-from ..sources.inventory import latest_per_key, prefix_filter
+from ..sources.inventory import prefix_filter, single
 
 
 def _size(column: str = "size") -> Column:
@@ -20,7 +21,7 @@ def _size(column: str = "size") -> Column:
 
 
 def keyed_source(
-    source: DataFrame, prefix: str = "", repeated_keys: bool = False
+    source: DataFrame, prefix: str = "", repeated_keys: bool = True
 ) -> DataFrame:
     """Source rows below the prefix with ``rel_key`` and comparable size and ETag."""
     rows = prefix_filter(source, prefix).withColumns({
@@ -28,11 +29,11 @@ def keyed_source(
         "size": _size(),
         "etag": etag_normalize("etag"),
     })
-    return latest_per_key(rows, "rel_key") if repeated_keys else rows
+    return single(rows, repeated_keys, "rel_key")
 
 
 def keyed_target(
-    target: DataFrame, prefix: str = "", repeated_keys: bool = False
+    target: DataFrame, prefix: str = "", repeated_keys: bool = True
 ) -> DataFrame:
     """Only what a comparison needs from the target: relative key, full key, size, ETag."""
     rows = prefix_filter(target, prefix).select(
@@ -42,7 +43,7 @@ def keyed_target(
         etag_normalize("etag").alias("t_etag"),
         *(["last_modified"] if repeated_keys else []),
     )
-    return latest_per_key(rows, "rel_key").drop("last_modified") if repeated_keys else rows
+    return single(rows, repeated_keys, "rel_key").drop("last_modified")
 
 
 def difference() -> Column:
@@ -56,7 +57,7 @@ def difference() -> Column:
 
 def diff_join(
     source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = "",
-    repeated_keys: bool = False,
+    repeated_keys: bool = True,
 ) -> DataFrame:
     """Source rows that have to be copied, with the reason: missing, etag or size."""
     joined = keyed_source(source, source_prefix, repeated_keys).join(
@@ -69,7 +70,7 @@ def diff_join(
 
 def orphan_anti_join(
     source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = "",
-    repeated_keys: bool = False,
+    repeated_keys: bool = True,
 ) -> DataFrame:
     """Target rows without any source row; no glob, time or checkpoint rule takes part."""
     present = prefix_filter(source, source_prefix).select(
@@ -83,7 +84,7 @@ def orphan_anti_join(
 
 def mirror_status(
     source: DataFrame, target: DataFrame, source_prefix: str = "", target_prefix: str = "",
-    repeated_keys: bool = False,
+    repeated_keys: bool = True,
 ) -> DataFrame:
     """Both sides in one pass: missing, etag, size, same or orphan for every relative key."""
     joined = keyed_source(source, source_prefix, repeated_keys).join(
@@ -112,14 +113,16 @@ def validation_join(
         wanted = F.col("key")
     else:
         wanted = F.concat(F.lit(target_prefix), relative_key("key", source_prefix))
-    marks = target_heads.select(F.col("key").alias("target_key"), F.lit(True).alias("found"))
+    marks = target_heads.select(F.col("key").alias("target_key")).distinct().withColumn(
+        "found", F.lit(True))
     return src.withColumn("target_key", wanted).join(marks, "target_key", "left").withColumn(
         "present", F.coalesce(F.col("found"), F.lit(False))
     ).drop("found")
 
 
 def metadata_attach(
-    inventory: DataFrame, heads: DataFrame, preserve_metadata: bool = True
+    inventory: DataFrame, heads: DataFrame, preserve_metadata: bool = True,
+    repeated_keys: bool = True,
 ) -> DataFrame:
     """Rows with ``metadata``, ``content_type`` and ``cache_control`` of the source object.
 
@@ -131,12 +134,19 @@ def metadata_attach(
             "metadata": map_or_empty(F.lit(None).cast("map<string,string>")),
             "content_type": none, "cache_control": none,
         })
-    wanted = heads.select("key", "metadata", "content_type", "cache_control")
+    wanted = single(
+        heads.select("key", "last_modified", "metadata", "content_type", "cache_control"),
+        repeated_keys,
+    ).drop("last_modified")
     return inventory.join(wanted, "key", "left").withColumn("metadata", map_or_empty("metadata"))
 
 
-def content_md5_join(source_digests: DataFrame, target_digests: DataFrame) -> DataFrame:
+def content_md5_join(
+    source_digests: DataFrame, target_digests: DataFrame, repeated_keys: bool = True
+) -> DataFrame:
     """Digest of both bodies per key, and whether they agree."""
-    return source_digests.select("key", F.col("md5").alias("source_md5")).join(
-        target_digests.select("key", F.col("md5").alias("target_md5")), "key", "inner"
+    left = source_digests.select("key", F.col("md5").alias("source_md5"))
+    right = target_digests.select("key", F.col("md5").alias("target_md5"))
+    return single(left, repeated_keys).join(
+        single(right, repeated_keys), "key", "inner"
     ).withColumn("match", F.col("source_md5") == F.col("target_md5"))

@@ -10,6 +10,7 @@ from ..constants import COMPARE_FIELDS, FIELD_COLUMNS, USER_METADATA_FIELD
 from ..functions.maps import (
     map_equal, map_literal, map_or_empty, metadata_merge, metadata_replace,
 )
+from ..sources.inventory import single
 
 
 def _map_text(value: Column) -> Column:
@@ -63,20 +64,31 @@ def all_match(differences: Column | str) -> Column:
 
 def metadata_compare(
     source_heads: DataFrame, target_heads: DataFrame,
-    fields: Iterable[str] | None = None, how: str = "inner",
+    fields: Iterable[str] | None = None, how: str = "inner", repeated_keys: bool = True,
 ) -> DataFrame:
-    """``key, match, differences`` for the keys of two head tables."""
-    fields = COMPARE_FIELDS if fields is None else fields
-    columns = [F.col(c) for c in (*FIELD_COLUMNS.values(), "metadata")]
-    left = source_heads.select("key", F.struct(*columns).alias("s"))
-    right = target_heads.select("key", F.struct(*columns).alias("t"))
+    """``key, match, differences`` for the keys of two head tables (newest heads)."""
+    fields = COMPARE_FIELDS if fields is None else list(fields)
+    wanted = {FIELD_COLUMNS.get(f, "metadata") for f in fields} | {"last_modified"}
+    columns = [c for c in (*FIELD_COLUMNS.values(), "metadata") if c in wanted]
+
+    def side(heads: DataFrame, name: str) -> DataFrame:
+        current = single(heads.select("key", *columns), repeated_keys)
+        return current.select("key", F.struct(*columns).alias(name))
+
+    left, right = side(source_heads, "s"), side(target_heads, "t")
     return left.join(right, "key", how).select(
         "key", metadata_differences(fields).alias("differences")
     ).select("key", all_match("differences").alias("match"), "differences")
 
 
+def _current_metadata(heads: DataFrame, repeated_keys: bool) -> DataFrame:
+    return single(heads.select("key", "last_modified", "metadata"), repeated_keys).drop(
+        "last_modified")
+
+
 def metadata_batch_update(
-    heads: DataFrame, keys: DataFrame, metadata: dict[str, str], operation: str = "REPLACE"
+    heads: DataFrame, keys: DataFrame, metadata: dict[str, str], operation: str = "REPLACE",
+    repeated_keys: bool = True,
 ) -> DataFrame:
     """Applies new metadata to listed keys; a key without an object is a failure row.
 
@@ -87,7 +99,7 @@ def metadata_batch_update(
         raise ValueError(f"unknown operation {operation!r}")
     new = map_literal(metadata)
     change = metadata_merge if operation == "COPY" else metadata_replace
-    found = heads.select("key", "metadata", F.lit(True).alias("found"))
+    found = _current_metadata(heads, repeated_keys).withColumn("found", F.lit(True))
     success = F.coalesce(F.col("found"), F.lit(False))
     return keys.select("key").join(found, "key", "left").select(
         "key",
@@ -99,13 +111,13 @@ def metadata_batch_update(
 
 def metadata_copy(
     heads: DataFrame, mapping: DataFrame, preserve: bool = True,
-    metadata: dict[str, str] | None = None,
+    metadata: dict[str, str] | None = None, repeated_keys: bool = True,
 ) -> DataFrame:
     """Metadata of the target for each (source_key, target_key) of ``mapping``.
 
     ``preserve`` takes the source's; otherwise the given map is used, unless it is empty.
     """
-    source = heads.select(F.col("key").alias("source_key"), "metadata")
+    source = _current_metadata(heads, repeated_keys).withColumnRenamed("key", "source_key")
     kept = map_or_empty("metadata") if preserve else metadata_replace(
         "metadata", map_literal(metadata)
     )

@@ -18,9 +18,10 @@ def key_except(
 ) -> DataFrame:
     """Relative target keys that the source has not."""
     def keys(side: DataFrame, prefix: str) -> DataFrame:
-        return prefix_filter(side, prefix).select(relative_key("key", prefix).alias("rel_key"))
+        return prefix_filter(side, prefix).select(
+            relative_key("key", prefix).alias("rel_key")).distinct()
 
-    return keys(target, target_prefix).subtract(keys(source, source_prefix))
+    return keys(target, target_prefix).join(keys(source, source_prefix), "rel_key", "left_anti")
 
 
 def run_lookup(

@@ -9,8 +9,8 @@ from ..constants import DIGEST_LIMIT_BYTES
 
 @dataclass(frozen=True)
 class SyncOptions:
-    """``since`` is UTC text; ``repeated_keys`` says that the inventories may hold several rows
-    of one key (feeds, versioned listings), of which the newest counts."""
+    """``since`` is UTC text. ``repeated_keys``: the inventories may hold several rows of one key
+    (feeds, versioned listings), of which the newest counts; False saves that step."""
 
     source_bucket: str = ""
     target_bucket: str = ""
@@ -27,7 +27,7 @@ class SyncOptions:
     include_patterns: tuple[str, ...] = ()
     dry_run: bool = False
     allow_empty_source: bool = False
-    repeated_keys: bool = False
+    repeated_keys: bool = True
 
     @property
     def part_bytes(self) -> int:
@@ -46,4 +46,5 @@ class ValidateOptions:
     check_acl: bool = True
     metadata_fields: tuple[str, ...] | None = None
     acl_mode: str = "reference"
+    repeated_keys: bool = True
     digest_limit: int = DIGEST_LIMIT_BYTES

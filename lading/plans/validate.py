@@ -12,7 +12,7 @@ from ..constants import VALIDATE_FIELDS
 from ..functions.acl import grants_match
 from ..functions.keys import etag_normalize, relative_key
 from ..operators.metadata import all_match, metadata_differences
-from ..sources.inventory import prefix_filter
+from ..sources.inventory import prefix_filter, single
 from .options import ValidateOptions
 
 _HEAD_COLUMNS = (
@@ -44,7 +44,7 @@ def content_mismatch(
         tags_differ, reason("ETag", s_tag, t_tag)
     )
     if with_digests:
-        s_md5, t_md5 = F.col("source_md5"), F.col("target_md5")
+        s_md5, t_md5 = F.col("s_body.md5"), F.col("t_body.md5")
         within = F.coalesce(listed_size, F.lit(0)) <= digest_limit
         chain = chain.when(
             within & (s_md5.isNull() | t_md5.isNull()), F.lit("body unreadable")
@@ -69,15 +69,23 @@ def _sides(
 ) -> DataFrame:
     """``target_key, key, listed_size, s, t``: listing and both heads on the compared key."""
     compared = _compared_key(options).alias("target_key")
-    head = F.struct(*_HEAD_COLUMNS)
     listing = prefix_filter(source, options.prefix).select(
         compared, "key", F.col("size").alias("listed_size")
     )
-    s_heads = prefix_filter(source_heads, options.prefix).select(compared, head.alias("s"))
+    s_heads = prefix_filter(source_heads, options.prefix).select(compared, *_HEAD_COLUMNS)
     t_heads = _target_side(target_heads, options).select(
-        F.col("key").alias("target_key"), head.alias("t")
-    )
-    return listing.join(s_heads, "target_key", "left").join(t_heads, "target_key", "left")
+        F.col("key").alias("target_key"), *_HEAD_COLUMNS)
+    return _attach(_attach(listing, s_heads, "s", options), t_heads, "t", options)
+
+
+def _attach(
+    rows: DataFrame, table: DataFrame, name: str, options: ValidateOptions
+) -> DataFrame:
+    """Left join with the (newest) row of each compared key, as one struct column."""
+    values = [c for c in table.columns if c != "target_key"]
+    current = single(table, options.repeated_keys, "target_key").select(
+        "target_key", F.struct(*values).alias(name))
+    return rows.join(current, "target_key", "left")
 
 
 def undecided_bodies(
@@ -119,10 +127,10 @@ def _with_digests(
     if source_digests is None or target_digests is None:
         return rows
     s_side = prefix_filter(source_digests, options.prefix).select(
-        _compared_key(options).alias("target_key"), F.col("md5").alias("source_md5"))
+        _compared_key(options).alias("target_key"), "md5")
     t_side = _target_side(target_digests, options).select(
-        F.col("key").alias("target_key"), F.col("md5").alias("target_md5"))
-    return rows.join(s_side, "target_key", "left").join(t_side, "target_key", "left")
+        F.col("key").alias("target_key"), "md5")
+    return _attach(_attach(rows, s_side, "s_body", options), t_side, "t_body", options)
 
 
 def metadata_check(
@@ -209,12 +217,11 @@ def validate(
 def _with_acls(
     rows: DataFrame, source_acls: DataFrame, target_acls: DataFrame, options: ValidateOptions
 ) -> DataFrame:
-    value = F.struct("owner", "grants")
     s_side = prefix_filter(source_acls, options.prefix).select(
-        _compared_key(options).alias("target_key"), value.alias("s_acl"))
+        _compared_key(options).alias("target_key"), "owner", "grants")
     t_side = _target_side(target_acls, options).select(
-        F.col("key").alias("target_key"), value.alias("t_acl"))
-    return rows.join(s_side, "target_key", "left").join(t_side, "target_key", "left")
+        F.col("key").alias("target_key"), "owner", "grants")
+    return _attach(_attach(rows, s_side, "s_acl", options), t_side, "t_acl", options)
 
 
 def validation_errors(validation: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import DEFAULT_STORAGE_CLASS
 from ..functions.keys import etag_normalize
 from ..functions.maps import map_or_empty
-from .inventory import prefix_filter
+from .inventory import prefix_filter, single
 
 HEAD_FIELDS = (
     "content_length", "content_type", "content_md5", "last_modified", "etag", "storage_class",
@@ -36,12 +36,13 @@ def object_info(heads: DataFrame, key: str, version_id: str | None = None) -> Da
     return head_scan(one)
 
 
-def prefix_metadata(inventory: DataFrame, heads: DataFrame, prefix: str = "") -> DataFrame:
-    """Listing under a prefix with the head of each key.
+def prefix_metadata(
+    inventory: DataFrame, heads: DataFrame, prefix: str = "", repeated_keys: bool = True
+) -> DataFrame:
+    """Listing under a prefix with the (newest) head of each key.
 
     The prefix is put on both sides, so both scans skip what lies outside it.
     """
     keys = [c for c in ("bucket", "key") if c in inventory.columns and c in heads.columns]
-    return prefix_filter(inventory, prefix).select(*keys).join(
-        head_scan(prefix_filter(heads, prefix)), keys, "inner"
-    )
+    current = single(head_scan(prefix_filter(heads, prefix)), repeated_keys, *keys)
+    return prefix_filter(inventory, prefix).select(*keys).join(current, keys, "inner")

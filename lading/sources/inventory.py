@@ -88,22 +88,26 @@ def latest_per_key(rows: DataFrame, *keys: str) -> DataFrame:
     """The newest row of each key, for feeds and versioned listings or heads that repeat keys.
 
     A plain aggregate: rows of a hot key are combined before the shuffle. Ties on the time
-    are settled by the remaining columns, so the outcome is the same on every run.
+    (and rows of tables without one) are settled by the remaining columns, so the outcome is
+    the same on every run.
     """
     keys = keys or ("key",)
-    rest = [c for c in rows.columns if c not in keys and c != "last_modified"]
+    rest = [c for c in rows.columns if c not in keys]
+    rest.sort(key=lambda c: c != "last_modified")
     # Maps have no order; they are carried along but settle nothing.
     ordered = [c for c in rest if "map<" not in rows.schema[c].dataType.simpleString()]
-    rank = F.struct("last_modified", *ordered)
-    if ordered == rest:
-        newest = F.max(rank)
-    else:
-        newest = F.max_by(F.struct("last_modified", *rest), rank)
+    rank = F.struct(*ordered)
+    newest = F.max(rank) if ordered == rest else F.max_by(F.struct(*rest), rank)
     return rows.groupBy(*keys).agg(newest.alias("newest")).select(
         *[F.col(c) if c in keys else F.col(f"newest.{c}") for c in rows.columns]
     )
 
 
+def single(rows: DataFrame, repeated_keys: bool, *keys: str) -> DataFrame:
+    """At most one row per key: ``latest_per_key``, or the table itself where that is given."""
+    return latest_per_key(rows, *keys) if repeated_keys else rows
+
+
 def _page_rows(
     inventory: DataFrame, prefix: str, delimiter: str | None, max_keys: int, token: str | None
 ) -> DataFrame:

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.keys import relative_key
-from ..operators.joins import keyed_target
 from ..plans.options import SyncOptions
 from ..plans.sync import PLAN_COLUMNS, sync_plan
 from ..schemas import INVENTORY
@@ -24,10 +23,10 @@ def plan_batch(batch: DataFrame, target: DataFrame, options: SyncOptions) -> Dat
     """
     newest = latest_per_key(prefix_filter(batch, options.source_prefix))
     wanted = newest.select(relative_key("key", options.source_prefix).alias("rel_key"))
-    touched = keyed_target(target, options.target_prefix).join(wanted, "rel_key", "left_semi")
-    known = touched.select(
-        F.col("t_key").alias("key"), F.col("t_size").alias("size"), F.col("t_etag").alias("etag"))
-    return sync_plan(newest, known, options)
+    below = prefix_filter(target, options.target_prefix).withColumn(
+        "rel_key", relative_key("key", options.target_prefix))
+    touched = below.join(wanted, "rel_key", "left_semi")
+    return sync_plan(newest, touched, options)
 
 
 def incremental_sync_stream(

@@ -299,3 +299,24 @@ def test_undecided_bodies(spark, inventory):
     got = checks.undecided_bodies(
         listing, heads(spark, *source), heads(spark, *target), ValidateOptions())
     assert sorted(r.key for r in got.collect()) == ["open", "same"]
+
+
+def test_versions_do_not_multiply_rows(spark, inventory):
+    """Tables with several versions per key count once: the newest head decides."""
+    from datetime import datetime
+
+    def versions(size):
+        return [{"key": "k", "content_length": n, "metadata": {"n": str(n)},
+                 "last_modified": datetime(2024, 1, n)} for n in range(1, size + 1)]
+
+    source, target = heads(spark, *versions(5)), heads(spark, *versions(7)[::-1])
+    listing = inventory(("k", 5))
+    row = checks.validate(listing, source, target, ValidateOptions(check_acl=False)).collect()
+    assert [r.errors[0] for r in row] == ["content_mismatch: Size mismatch: source=5, target=7"]
+    assert metadata.metadata_compare(source, target).count() == 1
+    keys = spark.createDataFrame([("k",)], "key string")
+    updated = metadata.metadata_batch_update(source, keys, {"x": "y"}, "COPY").collect()
+    assert [r.metadata for r in updated] == [{"n": "5", "x": "y"}]
+    lists = acls(spark, *[("k", ("o", None), [])] * 3)
+    assert acl.acl_compare(lists, lists).count() == 1
+    assert acl.acl_batch_copy(lists, keys).count() == 1
