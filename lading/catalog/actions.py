@@ -60,6 +60,15 @@ def copy_objects(spark, sf):
         "reason", "size")
 
 
+@query("inventory_scan_store", using("docs") + """
+select key, size from docs where doc_id % 50 <> 1 and key like 'docs/src1%'""")
+def inventory_scan_store(spark, sf):
+    """Live listing of a store that holds the documents."""
+    folder = new_run_dir(spark, "list")
+    source = _source_tree(spark, sf, folder)
+    return objects.list_objects(spark, source, "docs/src1").select("key", "size")
+
+
 @query("copy_object", using("docs") + """
 select key, 'copy/' || key as target_key, md5(text) as md5 from docs
 where doc_id % 50 <> 1""")

@@ -11,11 +11,14 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..constants import PART_BYTES
+from ..constants import DEFAULT_STORAGE_CLASS, PART_BYTES
+from ..functions.keys import instant
 from ..operators.running import byte_slices
 from ..schemas import RESULT
+from ..session import new_run_dir
 from .store import ObjectRoot
 
 _RESULT_ARROW = pa.schema([
@@ -136,6 +139,58 @@ def digest_objects(objects: DataFrame, root: str, part_bytes: int = PART_BYTES)
     return objects.select("key").mapInArrow(run, "key string, md5 string")
 
 
+def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """Live listing of a store as an inventory, empty objects included.
+
+    Folders are listed level by level, each level as one distributed job over the folders
+    found before, so neither the driver nor one task ever holds the whole listing. Only
+    folders that can hold keys below ``prefix`` are entered.
+    """
+    path = new_run_dir(spark, "listing")
+    folders = spark.createDataFrame([("",)], "folder string")
+    level = 0
+    while True:
+        here = f"{path}/level={level}"
+        folders.repartition("folder").mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
+        found = spark.read.schema(_LISTED).parquet(here).filter("is_folder")
+        if found.isEmpty():
+            break
+        folders, level = found.select(F.col("key").alias("folder")), level + 1
+    files = spark.read.schema(_LISTED).option("basePath", path).parquet(path).filter("not is_folder")
+    return files.select(
+        F.lit(None).cast("string").alias("bucket"), "key",
+        (instant("1970-01-01 00:00:00") + F.make_dt_interval(
+            secs=(F.col("mtime_us").cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)"))
+            .cast("decimal(18,6)"))).alias("last_modified"),
+        "size", F.lit(DEFAULT_STORAGE_CLASS).alias("storage_class"), F.lit("").alias("etag"),
+        F.lit(None).cast("string").alias("version_id"),
+    )
+
+
+_LISTED = "key string, is_folder boolean, size long, mtime_us long"
+_LISTED_ARROW = pa.schema([
+    ("key", pa.string()), ("is_folder", pa.bool_()), ("size", pa.int64()), ("mtime_us", pa.int64())])
+
+
+def _listing(root: str, prefix: str):
+    def run(batches):
+        store = ObjectRoot(root)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                rows = []
+                for name, info in store.entries(folder):
+                    is_folder = info.type == fs.FileType.Directory
+                    below = f"{name}/" if is_folder else name
+                    if below.startswith(prefix) or (is_folder and prefix.startswith(below)):
+                        rows.append({
+                            "key": name, "is_folder": is_folder, "size": info.size or 0,
+                            "mtime_us": (info.mtime_ns or 0) // 1000})
+                for start in range(0, len(rows), 10_000):
+                    yield pa.RecordBatch.from_pylist(rows[start:start + 10_000], _LISTED_ARROW)
+
+    return run
+
+
 def write_objects(bodies: DataFrame, root: str) -> DataFrame:
     """Puts ``content`` under ``key`` for each row."""
     def run(batches):

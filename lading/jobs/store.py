@@ -37,6 +37,14 @@ class ObjectRoot:
             while piece := stream.read(size):
                 yield piece
 
+    def entries(self, folder: str):
+        """Files and folders straight below ``folder`` ("" is the root)."""
+        place = f"{self.base}/{folder}".rstrip("/")
+        for info in self.files.get_file_info(fs.FileSelector(place)):
+            name = info.path[len(self.base):].lstrip("/")
+            if not info.base_name.startswith("."):
+                yield name, info
+
     def write(self, key: str, pieces, headers: dict[str, str] | None = None) -> int:
         """Replaces the whole object; readers never see a part of it."""
         path = self.path(key)

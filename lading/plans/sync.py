@@ -34,7 +34,7 @@ COUNTERS = (
 
 def _classified(
     source: DataFrame, target: DataFrame, options: SyncOptions, checkpoint: DataFrame | None,
-    how: str,
+    how: str, small_source: bool = False,
 ) -> DataFrame:
     """Source joined with checkpoint and target, one row per relative key and side.
 
@@ -55,6 +55,8 @@ def _classified(
         src = src.join(handled, "rel_key", "left")
         done = F.coalesce(F.col("done"), F.lit(False))
     tgt = keyed_target(target, options.target_prefix, repeated)
+    if small_source:
+        tgt = tgt.join(src.select("rel_key"), "rel_key", "left_semi")
     joined = src.join(tgt, "rel_key", how)
 
     at = F.col("last_modified")
@@ -88,10 +90,15 @@ def _classified(
 
 def sync_plan(
     source: DataFrame, target: DataFrame, options: SyncOptions,
-    checkpoint: DataFrame | None = None,
+    checkpoint: DataFrame | None = None, small_source: bool = False,
 ) -> DataFrame:
-    """Every source row with its action; the first rule that applies decides."""
-    return _classified(source, target, options, checkpoint, "left")
+    """Every source row with its action; the first rule that applies decides.
+
+    ``small_source`` is for a source that is tiny against its target: the source keys first
+    reduce the target by a semi-join. While they stay below the engine's size threshold that
+    is a broadcast, and the target is filtered where it is read instead of being shuffled.
+    """
+    return _classified(source, target, options, checkpoint, "left", small_source)
 
 
 def mirror_plan(

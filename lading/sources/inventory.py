@@ -55,7 +55,8 @@ def inventory_normalize(raw: DataFrame) -> DataFrame:
 def tree_inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """Listing of a folder tree through file metadata alone; no body is read.
 
-    The file source leaves out zero-length files: this is a listing of non-empty objects.
+    For trees the driver can list. The file source leaves out zero-length files: this is a
+    listing of non-empty objects. ``jobs.objects.list_objects`` has neither limit.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)

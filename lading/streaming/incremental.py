@@ -3,30 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.keys import relative_key
 from ..plans.options import SyncOptions
 from ..plans.sync import PLAN_COLUMNS, sync_plan
 from ..schemas import INVENTORY
-from ..sources.inventory import latest_per_key, prefix_filter
 
 
 def plan_batch(batch: DataFrame, target: DataFrame, options: SyncOptions) -> DataFrame:
-    """Plan of one batch of the feed: the newest row of each key against the target.
-
-    A batch is small against the target. Its keys first reduce the target by a semi-join,
-    which the engine turns into a broadcast while the keys stay below its threshold, so the
-    target is filtered where it is read instead of being shuffled.
-    """
-    newest = latest_per_key(prefix_filter(batch, options.source_prefix))
-    wanted = newest.select(relative_key("key", options.source_prefix).alias("rel_key"))
-    below = prefix_filter(target, options.target_prefix).withColumn(
-        "rel_key", relative_key("key", options.target_prefix))
-    touched = below.join(wanted, "rel_key", "left_semi")
-    return sync_plan(newest, touched, options)
+    """Plan of one batch of the feed: the newest row of each key against the target."""
+    return sync_plan(batch, target, replace(options, repeated_keys=True), small_source=True)
 
 
 def incremental_sync_stream(

@@ -60,6 +60,16 @@ def test_tree_listing_reads_no_body(spark, place):
     assert "content" not in plan.split("ReadSchema", 1)[1]
 
 
+def test_live_listing_finds_every_object(spark, place):
+    got = {r.key: r.size for r in objects.list_objects(spark, place[0]).collect()}
+    assert got == {k: len(v) for k, v in FILES.items()}
+    for prefix in ("dir/", "dir/de", "dir/b", "a", "none/"):
+        below = objects.list_objects(spark, "file:" + place[0], prefix).collect()
+        assert {r.key for r in below} == {k for k in FILES if k.startswith(prefix)}
+    seen = objects.list_objects(spark, place[0]).filter("key = 'a.txt'").first().last_modified
+    assert abs(seen.timestamp() - os.path.getmtime(os.path.join(place[0], "a.txt"))) < 1
+
+
 def test_small_bodies_and_digests(spark, place):
     small = content_scan(spark, place[0], 1000)
     assert {r.key for r in small.collect()} == {

@@ -97,6 +97,15 @@ def test_small_checkpoints_are_broadcast_by_size(spark, stored):
     assert "BroadcastHashJoin" in _plan(checkpoint_filter(stored[0], checkpoint, "sb", "tb"))
 
 
+def test_small_source_filters_the_target_where_it_is_read(spark, stored):
+    """The semi-join sits below the target's shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    plan = _plan(sync.sync_plan(stored[0], stored[1], OPTIONS, small_source=True))
+    assert "NestedLoop" not in plan
+    above, below = plan.split("LeftSemi", 1)
+    assert "t_key" in above and "Exchange hashpartitioning" in above
+
+
 def test_stored_plan_is_rebalanced(stored, tmp_path):
     plan = sync.mirror_plan(*stored, OPTIONS, all_rows=True).hint("rebalance", F.col("action"))
     assert "REBALANCE" in _plan(plan).upper()
