@@ -194,21 +194,20 @@ def run_validation(
     options: ValidateOptions, store: str, source_root: str | None = None,
     target_root: str | None = None, source_acls: DataFrame | None = None,
     target_acls: DataFrame | None = None, validation_id: str | None = None,
-    task_bytes: int = TASK_BYTES,
+    task_bytes: int = TASK_BYTES, progress: Callable[[dict], None] | None = None,
 ) -> DataFrame:
     """Checks the target against the source and returns the report row.
 
     Bodies are read only for objects that length and ETag leave undecided, once per side.
+    ``progress`` is told the counts when the rows are written.
     """
     validation_id = validation_id or new_run_id("val")
     start = _now()
     folder = f"{store}/runs/{validation_id}"
     digests = {}
     if options.check_content and source_root and target_root:
-        open_cases = _stored(
-            undecided_bodies(source, source_heads, target_heads, options), f"{folder}/undecided")
-        sized = open_cases.join(source.select("key", "size"), "key")
-        spread = _stored(balanced(sized, task_bytes), f"{folder}/to_read")
+        open_cases = undecided_bodies(source, source_heads, target_heads, options)
+        spread = _stored(balanced(open_cases, task_bytes), f"{folder}/to_read")
         digests = {
             "source_digests": _stored(
                 digest_objects(spread, source_root), f"{folder}/source_md5"),
@@ -216,19 +215,24 @@ def run_validation(
                 digest_objects(spread.select(F.col("target_key").alias("key")), target_root),
                 f"{folder}/target_md5"),
         }
-    rows = _stored(
-        validate(source, source_heads, target_heads, options, source_acls, target_acls, **digests),
-        f"{folder}/validation")
+    checked = validate(
+        source, source_heads, target_heads, options, source_acls, target_acls, **digests)
+    counts = Observation("validation")
+    rows = _stored(checked.observe(
+        counts, F.count(F.lit(1)).alias("processed"), F.count_if(~F.col("success")).alias("failed"),
+    ), f"{folder}/validation")
+    if progress:
+        progress({**counts.get, "total": counts.get["processed"]})
     end = instant(_now())
     begin = instant(start)
     failures = failed_sample(rows, FAILED_ROWS).agg(
         F.array_sort(F.collect_list(F.struct("key", "errors")))).scalar()
-    counts = validation_summary(rows, options)
+    summary = validation_summary(rows, options)
 
     def text(at):
         return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
-    report = counts.select(
+    report = summary.select(
         F.lit(validation_id).alias("validation_id"), text(end).alias("timestamp"),
         F.lit("completed").alias("status"),
         F.lit(options.source_bucket).alias("source_bucket"),
@@ -236,7 +240,7 @@ def run_validation(
         F.lit(options.check_content).alias("check_content"),
         F.lit(options.check_metadata).alias("check_metadata"),
         F.lit(options.check_acl).alias("check_acl"),
-        F.struct(*counts.columns).alias("summary"),
+        F.struct(*summary.columns).alias("summary"),
         run_duration(begin, end).alias("duration_seconds"),
         text(begin).alias("start_time"), text(end).alias("end_time"),
         failures.alias("failed_objects"),

@@ -91,7 +91,7 @@ def _attach(
 def undecided_bodies(
     source: DataFrame, source_heads: DataFrame, target_heads: DataFrame, options: ValidateOptions
 ) -> DataFrame:
-    """``key, target_key`` of objects only their bodies can tell apart.
+    """``key, target_key, size`` of objects only their bodies can tell apart, each once.
 
     Both sides exist, length and ETag raise no objection, and the size is within the limit.
     """
@@ -99,7 +99,8 @@ def undecided_bodies(
     return _sides(source, source_heads, target_heads, options).filter(
         F.col("t").isNotNull() & F.col("s").isNotNull() & no_objection
         & (F.coalesce(F.col("listed_size"), F.lit(0)) <= options.digest_limit)
-    ).select("key", "target_key")
+    ).select("key", "target_key", F.col("listed_size").alias("size")).dropDuplicates(
+        ["key", "target_key"])
 
 
 def content_check(

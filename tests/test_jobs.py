@@ -245,10 +245,12 @@ def test_validation_run_reads_undecided_bodies_only(spark, inventory, tmp_path):
 
     options = ValidateOptions(source_bucket="s", target_bucket="t", check_acl=False)
     store = str(tmp_path / "store")
+    told = []
     report = runs.run_validation(
         _listing(inventory, files), heads(files),
         heads({"same": b"aaaa", "tampered": b"BBBB", "longer": b"ccc"}), options, store,
-        source_root, target_root, validation_id="val-1").first()
+        source_root, target_root, validation_id="val-1", progress=told.append).first()
+    assert told == [{"processed": 4, "failed": 3, "total": 4}]
     assert (report.summary.total_objects, report.summary.content_passed) == (4, 1)
     assert {f.key: f.errors[0].split(":")[0] for f in report.failed_objects} == {
         "tampered": "content_mismatch", "longer": "content_mismatch",
