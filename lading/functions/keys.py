@@ -52,21 +52,26 @@ def copy_source(bucket: Column | str, key: Column | str, version_id: Column | st
     return F.concat(_col(bucket), F.lit("/"), _col(key), suffix)
 
 
+def from_micros(micros: Column | str) -> Column:
+    """UTC wall-clock time of microseconds since 1970."""
+    return F.timestamp_add("MICROSECOND", _col(micros), instant("1970-01-01 00:00:00"))
+
+
 def parse_instant(text: Column | str) -> Column:
     """ISO text to UTC wall-clock time; a text without an offset is taken as UTC.
 
-    Unreadable text becomes null. The session time zone has no influence: the instant is
-    rebuilt from its microseconds.
+    Unreadable text becomes null. The session time zone has no influence: every text is given
+    an offset, and the instant is rebuilt from its microseconds.
     """
     raw = _col(text)
-    has_offset = raw.rlike(r"(?i)\d{2}(Z|[+-]\d{2}(:?\d{2})?)\z")
-    has_time = raw.rlike(r"\d[T ]\d{2}:\d{2}")
-    utc = F.when(has_time & ~has_offset, F.concat(raw, F.lit("Z"))).when(
-        ~has_time, F.concat(raw, F.lit("T00:00:00Z"))
-    ).otherwise(raw)
-    micros = F.unix_micros(F.try_to_timestamp(utc))
-    seconds = micros.cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")
-    return instant("1970-01-01 00:00:00") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    time = F.substring(raw, 12, 64)  # what follows the date and its separator
+    has_offset = time.contains("+") | time.contains("-") | time.endswith("Z")
+    utc = (
+        F.when(F.length(raw) <= 10, F.concat(raw, F.lit("T00:00:00Z")))
+        .when(has_offset, raw)
+        .otherwise(F.concat(raw, F.lit("Z")))
+    )
+    return from_micros(F.unix_micros(utc.try_cast("timestamp")))
 
 
 def size_class(size: Column | str, threshold: int = LARGE_OBJECT_BYTES) -> Column:

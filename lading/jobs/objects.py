@@ -15,7 +15,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import DEFAULT_STORAGE_CLASS, PART_BYTES
-from ..functions.keys import instant
+from ..functions.keys import from_micros
 from ..operators.running import byte_slices
 from ..schemas import RESULT
 from ..session import new_run_dir
@@ -46,6 +46,10 @@ def _result(row: dict, **values) -> dict:
     return {**base, **values}
 
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def balanced(plan: DataFrame, task_bytes: int, max_tasks: int = 100_000) -> DataFrame:
     """The plan spread over tasks of about ``task_bytes`` each, however sizes are distributed."""
     sliced = byte_slices(plan, task_bytes)
@@ -92,15 +96,19 @@ def copy_objects(
 
 
 def copy_object(
-    mapping: DataFrame, source_root: str, target_root: str, part_bytes: int = PART_BYTES
+    mapping: DataFrame, source_root: str, target_root: str, part_bytes: int = PART_BYTES,
+    task_bytes: int | None = None,
 ) -> DataFrame:
-    """Copies listed objects: ``source_key``, and ``target_key`` or the same key where null."""
+    """Copies listed objects: ``source_key``, and ``target_key`` or the same key where null.
+
+    ``task_bytes`` balances the work where the mapping has a ``size``.
+    """
     rows = mapping.select(
         F.col("source_key").alias("key"),
         F.coalesce("target_key", "source_key").alias("target_key"),
         *[c for c in ("size", "content_type", "cache_control") if c in mapping.columns],
     )
-    return copy_objects(rows, source_root, target_root, part_bytes)
+    return copy_objects(rows, source_root, target_root, part_bytes, task_bytes)
 
 
 def delete_objects(orphans: DataFrame, target_root: str) -> DataFrame:
@@ -117,7 +125,9 @@ def delete_objects(orphans: DataFrame, target_root: str) -> DataFrame:
 
         yield from _per_row(delete, _RESULT_ARROW)(batches)
 
-    return orphans.select("key", "size").mapInArrow(run, RESULT)
+    # Few bytes, many round trips: the keys are spread over all tasks, whatever their files.
+    spread = orphans.select("key", "size").repartition(_tasks(orphans.sparkSession))
+    return spread.mapInArrow(run, RESULT)
 
 
 def digest_objects(objects: DataFrame, root: str, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -151,7 +161,8 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     level = 0
     while True:
         here = f"{path}/level={level}"
-        folders.repartition("folder").mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
+        # A given number of tasks: folder names are small, what is listed below them is not.
+        folders.repartition(_tasks(spark)).mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
         found = spark.read.schema(_LISTED).parquet(here).filter("is_folder")
         if found.isEmpty():
             break
@@ -159,9 +170,7 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     files = spark.read.schema(_LISTED).option("basePath", path).parquet(path).filter("not is_folder")
     return files.select(
         F.lit(None).cast("string").alias("bucket"), "key",
-        (instant("1970-01-01 00:00:00") + F.make_dt_interval(
-            secs=(F.col("mtime_us").cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)"))
-            .cast("decimal(18,6)"))).alias("last_modified"),
+        from_micros("mtime_us").alias("last_modified"),
         "size", F.lit(DEFAULT_STORAGE_CLASS).alias("storage_class"), F.lit("").alias("etag"),
         F.lit(None).cast("string").alias("version_id"),
     )

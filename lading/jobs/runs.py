@@ -45,14 +45,6 @@ def _stored(frame: DataFrame, path: str, *partition_by: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _store_plan(plan: DataFrame, path: str) -> DataFrame:
-    """The plan, one folder per action.
-
-    The rebalance step splits a frequent action over many files and merges rare ones.
-    """
-    return _stored(plan.hint("rebalance", F.col("action")), path, "action")
-
-
 def _store_copies(
     plan: DataFrame, path: str, options: SyncOptions, source_heads: DataFrame | None,
     task_bytes: int, batches: int,
@@ -102,8 +94,8 @@ def run_sync(
             raise EmptySourceError("the source lists no object; nothing is deleted")
 
     checkpoint = records.checkpoint_inherit(spark, store, sync_id, resume) if resume else None
-    plan = _store_plan(
-        mirror_plan(source, target, options, checkpoint, all_rows=True), f"{folder}/plan")
+    plan = _stored(
+        mirror_plan(source, target, options, checkpoint, all_rows=True), f"{folder}/plan", "action")
 
     if options.dry_run:
         preview = _stored(dry_run_plan(plan), f"{folder}/results")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..constants import DEFAULT_STORAGE_CLASS, PAGE_KEYS
-from ..functions.keys import etag_normalize, instant, parse_instant
+from ..functions.keys import etag_normalize, from_micros, parse_instant
 from ..schemas import INVENTORY, RAW_LISTING
 
 
@@ -65,10 +65,7 @@ def tree_inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFram
     listing = files.select(
         F.lit(None).cast("string").alias("bucket"),
         tree_key("path", root).alias("key"),
-        (instant("1970-01-01 00:00:00") + F.make_dt_interval(
-            secs=(F.unix_micros("modificationTime").cast("decimal(20,0)")
-                  / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(18,6)")
-        )).alias("last_modified"),
+        from_micros(F.unix_micros("modificationTime")).alias("last_modified"),
         F.col("length").alias("size"),
         F.lit(DEFAULT_STORAGE_CLASS).alias("storage_class"),
         F.lit("").alias("etag"),

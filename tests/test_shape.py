@@ -106,11 +106,6 @@ def test_small_source_filters_the_target_where_it_is_read(spark, stored):
     assert "t_key" in above and "Exchange hashpartitioning" in above
 
 
-def test_stored_plan_is_rebalanced(stored, tmp_path):
-    plan = sync.mirror_plan(*stored, OPTIONS, all_rows=True).hint("rebalance", F.col("action"))
-    assert "REBALANCE" in _plan(plan).upper()
-
-
 def test_repeated_keys_cost_no_further_shuffle(stored):
     plan = _plan(joins.diff_join(*stored, "s/", "s/", repeated_keys=True))
     assert plan.count("Exchange hashpartitioning") == 2 and "partial_max" in plan
