@@ -5,6 +5,8 @@ Each works in a fresh folder below the session's shared folder.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -17,7 +19,7 @@ from ..session import new_run_dir
 from ..sources.runs import report_scan
 from ..streaming.incremental import incremental_sync_stream
 from .fixture_sql import using
-from .nested import OPTIONS as VALIDATE_OPTIONS
+from .nested import OPTIONS as VALIDATE_OPTIONS, _CHECKED
 from .planning import OPTIONS, _sides, sample_plan
 from .registry import query
 from .summaries import _results
@@ -48,8 +50,6 @@ select key, case when doc_id % 50 <> 1 and rel_key not like 'src1/%' then 'mirro
 from plan where action = 'copy'""")
 def copy_objects(spark, sf):
     """Objects without a body fail, those with an excluded target are skipped."""
-    from dataclasses import replace
-
     folder = new_run_dir(spark, "copy")
     source = _source_tree(spark, sf, folder)
     options = replace(OPTIONS, exclude_patterns=("*.tmp", "mirror/src1/*"))
@@ -154,8 +154,6 @@ select count(*) as total_objects, cast(count_if({_PASSED}) as bigint) as content
        cast(least(count_if(not ({_PASSED})), 100) as bigint) as failures_listed from docs""")
 def report_write(spark, sf):
     """A validation run by heads alone; its report is written as JSON and read back."""
-    from dataclasses import replace
-
     store = new_run_dir(spark, "report")
     job_runs.run_validation(
         fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf),
@@ -167,6 +165,28 @@ def report_write(spark, sf):
         F.size("failed_objects").cast("long").alias("failures_listed"))
 
 
+@query("run_validation", using("heads") + _CHECKED + """
+, body as (select *, case when s_len <= 3000 then doc_id % 50 <> 1 and s_md5 = t_md5 else true end
+             as body_ok from checked)
+select count(*) as total_objects,
+       cast(count_if(present and s_len = t_len and (t_tag = '' or t_tag = s_tag) and body_ok)
+         as bigint) as content_passed,
+       cast(count_if(meta_ok) as bigint) as metadata_passed, count(*) as acl_skipped
+from body""")
+def run_validation(spark, sf):
+    """A whole validation run over stored bodies; only undecided ones are read."""
+    folder = new_run_dir(spark, "validation")
+    source = _source_tree(spark, sf, folder)
+    target = f"{folder}/target"
+    _kept(objects.write_objects(fx.bodies(spark, sf, target=True), target), folder, "put")
+    report = job_runs.run_validation(
+        fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf),
+        VALIDATE_OPTIONS, f"{folder}/store", source, target, task_bytes=_TASK_BYTES)
+    return report.select(
+        "summary.total_objects", "summary.content_passed", "summary.metadata_passed",
+        "summary.acl_skipped")
+
+
 @query("metadata_apply", using("heads") + """
 select key, 'xx' as lang, meta_source as source from s_heads where doc_id % 4 = 0""")
 def metadata_apply(spark, sf):

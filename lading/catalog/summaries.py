@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
+from ..functions.keys import instant
 from ..functions.text import run_duration
 from ..operators import limits, runs
+from ..operators.joins import diff_join
 from ..plans import reports, sync
+from ..plans.options import SyncOptions
 from ..sources.runs import report_scan
 from .fixture_sql import using
 from .planning import OPTIONS, PREFIXES, _sides, sample_plan
@@ -15,6 +18,9 @@ from .registry import query
 from .scans import stored_reports
 
 
+_ALL = SyncOptions(source_prefix=fx.SOURCE_PREFIX, target_prefix=fx.TARGET_PREFIX)
+
+
 def _results(spark, sf):
     return fx.copy_results(sample_plan(spark, sf))
 
@@ -57,8 +63,6 @@ def sync_summary(spark, sf):
 select count(*) as objects, cast(coalesce(sum(size), 0) as bigint) as bytes
 from diff where why is not null""")
 def preview_totals(spark, sf):
-    from ..operators.joins import diff_join
-
     return limits.preview_totals(diff_join(*_sides(spark, sf), *PREFIXES))
 
 
@@ -68,8 +72,6 @@ select source_bucket, target_bucket, max(last_sync_time) as watermark,
                 max(last_sync_time)) as since
 from states group by source_bucket, target_bucket""")
 def last_sync_watermark(spark, sf):
-    from ..functions.keys import instant
-
     marks = runs.last_sync_watermark(fx.run_state(spark, sf))
     explicit = F.when(F.col("source_bucket") == "b1", instant("2001-01-01 00:00:00"))
     return marks.withColumn("since", runs.effective_since(explicit, F.col("watermark")))
@@ -135,8 +137,6 @@ def plan_preview(spark, sf):
     return limits.plan_preview(todo)
 
 
-_ALL = type(OPTIONS)(source_prefix=fx.SOURCE_PREFIX, target_prefix=fx.TARGET_PREFIX)
-
 _REPORT_STATES = using("states") + """
 , s as (select *, date_diff('microsecond', start_time, end_time) / 1e6 as seconds from states)"""
 _DURATION_TEXT = """case when coalesce(seconds, 0) < 60 then printf('%.1fs', coalesce(seconds, 0))

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..constants import CANCELLED, FAILED_ROWS
-from ..functions.keys import instant
+from ..functions.keys import instant, storage_class_pick
 from ..functions.text import run_duration
 from ..operators.acl import acl_copy
 from ..operators.limits import failed_sample
@@ -22,7 +22,7 @@ from ..plans.validate import undecided_bodies, validate, validation_summary
 from ..schemas import RESULT
 from ..sources.inventory import prefix_filter, single
 from . import records
-from .objects import balanced, copy_objects, delete_objects, digest_objects
+from .objects import copy_objects, delete_objects, digest_objects
 
 TASK_BYTES = 1024 * 1024 * 1024
 
@@ -157,7 +157,9 @@ def _carry_over(results, options, store, sync_id, source_heads, source_acls) ->
             "key": F.col("target_key"), "bucket": F.lit(options.target_bucket)})
 
     if options.preserve_metadata and source_heads is not None:
-        records.metadata_apply(moved(source_heads), store, sync_id)
+        heads = moved(source_heads).withColumn(
+            "storage_class", storage_class_pick("storage_class", options.storage_class))
+        records.metadata_apply(heads, store, sync_id)
     if options.preserve_acl and source_acls is not None:
         records.acl_apply(moved(acl_copy(source_acls)), store, sync_id)
 
@@ -199,7 +201,9 @@ def run_validation(
     digests = {}
     if options.check_content and source_root and target_root:
         open_cases = undecided_bodies(source, source_heads, target_heads, options)
-        spread = _stored(balanced(open_cases, task_bytes), f"{folder}/to_read")
+        to_read = _stored(byte_slices(open_cases, task_bytes), f"{folder}/to_read")
+        last = to_read.agg(F.max("task")).first()[0]
+        spread = to_read.repartitionById((last or 0) + 1, F.col("task").cast("int"))
         digests = {
             "source_digests": _stored(
                 digest_objects(spread, source_root), f"{folder}/source_md5"),

@@ -25,8 +25,6 @@ def spark():
 @pytest.fixture(scope="session")
 def inventory(spark):
     """Builds an inventory from (key, size, etag, last_modified) tuples."""
-    from lading.functions.keys import etag_normalize  # noqa: F401
-
     def build(*rows):
         full = [(tuple(r) + (None,) * 4)[:4] for r in rows]
         return spark.createDataFrame(

@@ -4,7 +4,6 @@ from dataclasses import replace
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from lading.jobs import objects, records, runs
 from lading.jobs.store import ObjectRoot

@@ -5,7 +5,6 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from lading.operators.acl import acl_compare
 from lading.plans import sync

@@ -44,6 +44,29 @@ def test_query(spark, tables, name):
     assert _sorted(rows) == _sorted(expected)
 
 
+COUNTED_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(COUNTED_DIR), reason="test tables are not here")
+def test_known_counts(spark):
+    """The counts FIXTURES.md gives for sf0.01."""
+    queries = entry_point.queries()
+
+    def run(name):
+        return queries[name](spark, COUNTED_DIR)
+
+    assert {r.action: (r.objects, r.bytes) for r in run("sync_plan_counts").collect()} == {
+        "skip_since": (240, 574264), "unchanged": (533, 1328267), "filtered": (34, 103928),
+        "copy: missing": (76, 205404), "copy: etag": (75, 179985), "copy: size": (42, 80610),
+        "delete: orphan": (50, 50)}
+    assert run("acl_compare").filter("match").count() == 1258
+    assert run("acl_compare_strict").filter("match").count() == 1078
+    assert run("grantee_label").count() == 2188
+    assert run("size_class").filter("class = 'large'").count() == 11976
+    assert run("part_plan").count() == 466286
+    assert run("inventory_latest").count() == 750
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
