@@ -33,14 +33,18 @@ def keyed_source(
 
 
 def keyed_target(
-    target: DataFrame, prefix: str = "", repeated_keys: bool = True
+    target: DataFrame, prefix: str = "", repeated_keys: bool = True, with_etag: bool = True
 ) -> DataFrame:
-    """Only what a comparison needs from the target: relative key, full key, size, ETag."""
+    """Only what a comparison needs from the target: relative key, full key, size, ETag.
+
+    Columns that go into the choice of the newest row cannot be pruned behind it, so those
+    nobody asks for are left out here.
+    """
     rows = prefix_filter(target, prefix).select(
         relative_key("key", prefix).alias("rel_key"),
         F.col("key").alias("t_key"),
         _size().alias("t_size"),
-        etag_normalize("etag").alias("t_etag"),
+        *([etag_normalize("etag").alias("t_etag")] if with_etag else []),
         *(["last_modified"] if repeated_keys else []),
     )
     return single(rows, repeated_keys, "rel_key").drop("last_modified")
@@ -60,7 +64,9 @@ def diff_join(
     repeated_keys: bool = True,
 ) -> DataFrame:
     """Source rows that have to be copied, with the reason: missing, etag or size."""
-    joined = keyed_source(source, source_prefix, repeated_keys).join(
+    needed = source.select(
+        "key", "size", "etag", *(["last_modified"] if repeated_keys else []))
+    joined = keyed_source(needed, source_prefix, repeated_keys).join(
         keyed_target(target, target_prefix, repeated_keys), "rel_key", "left"
     )
     return joined.withColumn("reason", difference()).filter(F.col("reason").isNotNull()).select(
@@ -77,7 +83,8 @@ def orphan_anti_join(
         relative_key("key", source_prefix).alias("rel_key")
     )
     present = present.distinct() if repeated_keys else present
-    return keyed_target(target, target_prefix, repeated_keys).join(present, "rel_key", "left_anti").select(
+    listed = keyed_target(target, target_prefix, repeated_keys, with_etag=False)
+    return listed.join(present, "rel_key", "left_anti").select(
         F.col("t_key").alias("key"), "rel_key", F.col("t_size").alias("size")
     )
 
@@ -87,7 +94,9 @@ def mirror_status(
     repeated_keys: bool = True,
 ) -> DataFrame:
     """Both sides in one pass: missing, etag, size, same or orphan for every relative key."""
-    joined = keyed_source(source, source_prefix, repeated_keys).join(
+    needed = source.select(
+        "key", "size", "etag", *(["last_modified"] if repeated_keys else []))
+    joined = keyed_source(needed, source_prefix, repeated_keys).join(
         keyed_target(target, target_prefix, repeated_keys), "rel_key", "full_outer"
     )
     status = F.when(F.col("key").isNull(), F.lit("orphan")).otherwise(

@@ -8,19 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..constants import VALIDATE_FIELDS
+from ..constants import FIELD_COLUMNS, USER_METADATA_FIELD, VALIDATE_FIELDS
 from ..functions.acl import grants_match
 from ..functions.keys import etag_normalize, relative_key
 from ..operators.metadata import all_match, metadata_differences
 from ..sources.inventory import prefix_filter, single
 from .options import ValidateOptions
 
-_HEAD_COLUMNS = (
-    "content_length", "content_type", "content_md5", "last_modified", "etag", "storage_class",
-    "metadata", "cache_control", "expires",
-)
-
-
 def content_mismatch(
     listed_size: Column, digest_limit: int, with_digests: bool,
     source: str = "s", target: str = "t",
@@ -64,18 +58,37 @@ def _target_side(frame: DataFrame, options: ValidateOptions) -> DataFrame:
     return prefix_filter(frame, options.prefix if same else options.target_prefix)
 
 
+def _head_columns(options: ValidateOptions, content: bool, metadata: bool) -> list[str]:
+    """The head columns the checks look at; nothing else is read or shuffled."""
+    wanted = {"content_length", "etag"} if content else set()
+    if metadata:
+        fields = options.metadata_fields or VALIDATE_FIELDS
+        wanted |= {FIELD_COLUMNS[f] for f in fields if f in FIELD_COLUMNS}
+        wanted |= {"metadata"} if USER_METADATA_FIELD in fields else set()
+    if options.repeated_keys or not wanted:
+        wanted.add("last_modified")
+    return sorted(wanted)
+
+
 def _sides(
-    source: DataFrame, source_heads: DataFrame, target_heads: DataFrame, options: ValidateOptions
+    source: DataFrame, source_heads: DataFrame, target_heads: DataFrame,
+    options: ValidateOptions, content: bool = True, metadata: bool = False,
 ) -> DataFrame:
-    """``target_key, key, listed_size, s, t``: listing and both heads on the compared key."""
+    """``target_key, key, listed_size, s, t``: listing and both heads on the compared key.
+
+    Without a check that needs it, there is no source head ``s``.
+    """
     compared = _compared_key(options).alias("target_key")
-    listing = prefix_filter(source, options.prefix).select(
+    columns = _head_columns(options, content, metadata)
+    rows = prefix_filter(source, options.prefix).select(
         compared, "key", F.col("size").alias("listed_size")
     )
-    s_heads = prefix_filter(source_heads, options.prefix).select(compared, *_HEAD_COLUMNS)
+    if content or metadata:
+        s_heads = prefix_filter(source_heads, options.prefix).select(compared, *columns)
+        rows = _attach(rows, s_heads, "s", options)
     t_heads = _target_side(target_heads, options).select(
-        F.col("key").alias("target_key"), *_HEAD_COLUMNS)
-    return _attach(_attach(listing, s_heads, "s", options), t_heads, "t", options)
+        F.col("key").alias("target_key"), *columns)
+    return _attach(rows, t_heads, "t", options)
 
 
 def _attach(
@@ -140,9 +153,9 @@ def metadata_check(
 ) -> DataFrame:
     """``key, match, differences`` for source objects that have a target."""
     fields = options.metadata_fields or VALIDATE_FIELDS
-    return _sides(source, source_heads, target_heads, options).filter(
-        F.col("t").isNotNull()
-    ).select("key", metadata_differences(fields).alias("differences")).select(
+    return _sides(
+        source, source_heads, target_heads, options, content=False, metadata=True
+    ).filter(F.col("t").isNotNull()).select("key", metadata_differences(fields).alias("differences")).select(
         "key", all_match("differences").alias("match"), "differences"
     )
 
@@ -158,7 +171,9 @@ def validate(
     A missing target fails with all flags null; a check that is off counts as passed where
     the target exists. A head or list that cannot be read fails its check.
     """
-    rows = _sides(source, source_heads, target_heads, options)
+    rows = _sides(
+        source, source_heads, target_heads, options, options.check_content,
+        options.check_metadata)
     present = F.col("t").isNotNull()
     columns: dict[str, Column] = {}
     no_text = F.expr("cast(array() as array<string>)")

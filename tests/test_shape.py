@@ -90,6 +90,19 @@ def test_validation_shuffles_the_source_once(spark, stored):
     assert plan.count("Exchange hashpartitioning") == 3 and "NestedLoop" not in plan
 
 
+def test_checks_read_only_the_columns_they_need(spark, stored, tmp_path):
+    stored[0].select(
+        "key", F.col("size").alias("content_length"), F.lit("t").alias("content_type"),
+        "last_modified", "etag", F.create_map(F.lit("a"), F.lit("b")).alias("metadata"),
+    ).write.parquet(str(tmp_path / "heads"))
+    heads = spark.read.parquet(str(tmp_path / "heads"))
+    plan = _plan(checks.content_check(stored[0], heads, heads, ValidateOptions()))
+    assert plan.count("struct<key:string,content_length:bigint,last_modified:timestamp_ntz,etag:string>") == 2
+    assert "metadata:map" not in plan and "ReadSchema: struct<key:string>" in plan
+    orphans = _plan(joins.orphan_anti_join(*stored, "s/", "s/"))
+    assert "etag" not in orphans
+
+
 def test_small_checkpoints_are_broadcast_by_size(spark, stored):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     checkpoint = spark.range(500).selectExpr(
