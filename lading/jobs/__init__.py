@@ -1,0 +1,12 @@
+"""Jobs with side effects, and whole runs.
+
+What tasks need of this package travels with their functions, by value: executors and Python
+workers do not have to have it installed or on their path.
+"""
+
+from pyspark import cloudpickle
+
+from . import objects, store
+
+cloudpickle.register_pickle_by_value(store)
+cloudpickle.register_pickle_by_value(objects)
