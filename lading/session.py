@@ -2,25 +2,65 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the checkpoint folder of the session, with its scheme.
 
-    The session's ``spark.checkpoint.dir`` decides where it is. Only where that names none
-    (unit tests on one machine) a temporary folder is made and set.
+    The session's ``spark.checkpoint.dir`` decides where it is. A temporary folder of this
+    machine stands in for it only where the master is local, as in unit tests; on a cluster,
+    whose executors could not read it, a missing setting is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not is_local(context.master):
+            raise ValueError(
+                "spark.checkpoint.dir names no folder; on a cluster it has to be one that the "
+                "driver and all executors share"
+            )
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lading-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def new_run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path under the shared folder."""
-    return f"{shared_dir(spark)}/lading-{label}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path under the shared folder; removed when the driver ends."""
+    path = f"{shared_dir(spark)}/lading-{label}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove_made)
+    _made.append((spark, path))
+    return path
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """``frame`` written as Parquet to a fresh shared folder and read back.
+
+    Cuts the lineage: what follows reads files that outlive any executor.
+    """
+    spark = frame.sparkSession
+    path = new_run_dir(spark, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def _remove_made() -> None:
+    while _made:
+        spark, path = _made.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+        except Exception:  # the JVM may have gone first; the folder then stays
+            return
