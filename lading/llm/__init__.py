@@ -1 +1,5 @@
-"""x"""
+"""Operators that prepare training text."""
+from pyspark import cloudpickle
+from . import chunks, hyperminhash, words
+for module in (chunks, hyperminhash, words):
+    cloudpickle.register_pickle_by_value(module)

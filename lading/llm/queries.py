@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ledger
+from . import chunks, hyperminhash, ledger
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words", ledger.fails(ledger.BASE).alias("base_failed"),
         (~ledger.fails(ledger.STANDARD)).alias("kept"), "failed",
     )
+
+
+@query("op3_hyperminhash")
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages to cut: whose they are, where, how long, and which document keeps them."""
+    return chunks.repeated_runs(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("first_id").alias("first_doc_id"),
+        "first_place", "last_place", F.col("words").cast("long").alias("n_words"))
