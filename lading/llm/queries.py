@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chunks, hyperminhash, ledger
+from ..session import stored
+from . import chunks, hyperminhash, ledger, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +90,18 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated_runs(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.col("first_id").alias("first_doc_id"),
         "first_place", "last_place", F.col("words").cast("long").alias("n_words"))
+
+
+def remainder(column: str, divisor: int):
+    """crc32 of the decimal text of an id, modulo ``divisor``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = stored(quality.with_statistics(table(spark, sf_dir, "documents")), "statistics")
+    forest = quality.fit(
+        measured, table(spark, sf_dir, "labels"), "quality", remainder("id", 5) != 0)
+    return quality.scored(measured, forest).select(
+        F.col("id").alias("doc_id"), F.coalesce(remainder("id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
