@@ -1,5 +1,5 @@
 """Operators that prepare training text."""
 from pyspark import cloudpickle
-from . import chunks, hyperminhash, quality, words
-for module in (chunks, hyperminhash, quality, words):
+from . import bpe, chunks, hyperminhash, quality, words
+for module in (bpe, chunks, hyperminhash, quality, words):
     cloudpickle.register_pickle_by_value(module)

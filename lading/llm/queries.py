@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stored
-from . import chunks, hyperminhash, ledger, quality
+from . import bpe, chunks, hyperminhash, ledger, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,21 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(measured, forest).select(
         F.col("id").alias("doc_id"), F.coalesce(remainder("id", 5) == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public tokenizer files lie on the driver."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op2_bpe")
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    decoded = bpe.decode(encoded.select("doc_id", "token_ids"), path)
+    return decoded.select(
+        "doc_id", (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
