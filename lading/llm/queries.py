@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stored
-from . import bpe, chunks, hyperminhash, ledger, quality
+from . import bpe, chunks, hyperminhash, ledger, mixing, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op1_source_mixing")
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
