@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stored
-from . import bpe, chunks, hyperminhash, ledger, mixing, quality
+from . import bpe, chunks, hyperminhash, ledger, mixing, mixture, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_logistic_mixing")
+def op7_logistic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = mixture.score_texts(docs, remainder("doc_id", 7) != 2)
+    return scores.select(
+        "doc_id", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
