@@ -6,12 +6,15 @@ ten bits of mantissa. Steps, all of them distributed:
 
 1. equal sets are one class, of which only the smallest id goes on;
 2. bands of five registers (empty ones borrow from others along fixed permutations) give buckets;
-   every member of a bucket is a candidate with the bucket's smallest id, a star and not all pairs;
-3. candidates whose collision-corrected estimate is at least six standard deviations below the
-   wanted similarity are dropped, all others are compared on their full sets;
-4. the confirmed links give components; in buckets that still hold several components the members
-   outside the largest one are compared with all others of other components, in blocks by sketch;
-   what the estimate leaves is compared on full sets as well, and the components are final.
+   the members of a bucket are tried with its smallest id, a star and not all pairs: first with the
+   smallest such leader of all their buckets, then with the others that are still in a different
+   component;
+3. pairs that cannot be similar enough by size or number of differing registers, or whose
+   collision-corrected estimate is five standard deviations too low, are dropped; all others are
+   compared on their full sets, and links that hold give components;
+4. in buckets that still hold several components the members outside the largest one are compared
+   with all others of other components, in blocks by sketch; what those leave is compared on full
+   sets as well, and the components are final.
 
 A pair of similarity 0.8 shares no band with a probability of about 2e-9, more similar pairs with
 a smaller one. No candidate is dropped otherwise.
@@ -94,8 +97,19 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
 
 
 def _plausible(a, b, n, m, similarity: float) -> np.ndarray:
+    """Whether the sets can be similar enough, by their sizes and sketches.
+
+    Every register that differs is owed to a shingle that only one of the sets has, and of those
+    similar sets have at most (1 - s) / (1 + s) of the sum of their sizes; for small sets this
+    says more than the estimate.
+    """
     near, used = estimate(a, b, n, m)
-    return near >= similarity - 6 * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
+    differ = used - ((a == b) & (a != 0)).sum(axis=1)
+    spread = np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
+    return (
+        (near >= similarity - 5 * spread)
+        & (differ <= (1 - similarity) / (1 + similarity) * (n + m) + 1e-6)
+        & (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6))
 
 
 def _sets(batches, width: int):
@@ -251,6 +265,15 @@ def _open_pairs(
         compare, "a long, b long").distinct()
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not yet in one component."""
+    def named(side):
+        return labels.select(F.col("id").alias(side), F.col("component").alias(f"c_{side}"))
+
+    return pairs.join(named("b"), "b", "left").join(named("a"), "a", "left").filter(
+        F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, similarity: float = 0.8,
     id_column: str = "doc_id", text: str = "text",
@@ -269,17 +292,25 @@ def near_duplicates(
         F.min("id").alias("a"), F.max("id").alias("z"), F.count("*").alias("size")
     ).filter("a < z").drop("z")
     members = stored(join_hot(bands, stored(buckets, "buckets"), "band", "size"), "members")
-    stars = members.filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    tested = stored(_screened(stars, sketches, similarity), "stars")
-    links = stored(_confirmed(tested, docs, width, similarity), "links")
-
-    labels = components(links)
-    further = _open_pairs(
-        members.filter("size > 2").select("band", "id"), labels, sketches, similarity)
-    further = stored(further.join(tested, ["a", "b"], "left_anti"), "further")
-    if not further.isEmpty():
-        more = stored(_confirmed(further, docs, width, similarity), "links")
-        labels = components(links.union(more))
+    stars = stored(
+        members.filter("id <> a").select("a", F.col("id").alias("b")).distinct(), "stars")
+    links = None
+    # First every member with its smallest leader; then, between what are still different
+    # components, with its other leaders; then with the other members of its buckets.
+    for step in ("first", "stars", "blocks"):
+        if step == "first":
+            pairs = _screened(stars.groupBy("b").agg(F.min("a").alias("a")), sketches, similarity)
+        elif step == "stars":
+            pairs = _screened(_apart(stars, labels), sketches, similarity)
+        else:
+            pairs = _open_pairs(
+                members.filter("size > 2").select("band", "id"), labels, sketches, similarity
+            ).join(stars, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        if links is None or not pairs.isEmpty():
+            found = _confirmed(pairs, docs, width, similarity)
+            links = stored(found if links is None else links.union(found), "links")
+            labels = components(links)
 
     named = classes.join(labels, classes.lead == labels.id, "left").select(
         "digest", "size", F.coalesce("component", "lead").alias("component"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stored
-from . import bpe, chunks, hyperminhash, ledger, mixing, mixture, quality
+from . import bpe, chunks, hyperminhash, kneser_ney, ledger, mixing, mixture, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,11 @@ def op7_logistic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(
         "doc_id", F.coalesce(remainder("doc_id", 7) == 2, F.lit(False)).alias("held_out"),
         "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+@query("op4_kneser_ney")
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return kneser_ney.identify(docs, remainder("doc_id", 4) != 2).select(
+        "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred", "score", "cross_entropy", "rejected")
