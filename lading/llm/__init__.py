@@ -1,5 +1,5 @@
 """Operators that prepare training text."""
 from pyspark import cloudpickle
-from . import bpe, chunks, hyperminhash, kneser_ney, mixing, mixture, quality, words
-for module in (bpe, chunks, hyperminhash, kneser_ney, mixing, mixture, quality, words):
+from . import bpe, chunks, hyperminhash, kneser_ney, mixing, mixture, neighbours, quality, words
+for module in (bpe, chunks, hyperminhash, kneser_ney, mixing, mixture, neighbours, quality, words):
     cloudpickle.register_pickle_by_value(module)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stored
-from . import bpe, chunks, hyperminhash, kneser_ney, ledger, mixing, mixture, quality
+from . import bpe, chunks, hyperminhash, kneser_ney, ledger, mixing, mixture, neighbours, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +146,8 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.identify(docs, remainder("doc_id", 4) != 2).select(
         "doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
         "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query("op6_block_matrix_neighbours")
+def op6_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
