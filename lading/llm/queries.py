@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stored
-from . import bpe, chunks, hyperminhash, kneser_ney, ledger, mixing, mixture, neighbours, quality
+from . import bpe, chunks, hyperminhash, kneser_ney, ledger, mixing, mixture, neighbours, quality, templates
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,14 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_block_matrix_neighbours")
 def op6_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+URL_RULES = (
+    templates.Rule("block", "net", "/"), templates.Rule("allow", "example.net", "/en/"),
+    templates.Rule("block", "example.com", "/de/"), templates.Rule("allow", "org", "/fr/"),
+)
+
+
+@query("op9_url_templates")
+def op9_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
