@@ -24,7 +24,6 @@ import re
 import sys
 import unicodedata
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -196,7 +195,9 @@ class _Words(dict):
         return value
 
 
-@lru_cache(maxsize=2)
+_worker: dict = {}
+
+
 def splitter(beyond: bool = True) -> re.Pattern:
     """The pre-split of byte-level BPE: contractions, letters, numbers, other signs, blanks.
 
@@ -204,6 +205,8 @@ def splitter(beyond: bool = True) -> re.Pattern:
     Without ``beyond`` the pattern is for texts with no character above U+FFFF, which it splits
     three times as fast.
     """
+    if beyond in _worker:
+        return _worker[beyond]
     ranges: dict[str, list[list[int]]] = {"L": [], "N": []}
     for code in range((sys.maxunicode if beyond else 0xFFFF) + 1):
         kind = unicodedata.category(chr(code))[0]
@@ -216,12 +219,10 @@ def splitter(beyond: bool = True) -> re.Pattern:
         "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges[kind]) for kind in "LN")
     # The characters with the White_Space property.
     blank = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-    return re.compile(
+    _worker[beyond] = re.compile(
         f"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+"
         f"|[{blank}]+(?![^{blank}])|[{blank}]+")
-
-
-_worker: dict = {}
+    return _worker[beyond]
 
 
 def _automaton(sent: Broadcast) -> tuple[_Words, Vocabulary]:
