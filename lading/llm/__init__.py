@@ -1,5 +1,15 @@
-"""Operators that prepare training text."""
+"""Operators that prepare training text: filters, near copies, mixing, tokens, scores.
+
+Every module holds one operator with a general interface; ``queries`` applies each to its whole
+table and ``stages`` strings some of them together. Code that tasks need travels with their
+functions, by value: executors do not have to have this package installed.
+"""
+
 from pyspark import cloudpickle
-from . import bpe, chunks, hyperminhash, kneser_ney, mixing, mixture, neighbours, quality, words
-for module in (bpe, chunks, hyperminhash, kneser_ney, mixing, mixture, neighbours, quality, words):
-    cloudpickle.register_pickle_by_value(module)
+
+from . import (
+    bpe, chunks, hyperminhash, kneser_ney, mixture, neighbours, quality, words,
+)
+
+for _module in (bpe, chunks, hyperminhash, kneser_ney, mixture, neighbours, quality, words):
+    cloudpickle.register_pickle_by_value(_module)

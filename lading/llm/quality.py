@@ -169,13 +169,13 @@ def fit(
 
 
 def scored(measured: DataFrame, forest: Forest) -> DataFrame:
-    """(id, score) of every measured document."""
+    """(id, pick, score) of every measured document."""
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                x = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+                x = batch.column(2).flatten().to_numpy(zero_copy_only=False)
                 score = forest.score(x.reshape(-1, len(FEATURES)).astype(np.float64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(score)], ["id", "score"])
+                    [batch.column(0), batch.column(1), pa.array(score)], ["id", "pick", "score"])
 
-    return measured.select("id", "x").mapInArrow(run, "id long, score double")
+    return measured.select("id", "pick", "x").mapInArrow(run, "id long, pick long, score double")
