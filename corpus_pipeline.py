@@ -1,4 +1,53 @@
-STAGES = []
+"""Training text from raw documents, in five stages.
+
+Every stage takes (spark, docs, sf_dir), works on all its predecessor kept, and returns a DataFrame
+that is written as Parquet and read again as the next one's ``docs``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lading.llm import stages
+from lading.llm.queries import tokenizer_path
+from lading.session import stored
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.quality_classifier(docs, stages.labels_of(spark, sf_dir))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.near_dedup(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.substring_dedup(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.source_mixing(docs)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return stages.bpe_round_trip(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("source_mixing", source_mixing),
+    ("bpe", bpe),
+]
+
+#: A boosted classifier and an automaton are beyond SQL; tests/llm compares with plain code.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, from the whole table ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
