@@ -91,7 +91,7 @@ select key, true as success, size from tgt where rel_key not in (select rel_key
 def delete_objects(spark, sf):
     folder = new_run_dir(spark, "delete")
     orphans = sync.mirror_plan(*_sides(spark, sf), OPTIONS).filter("action = 'delete'")
-    html = fx.table(spark, sf, "pages").filter("page_id % 5 = 0").selectExpr(
+    html = fx.table(spark, sf, "pages").selectExpr(
         "'mirror/orphan/' || cast(page_id as string) as key", "cast(html as binary) as content")
     _kept(objects.write_objects(html, f"{folder}/target"), folder, "written")
     gone = _kept(objects.delete_objects(orphans, f"{folder}/target"), folder, "deleted")

@@ -30,7 +30,7 @@ tgt as (
   union all
   select 'mirror/orphan/' || cast(page_id as varchar), 1, md5(html),
          timestamp '2024-01-01 00:00:00', -1, 'orphan/' || cast(page_id as varchar)
-  from pages where page_id % 5 = 0)"""
+  from pages)"""
 
 _DIFF = """
 diff as (

@@ -239,13 +239,15 @@ def acl_batch_copy(spark, sf):
 
 @query("acl_explode", using("acls") + """
 , g as (select *, unnest(case when c_custkey % 5 = 0 then [0] else [1, 2] end) as n from acls)
-select key, 'u' || c_nationkey as owner_id,
+select 'b' || (c_custkey % 10) as bucket, case when c_custkey % 50 <> 0 then key end as key,
+       'u' || c_nationkey as owner_id,
        cast(case when n > 0 then n - 1 end as integer) as position,
        case n when 1 then 'FULL_CONTROL' when 2 then 'READ' end as permission,
-       case n when 1 then c_name when 2 then 'AllUsers (public)' end as grantee
-from g where c_custkey % 50 <> 0""")
+       case n when 1 then case when c_custkey % 50 <> 0 then c_name else 'u' || c_custkey end
+              when 2 then 'AllUsers (public)' end as grantee
+from g""")
 def acl_explode(spark, sf):
-    return acl.acl_explode(acl_scan(fx.raw_acls(spark, sf)).filter("key is not null"))
+    return acl.acl_explode(acl_scan(fx.raw_acls(spark, sf)), "bucket")
 
 
 _ACL_MATCH = """select key, c_custkey % 13 <> 0 as owner_match, {grants} as grants_match,

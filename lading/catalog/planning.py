@@ -201,10 +201,10 @@ def key_except(spark, sf):
 select sync_id, case when o_orderkey % 3 = 0 then 'checkpoint' else 'state' end as origin,
        case when o_orderkey % 3 = 0 then 'running' else status end as status,
        case when o_orderkey % 3 = 0 then 5 else uploaded end as uploaded
-from states where o_orderkey % 3 = 0 or o_orderkey % 2 = 0""")
+from states""")
 def run_lookup(spark, sf):
     number = F.substring_index("sync_id", "-", -1)
     states = fx.run_state(spark, sf).select("sync_id", "status", "uploaded")
     saved = states.filter(number % 3 == 0).select(
         "sync_id", F.lit("running").alias("status"), F.lit(5).cast("long").alias("uploaded"))
-    return sets.run_lookup(saved, states.filter(number % 2 == 0))
+    return sets.run_lookup(saved, states)

@@ -12,7 +12,7 @@ from ..plans.reports import report_json
 from ..session import new_run_dir
 from ..sources import acls, bodies, heads, inventory, runs
 from .fixture_sql import using
-from .registry import query
+from .registry import ORACLES, query
 
 _LISTING = "bucket, key, last_modified, size, storage_class, etag, version_id"
 
@@ -259,6 +259,13 @@ def since_filter(spark, sf):
     return filters.since_filter(listing, "2024-01-01 04:00:00").select("key", "last_modified")
 
 
+for _name, _since in (("utc", "2024-01-01T04:00:00Z"), ("offset", "2024-01-01T06:00:00+02:00")):
+    @query(f"since_filter_{_name}", ORACLES["since_filter"])
+    def since_filter_of(spark, sf, since=_since):
+        listing = inventory.inventory_normalize(fx.raw_listing(spark, sf))
+        return filters.since_filter(listing, since).select("key", "last_modified")
+
+
 @query("modified_since", using("docs") + """
 select key, last_modified from docs
 where doc_id % 13 <> 0 and last_modified >= timestamp '2024-01-01 04:00:00'""")

@@ -122,6 +122,15 @@ def failed_sample(spark, sf):
     return limits.failed_sample(_results(spark, sf)).select("key", "error")
 
 
+def _size_text(size: str) -> str:
+    """All units, as sizes of any order of magnitude occur."""
+    steps = ["B", "KB", "MB", "GB", "TB"]
+    whens = " ".join(
+        f"when {size} < {1024 ** (k + 1)} then printf('%.2f {unit}', ({size}) / {1024.0 ** k}::double)"
+        for k, unit in enumerate(steps))
+    return f"(case {whens} else printf('%.2f PB', ({size}) / {1024.0 ** 5}::double) end)"
+
+
 _SIZE_TEXT = """case when size < 1024 then printf('%.2f B', cast(size as double))
   when size < 1048576 then printf('%.2f KB', size / 1024.0::double)
   else printf('%.2f MB', size / 1048576.0::double) end"""
@@ -205,7 +214,7 @@ _MIGRATION_TEXT = " || ".join([
     _line("  Objects:", _thousands("total_objects")),
     _line("  Processed:", _thousands("coalesce(uploaded, 0) + failed")),
     _line("  Failed:", _thousands("failed")),
-    _line("  Total size:", "printf('%.2f KB', total_objects * 3000 / 1024.0::double)"),
+    _line("  Total size:", _size_text("total_objects * 3000")),
     _line("  Transferred:", "printf('%.2f B', cast(total_objects as double) % 1000)"),
     "case when failed > 0 then " + _blank() + " || " + _blank("  Failed objects (first 10):")
     + " || '    - ' || sync_id || '/x: broken' || chr(10) || '    - N/A: unknown error' || chr(10)"
@@ -215,11 +224,11 @@ _MIGRATION_TEXT = " || ".join([
 
 
 @query("report_text_migration", _REPORT_STATES + f"""
-select sync_id, {_MIGRATION_TEXT} as report from s where total_objects between 1 and 340""")
+select sync_id, {_MIGRATION_TEXT} as report from s""")
 def report_text_migration(spark, sf):
     entry = "struct(concat(sync_id, '/x') as key, 'broken' as error)"
     nothing = "struct(cast(null as string) as key, cast(null as string) as error)"
-    rows = _summaries(spark, sf).filter("total_objects between 1 and 340").withColumns({
+    rows = _summaries(spark, sf).withColumns({
         "processed_objects": F.expr("coalesce(uploaded, 0) + failed"),
         "total_bytes": F.col("total_objects") * 3000,
         "transferred_bytes": F.col("total_objects") % 1000,

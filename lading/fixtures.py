@@ -61,7 +61,7 @@ def tgt_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"'{TARGET_BUCKET}' as bucket", "key", "last_modified", f"{_T_SIZE} as size",
         "storage_class", f"{_T_ETAG} as etag", "cast(null as string) as version_id", "doc_id",
     )
-    orphans = table(spark, sf_dir, "pages").filter("page_id % 5 = 0").selectExpr(
+    orphans = table(spark, sf_dir, "pages").selectExpr(
         f"'{TARGET_BUCKET}' as bucket",
         f"'{TARGET_PREFIX}orphan/' || cast(page_id as string) as key",
         "timestamp_ntz'2024-01-01 00:00:00' as last_modified", "cast(1 as bigint) as size",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F
 
 from ..constants import DEFAULT_STORAGE_CLASS, LARGE_OBJECT_BYTES
@@ -14,8 +16,16 @@ def _col(value: Column | str) -> Column:
 
 
 def instant(text: str | None) -> Column:
-    """UTC wall-clock literal; stays a plain constant so scans can push it down."""
-    return F.lit(text).cast("timestamp_ntz")
+    """UTC wall-clock literal of an ISO text; stays a plain constant so scans can push it down.
+
+    An offset is resolved here; a text without one is UTC; an unreadable one is a ValueError.
+    """
+    if text is None:
+        return F.lit(None).cast("timestamp_ntz")
+    at = datetime.fromisoformat(text)
+    if at.tzinfo is not None:
+        at = at.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
 
 
 def relative_key(key: Column | str, prefix: str = "") -> Column:

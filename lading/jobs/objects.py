@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import DEFAULT_STORAGE_CLASS, PART_BYTES
 from ..functions.keys import from_micros
-from ..operators.running import byte_slices
+from ..operators.running import byte_slices, running_totals
 from ..schemas import RESULT
-from ..session import new_run_dir
+from ..session import new_run_dir, stored
 from .store import ObjectRoot
 
 _RESULT_ARROW = pa.schema([
@@ -26,6 +26,7 @@ _RESULT_ARROW = pa.schema([
     ("skipped", pa.bool_()), ("error", pa.string()), ("reason", pa.string()),
     ("size", pa.int64()),
 ])
+_ROWS_AT_ONCE = 256
 _DIGEST_ARROW = pa.schema([("key", pa.string()), ("md5", pa.string())])
 
 
@@ -33,7 +34,9 @@ def _per_row(function, schema: pa.Schema):
     """Arrow batches in, one result per row out."""
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_pylist([function(r) for r in batch.to_pylist()], schema)
+            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                rows = batch.slice(start, _ROWS_AT_ONCE).to_pylist()
+                yield pa.RecordBatch.from_pylist([function(r) for r in rows], schema)
 
     return run
 
@@ -50,17 +53,25 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def balanced(plan: DataFrame, task_bytes: int, max_tasks: int = 100_000) -> DataFrame:
-    """The plan spread over tasks of about ``task_bytes`` each, however sizes are distributed."""
-    sliced = byte_slices(plan, task_bytes)
-    last = sliced.agg(F.max("task")).first()[0]
-    tasks = min((last or 0) + 1, max_tasks)
-    return sliced.repartitionById(tasks, F.col("task").cast("int")).drop("task")
+def balanced(plan: DataFrame, task_bytes: int) -> DataFrame:
+    """The plan spread over tasks of about ``task_bytes`` each, however sizes are distributed.
+
+    Slices of the running total are numbered densely: a huge object leaves no empty tasks
+    behind, and there are never more tasks than rows.
+    """
+    sliced = stored(byte_slices(plan, task_bytes), "slices")
+    numbers = running_totals(
+        sliced.select("task").distinct(), ["task"], {"_nth": F.lit(1).cast("long")})
+    numbered = sliced.join(numbers, "task")
+    tasks = numbers.count()
+    return numbered.repartitionById(max(tasks, 1), (F.col("_nth") - 1).cast("int")).drop(
+        "task", "_nth")
 
 
 def _copying(source_root: str, target_root: str, part_bytes: int):
     def run(batches):
         source, target = ObjectRoot(source_root), ObjectRoot(target_root)
+        inside = source.same_store(target)
 
         def copy(row: dict) -> dict:
             if row.get("target_included") is False:
@@ -71,8 +82,9 @@ def _copying(source_root: str, target_root: str, part_bytes: int):
                 if row.get(column)
             }
             try:
-                target.write(
-                    row["target_key"], source.chunks(row["key"], part_bytes), headers)
+                if not (inside and not headers and source.copy_to(row["key"], target, row["target_key"])):
+                    target.write(
+                        row["target_key"], source.chunks(row["key"], part_bytes), headers)
             except Exception as error:  # one broken object must not stop the others
                 return _result(row, target_key=None, success=False, error=str(error))
             return _result(row)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from contextlib import suppress
 
@@ -11,6 +12,9 @@ from pyarrow import fs
 # place and renamed. On the others an object appears only when its stream is closed.
 _RENAMING = ("local", "hdfs")
 
+# Names of bodies still being written; reserved, and the only ones a listing leaves out.
+_UNFINISHED = re.compile(r"\.[0-9a-f]{32}\.lading-part")
+
 
 class ObjectRoot:
     """Objects below one root URI (``file:``, ``hdfs://``, ``s3a://``, ``gs://``, ...)."""
@@ -42,14 +46,14 @@ class ObjectRoot:
         place = f"{self.base}/{folder}".rstrip("/")
         for info in self.files.get_file_info(fs.FileSelector(place)):
             name = info.path[len(self.base):].lstrip("/")
-            if not info.base_name.startswith("."):
+            if not _UNFINISHED.fullmatch(info.base_name):
                 yield name, info
 
     def write(self, key: str, pieces, headers: dict[str, str] | None = None) -> int:
         """Replaces the whole object; readers never see a part of it."""
         path = self.path(key)
-        folder, _, name = path.rpartition("/")
-        place = f"{folder}/.{name}.{uuid.uuid4().hex}" if self.renames else path
+        folder = path.rpartition("/")[0]
+        place = f"{folder}/.{uuid.uuid4().hex}.lading-part" if self.renames else path
         if self.renames:
             self.files.create_dir(folder, recursive=True)
         written = 0
@@ -67,6 +71,19 @@ class ObjectRoot:
             raise
         return written
 
+    def same_store(self, other: ObjectRoot) -> bool:
+        return self.files.type_name == other.files.type_name and self.files.equals(other.files)
+
+    def copy_to(self, key: str, other: ObjectRoot, other_key: str) -> bool:
+        """Copies inside one object store, without moving bytes through this process.
+
+        False on stores where a copy shows up piece by piece; there it is written and renamed.
+        """
+        if self.renames:
+            return False
+        self.files.copy_file(self.path(key), other.path(other_key))
+        return True
+
     def delete(self, key: str) -> None:
         """Removing what is not there is no error."""
         with suppress(FileNotFoundError):

@@ -52,12 +52,16 @@ def acl_batch_copy(
     )
 
 
-def acl_explode(acls: DataFrame, keep_empty: bool = True) -> DataFrame:
-    """One row per grant with a readable grantee; lists without grants stay as one row."""
+def acl_explode(acls: DataFrame, *also: str, keep_empty: bool = True) -> DataFrame:
+    """One row per grant with a readable grantee; lists without grants stay as one row.
+
+    ``also`` names further columns to keep, such as the bucket, by which the lists of buckets
+    (null key) are told apart.
+    """
     spread = F.posexplode_outer if keep_empty else F.posexplode
-    rows = acls.select("key", F.col("owner.id").alias("owner_id"), spread("grants"))
+    rows = acls.select(*also, "key", F.col("owner.id").alias("owner_id"), spread("grants"))
     return rows.select(
-        "key", "owner_id", F.col("pos").alias("position"),
+        *also, "key", "owner_id", F.col("pos").alias("position"),
         F.col("col.permission").alias("permission"),
         F.when(F.col("col").isNotNull(), grantee_label(F.col("col.grantee"))).alias("grantee"),
     )

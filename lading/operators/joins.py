@@ -45,17 +45,28 @@ def keyed_target(
         F.col("key").alias("t_key"),
         _size().alias("t_size"),
         *([etag_normalize("etag").alias("t_etag")] if with_etag else []),
-        *(["last_modified"] if repeated_keys else []),
+        *(["last_modified"] if repeated_keys or with_etag else []),
     )
-    return single(rows, repeated_keys, "rel_key").drop("last_modified")
+    newest = single(rows, repeated_keys, "rel_key")
+    if not with_etag:
+        return newest.drop("last_modified")
+    return newest.withColumnRenamed("last_modified", "t_modified")
 
 
 def difference() -> Column:
-    """Why a source row differs from its target row; null where it does not."""
+    """Why a source row differs from its target row; null where it does not.
+
+    A blank ETag, as live listings have it, decides nothing. Then the size does, and between
+    equal sizes the time: a source written after its copy counts as changed. So does one whose
+    time is unknown on either side, since nothing shows that the copy is up to date.
+    """
+    comparable = (F.col("etag") != "") & (F.col("t_etag") != "")
+    newer = ~F.coalesce(F.col("last_modified") <= F.col("t_modified"), F.lit(False))
     return (
         F.when(F.col("t_key").isNull(), F.lit("missing"))
-        .when(F.col("etag") != F.col("t_etag"), F.lit("etag"))
+        .when(comparable & (F.col("etag") != F.col("t_etag")), F.lit("etag"))
         .when(F.col("size") != F.col("t_size"), F.lit("size"))
+        .when(~comparable & newer, F.lit("time"))
     )
 
 
@@ -64,8 +75,7 @@ def diff_join(
     repeated_keys: bool = True,
 ) -> DataFrame:
     """Source rows that have to be copied, with the reason: missing, etag or size."""
-    needed = source.select(
-        "key", "size", "etag", *(["last_modified"] if repeated_keys else []))
+    needed = source.select("key", "size", "etag", "last_modified")
     joined = keyed_source(needed, source_prefix, repeated_keys).join(
         keyed_target(target, target_prefix, repeated_keys), "rel_key", "left"
     )
@@ -94,8 +104,7 @@ def mirror_status(
     repeated_keys: bool = True,
 ) -> DataFrame:
     """Both sides in one pass: missing, etag, size, same or orphan for every relative key."""
-    needed = source.select(
-        "key", "size", "etag", *(["last_modified"] if repeated_keys else []))
+    needed = source.select("key", "size", "etag", "last_modified")
     joined = keyed_source(needed, source_prefix, repeated_keys).join(
         keyed_target(target, target_prefix, repeated_keys), "rel_key", "full_outer"
     )
@@ -111,13 +120,13 @@ def mirror_status(
 
 def validation_join(
     source: DataFrame, target_heads: DataFrame, source_prefix: str = "",
-    target_prefix: str | None = None,
+    target_prefix: str | None = None, repeated_keys: bool = True,
 ) -> DataFrame:
-    """Source rows with ``present``: whether the target has the same full key.
+    """Source rows, one per key, with ``present``: whether the target has the same full key.
 
     Where a target prefix is given, keys are compared below the two prefixes instead.
     """
-    src = prefix_filter(source, source_prefix)
+    src = single(prefix_filter(source, source_prefix), repeated_keys)
     if target_prefix is None:
         wanted = F.col("key")
     else:

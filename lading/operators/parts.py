@@ -10,12 +10,13 @@ from ..constants import MANIFEST_BLOCK_PARTS, PART_BYTES
 def part_plan(objects: DataFrame, part_size: int = PART_BYTES) -> DataFrame:
     """One row per byte range: ``key, part_number, offset, length``.
 
-    An object up to ``part_size`` long is one part. Ranges are generated row by row inside the
+    An object up to ``part_size`` long is one part; a null size counts as 0. Ranges are generated row by row inside the
     scan's stage; nothing is shuffled.
     """
+    size = F.coalesce(F.col("size"), F.lit(0).cast("long"))
     n_parts = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("size") / F.lit(part_size)))
     offset = (F.col("part_number") - 1) * F.lit(part_size).cast("long")
-    return objects.select(
+    return objects.withColumn("size", size).select(
         "key", "size", F.explode(F.sequence(F.lit(1).cast("long"), n_parts)).alias("part_number")
     ).select(
         "key", "part_number", offset.alias("offset"),

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from ..constants import DIGEST_LIMIT_BYTES
-
 
 @dataclass(frozen=True)
 class SyncOptions:
@@ -37,6 +35,10 @@ class SyncOptions:
 
 @dataclass(frozen=True)
 class ValidateOptions:
+    """``digest_limit``: bodies longer than that many bytes are not read where ETags decide
+    nothing, and count as equal by length (``DIGEST_LIMIT_BYTES`` is a usual choice). By default
+    bodies of any length are read; digests stream."""
+
     source_bucket: str = ""
     target_bucket: str = ""
     prefix: str = ""
@@ -47,4 +49,4 @@ class ValidateOptions:
     metadata_fields: tuple[str, ...] | None = None
     acl_mode: str = "reference"
     repeated_keys: bool = True
-    digest_limit: int = DIGEST_LIMIT_BYTES
+    digest_limit: int | None = None

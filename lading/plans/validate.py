@@ -16,7 +16,7 @@ from ..sources.inventory import prefix_filter, single
 from .options import ValidateOptions
 
 def content_mismatch(
-    listed_size: Column, digest_limit: int, with_digests: bool,
+    listed_size: Column, digest_limit: int | None, with_digests: bool,
     source: str = "s", target: str = "t",
 ) -> Column:
     """Why two bodies differ, null where they agree. The first rule that applies decides:
@@ -39,13 +39,20 @@ def content_mismatch(
     )
     if with_digests:
         s_md5, t_md5 = F.col("s_body.md5"), F.col("t_body.md5")
-        within = F.coalesce(listed_size, F.lit(0)) <= digest_limit
+        within = _within(listed_size, digest_limit)
         chain = chain.when(
             within & (s_md5.isNull() | t_md5.isNull()), F.lit("body unreadable")
         ).when(within & (s_md5 != t_md5), reason("MD5", s_md5, t_md5))
     return chain
 
 
+def _within(listed_size: Column, digest_limit: int | None) -> Column:
+    """Whether a body of this size is read; without a limit every one is."""
+    if digest_limit is None:
+        return F.lit(True)
+    return F.coalesce(listed_size, F.lit(0)) <= digest_limit
+
+
 def _compared_key(options: ValidateOptions) -> Column:
     """A source key in the form the target has it."""
     if options.target_prefix is None:
@@ -80,9 +87,10 @@ def _sides(
     """
     compared = _compared_key(options).alias("target_key")
     columns = _head_columns(options, content, metadata)
-    rows = prefix_filter(source, options.prefix).select(
-        compared, "key", F.col("size").alias("listed_size")
-    )
+    listing = single(
+        prefix_filter(source, options.prefix).select("key", "size", "last_modified"),
+        options.repeated_keys)
+    rows = listing.select(compared, "key", F.col("size").alias("listed_size"))
     if content or metadata:
         s_heads = prefix_filter(source_heads, options.prefix).select(compared, *columns)
         rows = _attach(rows, s_heads, "s", options)
@@ -106,12 +114,12 @@ def undecided_bodies(
 ) -> DataFrame:
     """``key, target_key, size`` of objects only their bodies can tell apart, each once.
 
-    Both sides exist, length and ETag raise no objection, and the size is within the limit.
+    Both sides exist, length and ETag raise no objection, and the size is within the limit, if there is one.
     """
     no_objection = content_mismatch(F.col("listed_size"), options.digest_limit, False).isNull()
     return _sides(source, source_heads, target_heads, options).filter(
         F.col("t").isNotNull() & F.col("s").isNotNull() & no_objection
-        & (F.coalesce(F.col("listed_size"), F.lit(0)) <= options.digest_limit)
+        & _within(F.col("listed_size"), options.digest_limit)
     ).select("key", "target_key", F.col("listed_size").alias("size")).dropDuplicates(
         ["key", "target_key"])
 

@@ -53,25 +53,14 @@ def inventory_normalize(raw: DataFrame) -> DataFrame:
 
 
 def tree_inventory(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """Listing of a folder tree through file metadata alone; no body is read.
+    """Complete listing of a folder tree: names of any kind and empty files included.
 
-    For trees the driver can list. The file source leaves out zero-length files: this is a
-    listing of non-empty objects. ``jobs.objects.list_objects`` has neither limit.
+    The file source of the engine hides names that begin with a dot or an underscore and files
+    without bytes, so the tree is listed by tasks instead; no body is read.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", "length", "modificationTime")
-    )
-    listing = files.select(
-        F.lit(None).cast("string").alias("bucket"),
-        tree_key("path", root).alias("key"),
-        from_micros(F.unix_micros("modificationTime")).alias("last_modified"),
-        F.col("length").alias("size"),
-        F.lit(DEFAULT_STORAGE_CLASS).alias("storage_class"),
-        F.lit("").alias("etag"),
-        F.lit(None).cast("string").alias("version_id"),
-    )
-    return prefix_filter(listing, prefix)
+    from ..jobs.objects import list_objects
+
+    return prefix_filter(list_objects(spark, root, prefix), prefix)
 
 
 def tree_key(path: Column | str, root: str) -> Column:

@@ -31,7 +31,8 @@ def _listing(spark, rows):
 
 def _model(source, target, done, since, exclude, include, sp, tp):
     """Action of every source row and orphan, spelled out row by row."""
-    by_rel = {k[len(tp):]: (s or 0, (e or "").strip('"')) for k, s, e, _ in target if k.startswith(tp)}
+    by_rel = {
+        k[len(tp):]: (s or 0, (e or "").strip('"'), at) for k, s, e, at in target if k.startswith(tp)}
     plan = {}
 
     def allowed(key):
@@ -42,18 +43,24 @@ def _model(source, target, done, since, exclude, include, sp, tp):
     for key, size, etag, at in source:
         if not key.startswith(sp):
             continue
-        rel, state = key[len(sp):], ((size or 0), (etag or "").strip('"'))
+        rel, tag = key[len(sp):], (etag or "").strip('"')
+        why = "missing"
+        if rel in by_rel:
+            t_size, t_tag, t_at = by_rel[rel]
+            # A blank ETag decides nothing: then sizes do, then times.
+            up_to_date = tag and t_tag or (at is not None and t_at is not None and at <= t_at)
+            why = (
+                "etag" if tag and t_tag and tag != t_tag else
+                "size" if t_size != (size or 0) else None if up_to_date else "time")
         if key in done:
             plan[key] = ("skip_checkpoint", None)
         elif since and at is not None and at < since:
             plan[key] = ("skip_since", None)
-        elif by_rel.get(rel) == state:
+        elif why is None:
             plan[key] = ("unchanged", None)
         elif not allowed(key):
             plan[key] = ("filtered", None)
         else:
-            why = "missing" if rel not in by_rel else (
-                "etag" if by_rel[rel][1] != state[1] else "size")
             plan[key] = ("copy", why)
     rels = {k[len(sp):] for k, *_ in source if k.startswith(sp)}
     for rel in by_rel:

@@ -247,12 +247,17 @@ def test_missing_target_fails_every_check(spark, inventory):
      "MD5 mismatch: source=x, target=y"),
     ({"content_length": 3}, {"content_length": 3}, ("x", "x"), None),
     ({"content_length": 3}, {"content_length": 3}, (None, "x"), "body unreadable"),
-    ({"content_length": 9, "listed": 6 * 1024 ** 2}, {"content_length": 9}, ("x", "y"), None),
+    ({"content_length": 9, "listed": 6 * 1024 ** 2}, {"content_length": 9}, ("x", "y"),
+     "MD5 mismatch: source=x, target=y"),
+    ({"content_length": 9, "listed": 6 * 1024 ** 2, "limit": 5 * 1024 ** 2},
+     {"content_length": 9}, ("x", "y"), None),
 ])
 def test_content_rules(spark, inventory, source, target, digests, reason):
     sides = digests and [[("k", digests[0])], [("k", digests[1])]]
+    limit = {"digest_limit": source["limit"]} if "limit" in source else {}
+    source = {k: v for k, v in source.items() if k != "limit"}
     rows, _, _ = _check(spark, inventory, [{"key": "k", **source}], [{"key": "k", **target}],
-                        sides, check_metadata=False)
+                        sides, check_metadata=False, **limit)
     row = rows["k"]
     assert row.success == (reason is None) and row.metadata_ok
     assert row.errors == ([] if reason is None else [f"content_mismatch: {reason}"])
