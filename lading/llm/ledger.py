@@ -24,11 +24,11 @@ SYMBOLS = r"[#*$%&|<>]"
 
 @dataclass(frozen=True)
 class Rule:
-    """A document fails a rule when ``fails``, over the measurements, is true."""
+    """A document fails a rule when ``fails``, SQL over the measurements, is true."""
 
     bit: int
     name: str
-    fails: Column
+    fails: str
 
 
 @dataclass(frozen=True)
@@ -113,16 +113,15 @@ def measure(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> D
 
 def standard_rules() -> tuple[Rule, ...]:
     """The rules this package ships. Bits are never reused for another meaning."""
-    n = F.col("n_words")
     return (
-        Rule(0, "few_words", n < 50),
-        Rule(1, "repeated_windows", 100 * F.col("n_repeat_words") > 50 * n),
-        Rule(2, "long_words", F.col("word_chars") > 20 * n),
-        Rule(3, "short_words", F.col("word_chars") < 2 * n),
-        Rule(4, "symbols", 5 * F.col("n_symbols") > n),
-        Rule(5, "repeated_lines", 10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
-        Rule(6, "capitals", 2 * F.col("n_upper") > F.col("word_chars")),
-        Rule(7, "few_distinct_words", F.pow(F.col("n_distinct_words"), 2) < n),
+        Rule(0, "few_words", "n_words < 50"),
+        Rule(1, "repeated_windows", "100 * n_repeat_words > 50 * n_words"),
+        Rule(2, "long_words", "word_chars > 20 * n_words"),
+        Rule(3, "short_words", "word_chars < 2 * n_words"),
+        Rule(4, "symbols", "5 * n_symbols > n_words"),
+        Rule(5, "repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+        Rule(6, "capitals", "2 * n_upper > word_chars"),
+        Rule(7, "few_distinct_words", "n_distinct_words * n_distinct_words < n_words"),
     )
 
 
@@ -134,7 +133,7 @@ def ledger(measured: DataFrame, rules: Iterable[Rule] | None = None) -> DataFram
     """Adds ``failed``, a mask with the bit of every rule that the document fails."""
     mask = F.lit(0).cast("long")
     for rule in rules or standard_rules():
-        bit = F.when(F.coalesce(rule.fails, F.lit(False)), F.lit(1 << rule.bit)).otherwise(0)
+        bit = F.when(F.coalesce(F.expr(rule.fails), F.lit(False)), F.lit(1 << rule.bit)).otherwise(0)
         mask = mask.bitwiseOR(bit.cast("long"))
     return measured.withColumn("failed", mask)
 
