@@ -3,7 +3,7 @@
 The gear hash of a word position is the shifted sum of the hashes of the last two words, so a
 position's value depends on nothing before them. A chunk ends where that value is the strict
 minimum among the three positions on either side: boundaries follow the content alone, insertions
-move them no further than a few words, and no chunk (but the rest of a text) has fewer than four
+move them no further than a few words, and no chunk (but the first and last of a text) has fewer than four
 words, about seven on average. Chunks are compared by a 64-bit digest of their words (blanks do
 not count); the first one, by document id and place, stays. Runs of later chunks with at least
 ``least_words`` words in all are repeats; shorter ones are everyday phrases and stay.
