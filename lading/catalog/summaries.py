@@ -11,6 +11,7 @@ from ..operators import limits, runs
 from ..operators.joins import diff_join
 from ..plans import reports, sync
 from ..plans.options import SyncOptions
+from ..session import stored
 from ..sources.runs import report_scan
 from .fixture_sql import using
 from .planning import OPTIONS, PREFIXES, _sides, sample_plan
@@ -44,8 +45,9 @@ select 'sync-1' as sync_id,
        90.5 as duration_seconds, coalesce(failures, '') as failures
 from p, r, o""".replace("90.5 as", "cast(90.5 as double) as"))
 def sync_summary(spark, sf):
-    plan = sync.mirror_plan(
-        *_sides(spark, sf), OPTIONS, fx.checkpoint(spark, sf), all_rows=True)
+    # Written first, as a run does it: plan, results and deletes then come out of one evaluation.
+    plan = stored(sync.mirror_plan(
+        *_sides(spark, sf), OPTIONS, fx.checkpoint(spark, sf), all_rows=True), "plan")
     deleted = plan.filter("action = 'delete'").select("key", F.lit(True).alias("success"))
     return sync.sync_summary(
         plan, fx.copy_results(plan), OPTIONS, "sync-1", "2024-02-01 00:00:00",

@@ -53,19 +53,24 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def balanced(plan: DataFrame, task_bytes: int) -> DataFrame:
-    """The plan spread over tasks of about ``task_bytes`` each, however sizes are distributed.
+def dense_slices(plan: DataFrame, task_bytes: int) -> tuple[DataFrame, int]:
+    """The plan with ``task`` numbers for about ``task_bytes`` each, and how many there are.
 
     Slices of the running total are numbered densely: a huge object leaves no empty tasks
     behind, and there are never more tasks than rows.
     """
     sliced = stored(byte_slices(plan, task_bytes), "slices")
-    numbers = running_totals(
-        sliced.select("task").distinct(), ["task"], {"_nth": F.lit(1).cast("long")})
-    numbered = sliced.join(numbers, "task")
-    tasks = numbers.count()
-    return numbered.repartitionById(max(tasks, 1), (F.col("_nth") - 1).cast("int")).drop(
-        "task", "_nth")
+    numbers = stored(running_totals(
+        sliced.select("task").distinct(), ["task"], {"_nth": F.lit(1).cast("long")}), "numbers")
+    numbered = sliced.join(numbers, "task").withColumn(
+        "task", (F.col("_nth") - 1).cast("long")).drop("_nth")
+    return numbered, numbers.count()
+
+
+def balanced(plan: DataFrame, task_bytes: int) -> DataFrame:
+    """The plan spread over tasks of about ``task_bytes`` each, however sizes are distributed."""
+    numbered, tasks = dense_slices(plan, task_bytes)
+    return numbered.repartitionById(max(tasks, 1), F.col("task").cast("int")).drop("task")
 
 
 def _copying(source_root: str, target_root: str, part_bytes: int):

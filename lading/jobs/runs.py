@@ -15,14 +15,13 @@ from ..functions.text import run_duration
 from ..operators.acl import acl_copy
 from ..operators.limits import failed_sample
 from ..operators.joins import metadata_attach
-from ..operators.running import byte_slices
 from ..plans.options import SyncOptions, ValidateOptions
 from ..plans.sync import dry_run_plan, mirror_plan, sync_summary
 from ..plans.validate import undecided_bodies, validate, validation_summary
 from ..schemas import RESULT
 from ..sources.inventory import prefix_filter, single
 from . import records
-from .objects import copy_objects, delete_objects, digest_objects
+from .objects import copy_objects, delete_objects, dense_slices, digest_objects
 
 TASK_BYTES = 1024 * 1024 * 1024
 
@@ -58,12 +57,15 @@ def _store_copies(
     if options.preserve_metadata and source_heads is not None:
         rows = metadata_attach(
             rows, source_heads, repeated_keys=options.repeated_keys).drop("metadata")
-    sliced = byte_slices(rows, task_bytes)
-    last = sliced.agg(F.max("task")).first()[0]
-    per_batch = -(-((last or 0) + 1) // batches)
-    task, size = F.col("task"), F.lit(per_batch)
-    laid_out = sliced.withColumns({
-        "batch": F.floor(task / size).cast("int"), "task": (task % size).cast("int")})
+    sliced, tasks = dense_slices(rows, task_bytes)
+    tasks = max(tasks, 1)
+    steps = min(batches, tasks)
+    # Steps of equal size: step b begins with task ceil(b * tasks / steps).
+    batch = F.floor(F.col("task") * steps / tasks).cast("long")
+    laid_out = sliced.withColumn("batch", batch).withColumns({
+        "batch": F.col("batch").cast("int"),
+        "task": (F.col("task") - F.ceil(F.col("batch") * tasks / steps)).cast("int")})
+    per_batch = -(-tasks // steps)
     return _stored(laid_out, path, "batch"), per_batch
 
 
@@ -122,7 +124,8 @@ def _copy_in_batches(
     copies: DataFrame, tasks: int, options: SyncOptions, store: str, folder: str, sync_id: str,
     source_root: str, target_root: str, progress: Callable[[dict], None] | None,
 ) -> DataFrame:
-    path = f"{folder}/results"
+    # A folder per attempt: a rerun under one id never counts the rows of an earlier one.
+    path = f"{folder}/results/attempt={uuid.uuid4().hex}"
     last, total = copies.agg(F.max("batch"), F.count("*")).first()
     so_far = dict.fromkeys(("processed", "uploaded", "skipped", "failed"), 0)
     for batch in range((last or 0) + 1):
@@ -201,7 +204,7 @@ def run_validation(
     digests = {}
     if options.check_content and source_root and target_root:
         open_cases = undecided_bodies(source, source_heads, target_heads, options)
-        to_read = _stored(byte_slices(open_cases, task_bytes), f"{folder}/to_read")
+        to_read = _stored(dense_slices(open_cases, task_bytes)[0], f"{folder}/to_read")
         last = to_read.agg(F.max("task")).first()[0]
         spread = to_read.repartitionById((last or 0) + 1, F.col("task").cast("int"))
         digests = {

@@ -13,26 +13,32 @@ from ..plans.sync import PLAN_COLUMNS, sync_plan
 from ..schemas import INVENTORY
 
 
-def plan_batch(batch: DataFrame, target: DataFrame, options: SyncOptions) -> DataFrame:
+def plan_batch(
+    batch: DataFrame, target: DataFrame, options: SyncOptions, small_batch: bool = True
+) -> DataFrame:
     """Plan of one batch of the feed: the newest row of each key against the target."""
-    return sync_plan(batch, target, replace(options, repeated_keys=True), small_source=True)
+    return sync_plan(
+        batch, target, replace(options, repeated_keys=True), small_source=small_batch)
 
 
 def incremental_sync_stream(
     spark: SparkSession, feed: str, target: Callable[[], DataFrame], options: SyncOptions,
     plans: str, checkpoint: str, max_files_per_trigger: int | None = None,
+    small_batches: bool = True,
 ) -> StreamingQuery:
     """Starts a run over the files of ``feed`` no earlier run has seen, and ends after them.
 
     ``target`` is asked for the target inventory in every batch. The plan of a batch is
     written to ``plans/batch=<id>`` in overwrite mode, so a repeated batch replaces itself.
+    ``small_batches`` reduces the target by the keys of a batch first; for a first run over a
+    large backlog, say False.
     """
     reader = spark.readStream.schema(INVENTORY)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        plan_batch(batch, target(), options).select(*PLAN_COLUMNS).write.mode(
+        plan_batch(batch, target(), options, small_batches).select(*PLAN_COLUMNS).write.mode(
             "overwrite").parquet(f"{plans}/batch={batch_id}")
 
     return (
