@@ -18,8 +18,17 @@ def test_diff_reasons(inventory):
                        ("quoted", 1, '"q"'), ("bare", None, None))
     target = inventory(("same", 1, "x"), ("etag", 1, "y"), ("size", 2, "x"),
                        ("quoted", 1, "q"), ("bare", 0, ""))
+    # Nothing shows that the copy without ETag and time is up to date.
     assert _rows(joins.diff_join(source, target), "key", "reason") == [
-        ("etag", "etag"), ("new", "missing"), ("size", "size")]
+        ("bare", "time"), ("etag", "etag"), ("new", "missing"), ("size", "size")]
+
+
+def test_live_listings_compare_times(inventory):
+    source = inventory(("edited", 1, "", "2024-01-02"), ("copied", 1, "", "2024-01-01"),
+                       ("tagged", 1, "", "2024-01-02"))
+    target = inventory(("edited", 1, "", "2024-01-01"), ("copied", 1, "", "2024-01-02"),
+                       ("tagged", 1, "x", "2024-01-03"))
+    assert _rows(joins.diff_join(source, target), "key", "reason") == [("edited", "time")]
 
 
 def test_orphans(inventory):
