@@ -22,6 +22,8 @@ passed over.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .words import mix, pieces
 
 ORDER = 4
-SAMPLE_DOCS = 1_000
+SAMPLE_DOCS = 400
 DISCOUNT = 0.75
 MEMO_WORDS = 150_000
 LOT = 4096
@@ -123,8 +125,14 @@ def fit(texts: list[list[str]], languages: list[str]) -> Models:
     tables, weights = [], []
     grams = [[] for _ in range(ORDER)]
     contexts = [[] for _ in range(ORDER)]
+    times = []
     for k in range(count):
-        words = [w for t in texts[k] for w in t.split()]
+        # Every distinct word is taken apart once, and counts as often as it occurs.
+        often = Counter(w for t in texts[k] for w in t.split())
+        words = list(often)
+        times.append(np.repeat(
+            np.fromiter(often.values(), np.int64, len(words)),
+            np.fromiter(map(len, words), np.int64, len(words)) + 1))
         made, _ = _grams(words) if words else ([np.empty(0, np.uint64)] * ORDER, None)
         before = _contexts(words) if words else [np.empty(0, np.uint64)] * (ORDER - 1)
         for n in range(ORDER):
@@ -144,7 +152,8 @@ def fit(texts: list[list[str]], languages: list[str]) -> Models:
                 # Distinct (left context, n-gram): the distinct n-grams of the next order.
                 _, first = np.unique(grams[n + 1][k], return_index=True)
                 g, c = g[first], c[first]
-            mine, first, number = np.unique(g, return_index=True, return_counts=True)
+            mine, first, inverse = np.unique(g, return_index=True, return_inverse=True)
+            number = np.bincount(inverse, times[k] if top else None)
             head = np.searchsorted(heads, c[first])
             total = np.bincount(head, number, len(heads))
             kinds = np.bincount(head, minlength=len(heads))
