@@ -11,8 +11,8 @@ word only, so the log-probabilities of a word are worked out once and kept in a
 Rejection is calibrated on the training sample: per language the cross-entropy that one in a
 thousand of its texts exceeds; a text beyond that is marked ``rejected``, its best language kept.
 
-The models are fitted on at most ``sample_docs`` texts per language, those with the smallest hash;
-all texts are scored whole.
+The models are fitted on at most ``sample_docs`` texts per language, those with the smallest hash
+of text and id; all texts are scored whole.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. Ties go to the
 language first in code-point order. Texts without a language, or with a null id, teach nothing.
@@ -178,10 +178,18 @@ def identify(
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(text).alias("text"),
         F.col(language).alias("lang"), F.coalesce(trains, F.lit(False)).alias("trains"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    taught = rows.filter("trains and lang is not null and text is not null and id is not null")
+    counts = taught.groupBy("lang").agg(F.count("*").alias("n"))
+    # Hashes are even, so about eight times the sample lies below the limit and only that is
+    # sorted; where a language has fewer texts, all do. One row per language is sent along, and
+    # the models hold every language anyway.
+    place = F.shiftrightunsigned(F.xxhash64("text", "id"), 1)
+    below = F.col("place") < F.col("n").cast("double") ** -1 * (8.0 * sample_docs * 2.0 ** 63)
+    order = Window.partitionBy("lang").orderBy("place", "text")
     sample = (
-        rows.filter("trains and lang is not null and text is not null and id is not null")
-        .select("lang", "text").withColumn("nth", F.row_number().over(order))
+        taught.select("lang", "text", place.alias("place"))
+        .join(F.broadcast(counts), "lang").filter(below)
+        .withColumn("nth", F.row_number().over(order))
         .filter(F.col("nth") <= sample_docs).select("lang", "text").toArrow()
     )
     languages = sorted(set(sample.column("lang").to_pylist()))
