@@ -49,7 +49,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
 def source_mixing(docs: DataFrame) -> DataFrame:
     """The mix: documents as often as taken, with the last one of a source cut to fit."""
-    return _counted(mixing.realised(mixing.mix(docs), docs.columns))
+    # Own names, so that columns of ``docs`` may be called like those that mixing adds.
+    of = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+    plain = docs.toDF(*of.values())
+    mixed = mixing.mix(plain, id_column=of["doc_id"], text=of["text"], source=of["source"])
+    return _counted(mixing.realised(mixed, plain.columns, of["text"]).toDF(*of))
 
 
 def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
