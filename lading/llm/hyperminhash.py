@@ -1,8 +1,8 @@
 """Near-duplicate documents by HyperMinHash sketches, banding and verification on full sets.
 
 A document is the set of its distinct word shingles (A-Z lower-cased), as 64-bit hashes. Its
-sketch has 256 registers: the smallest hash of a bucket, kept as its count of leading zeros and
-ten bits of mantissa. Steps, all of them distributed:
+sketch has 256 registers, and 1,024 for the blocks of step 4: the smallest hash of a bucket, kept
+as its count of leading zeros and ten bits of mantissa. Steps, all of them distributed:
 
 1. equal sets are one class, of which only the smallest id goes on;
 2. bands of five registers (empty ones borrow from others along fixed permutations) give buckets;
@@ -39,13 +39,13 @@ from .joins import join_hot, sized
 from .words import Hashes, mix, pieces
 
 BUCKET_BITS = 8
+FINE_BITS = 10
+FINE = 1 << FINE_BITS
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 BAND_ROWS = 5
 BANDS = BUCKETS // BAND_ROWS
 BLOCK = 512
-_LOW = np.uint64((1 << (64 - BUCKET_BITS)) - 1)
-_EDGES = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
 _ORDERS = np.random.default_rng(1).permuted(
     np.tile(np.arange(BUCKETS), (BUCKETS, 1)), axis=1
 )
@@ -63,13 +63,15 @@ def shingle_set(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(windows)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """256 registers of 16 bits: leading zeros and mantissa of a bucket's smallest hash, 0: empty."""
-    at = np.searchsorted(shingles, _EDGES)
+def sketch(shingles: np.ndarray, bits: int = BUCKET_BITS) -> np.ndarray:
+    """Registers of 16 bits: leading zeros and mantissa of a bucket's smallest hash, 0: empty."""
+    buckets, rest = np.arange(1 << bits, dtype=np.uint64), np.uint64(64 - bits)
+    at = np.searchsorted(shingles, buckets << rest)
     first = shingles[np.minimum(at, len(shingles) - 1)]
-    held = (at < len(shingles)) & (first >> np.uint64(64 - BUCKET_BITS) == np.arange(BUCKETS, dtype=np.uint64))
-    fraction, exponent = np.frexp((first & _LOW).astype(np.float64))
-    zeros = np.clip(64 - BUCKET_BITS - exponent, 0, 57)
+    held = (at < len(shingles)) & (first >> rest == buckets)
+    low = first & np.uint64((1 << (64 - bits)) - 1)
+    fraction, exponent = np.frexp(low.astype(np.float64))
+    zeros = np.clip(64 - bits - exponent, 0, 57)
     mantissa = np.clip((fraction * 2 - 1) * (1 << MANTISSA_BITS), 0, (1 << MANTISSA_BITS) - 1)
     value = (zeros << MANTISSA_BITS) + mantissa.astype(np.int64) + 1
     return np.where(held, value, 0).astype(np.uint16)
@@ -92,7 +94,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     used = ((a != 0) | (b != 0)).sum(axis=1)
     same = ((a == b) & (a != 0)).sum(axis=1)
     ratio = np.maximum(n, m) / np.maximum(np.minimum(n, m), 1)
-    chance = 0.1699 * 2.0 ** (BUCKET_BITS - MANTISSA_BITS) * 4 * ratio / (1 + ratio) ** 2
+    chance = 0.1699 * a.shape[1] * 2.0 ** -MANTISSA_BITS * 4 * ratio / (1 + ratio) ** 2
     return np.maximum(same - chance, 0) / np.maximum(used, 1), used
 
 
@@ -124,7 +126,7 @@ def _sets(batches, width: int):
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(id, n, digest, registers) of every document; the digest names its whole set."""
+    """(id, n, digest, registers, fine) of every document; the digest names its whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, sets in _sets(batches, width):
             yield pa.RecordBatch.from_arrays([
@@ -133,11 +135,13 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 pa.array([
                     hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
                     for s in sets], pa.binary()),
-                pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-            ], ["id", "n", "digest", "registers"])
+                *(pa.array(
+                    [sketch(s, bits).tobytes() if len(s) else None for s in sets], pa.binary())
+                  for bits in (BUCKET_BITS, FINE_BITS)),
+            ], ["id", "n", "digest", "registers", "fine"])
 
     return docs.select("id", "text").mapInArrow(
-        run, "id long, n long, digest binary, registers binary"
+        run, "id long, n long, digest binary, registers binary, fine binary"
     )
 
 
@@ -156,6 +160,13 @@ def _bands(representatives: DataFrame) -> DataFrame:
     return representatives.select("id", "registers").mapInArrow(run, "band long, id long")
 
 
+def _slices(batches, rows: int = 1000):
+    """Smaller pieces of Arrow batches, so that what is made of one stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _screened(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """The pairs that their sketches leave possible."""
     def side(name):
@@ -164,7 +175,7 @@ def _screened(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataF
             F.col("registers").alias(f"r_{name}"))
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             if batch.num_rows:
                 a, b = (
                     np.frombuffer(b"".join(batch.column(f"r_{s}").to_pylist()), np.uint16)
@@ -194,7 +205,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity: float)
     hundredths = round(similarity * 100)
 
     def check(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             if batch.num_rows:
                 keep = []
                 for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
@@ -215,7 +226,7 @@ def _open_pairs(
 ) -> DataFrame:
     """Possible pairs between different components inside one bucket, block by block.
 
-    ``members`` are (band, id). The largest component of a bucket is never compared with itself.
+    ``members`` are (band, id), ``sketches`` (id, n, fine). The largest component of a bucket is never compared with itself.
     """
     labelled = members.join(labels, "id", "left").select(
         "band", "id", F.coalesce("component", "id").alias("component"))
@@ -232,9 +243,11 @@ def _open_pairs(
         "b.band", "b.main",
         F.ceil(F.col("all") / BLOCK).cast("int").alias("cols"),
         F.ceil(F.col("others") / BLOCK).cast("int").alias("rows"))
-    held = stored(labelled.join(open_buckets, "band"), "open").join(sketches, "id")
+    held = stored(labelled.join(open_buckets, "band"), "open")
+    ids = sized(stored(held.select("id").distinct(), "ids"))
+    held = held.join(sketches.join(ids, "id", "left_semi"), "id")
     block = F.xxhash64("id").bitwiseAND(F.lit((1 << 40) - 1))
-    keep = ("band", "id", "component", "n", "registers")
+    keep = ("band", "id", "component", "n", "fine")
     left = held.filter("component <> main").select(
         *keep, F.lit(True).alias("outer"), (block % F.col("rows")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"))
@@ -247,13 +260,13 @@ def _open_pairs(
         outer = group.column("outer").to_numpy()
         ids, comp, n = (group.column(c).to_numpy() for c in ("id", "component", "n"))
         regs = np.frombuffer(
-            b"".join(group.column("registers").to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            b"".join(group.column("fine").to_pylist()), np.uint16).reshape(-1, FINE)
         found = []
         inner = np.flatnonzero(~outer)
         for k in np.flatnonzero(outer):
             other = inner[comp[inner] != comp[k]]
             if len(other):
-                mine = np.broadcast_to(regs[k], (len(other), BUCKETS))
+                mine = np.broadcast_to(regs[k], (len(other), FINE))
                 hit = other[_plausible(mine, regs[other], n[k], n[other], similarity)]
                 found += [(min(ids[k], ids[o]), max(ids[k], ids[o])) for o in hit]
         found = sorted(set(found))
@@ -265,13 +278,22 @@ def _open_pairs(
         compare, "a long, b long").distinct()
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def _one_each(pairs: DataFrame) -> DataFrame:
+    """One pair between every two components: the one of its smallest ids."""
+    return pairs.groupBy(F.least("c_a", "c_b"), F.greatest("c_a", "c_b")).agg(
+        F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame, named_too: bool = False) -> DataFrame:
     """The pairs (a, b) that are not yet in one component."""
     def named(side):
         return labels.select(F.col("id").alias(side), F.col("component").alias(f"c_{side}"))
 
     return pairs.join(named("b"), "b", "left").join(named("a"), "a", "left").filter(
-        F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+        F.coalesce("c_a", "a") != F.coalesce("c_b", "b")
+    ).select("a", "b", *(
+        [F.coalesce("c_a", "a").alias("c_a"), F.coalesce("c_b", "b").alias("c_b")]
+        if named_too else []))
 
 
 def near_duplicates(
@@ -286,6 +308,7 @@ def near_duplicates(
         .agg(F.min("id").alias("lead"), F.count("*").alias("size")), "classes")
     heads = signed.join(classes, (signed.id == classes.lead) & (signed.digest == classes.digest))
     sketches = stored(heads.select(signed.id, "n", "registers").distinct(), "sketches")
+    fine = heads.select(signed.id, "n", "fine")
 
     bands = _bands(sketches)
     buckets = bands.groupBy("band").agg(
@@ -296,16 +319,21 @@ def near_duplicates(
         members.filter("id <> a").select("a", F.col("id").alias("b")).distinct(), "stars")
     links = None
     # First every member with its smallest leader; then, between what are still different
-    # components, with its other leaders; then with the other members of its buckets.
-    for step in ("first", "stars", "blocks"):
+    # components, with its other leaders; then with the other members of its buckets. Of the
+    # pairs between two components one is tried before the others, which are then often settled.
+    for step in ("first", "best star", "stars", "best", "blocks"):
         if step == "first":
             pairs = _screened(stars.groupBy("b").agg(F.min("a").alias("a")), sketches, similarity)
-        elif step == "stars":
-            pairs = _screened(_apart(stars, labels), sketches, similarity)
+        elif step == "best star":
+            held = stored(_screened(_apart(stars, labels), sketches, similarity), "held")
+            pairs = _one_each(_apart(held, labels, True))
+        elif step == "best":
+            held = stored(_open_pairs(
+                members.filter("size > 2").select("band", "id"), labels, fine, similarity
+            ).join(stars, ["a", "b"], "left_anti"), "held")
+            pairs = _one_each(_apart(held, labels, True))
         else:
-            pairs = _open_pairs(
-                members.filter("size > 2").select("band", "id"), labels, sketches, similarity
-            ).join(stars, ["a", "b"], "left_anti")
+            pairs = _apart(held, labels)
         pairs = stored(pairs, "pairs")
         if links is None or not pairs.isEmpty():
             found = _confirmed(pairs, docs, width, similarity)

@@ -13,8 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-PIECE_BYTES = 4 << 20
-MEMO_WORDS = 1 << 18
+PIECE_BYTES = 1 << 20
+MEMO_WORDS = 1 << 17
 
 
 class Hashes(dict):
