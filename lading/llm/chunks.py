@@ -4,9 +4,15 @@ The gear hash of a word position is the shifted sum of the hashes of the last tw
 position's value depends on nothing before them. A chunk ends where that value is the strict
 minimum among the three positions on either side: boundaries follow the content alone, insertions
 move them no further than a few words, and no chunk (but the first and last of a text) has fewer than four
-words, about seven on average. Chunks are compared by a 64-bit digest of their words (blanks do
-not count); the first one, by document id and place, stays. Runs of later chunks with at least
-``least_words`` words in all are repeats; shorter ones are everyday phrases and stay.
+words, about seven on average.
+
+What is compared are windows, the shortest stretches of adjacent chunks with at least
+``least_words`` words: from every chunk onwards, and up to every chunk where that is another
+stretch. So all stretches of that length or longer are covered by their own windows. Windows meet
+by a 64-bit digest of all their words (blanks do not count); the first one, by document id and
+place, stays, and a later one is a repeat of a passage that stands there as a whole. Chunks that
+were each seen somewhere, but not side by side, are everyday phrases and stay. Windows that
+overlap form one run.
 
 A repeated passage of more than 50 words holds whole chunks with 20 words or more in all but about
 one case in a thousand (of 51 random words; longer ones are surer). The words at its two rims, up
@@ -63,6 +69,28 @@ def digests(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(mix(hashes ^ weight) * weight, starts))
 
 
+def windows(starts: np.ndarray, n: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shortest stretches of chunks with ``least_words`` words: first chunk, and chunk after the last."""
+    limits = np.append(starts, n)
+    chunk = np.arange(len(starts))
+    after = np.searchsorted(limits, starts + least_words)
+    onwards = after < len(limits)
+    begin = np.searchsorted(limits, limits[1:] - least_words, "right") - 1
+    other = (begin >= 0) & (after[begin] != chunk + 1)
+    return (np.concatenate([chunk[onwards], begin[other]]),
+            np.concatenate([after[onwards], chunk[other] + 1]))
+
+
+def window_digests(chunks: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """One digest per window, of its chunks' digests in their order."""
+    total = np.zeros(len(first), np.uint64)
+    for k in range(int((after - first).max(initial=0))):
+        weight = mix(np.array([k + 1], np.uint64)) | np.uint64(1)
+        inside = first + k < after
+        total[inside] += mix(chunks[first[inside] + k] ^ weight) * weight
+    return mix(total)
+
+
 def _chunked(batches):
     memo = Hashes()
     for piece, texts in pieces(batches):
@@ -73,27 +101,32 @@ def _chunked(batches):
             hashes[end - len(words):end] for end, words in zip(ends, split)]
 
 
-def chunk_table(docs: DataFrame) -> DataFrame:
-    """(id, row, place, words, digest) of every chunk. ``docs`` has ``id``, ``row`` and ``text``."""
+def window_table(docs: DataFrame, least_words: int) -> DataFrame:
+    """(id, row, place, last, begin, end, digest) of every window: its first and last chunk, and
+    its words from ``begin`` up to ``end``. ``docs`` has ``id``, ``row`` and ``text``."""
     def run(batches):
         for piece, _, _, hashed in _chunked(batches):
-            starts = [chunk_starts(h) for h in hashed]
-            counts = np.array([len(s) for s in starts], np.int64)
-            if not counts.sum():
+            rows, columns = [], []
+            for k, h in enumerate(hashed):
+                if len(h) < least_words:
+                    continue
+                starts = chunk_starts(h)
+                limits = np.append(starts, len(h))
+                first, after = windows(starts, len(h), least_words)
+                rows.append(np.full(len(first), k))
+                columns.append((first, after - 1, limits[first], limits[after],
+                                window_digests(digests(h, starts), first, after)))
+            if not rows:
                 continue
-            rows = np.repeat(np.arange(len(starts)), counts)
+            at = pa.array(np.concatenate(rows))
+            *places, found = (np.concatenate(c) for c in zip(*columns))
             yield pa.RecordBatch.from_arrays([
-                piece.column(0).take(pa.array(rows)), piece.column(1).take(pa.array(rows)),
-                pa.array(np.concatenate([np.arange(c) for c in counts]).astype(np.int32)),
-                pa.array(np.concatenate([
-                    np.diff(np.append(s, len(h))) for s, h in zip(starts, hashed)
-                ]).astype(np.int32)),
-                pa.array(np.concatenate([
-                    digests(h, s) for s, h in zip(starts, hashed) if len(h)]).view(np.int64)),
-            ], ["id", "row", "place", "words", "digest"])
+                piece.column(0).take(at), piece.column(1).take(at),
+                *(pa.array(p.astype(np.int32)) for p in places), pa.array(found.view(np.int64)),
+            ], ["id", "row", "place", "last", "begin", "end", "digest"])
 
     return docs.select("id", "row", "text").mapInArrow(
-        run, "id long, row long, place int, words int, digest long")
+        run, "id long, row long, place int, last int, begin int, end int, digest long")
 
 
 def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -107,28 +140,31 @@ def repeated_runs(
 ) -> DataFrame:
     """Runs of chunks that occur earlier: (id, row, first_place, last_place, words, first_id).
 
-    ``first_id`` is the document that keeps the first chunk of the run.
+    ``first_id`` is the document that keeps the first window of the run.
     """
-    chunks = stored(chunk_table(_keyed(docs, id_column, text)), "chunks")
+    table = stored(window_table(_keyed(docs, id_column, text), least_words), "windows")
     first = F.min(F.struct("id", "row", "place"))
-    repeated = chunks.groupBy("digest").agg(
-        first.alias("first"), F.max(F.struct("id", "row", "place")).alias("last"),
+    repeated = table.groupBy("digest").agg(
+        first.alias("first"), F.max(F.struct("id", "row", "place")).alias("final"),
         F.count("*").alias("size"),
-    ).filter("size > 1 and first < last").drop("last")
+    ).filter("size > 1 and first < final").drop("final")
     found = join_hot(
-        chunks, stored(repeated, "repeated"), "digest", "size"
+        table, stored(repeated, "repeated"), "digest", "size"
     ).filter(F.struct("id", "row", "place") > F.col("first")).select(
-        "id", "row", "place", "words", F.col("first.id").alias("first_id"))
-    # One exchange by document serves the removal of repeated rows, the window and the runs.
-    found = found.repartition("id", "row").groupBy("id", "row", "place").agg(
-        F.first("words").alias("words"), F.first("first_id").alias("first_id"))
-    one = Window.partitionBy("id", "row").orderBy("place")
+        "id", "row", "place", "last", "begin", "end", F.col("first.id").alias("first_id"))
+    # One exchange by document serves the removal of repeated rows, the windows and the runs.
+    found = found.repartition("id", "row").groupBy("id", "row", "place", "last").agg(
+        *(F.first(c).alias(c) for c in ("begin", "end", "first_id")))
+    one = Window.partitionBy("id", "row").orderBy("place", "last")
+    before = F.max("last").over(one.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("place") > before, F.lit(True)).cast("int")
     return (
-        found.withColumn("island", F.col("place") - F.row_number().over(one))
+        found.withColumn("apart", apart).withColumn("island", F.sum("apart").over(one))
         .groupBy("id", "row", "island")
-        .agg(F.min("place").alias("first_place"), F.max("place").alias("last_place"),
-             F.sum("words").alias("words"), F.min_by("first_id", "place").alias("first_id"))
-        .filter(F.col("words") >= least_words).drop("island")
+        .agg(F.min("place").alias("first_place"), F.max("last").alias("last_place"),
+             (F.max("end") - F.min("begin")).alias("words"),
+             F.min_by("first_id", F.struct("place", "last")).alias("first_id"))
+        .drop("island")
     )
 
 

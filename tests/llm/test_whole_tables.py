@@ -13,6 +13,7 @@ import pytest
 
 from lading.llm import chunks, ledger, templates
 from lading.llm.queries import ORACLES, QUERIES, tokenizer_path
+from lading.llm.words import Hashes
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
@@ -150,6 +151,30 @@ def test_repeated_passages(spark):
         assert not x & y
 
 
+def test_phrases_seen_apart_are_no_passage(spark):
+    words = [f"w{k}" for k in range(60)]
+    starts = chunks.chunk_starts(Hashes().of([w.encode() for w in words])).tolist()
+    # Each chunk also stands in a short document of its own, between rims that keep its limits.
+    texts = [" ".join(words[max(0, a - 5):b + 3]) for a, b in zip(starts, starts[1:])]
+    texts = [t for t in texts if len(t.split()) < chunks.LEAST_WORDS] + [" ".join(words)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert chunks.repeated_runs(table).collect() == []
+    assert sorted(r.text for r in chunks.substring_dedup(table).collect()) == sorted(texts)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_windows_cover_all_long_stretches(seed):
+    rng = np.random.default_rng(seed)
+    limits = np.concatenate([[0], np.cumsum(rng.integers(1, 12, rng.integers(1, 20)))])
+    first, after = chunks.windows(limits[:-1], limits[-1], 20)
+    found = set(zip(first.tolist(), after.tolist()))
+    assert len(found) == len(first)
+    for a in range(len(limits)):
+        for b in range(a + 1, len(limits)):
+            covered = set().union(*(range(x, y) for x, y in found if a <= x and y <= b))
+            assert covered == (set(range(a, b)) if limits[b] - limits[a] >= 20 else set())
+
+
 def test_urls(spark):
     rows = _run(spark, "op9_url_templates")
     urls = {r.page_id: r.url or "" for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
