@@ -4,7 +4,13 @@ The gear hash of a word position is the shifted sum of the hashes of the last tw
 position's value depends on nothing before them. A chunk ends where that value is the strict
 minimum among the three positions on either side: boundaries follow the content alone, insertions
 move them no further than a few words, and no chunk (but the first and last of a text) has fewer than four
-words, about seven on average.
+words, about seven on average. Where values tie, longer sums of eight words decide.
+
+They still tie where a period of one to three words goes on for longer than that. Such a stretch
+breaks every twelve words, from the first place on where the least rotation of its period begins:
+stretches of one period have the same chunks, however long they are and whatever surrounds them.
+Next to them chunks may be shorter than four words. No chunk has more than ``LONGEST`` words;
+what could be longer (values that fall all the way) breaks after that many.
 
 What is compared are windows, the shortest stretches of adjacent chunks with at least
 ``least_words`` words: from every chunk onwards, and up to every chunk where that is another
@@ -38,28 +44,68 @@ from .joins import join_hot
 from .words import Hashes, mix, pieces
 
 GEAR_WORDS = 2
+TIE_WORDS = 8
 REACH = 3
+PERIODIC_WORDS = 12
+LONGEST = 64
 LEAST_WORDS = 20
 
 
-def gear(hashes: np.ndarray) -> np.ndarray:
+def gear(hashes: np.ndarray, words: int = GEAR_WORDS) -> np.ndarray:
     """Rolling hash at every word of the last few words."""
     rolled = hashes.copy()
-    for k in range(1, GEAR_WORDS):
+    for k in range(1, words):
         rolled[k:] += hashes[:-k] << np.uint64(k)
     return mix(rolled)
 
 
+def _periodic_breaks(hashes: np.ndarray):
+    """Word positions at which chunks begin in every long stretch of a period of up to REACH words."""
+    for period in range(1, REACH + 1):
+        same = hashes[period:] == hashes[:-period]
+        if np.count_nonzero(same) < TIE_WORDS:
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).view(np.int8)))
+        for begin, end in edges.reshape(-1, 2)[np.diff(edges)[::2] >= TIE_WORDS].tolist():
+            unit = hashes[begin:begin + period].tolist()
+            if period > 1 and len(set(unit)) == 1:
+                continue
+            turn = min(range(period), key=lambda k: unit[k:] + unit[:k])
+            yield np.arange(begin + turn, end + period + 1, PERIODIC_WORDS)
+
+
 def chunk_starts(hashes: np.ndarray) -> np.ndarray:
     """Word positions at which chunks begin, the first being 0."""
     n = len(hashes)
+    if not n:
+        return np.empty(0, np.int64)
     rolled = gear(hashes)
-    low = np.ones(n, bool)
+    low, tied = np.ones(n, bool), np.zeros(n, bool)
     for k in range(1, REACH + 1):
-        low[k:] &= rolled[k:] < rolled[:-k]
-        low[:-k] &= rolled[:-k] < rolled[k:]
+        low[k:] &= rolled[k:] <= rolled[:-k]
+        low[:-k] &= rolled[:-k] <= rolled[k:]
+        same = rolled[k:] == rolled[:-k]
+        tied[k:] |= same
+        tied[:-k] |= same
+    if (low & tied).any():
+        longer = gear(hashes, TIE_WORDS)
+        for k in range(1, REACH + 1):
+            differ = rolled[k:] != rolled[:-k]
+            low[k:] &= differ | (longer[k:] < longer[:-k])
+            low[:-k] &= differ | (longer[:-k] < longer[k:])
     low[-1:] = False
-    return np.concatenate([[0], np.flatnonzero(low) + 1]) if n else np.empty(0, np.int64)
+    begins = np.zeros(n + 1, bool)
+    begins[1:] = low
+    for breaks in _periodic_breaks(hashes):
+        begins[breaks[0]:breaks[-1]] = False
+        begins[breaks] = True
+    begins[0], begins[n] = True, False
+    starts = np.flatnonzero(begins)
+    lengths = np.diff(np.append(starts, n))
+    if lengths.max() <= LONGEST:
+        return starts
+    return np.concatenate([
+        np.arange(s, s + length, LONGEST) for s, length in zip(starts, lengths)])
 
 
 def digests(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:

@@ -162,6 +162,38 @@ def test_phrases_seen_apart_are_no_passage(spark):
     assert sorted(r.text for r in chunks.substring_dedup(table).collect()) == sorted(texts)
 
 
+def test_repeated_words_are_passages(spark):
+    units = ["ha", "na bo", "la di da", "a a b", "to to to to the", "x x x y x x x x z"]
+    texts = []
+    for k, unit in enumerate(units):
+        for lead, times in ((0, 300), (9, 200), (25, 251)):
+            clean = [f"c{k}n{lead}x{j}" for j in range(40)]
+            # Shifted, so that the period does not begin alike in every text.
+            passage = (unit.split() * times)[lead % 4:]
+            texts.append(" ".join(clean[:lead] + passage + clean[lead:]))
+    for text in texts:
+        starts = chunks.chunk_starts(Hashes().of(text.encode().split()))
+        assert np.diff(np.append(starts, len(text.split()))).max() <= chunks.LONGEST
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id: r.text.split() for r in chunks.substring_dedup(table).collect()}
+    seen = collections.Counter(
+        w for t in kept.values() for w in {tuple(t[k:k + 51]) for k in range(len(t) - 50)})
+    assert set(seen.values()) <= {1}
+    for i, words in kept.items():
+        assert [w for w in words if w[:1] == "c"] == [w for w in texts[i].split() if w[:1] == "c"]
+
+
+def test_falling_values_break():
+    order = np.arange(2000, dtype=np.uint64)
+    falling = order[np.argsort(chunks.mix(order))[::-1]]
+    old, chunks.gear = chunks.gear, lambda hashes, words=2: chunks.mix(hashes)
+    try:
+        starts = chunks.chunk_starts(falling)
+    finally:
+        chunks.gear = old
+    assert np.diff(np.append(starts, 2000)).max() <= chunks.LONGEST
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_windows_cover_all_long_stretches(seed):
     rng = np.random.default_rng(seed)
