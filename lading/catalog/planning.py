@@ -95,6 +95,16 @@ def content_md5_join(spark, sf):
     )
 
 
+@query("content_md5_join_whole", using("docs") + """
+select key, md5(text) as source_md5,
+       md5(case when doc_id % 7 = 0 then text || '#' else text end) as target_md5,
+       doc_id % 7 <> 0 as match
+from docs where doc_id % 10 <> 3""")
+def content_md5_join_whole(spark, sf):
+    return joins.content_md5_join(
+        content_digest(fx.bodies(spark, sf)), content_digest(fx.bodies(spark, sf, target=True)))
+
+
 _PLAN_SQL = """
 select key, rel_key, 'mirror/' || rel_key as target_key, size, action,
        case when action = 'copy' then why end as reason from plan"""

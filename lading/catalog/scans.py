@@ -137,6 +137,12 @@ def content_scan(spark, sf):
     return bodies.content_digest(fx.bodies(spark, sf), 20000)
 
 
+@query("content_scan_whole", using("docs") + """
+select key, strlen(text) as length, md5(text) as md5 from docs""")
+def content_scan_whole(spark, sf):
+    return bodies.content_digest(fx.bodies(spark, sf))
+
+
 @query("acl_scan", using("acls") + """
 , listed as (
   select *, unnest(case when c_custkey % 5 = 0 then [0] else [1, 2] end) as n from acls)

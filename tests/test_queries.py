@@ -72,6 +72,16 @@ def test_known_counts(spark):
     assert run("inventory_latest").count() == 750
 
 
+@pytest.mark.skipif(not os.path.isdir(COUNTED_DIR), reason="test tables are not here")
+def test_whole_forms_read_long_bodies(spark):
+    queries = entry_point.queries()
+    long = spark.read.parquet(f"{COUNTED_DIR}/documents.parquet").filter("octet_length(text) > 20000")
+    scanned = queries["content_scan_whole"](spark, COUNTED_DIR).filter("length > 20000")
+    assert scanned.count() == long.count() > 0
+    whole = queries["content_md5_join_whole"](spark, COUNTED_DIR)
+    assert whole.count() > queries["content_md5_join"](spark, COUNTED_DIR).count()
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
