@@ -5,10 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,15 +54,27 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = new_run_dir(spark, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    read = spark.read.schema(frame.schema).parquet(path)
+    _paths[read] = path
+    return read
+
+
+def discard(frame: DataFrame) -> None:
+    """Removes what ``stored`` wrote for ``frame``, which nothing may read any more."""
+    path = _paths.pop(frame, None)
+    if path is not None:
+        _remove(frame.sparkSession, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _remove_made() -> None:
     while _made:
-        spark, path = _made.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(folder, True)
+            _remove(*_made.pop())
         except Exception:  # the JVM may have gone first; the folder then stays
             return
