@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import stored
-from . import bpe, chunks, hyperminhash, kneser_ney, ledger, mixing, mixture, neighbours, quality, templates
+from ..session import new_run_dir, stored
+from . import (
+    bpe, chunks, clusters, divergence, hyperminhash, kneser_ney, ledger, mixing, mixture, neighbours,
+    quality, templates, token_files,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +165,104 @@ URL_RULES = (
 @query("op9_url_templates")
 def op9_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+END_ID = 2
+
+
+@query("op11_token_files")
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_run_dir(spark, "tokens")
+    token_files.write_tokens(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), folder, tokenizer_path(), END_ID)
+    return token_files.read_tokens(spark, folder)
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Lloyd's rounds in SQL: ``a<r>`` assigns, ``c<r + 1>`` are the centroids after it."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""
+a{r} as materialized (
+  select r, vec_id, v, least_key % 8 as cluster, least_key // 8 as distance from (
+    select k.r, any_value(k.vec_id) as vec_id, any_value(k.v) as v,
+           min(8 * list_sum([(z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(k.v, c.v)])::bigint
+               + c.cluster) as least_key
+    from kept k cross join c{r} c group by k.r))""")
+        if r < rounds:
+            out.append(f"""
+s{r} as (
+  select cluster, i, sum(x) as s, count(*) as n
+  from (select cluster, unnest(v) as x, unnest(range(1, 65)) as i from a{r}) group by cluster, i),
+m{r} as (
+  select cluster, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as v from s{r} group by cluster),
+c{r + 1} as materialized (
+  select c.cluster, coalesce(m.v, c.v) as v from c{r} c left join m{r} m using (cluster))""")
+    return ",".join(out)
+
+
+@query("op12_shallot_clusters", rf"""
+with kept as materialized (
+  select row_number() over () as r, vec_id,
+         [floor(1024 * x::double)::bigint for x in embedding] as v
+  from embeddings
+  where len(embedding) = 64
+    and len([x for x in embedding if x is not null and isfinite(x)]) = 64),
+c0 as materialized (
+  select row_number() over (order by h, v) - 1 as cluster, v
+  from (select sha256('3:' || vec_id) as h, v from kept order by h, v limit 8)),
+{_rounds_sql(10).strip()},
+t as (select cluster, sum(distance) as s from a10 group by cluster)
+select vec_id, cluster::integer as cluster, distance::bigint as distance,
+       t.s::bigint as cluster_inertia, (select sum(distance) from a10)::bigint as inertia,
+       sha256(array_to_string(c.v, ',')) as centroid_sha256
+from a10 join t using (cluster) join c10 c using (cluster)""")
+def op12_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_source_divergence", r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         coalesce(text, '') as text
+  from documents),
+w as (
+  select r, lang, source,
+         translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+  from d),
+kept as (select lang, term from w group by lang, term having count(distinct r) >= 10),
+v as (select lang, count(*) as v from kept group by lang),
+g as (select distinct lang, source from d),
+n as (select lang, source, term, count(*) as n from w semi join kept using (lang, term) group by all),
+grid as (
+  select g.lang, g.source, k.term, coalesce(n.n, 0) as n
+  from g join kept k using (lang) left join n using (lang, source, term)),
+p as (
+  select lang, source, term, n,
+         (1 + (1000000000::hugeint * (n + 2))
+              // (sum(n) over (partition by lang, source) + 2 * v))::bigint as p
+  from grid join v using (lang)),
+l as (
+  select lang, term,
+         (1 + (1000000000::hugeint * (n + 2)) // (sum(n) over (partition by lang) + 2 * v))::bigint as q
+  from (select lang, term, sum(n) as n from grid group by lang, term) join v using (lang)),
+pairs as (
+  select a.lang, a.source, b.source as item,
+         coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join p x on x.lang = a.lang and x.source = a.source
+    left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by a.lang, a.source, b.source),
+terms as (
+  select p.lang, p.source, p.term as item,
+         (((p.p - l.q) * (p.p - l.q)) // (p.p + l.q))::bigint as value
+  from p join l using (lang, term) where p.n > 0 and p.p > l.q),
+ranked as (
+  select lang, source, 'pair' as part, item, value from pairs
+  union all select lang, source, 'term', item, value from terms)
+select lang, source, part, item, value,
+       (row_number() over (partition by lang, source, part order by value desc, encode(item)))::integer as rank
+from ranked qualify part = 'pair' or rank <= 10""")
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
