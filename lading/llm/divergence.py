@@ -5,18 +5,20 @@ characters beyond ASCII inside a chunk, with A-Z lower-cased. Blanks end terms,
 are those of its chunks. Steps:
 
 1. every document's chunks are counted; a task adds up the documents and occurrences of a chunk per
-   (language, source) before anything is shuffled, and also notes which documents they were while
-   these are fewer than ``least_docs``;
-2. every distinct chunk of the whole table is tokenized once;
-3. its terms are joined back: occurrences add up. Documents do not, where one holds a term in two
-   chunks, but the largest and the summed count of a term's chunks bound them. Only terms with
-   ``least_docs`` between the two need the documents noted in step 1, and of those each chunk has
-   fewer than ``least_docs``, so all of them were noted;
+   language and source, and gives one row for each chunk of a language, with those counts in arrays;
+2. the rows meet by chunk, once. Their counts are added up, every distinct chunk of the whole table
+   is tokenized, and its terms join the counts, all where the chunk is;
+3. occurrences of a term add up over its chunks. Documents do not, where one holds a term in two
+   chunks, but the largest and the summed count of a term's chunks bound them. Only for terms with
+   ``least_docs`` between the two are documents looked up again: a second pass over the texts gives
+   the chunks of those terms, found by a Bloom filter of at most ``FILTER_BITS`` and then by a
+   join, and counts each document once;
 4. shares of kept terms are compared, groups of a language with each other in blocks of terms, as
    matrices of terms and sources, so that no row is made for a pair at a term.
 
 All arithmetic is in integers. A share is 1 + floor(scale * (count + 2) / (N + 2 * V)), a divergence
-floor((p - q)^2 / (p + q)), summed over all kept terms of the language.
+floor((p - q)^2 / (p + q)), summed over all kept terms of the language. Sources travel as 64-bit
+hashes, whose seed is changed until no two sources share one.
 
 Defined results: null texts, languages and sources count as empty strings. Every row is a document,
 repeated rows too. Groups without a term, and languages without a kept term, have pairs of value 0.
@@ -26,94 +28,216 @@ Ties go to the smaller item in UTF-8 order. Extra columns are passed over.
 from __future__ import annotations
 
 import string
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import stored
+from ..session import discard, stored
 from .words import pieces
 
-HELD_CHUNKS = 100_000
+HELD_CHUNKS = 400_000
+HELD_ENTRIES = 2_000_000
+MEMO_CHUNKS = 1 << 17
+FILTER_BITS = 1 << 27
+FILTER_PROBES = 4
 CELLS = 1 << 20
 SCALE = 1_000_000_000
 TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
 
 
-def chunk_counts(docs: DataFrame, least_docs: int) -> DataFrame:
-    """(lang, source, chunk, docs, occurrences, rows): partial counts, and the documents where they
-    are fewer than ``least_docs``. A row with an empty chunk stands for the group itself."""
-    def emptied(tables: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), table in tables.items():
-            entries = list(table.values())
-            rows = [e[2] if e[0] < least_docs else () for e in entries]
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            flat = np.fromiter((r for of in rows for r in of), np.int64, ends[-1])
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(table), pa.string()),
-                pa.array([source] * len(table), pa.string()),
-                pa.array(list(table), pa.binary()).cast(pa.string()),
-                pa.array([e[0] for e in entries], pa.int64()),
-                pa.array([e[1] for e in entries], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-            ], ["lang", "source", "chunk", "docs", "occurrences", "rows"])
-        tables.clear()
+class Numbered(dict):
+    """Things and the numbers they came with."""
+
+    def __missing__(self, thing) -> int:
+        self[thing] = number = len(self)
+        return number
+
+
+class Counts:
+    """Documents and occurrences by (language, source) and chunk, until they are taken out."""
+
+    def __init__(self):
+        self.chunks, self.groups = Numbered(), Numbered()
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.entries = 0
+
+    def add(self, groups: list[tuple], texts: list[bytes | None]) -> None:
+        split = [t.split() if t else () for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        chunk = np.fromiter(
+            map(self.chunks.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        # One entry for every chunk of a document.
+        key = np.sort(np.repeat(np.arange(len(split)), sizes) << 32 | chunk)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        group = np.fromiter(map(self.groups.__getitem__, groups), np.int64, len(groups))
+        times = np.diff(np.append(first, len(key)))
+        self.waiting.append(((key[first] & 0xFFFFFFFF) << 24 | group[key[first] >> 32], times))
+        self.entries += len(first)
+
+    @property
+    def full(self) -> bool:
+        return self.entries >= HELD_ENTRIES or len(self.chunks) >= HELD_CHUNKS or (
+            len(self.groups) >> 24 > 0)
+
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        """(lang, chunk, codes, docs, occurrences), a row for each chunk of a language."""
+        if not self.entries:
+            return
+        names = list(self.groups)
+        # Groups are numbered anew, so that those of one language stand together.
+        order = sorted(range(len(names)), key=lambda k: names[k])
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        langs = [names[k][0] for k in order]
+        codes = np.array([names[k][1] for k in order], np.int64)
+        lang = np.cumsum([0, *(a != b for a, b in zip(langs, langs[1:]))])
+        key, times = (np.concatenate(part) for part in zip(*self.waiting))
+        key = (key >> 24) << 24 | place[key & 0xFFFFFF]
+        by_key = np.argsort(key, kind="stable")
+        key, times = key[by_key], times[by_key]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        docs, occurrences = np.diff(np.append(first, len(key))), np.add.reduceat(times, first)
+        group = key[first] & 0xFFFFFF
+        row = (key[first] >> 24) << 24 | lang[group]
+        start = np.flatnonzero(np.diff(row, prepend=-1))
+        ends = pa.array(np.append(start, len(row)).astype(np.int32))
+        strings = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(langs, pa.string()).take(pa.array(group[start])),
+            strings.take(pa.array(row[start] >> 24)),
+            pa.ListArray.from_arrays(ends, pa.array(codes[group])),
+            pa.ListArray.from_arrays(ends, pa.array(docs)),
+            pa.ListArray.from_arrays(ends, pa.array(occurrences)),
+        ], ["lang", "chunk", "codes", "docs", "occurrences"])
+        self.__init__()
+
 
+def chunk_counts(docs: DataFrame) -> DataFrame:
+    """(lang, chunk, codes, docs, occurrences): partial counts of ``docs`` (lang, code, text)."""
     def run(batches):
-        row, held, tables = TaskContext.get().partitionId() << 40, 0, {}
+        counts = Counts()
         for piece, texts in pieces(batches):
-            groups = zip(piece.column("lang").to_pylist(), piece.column("source").to_pylist())
-            for group, text in zip(groups, texts):
-                row += 1
-                table = tables.get(group)
-                if table is None:
-                    table = tables[group] = {b"": [0, 0, ()]}
-                held -= len(table)
-                for chunk, n in Counter(text.split()).items():
-                    entry = table.get(chunk)
-                    if entry is None:
-                        table[chunk] = [1, n, [row]]
-                    else:
-                        entry[0] += 1
-                        entry[1] += n
-                        if entry[0] < least_docs:
-                            entry[2].append(row)
-                held += len(table)
-                if held >= HELD_CHUNKS:
-                    yield from emptied(tables)
-                    held = 0
-        yield from emptied(tables)
-
-    return docs.mapInArrow(
-        run, "lang string, source string, chunk string, docs long, occurrences long, rows array<long>")
-
-
-def terms_of(chunks: DataFrame) -> DataFrame:
-    """(chunk, term, times) of every distinct ``chunk``."""
+            counts.add(
+                list(zip(piece.column("lang").to_pylist(), piece.column("code").to_pylist())), texts)
+            if counts.full:
+                yield from counts.taken()
+        yield from counts.taken()
+
+    return docs.select("lang", "code", "text").mapInArrow(
+        run, "lang string, chunk string, codes array<long>, docs array<long>,"
+             " occurrences array<long>")
+
+
+def chunk_terms(counts: DataFrame) -> DataFrame:
+    """(lang, chunk, term, times, docs, groups) of every distinct chunk that has a term: how often it
+    holds the term, its documents in the language, and its occurrences by source."""
+    at = F.explode(F.arrays_zip("codes", "docs", "occurrences"))
+    # One exchange, by chunk; all that follows stays where the chunk is.
+    by_source = counts.repartition("chunk").select("lang", "chunk", at.alias("g")).groupBy(
+        "chunk", "lang", "g.codes").agg(
+        F.sum("g.docs").alias("docs"), F.sum("g.occurrences").alias("occurrences"))
+    # A group has as many rows as there are sources, then as there are languages.
+    by_lang = by_source.groupBy("chunk", "lang").agg(
+        F.sum("docs").alias("docs"),
+        F.collect_list(F.struct(F.col("codes").alias("code"), "occurrences")).alias("groups"))
+    by_chunk = by_lang.groupBy("chunk").agg(
+        F.collect_list(F.struct("lang", "docs", "groups")).alias("langs"))
     lowered = F.translate("chunk", string.ascii_uppercase, string.ascii_lowercase)
     found = F.regexp_extract_all(lowered, F.lit(TERM), F.lit(1))
-    return chunks.select("chunk").distinct().select(
-        "chunk", F.explode(found).alias("term")).groupBy("chunk", "term").agg(
-        F.count("*").alias("times"))
+    tokenized = by_chunk.select("chunk", "langs", found.alias("found"))
+    each = tokenized.select(
+        "chunk", "langs", "found", F.explode(F.array_distinct("found")).alias("term"))
+    times = F.size(F.filter("found", lambda f: f == F.col("term"))).cast("long")
+    return each.select("chunk", "term", times.alias("times"), F.inline("langs"))
+
+
+class Filter:
+    """A Bloom filter over byte strings."""
+
+    def __init__(self, bits: int):
+        self.words = np.zeros(bits // 64, np.uint64)
+        self.mask = np.uint64(bits - 1)
+
+    def places(self, things: list[bytes]) -> np.ndarray:
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, things), np.uint64, len(things))
+        step = (h >> np.uint64(32)) | np.uint64(1)
+        return np.stack([h + np.uint64(k) * step for k in range(FILTER_PROBES)]) & self.mask
+
+    def add(self, things: list[bytes]) -> None:
+        at = self.places(things).ravel()
+        np.bitwise_or.at(self.words, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
 
+    def holds(self, things: list[bytes]) -> np.ndarray:
+        at = self.places(things)
+        return ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)
 
-def kept_terms(counts: DataFrame, joined: DataFrame, least_docs: int) -> DataFrame:
+
+def filter_of(chunks: DataFrame, count: int) -> Filter:
+    """A filter over ``chunks``, of 16 bits for each as far as ``FILTER_BITS`` go."""
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (16 * count - 1).bit_length()))
+
+    def run(batches):
+        held = Filter(bits)
+        for batch in batches:
+            held.add(batch.column(0).cast(pa.binary()).to_pylist())
+        at = np.flatnonzero(held.words)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at), pa.array(held.words[at].view(np.int64))], ["at", "word"])
+
+    made = Filter(bits)
+    words = chunks.select("chunk").mapInArrow(run, "at long, word long").groupBy("at").agg(
+        F.bit_or("word").alias("word")).toArrow()
+    made.words[words.column("at").to_numpy()] = words.column("word").to_numpy().view(np.uint64)
+    return made
+
+
+def documents_with(docs: DataFrame, held: Filter) -> DataFrame:
+    """(lang, chunk, row): the chunks of every document that the filter holds."""
+    sent = docs.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches):
+        held, known = sent.value, {}
+        row = TaskContext.get().partitionId() << 40
+        for piece, texts in pieces(batches):
+            split = [set(t.split()) if t else () for t in texts]
+            fresh = [c for c in set().union(*split) if c not in known]
+            if len(known) + len(fresh) > MEMO_CHUNKS:
+                known.clear()
+                fresh = list(set().union(*split))
+            known.update(zip(fresh, held.holds(fresh).tolist() if fresh else ()))
+            hits = [[c for c in chunks if known[c]] for chunks in split]
+            sizes = np.fromiter(map(len, hits), np.int64, len(hits))
+            at = np.repeat(np.arange(len(hits)), sizes)
+            yield pa.RecordBatch.from_arrays([
+                piece.column("lang").take(pa.array(at)),
+                pa.array(list(chain.from_iterable(hits)), pa.binary()).cast(pa.string()),
+                pa.array(at + row)], ["lang", "chunk", "row"])
+            row += len(texts)
+
+    return docs.select("lang", "text").mapInArrow(run, "lang string, chunk string, row long")
+
+
+def kept_terms(docs: DataFrame, joined: DataFrame, least_docs: int) -> DataFrame:
     """(lang, term) that stand in ``least_docs`` documents of the language or more."""
-    bounds = stored(
-        joined.groupBy("lang", "chunk", "term").agg(F.sum("docs").alias("docs"))
-        .groupBy("lang", "term").agg(F.max("docs").alias("low"), F.sum("docs").alias("high"))
-        .filter(F.col("high") >= least_docs), "bounds")
+    bounds = stored(joined.groupBy("lang", "term").agg(
+        F.max("docs").alias("low"), F.sum("docs").alias("high")).filter(
+        F.col("high") >= least_docs), "bounds")
+    sure = bounds.filter(F.col("low") >= least_docs).select("lang", "term")
     undecided = bounds.filter(F.col("low") < least_docs).select("lang", "term")
-    open_chunks = joined.select("lang", "chunk", "term").distinct().join(undecided, ["lang", "term"])
-    noted = counts.select("lang", "chunk", F.explode("rows").alias("row"))
-    exact = noted.join(open_chunks, ["lang", "chunk"]).groupBy("lang", "term", "row").agg(
-        F.first("chunk")).groupBy("lang", "term").agg(F.count("*").alias("docs"))
-    return bounds.filter(F.col("low") >= least_docs).select("lang", "term").union(
-        exact.filter(F.col("docs") >= least_docs).select("lang", "term"))
+    chunks = stored(joined.select("lang", "chunk", "term").join(undecided, ["lang", "term"]), "open")
+    count = chunks.count()
+    if not count:
+        return sure
+    found = documents_with(docs, filter_of(chunks, count))
+    exact = found.join(chunks, ["lang", "chunk"]).select("lang", "term", "row").distinct().groupBy(
+        "lang", "term").agg(F.count("*").alias("docs"))
+    return sure.union(exact.filter(F.col("docs") >= least_docs).select("lang", "term"))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -129,28 +253,30 @@ def apart(p: Column, q: Column) -> Column:
 
 
 def _pair_sums(cells: DataFrame, groups: DataFrame) -> DataFrame:
-    """(lang, source, item, value): divergences of groups of one language, over its kept terms."""
+    """(lang, code, other, value): divergences of groups of one language, over its kept terms."""
     sizes = groups.groupBy("lang").agg(
         F.first("terms").alias("terms"), F.count("*").alias("sources")).filter("terms > 0").select(
         "lang", F.ceil(F.col("terms") * F.col("sources") / CELLS).cast("int").alias("blocks"))
     none = share(F.lit(0).cast("long"), F.col("total"), F.col("terms"))
     # Every block has a row for each group, with the share of terms that the group lacks.
     lacking = groups.join(sizes, "lang").select(
-        "lang", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "source",
+        "lang", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "code",
         F.lit(None).cast("string").alias("term"), none.alias("p"))
     block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int")
-    held = cells.join(sizes, "lang").select("lang", block.alias("block"), "source", "term", "p")
+    held = cells.join(sizes, "lang").select("lang", block.alias("block"), "code", "term", "p")
 
     def run(group: pa.Table) -> pa.Table:
-        marks = group.filter(pc.is_null(group.column("term"))).sort_by("source")
+        marks = group.filter(pc.is_null(group.column("term")))
         cells = group.filter(pc.is_valid(group.column("term")))
-        names = marks.column("source").combine_chunks()
+        codes = marks.column("code").to_numpy()
+        by_code = np.argsort(codes)
+        codes, none = codes[by_code], marks.column("p").to_numpy()[by_code]
         terms = cells.column("term").combine_chunks().dictionary_encode()
         terms = terms.chunk(0) if isinstance(terms, pa.ChunkedArray) else terms
-        p = np.tile(marks.column("p").to_numpy(), (len(terms.dictionary), 1))
-        at = pc.index_in(cells.column("source"), names).to_numpy()
-        p[terms.indices.to_numpy(), at] = cells.column("p").to_numpy()
-        n = len(names)
+        p = np.tile(none, (len(terms.dictionary), 1))
+        p[terms.indices.to_numpy(), np.searchsorted(codes, cells.column("code").to_numpy())] = (
+            cells.column("p").to_numpy())
+        n = len(codes)
         value = np.empty((n, n), np.int64)
         for k in range(n):
             q = p[:, k:k + 1]
@@ -158,12 +284,24 @@ def _pair_sums(cells: DataFrame, groups: DataFrame) -> DataFrame:
         a, b = np.nonzero(~np.eye(n, dtype=bool))
         lang = group.column("lang")[0].as_py()
         return pa.table({
-            "lang": pa.array([lang] * len(a), pa.string()), "source": names.take(pa.array(a)),
-            "item": names.take(pa.array(b)), "value": value[a, b]})
+            "lang": pa.array([lang] * len(a), pa.string()), "code": codes[a], "other": codes[b],
+            "value": value[a, b]})
 
     return held.unionByName(lacking).groupBy("lang", "block").applyInArrow(
-        run, "lang string, source string, item string, value long"
-    ).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+        run, "lang string, code long, other long, value long"
+    ).groupBy("lang", "code", "other").agg(F.sum("value").alias("value"))
+
+
+def _groups_of(plain: DataFrame) -> tuple[DataFrame, Column]:
+    """(lang, source, code) of every group, and how a source becomes its code."""
+    groups = stored(plain.select("lang", "source").distinct(), "groups")
+    seed = 0
+    while True:
+        code = F.xxhash64(F.lit(seed), "source")
+        names, codes = groups.agg(F.count_distinct("source"), F.count_distinct(code)).first()
+        if names == codes:
+            return groups.withColumn("code", code), code
+        seed += 1
 
 
 def divergence(
@@ -175,38 +313,39 @@ def divergence(
     plain = docs.select(*(
         F.coalesce(F.col(c), F.lit("")).alias(name)
         for name, c in (("lang", lang), ("source", source), ("text", text))))
-    counts = stored(chunk_counts(plain, least_docs), "chunks")
-    totals = stored(counts.groupBy("lang", "source", "chunk").agg(
-        F.sum("docs").alias("docs"), F.sum("occurrences").alias("occurrences")), "totals")
-    joined = stored(totals.join(terms_of(totals), "chunk").select(
-        "lang", "source", "chunk", "term", "docs",
-        (F.col("occurrences") * F.col("times")).alias("count")), "terms")
-    kept = stored(kept_terms(counts, joined, least_docs), "kept")
-    counted = stored(joined.groupBy("lang", "source", "term").agg(
-        F.sum("count").alias("count")).join(kept, ["lang", "term"]), "counted")
+    named, code = _groups_of(plain)
+    coded = plain.select("lang", code.alias("code"), "text")
+    joined = stored(chunk_terms(chunk_counts(coded)), "terms")
+    kept = stored(kept_terms(coded, joined, least_docs), "kept")
+    # By (lang, term) once: the terms that are kept, their counts by source, and those of the language.
+    every = Window.partitionBy("lang", "term")
+    counted = stored(
+        joined.join(kept, ["lang", "term"]).select("lang", "term", "times", F.inline("groups"))
+        .groupBy("lang", "term", "code").agg(
+            F.sum(F.col("times") * F.col("occurrences")).alias("count"))
+        .withColumn("lang_count", F.sum("count").over(every)), "counted")
+    discard(joined)
 
     sizes = kept.groupBy("lang").agg(F.count("*").alias("terms"))
-    groups = stored(
-        totals.filter("chunk = ''").select("lang", "source")
-        .join(sizes, "lang", "left")
-        .join(counted.groupBy("lang", "source").agg(F.sum("count").alias("total")),
-              ["lang", "source"], "left").fillna(0, ["terms", "total"]), "groups")
-    languages = groups.groupBy("lang").agg(
-        F.sum("total").alias("lang_total"), F.first("terms").alias("lang_terms"))
-    overall = counted.groupBy("lang", "term").agg(F.sum("count").alias("lang_count")).join(
-        languages, "lang").select(
-        "lang", "term", share(F.col("lang_count"), F.col("lang_total"), F.col("lang_terms")).alias("q"))
-    cells = stored(counted.join(groups, ["lang", "source"]).select(
-        "lang", "source", "term",
-        share(F.col("count"), F.col("total"), F.col("terms")).alias("p")), "cells")
-
-    pairs = groups.select("lang", "source").join(
-        groups.select("lang", F.col("source").alias("item")), "lang"
+    totals = counted.groupBy("lang", "code").agg(F.sum("count").alias("total"))
+    groups = named.join(sizes, "lang", "left").join(totals, ["lang", "code"], "left").fillna(
+        0, ["terms", "total"]).withColumn(
+        "lang_total", F.sum("total").over(Window.partitionBy("lang")))
+    groups = stored(groups, "groups")
+    cells = stored(counted.join(groups, ["lang", "code"]).select(
+        "lang", "code", "source", "term",
+        share(F.col("count"), F.col("total"), F.col("terms")).alias("p"),
+        share(F.col("lang_count"), F.col("lang_total"), F.col("terms")).alias("q")), "cells")
+
+    sides = groups.select("lang", "source", "code")
+    pairs = sides.join(
+        sides.select("lang", F.col("source").alias("item"), F.col("code").alias("other")), "lang"
     ).filter("source <> item").join(
-        _pair_sums(cells, groups), ["lang", "source", "item"], "left"
+        _pair_sums(cells.select("lang", "code", "term", "p"), groups),
+        ["lang", "code", "other"], "left"
     ).select("lang", "source", F.lit("pair").alias("part"), "item",
              F.coalesce("value", F.lit(0)).alias("value"))
-    more = cells.join(overall, ["lang", "term"]).filter("p > q").select(
+    more = cells.filter("p > q").select(
         "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
         apart(F.col("p"), F.col("q")).alias("value"))
     order = F.row_number().over(

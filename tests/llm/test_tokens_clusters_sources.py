@@ -298,6 +298,7 @@ def _random_rows(seed, n=300):
 def test_audit_against_plain_code(spark, monkeypatch, held):
     # Tables emptied after every document, and cells in many blocks, change nothing.
     monkeypatch.setattr(divergence, "HELD_CHUNKS", held)
+    monkeypatch.setattr(divergence, "MEMO_CHUNKS", held)
     monkeypatch.setattr(divergence, "CELLS", divergence.CELLS if held > 1 else 3)
     rows = _random_rows(held)
     table = spark.createDataFrame(
