@@ -63,10 +63,11 @@ def discard(frame: DataFrame) -> None:
     """Removes what ``stored`` wrote for ``frame``, which nothing may read any more."""
     path = _paths.pop(frame, None)
     if path is not None:
-        _remove(frame.sparkSession, path)
+        remove(frame.sparkSession, path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder with all it holds; one that is not there is no error."""
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
@@ -75,6 +76,6 @@ def _remove(spark: SparkSession, path: str) -> None:
 def _remove_made() -> None:
     while _made:
         try:
-            _remove(*_made.pop())
+            remove(*_made.pop())
         except Exception:  # the JVM may have gone first; the folder then stays
             return
