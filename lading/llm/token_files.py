@@ -1,10 +1,10 @@
 """Token ids in files of entropy-coded blocks, and their parallel decoding.
 
-``write_tokens`` tokenizes whole texts with the tokenizers library and appends an end id to each. It
-counts all ids first, makes one frequency table of the counts for the whole table, then sorts the
-documents by id over as many files as the ids need, and encodes them in a second pass: tokenizing
-twice costs less than keeping or shuffling ids would. A file is written beside its final place
-and renamed, so a task that is tried again replaces it by the same bytes.
+``write_tokens`` sorts the documents by id over as many files as the texts need, tokenizes whole texts
+with the tokenizers library, appends an end id to each, and keeps the ids of a file in a compressed
+stream, while it counts them. One frequency table is made of all counts; then the streams are encoded
+with it, file by file. All files are written beside their final place and renamed, so a task that is
+tried again replaces them by the same ids.
 
 A folder holds ``table`` (the shared frequencies), ``tokens/<number>.tok`` and a manifest with a row
 for each file. All integers are little-endian. A token file is
@@ -27,11 +27,13 @@ for) begins where the next one does. An empty table has no files. Extra columns
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,29 +41,33 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..jobs.store import ObjectRoot
+from ..session import remove, stored
 from . import rans
 from .words import pieces
 
 MAGIC = b"LTOKENS1"
 FORMAT = 1
-FILE_IDS = 1 << 24
+FILE_BYTES = 1 << 25
 SPLIT = 1 << 21
 MOST_TASKS = 10_000
-MEMO_PIECES = 200_000
+KNOWN_WORDS = 800_000
 MANIFEST = "file long, name string, docs long, ids long, bytes long"
 _SEGMENT = np.dtype([
     ("offset", "<u8"), ("first", "<u8"), ("ids", "<u4"), ("lanes", "<u4"), ("crc", "<u4"), ("final", "u1")])
-# The characters with the White_Space property.
-_BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# The characters with the White_Space property but blank and line end.
+_OTHER_BLANK = "\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
-class PieceIds(dict):
-    """Packed ids of pieces of text by the library, each distinct piece looked up once; emptied when large.
+class PieceIds:
+    """Ids of texts by the library, each distinct word looked up once.
 
     A byte-level split of a text breaks at every blank, where a single one goes with the word after it
-    and of several the last one does. So pieces that end at blanks in the same way split alike alone
-    and in their text, and ids of a text are those of its pieces. Other tokenizers get whole texts, and
-    so does every tokenizer where a text holds one of its added tokens, which is an end to all blanks.
+    and of several the last one does. So words split alike alone and in their text, and ids of a text
+    are those of its words. A word is known by its characters where one blank stands before it; after a
+    line end it is known with ``\\0`` before it and has the line end's id first. New words go to the
+    library as one text, with line ends between them, which are ids of their own there. Texts with other
+    blanks are taken apart more carefully. Other tokenizers get whole texts, and so does every
+    tokenizer where a text holds one of its added tokens, which is an end to all blanks.
     """
 
     def __init__(self, spec: str):
@@ -72,53 +78,91 @@ class PieceIds(dict):
         self.library.no_padding()
         parsed = json.loads(spec)
         split = parsed.get("pre_tokenizer") or {}
-        self.added = [t["content"] for t in parsed.get("added_tokens") or ()]
-        self.by_piece = (
+        self.apart = ["\0", *(t["content"] for t in parsed.get("added_tokens") or ())]
+        self.line_end = self.whole("\n")
+        self.by_word = (
             split.get("type") == "ByteLevel" and not split.get("add_prefix_space")
-            and split.get("use_regex", True) and not parsed.get("normalizer"))
-        self.pieces = re.compile(f"[{_BLANK}]+(?![^{_BLANK}])| ?[^{_BLANK}]+|[{_BLANK}]").findall
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMO_PIECES:
-            self.clear()
-        self[piece] = value = self.whole(piece)
-        return value
+            and split.get("use_regex", True) and not parsed.get("normalizer")
+            and len(self.line_end) == 4)
+        self.other_blank = re.compile(f"[{_OTHER_BLANK}]").search
+        blank = f"[ \\n{_OTHER_BLANK}]"
+        self.pieces = re.compile(
+            f"{blank}+(?![^ \\n{_OTHER_BLANK}])| ?[^ \\n{_OTHER_BLANK}]+|{blank}").findall
+        self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        plain = (text or b"").decode()
-        if not self.by_piece or any(map(plain.__contains__, self.added)):
-            return np.frombuffer(self.whole(plain), "<u4")
-        return np.frombuffer(b"".join(map(self.__getitem__, self.pieces(plain))), "<u4")
+        encoding, = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoding.ids, "<u4").tobytes()
+
+    def _words(self, text: str) -> tuple[list[str], bool] | None:
+        """The words of a text as they are known, and whether they begin with a line end that the text
+        has not; None for a text that is to be encoded as a whole."""
+        if not self.by_word or any(a in text for a in self.apart):
+            return None
+        if not text:
+            return [], False
+        odd = text[0] in " \n" or text[-1] in " \n" or any(
+            two in text for two in ("  ", " \n", "\n ", "\n\n")) or self.other_blank(text)
+        if not odd:
+            return ("\0" + text.replace("\n", " \0")).split(" "), True
+        words = []
+        for piece in self.pieces(text):
+            if piece[0] == " " and len(piece) > 1 and not piece.isspace():
+                words.append(piece[1:])
+            else:
+                # A run of blanks, or a word after another blank.
+                words.append("\0\0" + piece)
+        return words, False
+
+    def _learn(self, words: list[str]) -> None:
+        """Looks up new words."""
+        plain = [w for w in words if w[:2] != "\0\0" or not w[2:].isspace()]
+        for blank in set(words).difference(plain):
+            self.known[blank] = self.whole(blank[2:])
+        if not plain:
+            return
+        packed = self.whole("\n".join(w.lstrip("\0") if w[0] == "\0" else " " + w for w in plain))
+        ends = np.flatnonzero(np.frombuffer(packed, "<u4") == np.frombuffer(self.line_end, "<u4"))
+        ends = np.append(ends, len(packed) // 4).tolist()
+        if len(ends) != len(plain):
+            raise ValueError("the tokenizer does not split at line ends")
+        begin = 0
+        for word, end in zip(plain, ends):
+            ids = packed[4 * begin:4 * end]
+            after_line = word[0] == "\0" and word[:2] != "\0\0"
+            self.known[word] = self.line_end + ids if after_line else ids
+            begin = end + 1
+
+    def of(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of each text; null is empty."""
+        plain = [(t or b"").decode() for t in texts]
+        split = [self._words(t) for t in plain]
+        # One look at the words that are known; the others are looked up together.
+        found = [list(map(self.known.get, words[0])) if words else None for words in split]
+        open_texts = [k for k, ids in enumerate(found) if ids and None in ids]
+        new = {w for k in open_texts for w, ids in zip(split[k][0], found[k]) if ids is None}
+        keep = len(self.known) + len(new) <= KNOWN_WORDS
+        if new:
+            self._learn(list(new))
+        for k in open_texts:
+            found[k] = map(self.known.__getitem__, split[k][0])
+        out = [
+            np.frombuffer(
+                self.whole(t) if words is None else b"".join(ids)[4 * words[1]:], "<u4")
+            for t, words, ids in zip(plain, split, found)]
+        if not keep:
+            # Words that come first stay: among them are the frequent ones.
+            for word in new:
+                del self.known[word]
+        return out
 
 
 def _ids(sent: Broadcast) -> PieceIds:
     """The worker's tokenizer. It is kept in the broadcast value, which a worker loads once."""
     held = sent.value
-    if "pieces" not in held:
-        held["pieces"] = PieceIds(held["spec"])
-    return held["pieces"]
-
-
-def count_ids(texts: DataFrame, sent: Broadcast, size: int, end: int | None) -> np.ndarray:
-    """How often every id below ``size`` occurs in all texts, the end ids included."""
-    def run(batches):
-        ids, counts = _ids(sent), np.zeros(size, np.int64)
-        for _, values in pieces(batches):
-            for value in values:
-                counts += np.bincount(ids.of(value), minlength=size) if value else 0
-            if end is not None:
-                counts[end] += len(values)
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["id", "n"])
-
-    rows = texts.select("text").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n"))
-    counts = np.zeros(size, np.int64)
-    for token, n in rows.collect():  # one row for each id of the vocabulary at most
-        counts[token] = n
-    return counts
+    if "ids" not in held:
+        held["ids"] = PieceIds(held["spec"])
+    return held["ids"]
 
 
 class FileWriter:
@@ -213,43 +257,83 @@ class FileReader:
             k += 1
 
 
-def _writing(folder: str, table: bytes, sent: Broadcast, end: int | None):
+def _tokenizing(folder: str, sent: Broadcast, size: int, end: int | None):
+    """Writes a partition's ids as a stream of (id, ids), and gives (file, id, n): how often each id
+    occurs in it."""
+    kind = pa.uint16() if size <= 1 << 16 else pa.uint32()
+    schema = pa.schema([("id", pa.int64()), ("ids", pa.large_list(kind))])
+
     def run(batches):
-        ids, writer, number = _ids(sent), FileWriter(rans.Table.frombytes(table)), (
-            TaskContext.get().partitionId())
+        ids, counts = _ids(sent), np.zeros(size, np.int64)
+        number = TaskContext.get().partitionId()
         tail = np.array([] if end is None else [end], np.uint32)
-
-        def parts() -> Iterator[bytes]:
-            for piece, texts in pieces(batches):
-                for key, text in zip(piece.column("id").to_pylist(), texts):
-                    yield from writer.add(key, np.concatenate([ids.of(text), tail]))
-            if writer.keys:
-                yield from writer.end()
-
-        parts, name = parts(), f"{number:08d}.tok"
-        first = next(parts, None)
-        if first is None:
+        rows = 0
+
+        def stream() -> Iterator[bytes]:
+            nonlocal counts, rows
+            sink = io.BytesIO()
+            options = pa.ipc.IpcWriteOptions(compression="zstd")
+            with pa.ipc.new_stream(sink, schema, options=options) as out:
+                for piece, texts in pieces(batches):
+                    found = [part for one in ids.of(texts) for part in (one, tail)]
+                    flat = np.concatenate(found)
+                    ends = np.cumsum([0, *(len(a) + len(b) for a, b in zip(found[::2], found[1::2]))])
+                    counts += np.bincount(flat, minlength=size)
+                    rows += len(texts)
+                    lists = pa.LargeListArray.from_arrays(
+                        pa.array(ends), pa.array(flat.astype(kind.to_pandas_dtype())))
+                    out.write_batch(pa.RecordBatch.from_arrays([piece.column("id"), lists], schema=schema))
+                    yield sink.getvalue()
+                    sink.seek(0)
+                    sink.truncate()
+            yield sink.getvalue()
+
+        parts = stream()
+        first = next(parts)
+        if not rows:
             return
-        size = ObjectRoot(folder).write(f"tokens/{name}", _chain(first, parts))
-        yield pa.RecordBatch.from_pydict({
-            "file": [number], "name": [name], "docs": [len(writer.keys)], "ids": [writer.written],
-            "bytes": [size]})
+        ObjectRoot(folder).write(f"ids/{number:08d}", chain([first], parts))
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(found) + 1, number)), pa.array(np.append(-1, found)),
+             pa.array(np.append(rows, counts[found]))], ["file", "id", "n"])
 
     return run
 
 
-def _chain(first: bytes, rest: Iterable[bytes]) -> Iterator[bytes]:
-    yield first
-    yield from rest
+def _encoding(folder: str, table: bytes):
+    """Encodes the streams of the files it is given; manifest rows."""
+    def run(batches):
+        root, made = ObjectRoot(folder), rans.Table.frombytes(table)
+        for number in (n for batch in batches for n in batch.column(0).to_pylist()):
+            writer, name = FileWriter(made), f"{number:08d}.tok"
+
+            def parts() -> Iterator[bytes]:
+                with root.files.open_input_stream(root.path(f"ids/{number:08d}")) as stream:
+                    for batch in pa.ipc.open_stream(stream):
+                        lists = batch.column("ids")
+                        ends = lists.offsets.to_numpy().tolist()
+                        flat = lists.values.to_numpy().astype(np.uint32)
+                        for key, begin, stop in zip(batch.column("id").to_pylist(), ends, ends[1:]):
+                            yield from writer.add(key, flat[begin:stop])
+                yield from writer.end()
+
+            size = root.write(f"tokens/{name}", parts())
+            yield pa.RecordBatch.from_pydict({
+                "file": [number], "name": [name], "docs": [len(writer.keys)], "ids": [writer.written],
+                "bytes": [size]})
+
+    return run
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, path: str, end: int | None = None, file_ids: int = FILE_IDS,
+    docs: DataFrame, folder: str, path: str, end: int | None = None, file_bytes: int = FILE_BYTES,
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Writes the ids of all texts, in the order of the documents' ids, and returns the manifest.
 
-    ``path`` names a file of the tokenizers library, ``end`` the id that ends every document.
+    ``path`` names a file of the tokenizers library, ``end`` the id that ends every document. A file
+    holds the ids of about ``file_bytes`` of text.
     """
     with open(path, encoding="utf-8") as file:
         spec = file.read()
@@ -259,16 +343,23 @@ def write_tokens(
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast({"spec": spec})
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    counts = count_ids(rows, sent, size, end)
-    table = rans.Table(rans.frequencies(counts)).tobytes()
-    ObjectRoot(folder).write("table", [table])
-    files = max(1, -(-int(counts.sum()) // file_ids))
+    length = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     # The row number keeps full repeats, which may be many, from meeting in one file.
     place = rows.withColumns({"place": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
     order = [F.asc_nulls_first("id"), F.col("place"), F.col("nth")]
-    sorted_rows = place.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    sorted_rows.select("id", "text").mapInArrow(
-        _writing(folder, table, sent, end), MANIFEST).write.parquet(f"{folder}/manifest")
+    in_order = place.repartitionByRange(max(1, -(-length // file_bytes)), *order).sortWithinPartitions(*order)
+    counted = stored(in_order.select("id", "text").mapInArrow(
+        _tokenizing(folder, sent, size, end), "file long, id long, n long"), "counts")
+
+    counts = np.zeros(size, np.int64)
+    for token, n in counted.filter("id >= 0").groupBy("id").agg(F.sum("n")).collect():
+        counts[token] = n  # one row for each id of the vocabulary at most
+    table = rans.Table(rans.frequencies(counts)).tobytes()
+    ObjectRoot(folder).write("table", [table])
+    files = counted.filter("id < 0").select("file")
+    files.repartition(max(1, files.count())).mapInArrow(
+        _encoding(folder, table), MANIFEST).write.parquet(f"{folder}/manifest")
+    remove(spark, f"{folder}/ids")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 

@@ -99,14 +99,20 @@ ODD = [
     "1 2  33\r\n4", "a​b", "😀 😀😀  x", "\x85a\xa0b \xa0 c"]
 
 
-def test_pieces_give_what_whole_texts_give():
+def test_pieces_give_what_whole_texts_give(monkeypatch):
     ids = token_files.PieceIds(open(tokenizer_path()).read())
-    assert ids.by_piece
+    assert ids.by_word
     rng = random.Random(5)
     signs = list(" \n\t \x1c'ab1!é日<|😀") + ["  ", "'s", "<|endoftext|>", "word"]
     texts = ODD + ["".join(rng.choices(signs, k=rng.randint(1, 30))) for _ in range(3000)]
-    for text in texts:
-        assert ids.of(text.encode()).tobytes() == ids.whole(text), repr(text)
+    for known in (10**6, 3000, 0):
+        monkeypatch.setattr(token_files, "KNOWN_WORDS", known)
+        fresh = token_files.PieceIds(open(tokenizer_path()).read())
+        for begin in range(0, len(texts), 100):
+            some = texts[begin:begin + 100]
+            for text, found in zip(some, fresh.of([t.encode() for t in some])):
+                assert found.tobytes() == ids.whole(text), repr(text)
+        assert fresh.of([None])[0].tolist() == []
 
 
 def _expected(texts, end):
@@ -132,7 +138,7 @@ def test_token_files_of_the_table(spark):
 def test_many_files_and_ranges(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     folder = new_run_dir(spark, "tokens")
-    manifest = token_files.write_tokens(docs, folder, tokenizer_path(), END_ID, file_ids=20_000).collect()
+    manifest = token_files.write_tokens(docs, folder, tokenizer_path(), END_ID, file_bytes=50_000).collect()
     assert len(manifest) > 3 and sum(r.docs for r in manifest) == docs.count()
     rows = token_files.read_tokens(spark, folder, with_ids=True, split=3_000).collect()
     texts = [(d.doc_id, d.text) for d in docs.orderBy("doc_id").collect()]
@@ -145,7 +151,7 @@ def test_many_files_and_ranges(spark):
 @pytest.mark.parametrize("end", [None, END_ID])
 def test_token_files_of_odd_rows(spark, edges, nothing, end):
     folder = new_run_dir(spark, "tokens")
-    token_files.write_tokens(edges, folder, tokenizer_path(), end, file_ids=9_000)
+    token_files.write_tokens(edges, folder, tokenizer_path(), end, file_bytes=20_000)
     rows = token_files.read_tokens(spark, folder).orderBy("start", "n_tokens").collect()
     texts = [(r.doc_id, r.text) for r in edges.collect()]
     want = _expected(sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0)), [] if end is None else [end])
