@@ -10,16 +10,16 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..jobs import objects, records, runs as job_runs
+from ..jobs import objects, parts, records, runs as job_runs
 from ..operators.acl import acl_copy
 from ..operators.metadata import metadata_batch_update
-from ..plans import sync
+from ..plans import sync, validate as validation
 from ..plans.options import SyncOptions
 from ..session import new_run_dir
 from ..sources.runs import report_scan
 from ..streaming.incremental import incremental_sync_stream
 from .fixture_sql import using
-from .nested import OPTIONS as VALIDATE_OPTIONS, _CHECKED
+from .nested import FORMS, OPTIONS as VALIDATE_OPTIONS, checked
 from .planning import OPTIONS, _sides, sample_plan
 from .registry import query
 from .summaries import _results
@@ -165,26 +165,101 @@ def report_write(spark, sf):
         F.size("failed_objects").cast("long").alias("failures_listed"))
 
 
-@query("run_validation", using("heads") + _CHECKED + """
-, body as (select *, case when s_len <= 3000 then doc_id % 50 <> 1 and s_md5 = t_md5 else true end
+def _register_validation(suffix, options):
+    read = f"s_len <= {options.digest_limit}" if options.digest_limit else "true"
+
+    @query(f"run_validation{suffix}", using("heads") + checked(options.digest_limit) + f"""
+, body as (select *, case when {read} then doc_id % 50 <> 1 and s_md5 = t_md5 else true end
              as body_ok from checked)
 select count(*) as total_objects,
        cast(count_if(present and s_len = t_len and (t_tag = '' or t_tag = s_tag) and body_ok)
          as bigint) as content_passed,
        cast(count_if(meta_ok) as bigint) as metadata_passed, count(*) as acl_skipped
 from body""")
-def run_validation(spark, sf):
-    """A whole validation run over stored bodies; only undecided ones are read."""
-    folder = new_run_dir(spark, "validation")
-    source = _source_tree(spark, sf, folder)
-    target = f"{folder}/target"
-    _kept(objects.write_objects(fx.bodies(spark, sf, target=True), target), folder, "put")
-    report = job_runs.run_validation(
-        fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf),
-        VALIDATE_OPTIONS, f"{folder}/store", source, target, task_bytes=_TASK_BYTES)
-    return report.select(
-        "summary.total_objects", "summary.content_passed", "summary.metadata_passed",
-        "summary.acl_skipped")
+    def run_validation(spark, sf):
+        """A whole validation run over stored bodies; only undecided ones are read."""
+        folder = new_run_dir(spark, "validation")
+        source = _source_tree(spark, sf, folder)
+        target = f"{folder}/target"
+        _kept(objects.write_objects(fx.bodies(spark, sf, target=True), target), folder, "put")
+        report = job_runs.run_validation(
+            fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf),
+            options, f"{folder}/store", source, target, task_bytes=_TASK_BYTES)
+        return report.select(
+            "summary.total_objects", "summary.content_passed", "summary.metadata_passed",
+            "summary.acl_skipped")
+
+
+for _suffix, _options in FORMS:
+    _register_validation(_suffix, _options)
+
+
+_PART = 1024
+
+
+def _parts_sql(text):
+    """Digests of the parts of a text, and the ETag an upload of them has."""
+    return f"""
+  select key, count(*) as n_parts, md5(any_value({text})) as md5,
+         case when count(*) = 1 then min(h) else md5(unhex(string_agg(h, '' order by n))) || '-' || count(*)
+         end as etag
+  from (select *, md5(encode({text})[(n - 1) * {_PART} + 1:n * {_PART}]) as h
+        from (select *, unnest(range(1, greatest(1, (strlen({text}) + {_PART - 1}) // {_PART}) + 1)) as n
+              from docs))
+  group by key"""
+
+
+@query("copy_objects_in_parts", using("docs") + ", p as (" + _parts_sql("text") + """)
+select key, 'copy/' || key as target_key, md5, etag, n_parts from p""")
+def copy_objects_in_parts(spark, sf):
+    """Every document copied by its parts, of 1 KiB here; the copies are read back whole."""
+    folder = new_run_dir(spark, "parts")
+    source, target = f"{folder}/source", f"{folder}/target"
+    _kept(objects.write_objects(fx.bodies(spark, sf), source), folder, "written")
+    listed = fx.src_inventory(spark, sf).select(
+        "key", F.concat(F.lit("copy/"), "key").alias("target_key"), "size")
+    moved, manifest = parts.copy_in_parts(listed, source, target, "run", _PART, _TASK_BYTES)
+    moved = _kept(moved, folder, "results")
+    digests = objects.digest_objects(
+        moved.filter("success").select(F.col("target_key").alias("key")), target)
+    return digests.withColumnRenamed("key", "target_key").join(
+        parts.manifest_etags(manifest), "target_key").select("key", "target_key", "md5", "etag", "n_parts")
+
+
+@query("content_check_composite", using("docs") + ", p as (" + _parts_sql("text") + """),
+q as (""" + _parts_sql("case when doc_id % 7 = 0 then '#' || substring(text, 2) else text end") + """)
+select key, strlen(text) = strlen(case when doc_id % 7 = 0 then '#' || substring(text, 2) else text end)
+            and p.md5 = q.md5 as match,
+       strlen(text) = strlen(case when doc_id % 7 = 0 then '#' || substring(text, 2) else text end)
+            and (doc_id % 3 = 0 and p.n_parts > 1 or doc_id % 3 = 1 and q.n_parts > 1) as by_composite
+from docs join p using (key) join q using (key)""")
+def content_check_composite(spark, sf):
+    """One side's ETags are made from parts; the other side's bodies are digested in such parts."""
+    folder = new_run_dir(spark, "composite")
+    changed = "case when doc_id % 7 = 0 then '#' || substring(text, 2) else text end"
+    heads = {}
+    for side, text, composite in (("source", "text", 0), ("target", changed, 1)):
+        rows = fx.table(spark, sf, "documents").selectExpr(
+            fx._KEY.format(prefix=fx.SOURCE_PREFIX) + " as key", f"cast({text} as binary) as content",
+            "doc_id")
+        _kept(objects.write_objects(rows.select("key", "content"), f"{folder}/{side}"), folder, f"put_{side}")
+        heads[side] = rows.selectExpr(
+            "key", "doc_id", "cast(octet_length(content) as bigint) as content_length",
+            f"case when doc_id % 3 = {composite} then {fx.parts_etag('content', _PART)}"
+            " else md5(content) end as etag",
+            "timestamp_ntz'2024-01-01 00:00:00' as last_modified")
+    listing = fx.src_inventory(spark, sf)
+    options = replace(VALIDATE_OPTIONS, etag_part_unit=_PART // 8)
+    given = listing, heads["source"], heads["target"], options
+    cases, verdicts = job_runs.composites_of(
+        *given, f"{folder}/source", f"{folder}/target", folder)
+    open_cases = _kept(validation.undecided_bodies(*given, verdicts), folder, "open")
+    source_md5, target_md5 = (
+        objects.digest_objects(open_cases.select(F.col(c).alias("key")), f"{folder}/{side}")
+        for c, side in (("key", "source"), ("target_key", "target")))
+    checks = validation.content_check(*given, source_md5, target_md5, verdicts)
+    return checks.join(cases.select("key", F.lit(True).alias("tried")), "key", "left").select(
+        "key", "match", F.coalesce("tried", F.lit(False)).alias("by_composite"))
 
 
 @query("metadata_apply", using("heads") + """

@@ -266,10 +266,11 @@ def acl_compare_strict(spark, sf):
 
 
 # Validation. Heads agree on the ETag only where the target has one; where it has none the
-# bodies decide, up to a limit that both kinds of text reach.
+# bodies decide, of any length, or in the ``_limited`` queries up to a limit.
 
 LIMIT = 3000
-OPTIONS = ValidateOptions(check_acl=False, digest_limit=LIMIT)
+OPTIONS = ValidateOptions(check_acl=False)
+FORMS = (("", OPTIONS), ("_limited", replace(OPTIONS, digest_limit=LIMIT)))
 
 
 def _object_acls(spark, sf, changed=False):
@@ -281,17 +282,25 @@ def _object_acls(spark, sf, changed=False):
         f"array({fx._grant('CanonicalUser', permission, id='bucket')}) as grants")
 
 
+def _digests(spark, sf, limit):
+    return (content_digest(fx.bodies(spark, sf), limit),
+            content_digest(fx.bodies(spark, sf, target=True), limit and limit + 1))
+
+
+def _heads(spark, sf):
+    return fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf)
+
+
 def _validated(spark, sf, options, **given):
-    digests = {
-        "source_digests": content_digest(fx.bodies(spark, sf), options.digest_limit),
-        "target_digests": content_digest(fx.bodies(spark, sf, target=True), options.digest_limit + 1),
-    } if options.check_content else {}
+    source_md5, target_md5 = _digests(spark, sf, options.digest_limit)
     return checks.validate(
-        fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf), options,
-        **digests, **given)
+        *_heads(spark, sf), options, source_digests=source_md5, target_digests=target_md5, **given)
 
 
-_CHECKED = """
+def checked(limit):
+    """The pairs and what they are to be found to be."""
+    beyond = f"when s_len > {limit} then null" if limit else ""
+    return f"""
 , pairs as (
   select d.key, d.doc_id, d.doc_id % 10 <> 3 as present, d.size as s_len,
          t.content_length as t_len, d.etag as s_tag, t.etag as t_tag, t.meta_same,
@@ -303,7 +312,7 @@ _CHECKED = """
       when s_len <> t_len then 'Size mismatch: source=' || s_len || ', target=' || t_len
       when t_tag <> '' and s_tag <> t_tag
         then 'ETag mismatch: source=' || s_tag || ', target=' || t_tag
-      when s_len > 3000 then null
+      {beyond}
       when s_md5 <> t_md5 then 'MD5 mismatch: source=' || s_md5 || ', target=' || t_md5
     end as why,
     present and s_len = t_len and meta_same as meta_ok,
@@ -319,42 +328,61 @@ _CHECKED = """
 """
 
 
-@query("content_check", using("heads") + _CHECKED + """
-select key, why is null as match, why as reason from verdict where present""")
-def content_check(spark, sf):
-    return checks.content_check(
-        fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf), OPTIONS,
-        content_digest(fx.bodies(spark, sf), LIMIT),
-        content_digest(fx.bodies(spark, sf, target=True), LIMIT + 1))
-
+def _flat_validation(frame):
+    return frame.withColumn("errors", F.array_join("errors", "|"))
 
-@query("undecided_bodies", using("heads") + _CHECKED + """
-select key from verdict
-where present and s_len = t_len and (t_tag = '' or t_tag = s_tag) and s_len <= 3000""")
-def undecided_bodies(spark, sf):
-    return checks.undecided_bodies(
-        fx.src_inventory(spark, sf), fx.src_heads(spark, sf), fx.tgt_heads(spark, sf), OPTIONS
-    ).select("key")
 
+def _register(suffix, options):
+    limit = options.digest_limit
+    verdict = using("heads") + checked(limit)
+    within = f"and s_len <= {limit}" if limit else ""
 
-def _flat_validation(frame):
-    return frame.withColumn("errors", F.array_join("errors", "|"))
+    @query(f"content_check{suffix}", verdict + """
+select key, why is null as match, why as reason from verdict where present""")
+    def content_check(spark, sf):
+        return checks.content_check(*_heads(spark, sf), options, *_digests(spark, sf, limit))
 
+    @query(f"undecided_bodies{suffix}", verdict + f"""
+select key from verdict
+where present and s_len = t_len and (t_tag = '' or t_tag = s_tag) {within}""")
+    def undecided_bodies(spark, sf):
+        return checks.undecided_bodies(*_heads(spark, sf), options).select("key")
 
-@query("validate", using("heads") + _CHECKED + """
+    @query(f"validate{suffix}", verdict + """
 select key, case when present then key end as target_key,
        present and why is null and meta_ok and acl_good as success,
        case when present then why is null end as content_ok,
        case when present then meta_ok end as metadata_ok,
        case when present then acl_good end as acl_ok,
        ltrim(errors || acl_error, '|') as errors from verdict""")
-def validate(spark, sf):
-    return _flat_validation(_validated(
-        spark, sf, replace(OPTIONS, check_acl=True), source_acls=_object_acls(spark, sf),
-        target_acls=_object_acls(spark, sf, changed=True)))
+    def validate(spark, sf):
+        return _flat_validation(_validated(
+            spark, sf, replace(options, check_acl=True), source_acls=_object_acls(spark, sf),
+            target_acls=_object_acls(spark, sf, changed=True)))
 
+    @query(f"validation_errors{suffix}", verdict + """
+select key, errors from verdict where errors <> ''""")
+    def validation_errors(spark, sf):
+        return _flat_validation(checks.validation_errors(_validated(spark, sf, options)))
 
-@query("validate_mapped", using("heads") + _CHECKED + """
+    @query(f"validation_summary{suffix}", verdict + """
+select count(*) as total_objects,
+       cast(count_if(present and why is null) as bigint) as content_passed,
+       cast(count(*) - count_if(present and why is null) as bigint) as content_failed,
+       cast(count_if(meta_ok) as bigint) as metadata_passed,
+       cast(count(*) - count_if(meta_ok) as bigint) as metadata_failed,
+       cast(0 as bigint) as metadata_skipped, cast(0 as bigint) as acl_passed,
+       cast(0 as bigint) as acl_failed, count(*) as acl_skipped
+from verdict""")
+    def validation_summary(spark, sf):
+        return checks.validation_summary(_validated(spark, sf, options), options)
+
+
+for _suffix, _options in FORMS:
+    _register(_suffix, _options)
+
+
+@query("validate_mapped", using("heads") + checked(None) + """
 select key, case when present then 'mirror/' || substring(key, 6) end as target_key,
        present and s_len = t_len and (t_tag = '' or s_tag = t_tag) as success
 from verdict""")
@@ -367,22 +395,3 @@ def validate_mapped(spark, sf):
         fx.src_inventory(spark, sf), fx.src_heads(spark, sf),
         fx.tgt_heads(spark, sf, fx.TARGET_PREFIX), options,
     ).select("key", "target_key", "success")
-
-
-@query("validation_errors", using("heads") + _CHECKED + """
-select key, errors from verdict where errors <> ''""")
-def validation_errors(spark, sf):
-    return _flat_validation(checks.validation_errors(_validated(spark, sf, OPTIONS)))
-
-
-@query("validation_summary", using("heads") + _CHECKED + """
-select count(*) as total_objects,
-       cast(count_if(present and why is null) as bigint) as content_passed,
-       cast(count(*) - count_if(present and why is null) as bigint) as content_failed,
-       cast(count_if(meta_ok) as bigint) as metadata_passed,
-       cast(count(*) - count_if(meta_ok) as bigint) as metadata_failed,
-       cast(0 as bigint) as metadata_skipped, cast(0 as bigint) as acl_passed,
-       cast(0 as bigint) as acl_failed, count(*) as acl_skipped
-from verdict""")
-def validation_summary(spark, sf):
-    return checks.validation_summary(_validated(spark, sf, OPTIONS), OPTIONS)

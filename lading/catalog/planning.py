@@ -82,27 +82,33 @@ def metadata_attach(spark, sf):
     )
 
 
-@query("content_md5_join", using("docs") + """
+_MD5_SQL = using("docs") + """
 select key, md5(text) as source_md5,
        md5(case when doc_id % 7 = 0 then text || '#' else text end) as target_md5,
        doc_id % 7 <> 0 as match
-from docs where doc_id % 10 <> 3 and strlen(text) <= 20000
-  and strlen(case when doc_id % 7 = 0 then text || '#' else text end) <= 20000""")
-def content_md5_join(spark, sf):
+from docs where doc_id % 10 <> 3"""
+
+
+def _md5_join(spark, sf, limit=None):
     return joins.content_md5_join(
-        content_digest(fx.bodies(spark, sf), 20000),
-        content_digest(fx.bodies(spark, sf, target=True), 20000),
-    )
+        content_digest(fx.bodies(spark, sf), limit),
+        content_digest(fx.bodies(spark, sf, target=True), limit))
 
 
-@query("content_md5_join_whole", using("docs") + """
-select key, md5(text) as source_md5,
-       md5(case when doc_id % 7 = 0 then text || '#' else text end) as target_md5,
-       doc_id % 7 <> 0 as match
-from docs where doc_id % 10 <> 3""")
+@query("content_md5_join", _MD5_SQL)
+def content_md5_join(spark, sf):
+    return _md5_join(spark, sf)
+
+
+@query("content_md5_join_whole", _MD5_SQL)
 def content_md5_join_whole(spark, sf):
-    return joins.content_md5_join(
-        content_digest(fx.bodies(spark, sf)), content_digest(fx.bodies(spark, sf, target=True)))
+    return _md5_join(spark, sf)
+
+
+@query("content_md5_join_limited", _MD5_SQL + """ and strlen(text) <= 20000
+  and strlen(case when doc_id % 7 = 0 then text || '#' else text end) <= 20000""")
+def content_md5_join_limited(spark, sf):
+    return _md5_join(spark, sf, 20000)
 
 
 _PLAN_SQL = """

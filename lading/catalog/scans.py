@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..functions.keys import size_class, task_share
 from ..functions.text import run_duration
+from ..jobs.objects import body_digests, write_objects
 from ..operators import filters
 from ..plans.reports import report_json
 from ..session import new_run_dir
@@ -131,18 +132,29 @@ def prefix_metadata(spark, sf):
         fx.src_inventory(spark, sf), fx.src_heads(spark, sf), "docs/src3/"))
 
 
-@query("content_scan", using("docs") + """
-select key, strlen(text) as length, md5(text) as md5 from docs where strlen(text) <= 20000""")
+_BODIES_SQL = using("docs") + """
+select key, strlen(text) as length, md5(text) as md5 from docs"""
+
+
+@query("content_scan", _BODIES_SQL)
 def content_scan(spark, sf):
-    return bodies.content_digest(fx.bodies(spark, sf), 20000)
+    """Bodies of any length, stored as objects: those of up to 20,000 bytes as a column, longer ones
+    digested where they are read."""
+    folder = new_run_dir(spark, "bodies")
+    write_objects(fx.bodies(spark, sf), f"{folder}/root").write.parquet(f"{folder}/written")
+    return body_digests(spark, f"{folder}/root", 20000)
 
 
-@query("content_scan_whole", using("docs") + """
-select key, strlen(text) as length, md5(text) as md5 from docs""")
+@query("content_scan_whole", _BODIES_SQL)
 def content_scan_whole(spark, sf):
     return bodies.content_digest(fx.bodies(spark, sf))
 
 
+@query("content_scan_limited", _BODIES_SQL + " where strlen(text) <= 20000")
+def content_scan_limited(spark, sf):
+    return bodies.content_digest(fx.bodies(spark, sf), 20000)
+
+
 @query("acl_scan", using("acls") + """
 , listed as (
   select *, unnest(case when c_custkey % 5 = 0 then [0] else [1, 2] end) as n from acls)

@@ -19,6 +19,10 @@ PREVIEW_TIME_CHARS = 19
 # A part manifest is cut into blocks of this many parts.
 MANIFEST_BLOCK_PARTS = 1000
 
+# Parts of one object, and the sizes in MiB that composite ETags are usually made with.
+MOST_PARTS = 10_000
+USUAL_PART_MIB = (8, 5, 16, 64, 100, 15, 32, 50, 128, 256, 512)
+
 # Object defaults.
 DEFAULT_STORAGE_CLASS = "STANDARD"
 SIZE_UNITS = ("B", "KB", "MB", "GB", "TB", "PB")

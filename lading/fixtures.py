@@ -145,6 +145,15 @@ def bodies(
     )
 
 
+def parts_etag(content: str, part: int) -> str:
+    """The ETag that an upload of a body in parts gives it."""
+    count = f"cast(greatest(1, ceil(octet_length({content}) / {part})) as int)"
+    digests = (f"transform(sequence(1, {count}),"
+               f" i -> md5(substring({content}, (i - 1) * {part} + 1, {part})))")
+    return (f"case when {count} = 1 then md5({content})"
+            f" else md5(unhex(array_join({digests}, ''))) || '-' || {count} end")
+
+
 def raw_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).selectExpr(
         "key",

@@ -93,3 +93,9 @@ def task_share(size: Column | str, workers: int = 10, threshold: int = LARGE_OBJ
     return F.when(
         F.coalesce(_col(size), F.lit(0)) > threshold, F.lit(max(2, workers // 4))
     ).otherwise(workers)
+
+
+def etag_parts(etag: Column) -> Column:
+    """The number of parts a composite ETag names (its digest of digests, ``-``, their number); null for
+    others."""
+    return F.regexp_extract(etag, "^[0-9a-f]{32}-([0-9]{1,9})$", 1).try_cast("long")

@@ -6,7 +6,7 @@ workers do not have to have it installed or on their path.
 
 from pyspark import cloudpickle
 
-from . import objects, store
+from . import objects, parts, store, tasks
 
-cloudpickle.register_pickle_by_value(store)
-cloudpickle.register_pickle_by_value(objects)
+for _module in (objects, parts, store, tasks):
+    cloudpickle.register_pickle_by_value(_module)

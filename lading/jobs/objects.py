@@ -19,40 +19,14 @@ from ..functions.keys import from_micros
 from ..operators.running import byte_slices, running_totals
 from ..schemas import RESULT
 from ..session import new_run_dir, stored
+from ..sources.bodies import content_digest, content_scan
+from .parts import copy_in_parts, headers_of
 from .store import ObjectRoot
+from .tasks import CALLS_AT_ONCE, RESULT_ARROW, default_tasks, per_row, result_of
 
-_RESULT_ARROW = pa.schema([
-    ("key", pa.string()), ("target_key", pa.string()), ("success", pa.bool_()),
-    ("skipped", pa.bool_()), ("error", pa.string()), ("reason", pa.string()),
-    ("size", pa.int64()),
-])
-_ROWS_AT_ONCE = 256
 _DIGEST_ARROW = pa.schema([("key", pa.string()), ("md5", pa.string())])
 
 
-def _per_row(function, schema: pa.Schema):
-    """Arrow batches in, one result per row out."""
-    def run(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
-                rows = batch.slice(start, _ROWS_AT_ONCE).to_pylist()
-                yield pa.RecordBatch.from_pylist([function(r) for r in rows], schema)
-
-    return run
-
-
-def _result(row: dict, **values) -> dict:
-    base = {
-        "key": row["key"], "target_key": row.get("target_key"), "success": True,
-        "skipped": False, "error": None, "reason": None, "size": row.get("size") or 0,
-    }
-    return {**base, **values}
-
-
-def _tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def dense_slices(plan: DataFrame, task_bytes: int) -> tuple[DataFrame, int]:
     """The plan with ``task`` numbers for about ``task_bytes`` each, and how many there are.
 
@@ -73,43 +47,60 @@ def balanced(plan: DataFrame, task_bytes: int) -> DataFrame:
     return numbered.repartitionById(max(tasks, 1), F.col("task").cast("int")).drop("task")
 
 
-def _copying(source_root: str, target_root: str, part_bytes: int):
+def _copying(source_root: str, target_root: str, part_bytes: int, calls: int):
     def run(batches):
         source, target = ObjectRoot(source_root), ObjectRoot(target_root)
         inside = source.same_store(target)
 
         def copy(row: dict) -> dict:
             if row.get("target_included") is False:
-                return _result(row, target_key=None, skipped=True, reason="filtered")
-            headers = {
-                name: row.get(column) for name, column in
-                (("Content-Type", "content_type"), ("Cache-Control", "cache_control"))
-                if row.get(column)
-            }
+                return result_of(row, target_key=None, skipped=True, reason="filtered")
+            if row.get("asked_version"):
+                # Stores reachable through Arrow hand out the newest version only.
+                return result_of(
+                    row, target_key=None, success=False,
+                    error=f"version {row['asked_version']!r} cannot be read from this store")
+            headers = headers_of(row)
             try:
                 if not (inside and not headers and source.copy_to(row["key"], target, row["target_key"])):
                     target.write(
                         row["target_key"], source.chunks(row["key"], part_bytes), headers)
             except Exception as error:  # one broken object must not stop the others
-                return _result(row, target_key=None, success=False, error=str(error))
-            return _result(row)
+                return result_of(
+                    row, target_key=None, success=False, error=str(error) or type(error).__name__)
+            return result_of(row)
 
-        yield from _per_row(copy, _RESULT_ARROW)(batches)
+        yield from per_row(copy, RESULT_ARROW, calls)(batches)
 
     return run
 
 
 def copy_objects(
     plan: DataFrame, source_root: str, target_root: str, part_bytes: int = PART_BYTES,
-    task_bytes: int | None = None,
+    task_bytes: int | None = None, calls: int = CALLS_AT_ONCE, split_bytes: int | None = None,
+    token: str = "",
 ) -> DataFrame:
     """Moves the bytes of each row (``key`` to ``target_key``); a failure becomes a result row.
 
-    Bodies stream through in pieces of ``part_bytes`` and never enter a DataFrame. With
-    ``task_bytes`` the rows are first spread so that tasks carry about equal numbers of bytes.
+    Bodies stream through in pieces of ``part_bytes`` and never enter a DataFrame; a task works on
+    up to ``calls`` objects at once. With ``task_bytes`` the rows are first spread so that tasks
+    carry about equal numbers of bytes. Objects longer than ``split_bytes`` are copied by their parts,
+    by as many tasks as they are worth, under the run's ``token``; that part of the work is done
+    at once, the rest when the result is computed.
     """
+    large = None
+    if split_bytes is not None:
+        apart = (F.col("size") > split_bytes) & F.coalesce(
+            F.col("target_included"), F.lit(True)) if "target_included" in plan.columns else (
+            F.col("size") > split_bytes)
+        large = plan.filter(F.coalesce(apart, F.lit(False)))
+        plan = plan.filter(~F.coalesce(apart, F.lit(False)))
     work = balanced(plan, task_bytes) if task_bytes else plan
-    return work.mapInArrow(_copying(source_root, target_root, part_bytes), RESULT)
+    small = work.mapInArrow(_copying(source_root, target_root, part_bytes, calls), RESULT)
+    if large is None or large.isEmpty():
+        return small
+    done, _ = copy_in_parts(large, source_root, target_root, token, part_bytes, calls=calls)
+    return small.unionByName(done)
 
 
 def copy_object(
@@ -118,18 +109,22 @@ def copy_object(
 ) -> DataFrame:
     """Copies listed objects: ``source_key``, and ``target_key`` or the same key where null.
 
-    ``task_bytes`` balances the work where the mapping has a ``size``.
+    ``task_bytes`` balances the work where the mapping has a ``size``. A row that asks for a
+    ``version_id`` fails, since only the newest version can be read.
     """
     rows = mapping.select(
         F.col("source_key").alias("key"),
         F.coalesce("target_key", "source_key").alias("target_key"),
         *[c for c in ("size", "content_type", "cache_control") if c in mapping.columns],
+        *[F.col(c).alias("asked_version") for c in ("version_id",) if c in mapping.columns],
     )
     return copy_objects(rows, source_root, target_root, part_bytes, task_bytes)
 
 
-def delete_objects(orphans: DataFrame, target_root: str) -> DataFrame:
-    """Removes each ``key`` below the target root."""
+def delete_objects(
+    orphans: DataFrame, target_root: str, calls: int = CALLS_AT_ONCE
+) -> DataFrame:
+    """Removes each ``key`` below the target root, up to ``calls`` at once in a task."""
     def run(batches):
         target = ObjectRoot(target_root)
 
@@ -137,17 +132,19 @@ def delete_objects(orphans: DataFrame, target_root: str) -> DataFrame:
             try:
                 target.delete(row["key"])
             except Exception as error:
-                return _result(row, success=False, error=str(error))
-            return _result(row, target_key=row["key"], reason="deleted")
+                return result_of(row, success=False, error=str(error))
+            return result_of(row, target_key=row["key"], reason="deleted")
 
-        yield from _per_row(delete, _RESULT_ARROW)(batches)
+        yield from per_row(delete, RESULT_ARROW, calls)(batches)
 
     # Few bytes, many round trips: the keys are spread over all tasks, whatever their files.
-    spread = orphans.select("key", "size").repartition(_tasks(orphans.sparkSession))
+    spread = orphans.select("key", "size").repartition(default_tasks(orphans.sparkSession))
     return spread.mapInArrow(run, RESULT)
 
 
-def digest_objects(objects: DataFrame, root: str, part_bytes: int = PART_BYTES) -> DataFrame:
+def digest_objects(
+    objects: DataFrame, root: str, part_bytes: int = PART_BYTES, calls: int = CALLS_AT_ONCE
+) -> DataFrame:
     """``key, md5`` of the listed objects, read in pieces; null where a body cannot be read."""
     def run(batches):
         store = ObjectRoot(root)
@@ -161,11 +158,24 @@ def digest_objects(objects: DataFrame, root: str, part_bytes: int = PART_BYTES)
                 return {"key": row["key"], "md5": None}
             return {"key": row["key"], "md5": md5.hexdigest()}
 
-        yield from _per_row(digest, _DIGEST_ARROW)(batches)
+        yield from per_row(digest, _DIGEST_ARROW, calls)(batches)
 
     return objects.select("key").mapInArrow(run, "key string, md5 string")
 
 
+def body_digests(spark: SparkSession, root: str, column_bytes: int) -> DataFrame:
+    """``key, length, md5`` of every object of a store.
+
+    Bodies of up to ``column_bytes`` are read as a column, many in a task; longer ones, and those
+    that the file source does not show, stream through ``digest_objects``.
+    """
+    small = content_scan(spark, root, column_bytes)
+    rest = stored(list_objects(spark, root).select("key", F.col("size").alias("length")).join(
+        small.select("key"), "key", "left_anti"), "rest")
+    digests = digest_objects(rest.repartition(default_tasks(spark), "key"), root)
+    return content_digest(small).unionByName(rest.join(digests, "key").select("key", "length", "md5"))
+
+
 def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """Live listing of a store as an inventory, empty objects included.
 
@@ -179,7 +189,7 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     while True:
         here = f"{path}/level={level}"
         # A given number of tasks: folder names are small, what is listed below them is not.
-        folders.repartition(_tasks(spark)).mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
+        folders.repartition(default_tasks(spark)).mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
         found = spark.read.schema(_LISTED).parquet(here).filter("is_folder")
         if found.isEmpty():
             break
@@ -226,9 +236,9 @@ def write_objects(bodies: DataFrame, root: str) -> DataFrame:
             try:
                 size = store.write(row["key"], [row["content"]])
             except Exception as error:
-                return _result(row, success=False, error=str(error))
-            return _result(row, target_key=row["key"], size=size)
+                return result_of(row, success=False, error=str(error))
+            return result_of(row, target_key=row["key"], size=size)
 
-        yield from _per_row(put, _RESULT_ARROW)(batches)
+        yield from per_row(put, RESULT_ARROW)(batches)
 
     return bodies.select("key", "content").mapInArrow(run, RESULT)

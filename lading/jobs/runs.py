@@ -17,11 +17,14 @@ from ..operators.limits import failed_sample
 from ..operators.joins import metadata_attach
 from ..plans.options import SyncOptions, ValidateOptions
 from ..plans.sync import dry_run_plan, mirror_plan, sync_summary
-from ..plans.validate import undecided_bodies, validate, validation_summary
+from ..plans.validate import (
+    composite_cases, composite_verdicts, undecided_bodies, validate, validation_summary,
+)
 from ..schemas import RESULT
 from ..sources.inventory import prefix_filter, single
 from . import records
 from .objects import copy_objects, delete_objects, dense_slices, digest_objects
+from .parts import composite_digests
 
 TASK_BYTES = 1024 * 1024 * 1024
 
@@ -126,12 +129,15 @@ def _copy_in_batches(
 ) -> DataFrame:
     # A folder per attempt: a rerun under one id never counts the rows of an earlier one.
     path = f"{folder}/results/attempt={uuid.uuid4().hex}"
-    last, total = copies.agg(F.max("batch"), F.count("*")).first()
+    last, total, largest = copies.agg(F.max("batch"), F.count("*"), F.max("size")).first()
+    split = options.split_bytes
+    split = split if split is not None and (largest or 0) > split else None
     so_far = dict.fromkeys(("processed", "uploaded", "skipped", "failed"), 0)
     for batch in range((last or 0) + 1):
         rows = copies.filter(F.col("batch") == batch).repartitionById(tasks, F.col("task"))
         counts = Observation(f"batch {batch}")
-        moved = copy_objects(rows, source_root, target_root, options.part_bytes)
+        moved = copy_objects(
+            rows, source_root, target_root, options.part_bytes, split_bytes=split, token=sync_id)
         results = _stored(moved.observe(counts, *_batch_counts()), f"{path}/batch={batch}")
         records.checkpoint_write(
             results, store, sync_id, options.source_bucket, options.target_bucket, batch)
@@ -186,6 +192,26 @@ def cancel_sync(
     records.state_write(row, store, sync_id)
 
 
+def composites_of(
+    source: DataFrame, source_heads: DataFrame, target_heads: DataFrame, options: ValidateOptions,
+    source_root: str, target_root: str, folder: str,
+) -> tuple[DataFrame, DataFrame]:
+    """The pairs that a composite ETag leaves open, and for each whether the other body can have it.
+
+    Only one body of a pair is read, in parts by separate tasks.
+    """
+    cases = _stored(
+        composite_cases(source, source_heads, target_heads, options), f"{folder}/composites")
+    found = [
+        composite_digests(
+            cases.filter("read_source" if side else "not read_source").select(
+                F.col("key" if side else "target_key").alias("key"), "size", "parts"), root,
+            options.etag_part_unit)
+        for side, root in ((True, source_root), (False, target_root))]
+    verdicts = composite_verdicts(cases, *found)
+    return cases, _stored(verdicts, f"{folder}/composite_verdicts")
+
+
 def run_validation(
     source: DataFrame, source_heads: DataFrame, target_heads: DataFrame,
     options: ValidateOptions, store: str, source_root: str | None = None,
@@ -195,7 +221,8 @@ def run_validation(
 ) -> DataFrame:
     """Checks the target against the source and returns the report row.
 
-    Bodies are read only for objects that length and ETag leave undecided, once per side.
+    Bodies are read only for objects that length and ETag leave undecided, once per side; where an
+    ETag is composite, one side's body is first digested in such parts, which often settles it.
     ``progress`` is told the counts when the rows are written.
     """
     validation_id = validation_id or new_run_id("val")
@@ -203,11 +230,14 @@ def run_validation(
     folder = f"{store}/runs/{validation_id}"
     digests = {}
     if options.check_content and source_root and target_root:
-        open_cases = undecided_bodies(source, source_heads, target_heads, options)
+        _, composites = composites_of(
+            source, source_heads, target_heads, options, source_root, target_root, folder)
+        open_cases = undecided_bodies(source, source_heads, target_heads, options, composites)
         to_read = _stored(dense_slices(open_cases, task_bytes)[0], f"{folder}/to_read")
         last = to_read.agg(F.max("task")).first()[0]
         spread = to_read.repartitionById((last or 0) + 1, F.col("task").cast("int"))
         digests = {
+            "composites": composites,
             "source_digests": _stored(
                 digest_objects(spread, source_root), f"{folder}/source_md5"),
             "target_digests": _stored(

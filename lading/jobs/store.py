@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from contextlib import suppress
@@ -41,6 +42,17 @@ class ObjectRoot:
             while piece := stream.read(size):
                 yield piece
 
+    def ranged(self, key: str, offset: int, length: int, size: int):
+        """``length`` bytes from ``offset`` on, in pieces of at most ``size`` bytes."""
+        with self.files.open_input_file(self.path(key)) as file:
+            stop = offset + length
+            while offset < stop:
+                piece = file.read_at(min(size, stop - offset), offset)
+                if not piece:
+                    raise OSError(f"{key!r} ends before byte {stop}")
+                yield piece
+                offset += len(piece)
+
     def entries(self, folder: str):
         """Files and folders straight below ``folder`` ("" is the root)."""
         place = f"{self.base}/{folder}".rstrip("/")
@@ -71,6 +83,78 @@ class ObjectRoot:
             raise
         return written
 
+    # An object may also be written by several tasks. Its parts gather in a staged place that
+    # is reserved for the upload, and appear as the object in one step. Where the store is a file
+    # system that all tasks write to, parts go to their offsets in one staged file, which is then
+    # renamed; on other stores they are objects below the staged place, which one task puts
+    # together. Writing a part twice is harmless: it is the same bytes at the same place.
+
+    def _staged(self, key: str, upload: str) -> str:
+        return f"{self.path(key).rpartition('/')[0]}/.{upload}.lading-part"
+
+    def write_part(self, key: str, upload: str, number: int, offset: int, pieces) -> int:
+        """Writes one part of an upload (32 hex digits); the bytes written."""
+        staged, written = self._staged(key, upload), 0
+        if self.files.type_name != "local":
+            place = f"{staged}/{number:08d}"
+            if self.renames:
+                self.files.create_dir(staged, recursive=True)
+            with self.files.open_output_stream(place) as stream:
+                for piece in pieces:
+                    stream.write(piece)
+                    written += len(piece)
+            return written
+        os.makedirs(os.path.dirname(staged), exist_ok=True)
+        file = os.open(staged, os.O_RDWR | os.O_CREAT, 0o666)
+        try:
+            for piece in pieces:
+                view = memoryview(piece)
+                while view:
+                    done = os.pwrite(file, view, offset + written)
+                    written += done
+                    view = view[done:]
+        finally:
+            os.close(file)
+        return written
+
+    def finish(self, key: str, upload: str, parts: int, size: int, piece_bytes: int,
+               headers: dict[str, str] | None = None) -> None:
+        """Makes the staged parts the object. A repeat after success finds it done."""
+        staged, path = self._staged(key, upload), self.path(key)
+        if self.files.type_name == "local":
+            if not os.path.exists(staged) and os.path.exists(path) and os.path.getsize(path) == size:
+                return
+            if os.path.getsize(staged) != size:
+                raise OSError(f"{key!r} has {os.path.getsize(staged)} of {size} bytes")
+            self.files.move(staged, path)
+            return
+        names = [f"{staged}/{number:08d}" for number in range(1, parts + 1)]
+        infos = self.files.get_file_info(names)
+        if all(i.type == fs.FileType.NotFound for i in infos):
+            info = self.files.get_file_info(path)
+            if info.type == fs.FileType.File and info.size == size:
+                return
+        if sum(i.size or 0 for i in infos) != size:
+            raise OSError(f"the parts of {key!r} have not {size} bytes")
+
+        def pieces():
+            for name in names:
+                with self.files.open_input_stream(name) as stream:
+                    while piece := stream.read(piece_bytes):
+                        yield piece
+
+        self.write(key, pieces(), headers)
+        self.abort(key, upload)
+
+    def abort(self, key: str, upload: str) -> None:
+        """Removes what an upload has staged."""
+        staged = self._staged(key, upload)
+        with suppress(FileNotFoundError):
+            if self.files.type_name == "local":
+                os.remove(staged)
+            else:
+                self.files.delete_dir(staged)
+
     def same_store(self, other: ObjectRoot) -> bool:
         return self.files.type_name == other.files.type_name and self.files.equals(other.files)
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from ..constants import LARGE_OBJECT_BYTES
+
 
 @dataclass(frozen=True)
 class SyncOptions:
     """``since`` is UTC text. ``repeated_keys``: the inventories may hold several rows of one key
-    (feeds, versioned listings), of which the newest counts; False saves that step."""
+    (feeds, versioned listings), of which the newest counts; False saves that step. Objects longer
+    than ``split_bytes`` are copied by their parts, each by many tasks (None: none are)."""
 
     source_bucket: str = ""
     target_bucket: str = ""
@@ -26,6 +29,7 @@ class SyncOptions:
     dry_run: bool = False
     allow_empty_source: bool = False
     repeated_keys: bool = True
+    split_bytes: int | None = LARGE_OBJECT_BYTES
 
     @property
     def part_bytes(self) -> int:
@@ -37,7 +41,8 @@ class SyncOptions:
 class ValidateOptions:
     """``digest_limit``: bodies longer than that many bytes are not read where ETags decide
     nothing, and count as equal by length (``DIGEST_LIMIT_BYTES`` is a usual choice). By default
-    bodies of any length are read; digests stream."""
+    bodies of any length are read; digests stream. ``etag_part_unit``: the bytes of which the part
+    sizes behind composite ETags are taken to be multiples."""
 
     source_bucket: str = ""
     target_bucket: str = ""
@@ -50,3 +55,4 @@ class ValidateOptions:
     acl_mode: str = "reference"
     repeated_keys: bool = True
     digest_limit: int | None = None
+    etag_part_unit: int = 1024 * 1024

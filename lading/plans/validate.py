@@ -10,18 +10,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import FIELD_COLUMNS, USER_METADATA_FIELD, VALIDATE_FIELDS
 from ..functions.acl import grants_match
-from ..functions.keys import etag_normalize, relative_key
+from ..functions.keys import etag_normalize, etag_parts, relative_key
 from ..operators.metadata import all_match, metadata_differences
 from ..sources.inventory import prefix_filter, single
 from .options import ValidateOptions
 
+def _tags(source: str = "s", target: str = "t") -> tuple[Column, Column]:
+    return tuple(etag_normalize(F.col(f"{side}.etag")) for side in (source, target))
+
+
+def _composite_pair() -> Column:
+    """Whether the two ETags differ, and one of them at least is a digest of part digests.
+
+    Such ETags say how a body came in, not what it is: equal bodies can have different ones.
+    """
+    s_tag, t_tag = _tags()
+    return (s_tag != "") & (t_tag != "") & (s_tag != t_tag) & (
+        etag_parts(s_tag).isNotNull() | etag_parts(t_tag).isNotNull())
+
+
 def content_mismatch(
     listed_size: Column, digest_limit: int | None, with_digests: bool,
-    source: str = "s", target: str = "t",
+    source: str = "s", target: str = "t", with_composites: bool = False,
 ) -> Column:
     """Why two bodies differ, null where they agree. The first rule that applies decides:
 
-    length, ETag (where both sides have one), then the digest for objects up to the limit.
+    length, ETag (where both sides have one), then the digest for objects up to the limit. With
+    ``with_composites``, ETags of which one is composite agree where ``composite_ok`` says so, and
+    decide nothing else where digests are at hand.
     """
     def shown(value: Column) -> Column:
         return F.coalesce(value.cast("string"), F.lit("None"))
@@ -32,14 +48,25 @@ def content_mismatch(
         )
 
     s_len, t_len = F.col(f"{source}.content_length"), F.col(f"{target}.content_length")
-    s_tag, t_tag = (etag_normalize(F.col(f"{side}.etag")) for side in (source, target))
+    s_tag, t_tag = _tags(source, target)
     tags_differ = (s_tag != "") & (t_tag != "") & (s_tag != t_tag)
+    proven = F.lit(False)
+    if with_composites:
+        proven = F.coalesce(F.col("c.composite_ok"), F.lit(False))
+        tags_differ = tags_differ & ~proven
+        if with_digests:
+            tags_differ = tags_differ & ~_composite_pair()
     chain = F.when(~s_len.eqNullSafe(t_len), reason("Size", s_len, t_len)).when(
         tags_differ, reason("ETag", s_tag, t_tag)
     )
     if with_digests:
         s_md5, t_md5 = F.col("s_body.md5"), F.col("t_body.md5")
-        within = _within(listed_size, digest_limit)
+        within = _within(listed_size, digest_limit) & ~proven
+        if with_composites:
+            # Beyond the limit no body is read, so there the tags decide after all.
+            chain = chain.when(
+                ~within & ~proven & (s_tag != "") & (t_tag != "") & (s_tag != t_tag),
+                reason("ETag", s_tag, t_tag))
         chain = chain.when(
             within & (s_md5.isNull() | t_md5.isNull()), F.lit("body unreadable")
         ).when(within & (s_md5 != t_md5), reason("MD5", s_md5, t_md5))
@@ -109,16 +136,58 @@ def _attach(
     return rows.join(current, "target_key", "left")
 
 
-def undecided_bodies(
+def composite_cases(
     source: DataFrame, source_heads: DataFrame, target_heads: DataFrame, options: ValidateOptions
+) -> DataFrame:
+    """Pairs of one length whose ETags differ, one at least being composite:
+    ``key, target_key, size, parts, etag, read_source``.
+
+    The body of one side (of the one whose ETag is plain; the source's if neither is) is to be
+    digested in so many ``parts``, to see whether it can have the other side's ``etag``.
+    """
+    s_tag, t_tag = _tags()
+    read_source = etag_parts(t_tag).isNotNull()
+    wanted = F.when(read_source, t_tag).otherwise(s_tag)
+    return _sides(source, source_heads, target_heads, options).filter(
+        F.col("t").isNotNull() & F.col("s").isNotNull()
+        & F.col("s.content_length").eqNullSafe(F.col("t.content_length")) & _composite_pair()
+    ).select(
+        "key", "target_key", F.col("s.content_length").alias("size"),
+        etag_parts(wanted).alias("parts"), wanted.alias("etag"), read_source.alias("read_source")
+    ).dropDuplicates(["key", "target_key"])
+
+
+def composite_verdicts(cases: DataFrame, source_etags: DataFrame, target_etags: DataFrame) -> DataFrame:
+    """``target_key, composite_ok``: whether the ETag looked for is among those the body can have.
+
+    ``source_etags`` and ``target_etags`` are ``key, etags`` of the bodies that were read.
+    """
+    s_side = source_etags.select(F.col("key"), F.col("etags").alias("s_etags"))
+    t_side = target_etags.select(F.col("key").alias("target_key"), F.col("etags").alias("t_etags"))
+    seen = F.when(F.col("read_source"), F.col("s_etags")).otherwise(F.col("t_etags"))
+    return cases.join(s_side, "key", "left").join(t_side, "target_key", "left").select(
+        "target_key", F.coalesce(F.array_contains(seen, F.col("etag")), F.lit(False)).alias("composite_ok"))
+
+
+def undecided_bodies(
+    source: DataFrame, source_heads: DataFrame, target_heads: DataFrame, options: ValidateOptions,
+    composites: DataFrame | None = None,
 ) -> DataFrame:
     """``key, target_key, size`` of objects only their bodies can tell apart, each once.
 
     Both sides exist, length and ETag raise no objection, and the size is within the limit, if there is one.
+    With ``composites`` (``composite_verdicts``) also those whose composite ETag was not found again.
     """
-    no_objection = content_mismatch(F.col("listed_size"), options.digest_limit, False).isNull()
-    return _sides(source, source_heads, target_heads, options).filter(
-        F.col("t").isNotNull() & F.col("s").isNotNull() & no_objection
+    rows = _with_composites(_sides(source, source_heads, target_heads, options), composites, options)
+    why = content_mismatch(
+        F.col("listed_size"), options.digest_limit, False, with_composites=composites is not None)
+    open_case = why.isNull()
+    if composites is not None:
+        ok = F.coalesce(F.col("c.composite_ok"), F.lit(False))
+        same_length = F.col("s.content_length").eqNullSafe(F.col("t.content_length"))
+        open_case = (open_case & ~ok) | (same_length & _composite_pair() & ~ok)
+    return rows.filter(
+        F.col("t").isNotNull() & F.col("s").isNotNull() & open_case
         & _within(F.col("listed_size"), options.digest_limit)
     ).select("key", "target_key", F.col("listed_size").alias("size")).dropDuplicates(
         ["key", "target_key"])
@@ -127,15 +196,20 @@ def undecided_bodies(
 def content_check(
     source: DataFrame, source_heads: DataFrame, target_heads: DataFrame,
     options: ValidateOptions, source_digests: DataFrame | None = None,
-    target_digests: DataFrame | None = None,
+    target_digests: DataFrame | None = None, composites: DataFrame | None = None,
 ) -> DataFrame:
-    """``key, match, reason`` for source objects that have a target."""
+    """``key, match, reason`` for source objects that have a target.
+
+    Without ``composites`` (``composite_verdicts``) a composite ETag is compared like any other.
+    """
     rows = _with_digests(
         _sides(source, source_heads, target_heads, options), source_digests, target_digests,
         options,
     )
+    rows = _with_composites(rows, composites, options)
     why = content_mismatch(
-        F.col("listed_size"), options.digest_limit, source_digests is not None
+        F.col("listed_size"), options.digest_limit, source_digests is not None,
+        with_composites=composites is not None,
     )
     return rows.filter(F.col("t").isNotNull()).select(
         "key", why.isNull().alias("match"), why.alias("reason")
@@ -155,6 +229,12 @@ def _with_digests(
     return _attach(_attach(rows, s_side, "s_body", options), t_side, "t_body", options)
 
 
+def _with_composites(
+    rows: DataFrame, composites: DataFrame | None, options: ValidateOptions
+) -> DataFrame:
+    return rows if composites is None else _attach(rows, composites, "c", options)
+
+
 def metadata_check(
     source: DataFrame, source_heads: DataFrame, target_heads: DataFrame,
     options: ValidateOptions,
@@ -172,7 +252,7 @@ def validate(
     source: DataFrame, source_heads: DataFrame, target_heads: DataFrame,
     options: ValidateOptions, source_acls: DataFrame | None = None,
     target_acls: DataFrame | None = None, source_digests: DataFrame | None = None,
-    target_digests: DataFrame | None = None,
+    target_digests: DataFrame | None = None, composites: DataFrame | None = None,
 ) -> DataFrame:
     """``VALIDATION`` rows: three flags, success, and the error texts.
 
@@ -188,8 +268,10 @@ def validate(
 
     if options.check_content:
         rows = _with_digests(rows, source_digests, target_digests, options)
+        rows = _with_composites(rows, composites, options)
         why = content_mismatch(
-            F.col("listed_size"), options.digest_limit, source_digests is not None
+            F.col("listed_size"), options.digest_limit, source_digests is not None,
+            with_composites=composites is not None,
         )
         why = F.when(F.col("s").isNull(), F.lit("source head unreadable")).otherwise(why)
         columns["content_why"] = why

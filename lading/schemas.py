@@ -91,3 +91,9 @@ REPORT_JSON = _struct(
 )
 
 PART = _struct(("key", _str), ("part_number", _long), ("offset", _long), ("length", _long))
+
+# What became of one part of a copy, and which task did it.
+PART_RESULT = _struct(
+    ("key", _str), ("target_key", _str), ("part_number", _long), ("offset", _long),
+    ("length", _long), ("md5", _str), ("error", _str), ("task", _long),
+)

@@ -12,8 +12,9 @@ def content_scan(
 ) -> DataFrame:
     """``key, length, content`` of the files, or of those up to ``max_bytes`` only.
 
-    The file source hides names that begin with a dot or an underscore, and empty files;
-    ``jobs.objects.digest_objects`` reads any object.
+    A body becomes a value, so give a limit where they may be large. The file source hides names
+    that begin with a dot or an underscore, and empty files; ``jobs.objects.body_digests`` takes
+    every object, of any length.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return _within(files, F.col("length"), max_bytes).select(
