@@ -48,9 +48,9 @@ from .words import pieces
 MAGIC = b"LTOKENS1"
 FORMAT = 1
 FILE_BYTES = 1 << 25
-SPLIT = 1 << 21
+SPLIT = 1 << 23
 MOST_TASKS = 10_000
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 1_000_000
 MANIFEST = "file long, name string, docs long, ids long, bytes long"
 _SEGMENT = np.dtype([
     ("offset", "<u8"), ("first", "<u8"), ("ids", "<u4"), ("lanes", "<u4"), ("crc", "<u4"), ("final", "u1")])
@@ -76,6 +76,9 @@ class PieceIds:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
+        if hasattr(self.library.model, "_resize_cache"):
+            # Every word comes here once, so the library need not remember any.
+            self.library.model._resize_cache(0)
         parsed = json.loads(spec)
         split = parsed.get("pre_tokenizer") or {}
         self.apart = ["\0", *(t["content"] for t in parsed.get("added_tokens") or ())]
@@ -137,15 +140,18 @@ class PieceIds:
         """Ids of each text; null is empty."""
         plain = [(t or b"").decode() for t in texts]
         split = [self._words(t) for t in plain]
-        # One look at the words that are known; the others are looked up together.
+        # One look at every word; those that are not known are looked up together.
         found = [list(map(self.known.get, words[0])) if words else None for words in split]
-        open_texts = [k for k, ids in enumerate(found) if ids and None in ids]
-        new = {w for k in open_texts for w, ids in zip(split[k][0], found[k]) if ids is None}
+        gaps = [
+            [] if ids is None or all(ids) else [k for k, i in enumerate(ids) if i is None]
+            for ids in found]
+        new = {words[0][k] for words, missing in zip(split, gaps) for k in missing}
         keep = len(self.known) + len(new) <= KNOWN_WORDS
         if new:
             self._learn(list(new))
-        for k in open_texts:
-            found[k] = map(self.known.__getitem__, split[k][0])
+        for words, ids, missing in zip(split, found, gaps):
+            for k in missing:
+                ids[k] = self.known[words[0][k]]
         out = [
             np.frombuffer(
                 self.whole(t) if words is None else b"".join(ids)[4 * words[1]:], "<u4")
