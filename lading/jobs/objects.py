@@ -9,9 +9,10 @@ objects succeed.
 from __future__ import annotations
 
 import hashlib
+import zlib
+from itertools import islice
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..constants import DEFAULT_STORAGE_CLASS, PART_BYTES
@@ -180,21 +181,30 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """Live listing of a store as an inventory, empty objects included.
 
     Folders are listed level by level, each level as one distributed job over the folders
-    found before, so neither the driver nor one task ever holds the whole listing. Only
-    folders that can hold keys below ``prefix`` are entered.
+    found before, and entries leave a task as they come, so neither the driver nor one task ever
+    holds the whole listing. Only folders that can hold keys below ``prefix`` are entered. A folder
+    with more than ``FOLDER_NAMES`` names is left to the next level, where all tasks take a share of
+    its names each, by a hash.
     """
     path = new_run_dir(spark, "listing")
-    folders = spark.createDataFrame([("",)], "folder string")
+    tasks = default_tasks(spark)
+    folders = spark.createDataFrame([("", 0, 1)], _FOLDERS)
     level = 0
     while True:
         here = f"{path}/level={level}"
         # A given number of tasks: folder names are small, what is listed below them is not.
-        folders.repartition(default_tasks(spark)).mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
-        found = spark.read.schema(_LISTED).parquet(here).filter("is_folder")
+        spread = folders.repartition(tasks, "folder", "share") if level else folders
+        spread.mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
+        found = spark.read.schema(_LISTED).parquet(here).filter("kind <> 'object'")
         if found.isEmpty():
             break
-        folders, level = found.select(F.col("key").alias("folder")), level + 1
-    files = spark.read.schema(_LISTED).option("basePath", path).parquet(path).filter("not is_folder")
+        shares = F.when(F.col("kind") == "large", F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(
+            F.array(F.lit(0)))
+        folders = found.select(
+            F.col("key").alias("folder"), F.explode(shares).alias("share"),
+            F.when(F.col("kind") == "large", tasks).otherwise(1).alias("shares"))
+        level += 1
+    files = spark.read.schema(_LISTED).option("basePath", path).parquet(path).filter("kind = 'object'")
     return files.select(
         F.lit(None).cast("string").alias("bucket"), "key",
         from_micros("mtime_us").alias("last_modified"),
@@ -203,26 +213,40 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     )
 
 
-_LISTED = "key string, is_folder boolean, size long, mtime_us long"
-_LISTED_ARROW = pa.schema([
-    ("key", pa.string()), ("is_folder", pa.bool_()), ("size", pa.int64()), ("mtime_us", pa.int64())])
+FOLDER_NAMES = 100_000
+_FOLDERS = "folder string, share int, shares int"
+_LISTED = "kind string, key string, size long, mtime_us long"
 
 
 def _listing(root: str, prefix: str):
+    most = FOLDER_NAMES
+
+    def entries(store: ObjectRoot, folder: str, share: int, shares: int):
+        found = store.scan(folder)
+        if shares == 1:
+            first = list(islice(found, most + 1))
+            if len(first) > most:
+                yield "large", folder, 0, 0
+                return
+            found = first
+        for name, is_folder, size, mtime_us in found:
+            if shares > 1 and zlib.crc32(name.encode("utf-8", "surrogatepass")) % shares != share:
+                continue
+            key = f"{folder}/{name}" if folder else name
+            below = f"{key}/" if is_folder else key
+            if below.startswith(prefix) or (is_folder and prefix.startswith(below)):
+                yield "folder" if is_folder else "object", key, size, mtime_us
+
     def run(batches):
         store = ObjectRoot(root)
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
         for batch in batches:
-            for folder in batch.column("folder").to_pylist():
-                rows = []
-                for name, info in store.entries(folder):
-                    is_folder = info.type == fs.FileType.Directory
-                    below = f"{name}/" if is_folder else name
-                    if below.startswith(prefix) or (is_folder and prefix.startswith(below)):
-                        rows.append({
-                            "key": name, "is_folder": is_folder, "size": info.size or 0,
-                            "mtime_us": (info.mtime_ns or 0) // 1000})
-                for start in range(0, len(rows), 10_000):
-                    yield pa.RecordBatch.from_pylist(rows[start:start + 10_000], _LISTED_ARROW)
+            for row in batch.to_pylist():
+                found = entries(store, row["folder"], row["share"], row["shares"])
+                while rows := list(islice(found, 10_000)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)],
+                        ["kind", "key", "size", "mtime_us"])
 
     return run
 

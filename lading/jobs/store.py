@@ -53,13 +53,25 @@ class ObjectRoot:
                 yield piece
                 offset += len(piece)
 
-    def entries(self, folder: str):
-        """Files and folders straight below ``folder`` ("" is the root)."""
-        place = f"{self.base}/{folder}".rstrip("/")
+    def scan(self, folder: str):
+        """(name, whether it is a folder, size, time in microseconds) of what lies straight below
+        ``folder`` ("" is the root). On a local file system one after the other, as they are found;
+        other stores hand out a folder at once. What goes away meanwhile is left out."""
+        place = f"{self.base}/{folder}".rstrip("/") or "/"
+        if self.files.type_name == "local":
+            with os.scandir(place) as found:
+                for entry in found:
+                    with suppress(FileNotFoundError):
+                        if not _UNFINISHED.fullmatch(entry.name):
+                            about = entry.stat()
+                            is_folder = entry.is_dir()
+                            yield (entry.name, is_folder, 0 if is_folder else about.st_size,
+                                   about.st_mtime_ns // 1000)
+            return
         for info in self.files.get_file_info(fs.FileSelector(place)):
-            name = info.path[len(self.base):].lstrip("/")
             if not _UNFINISHED.fullmatch(info.base_name):
-                yield name, info
+                yield (info.base_name, info.type == fs.FileType.Directory, info.size or 0,
+                       (info.mtime_ns or 0) // 1000)
 
     def write(self, key: str, pieces, headers: dict[str, str] | None = None) -> int:
         """Replaces the whole object; readers never see a part of it."""
