@@ -34,19 +34,19 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import discard, stored
-from .words import pieces
+from .words import mix, pieces
 
 HELD_CHUNKS = 400_000
 HELD_ENTRIES = 2_000_000
-MEMO_CHUNKS = 1 << 17
+LONG_TEXT = 1 << 22
+BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 1 << 27
 FILTER_PROBES = 4
-CELLS = 1 << 20
+CELLS = 1 << 16
 SCALE = 1_000_000_000
 TERM = r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"
 
@@ -157,25 +157,52 @@ def chunk_terms(counts: DataFrame) -> DataFrame:
     return each.select("chunk", "term", times.alias("times"), F.inline("langs"))
 
 
+def chunk_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the chunks of some bytes begin and end, and a hash of each: its bytes as the digits of a
+    number, from differences of running sums."""
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+    start, stop = edges[::2], edges[1::2]
+    powers = np.full(len(data), BASE)
+    powers[:1] = 1
+    powers = np.cumprod(powers)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
+    # Digits that come first count least, so a chunk's sum is divided by the power it begins with.
+    return start, stop, mix((sums[stop] - sums[start]) * _inverse(powers[start]))
+
+
+def _inverse(odd: np.ndarray) -> np.ndarray:
+    """The inverses of odd numbers modulo 2^64: every step doubles the bits that are right."""
+    found = odd.copy()
+    for _ in range(5):
+        found *= np.uint64(2) - odd * found
+    return found
+
+
 class Filter:
-    """A Bloom filter over byte strings."""
+    """A Bloom filter over hashes."""
 
     def __init__(self, bits: int):
         self.words = np.zeros(bits // 64, np.uint64)
         self.mask = np.uint64(bits - 1)
 
-    def places(self, things: list[bytes]) -> np.ndarray:
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, things), np.uint64, len(things))
-        step = (h >> np.uint64(32)) | np.uint64(1)
-        return np.stack([h + np.uint64(k) * step for k in range(FILTER_PROBES)]) & self.mask
+    def _places(self, hashes: np.ndarray, probe: int) -> tuple[np.ndarray, np.ndarray]:
+        step = (hashes >> np.uint64(32)) | np.uint64(1)
+        at = (hashes + np.uint64(probe) * step) & self.mask
+        return at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63))
 
-    def add(self, things: list[bytes]) -> None:
-        at = self.places(things).ravel()
-        np.bitwise_or.at(self.words, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+    def add(self, hashes: np.ndarray) -> None:
+        for probe in range(FILTER_PROBES):
+            np.bitwise_or.at(self.words, *self._places(hashes, probe))
 
-    def holds(self, things: list[bytes]) -> np.ndarray:
-        at = self.places(things)
-        return ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)
+    def held(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes it holds, by place."""
+        left = np.arange(len(hashes))
+        for probe in range(FILTER_PROBES):
+            word, bit = self._places(hashes[left], probe)
+            left = left[(self.words[word] & bit) != 0]
+        return left
 
 
 def filter_of(chunks: DataFrame, count: int) -> Filter:
@@ -184,8 +211,8 @@ def filter_of(chunks: DataFrame, count: int) -> Filter:
 
     def run(batches):
         held = Filter(bits)
-        for batch in batches:
-            held.add(batch.column(0).cast(pa.binary()).to_pylist())
+        for _, chunks in pieces(batches, "chunk"):
+            held.add(chunk_hashes(np.frombuffer(b" ".join(chunks), np.uint8))[2])
         at = np.flatnonzero(held.words)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at), pa.array(held.words[at].view(np.int64))], ["at", "word"])
@@ -202,22 +229,27 @@ def documents_with(docs: DataFrame, held: Filter) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(held)
 
     def run(batches):
-        held, known = sent.value, {}
-        row = TaskContext.get().partitionId() << 40
+        held, row = sent.value, TaskContext.get().partitionId() << 40
         for piece, texts in pieces(batches):
-            split = [set(t.split()) if t else () for t in texts]
-            fresh = [c for c in set().union(*split) if c not in known]
-            if len(known) + len(fresh) > MEMO_CHUNKS:
-                known.clear()
-                fresh = list(set().union(*split))
-            known.update(zip(fresh, held.holds(fresh).tolist() if fresh else ()))
-            hits = [[c for c in chunks if known[c]] for chunks in split]
-            sizes = np.fromiter(map(len, hits), np.int64, len(hits))
-            at = np.repeat(np.arange(len(hits)), sizes)
+            # Of a very long text its distinct chunks are enough.
+            texts = [
+                t or b"" if not t or len(t) <= LONG_TEXT else b" ".join(set(t.split())) for t in texts]
+            blob = b" ".join(texts)
+            begin = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+            start, stop, hashes = chunk_hashes(np.frombuffer(blob, np.uint8))
+            hit = held.held(hashes)
+            at = np.searchsorted(begin, start[hit], "right") - 1
+            # Once for each document.
+            order = np.lexsort((hashes[hit], at))
+            hit, at = hit[order], at[order]
+            new = np.ones(len(hit), bool)
+            new[1:] = (at[1:] != at[:-1]) | (hashes[hit[1:]] != hashes[hit[:-1]])
+            hit, at = hit[new], at[new]
+            found = [blob[a:b] for a, b in zip(start[hit].tolist(), stop[hit].tolist())]
             yield pa.RecordBatch.from_arrays([
                 piece.column("lang").take(pa.array(at)),
-                pa.array(list(chain.from_iterable(hits)), pa.binary()).cast(pa.string()),
-                pa.array(at + row)], ["lang", "chunk", "row"])
+                pa.array(found, pa.binary()).cast(pa.string()), pa.array(at + row)],
+                ["lang", "chunk", "row"])
             row += len(texts)
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, chunk string, row long")

@@ -300,11 +300,29 @@ def _random_rows(seed, n=300):
         for _ in range(n)]
 
 
+def test_hashes_and_filter_of_chunks():
+    rng = random.Random(2)
+    words = ["".join(rng.choices("ab\x00é日", k=rng.randint(1, 9))).encode() for _ in range(3000)]
+    text = b"".join(w + rng.choice([b" ", b"\n", b" \t\x0b\x0c\r "]) for w in words)
+    start, stop, hashes = divergence.chunk_hashes(np.frombuffer(text, np.uint8))
+    assert [text[a:b] for a, b in zip(start, stop)] == text.split()
+    # A hash depends on the chunk alone, not on its place.
+    by_word = dict(zip(text.split(), hashes.tolist()))
+    assert [by_word[w] for w in text.split()] == hashes.tolist()
+    assert len(set(by_word.values())) == len(by_word)
+    held = divergence.Filter(1 << 16)
+    some = np.array(sorted(set(by_word.values())), np.uint64)[::2]
+    held.add(some)
+    assert set(some.tolist()) <= set(hashes[held.held(hashes)].tolist())
+    assert len(set(hashes[held.held(hashes)].tolist())) < len(some) * 1.2
+    assert len(divergence.chunk_hashes(np.empty(0, np.uint8))[2]) == 0
+
+
 @pytest.mark.parametrize("held", [1, divergence.HELD_CHUNKS])
 def test_audit_against_plain_code(spark, monkeypatch, held):
     # Tables emptied after every document, and cells in many blocks, change nothing.
     monkeypatch.setattr(divergence, "HELD_CHUNKS", held)
-    monkeypatch.setattr(divergence, "MEMO_CHUNKS", held)
+    monkeypatch.setattr(divergence, "LONG_TEXT", 20 if held == 1 else divergence.LONG_TEXT)
     monkeypatch.setattr(divergence, "CELLS", divergence.CELLS if held > 1 else 3)
     rows = _random_rows(held)
     table = spark.createDataFrame(
