@@ -69,6 +69,7 @@ COMPLETED_WITH_ERRORS = "completed_with_errors"
 CANCELLED = "cancelled"
 PENDING = "pending"
 RUNNING = "running"
+FAILED = "failed"
 
 # Reasons on result rows.
 DRY_RUN_UPLOAD = "[DRY-RUN] Would upload"

@@ -6,7 +6,7 @@ workers do not have to have it installed or on their path.
 
 from pyspark import cloudpickle
 
-from . import heads, objects, parts, store, tasks
+from . import checkpoints, heads, objects, parts, stopping, store, tasks
 
-for _module in (heads, objects, parts, store, tasks):
+for _module in (checkpoints, heads, objects, parts, stopping, store, tasks):
     cloudpickle.register_pickle_by_value(_module)

@@ -21,7 +21,9 @@ from ..operators.running import byte_slices, running_totals
 from ..schemas import RESULT
 from ..session import new_run_dir, stored
 from ..sources.bodies import content_digest, content_scan
+from .checkpoints import CheckpointLog
 from .parts import copy_in_parts, headers_of
+from .stopping import StopFlag
 from .store import ObjectRoot
 from .tasks import CALLS_AT_ONCE, RESULT_ARROW, default_tasks, per_row, result_of
 
@@ -48,12 +50,17 @@ def balanced(plan: DataFrame, task_bytes: int) -> DataFrame:
     return numbered.repartitionById(max(tasks, 1), F.col("task").cast("int")).drop("task")
 
 
-def _copying(source_root: str, target_root: str, part_bytes: int, calls: int):
+def _copying(
+    source_root: str, target_root: str, part_bytes: int, calls: int, log: CheckpointLog | None,
+    stop: StopFlag | None,
+):
     def run(batches):
         source, target = ObjectRoot(source_root), ObjectRoot(target_root)
         inside = source.same_store(target)
 
-        def copy(row: dict) -> dict:
+        def copy(row: dict) -> dict | None:
+            if stop is not None and stop.raised():
+                return None
             if row.get("target_included") is False:
                 return result_of(row, target_key=None, skipped=True, reason="filtered")
             if row.get("asked_version"):
@@ -71,7 +78,7 @@ def _copying(source_root: str, target_root: str, part_bytes: int, calls: int):
                     row, target_key=None, success=False, error=str(error) or type(error).__name__)
             return result_of(row)
 
-        yield from per_row(copy, RESULT_ARROW, calls)(batches)
+        yield from per_row(copy, RESULT_ARROW, calls, log.through if log else iter)(batches)
 
     return run
 
@@ -79,7 +86,7 @@ def _copying(source_root: str, target_root: str, part_bytes: int, calls: int):
 def copy_objects(
     plan: DataFrame, source_root: str, target_root: str, part_bytes: int = PART_BYTES,
     task_bytes: int | None = None, calls: int = CALLS_AT_ONCE, split_bytes: int | None = None,
-    token: str = "",
+    token: str = "", log: CheckpointLog | None = None, stop: StopFlag | None = None,
 ) -> DataFrame:
     """Moves the bytes of each row (``key`` to ``target_key``); a failure becomes a result row.
 
@@ -87,7 +94,8 @@ def copy_objects(
     up to ``calls`` objects at once. With ``task_bytes`` the rows are first spread so that tasks
     carry about equal numbers of bytes. Objects longer than ``split_bytes`` are copied by their parts,
     by as many tasks as they are worth, under the run's ``token``; that part of the work is done
-    at once, the rest when the result is computed.
+    at once, the rest when the result is computed. Tasks write the keys they handled to ``log``; once
+    ``stop`` is raised, rows are left without a result.
     """
     large = None
     if split_bytes is not None:
@@ -97,10 +105,11 @@ def copy_objects(
         large = plan.filter(F.coalesce(apart, F.lit(False)))
         plan = plan.filter(~F.coalesce(apart, F.lit(False)))
     work = balanced(plan, task_bytes) if task_bytes else plan
-    small = work.mapInArrow(_copying(source_root, target_root, part_bytes, calls), RESULT)
+    small = work.mapInArrow(_copying(source_root, target_root, part_bytes, calls, log, stop), RESULT)
     if large is None or large.isEmpty():
         return small
-    done, _ = copy_in_parts(large, source_root, target_root, token, part_bytes, calls=calls)
+    done, _ = copy_in_parts(
+        large, source_root, target_root, token, part_bytes, calls=calls, log=log, stop=stop)
     return small.unionByName(done)
 
 

@@ -22,6 +22,8 @@ from ..constants import PART_BYTES, USUAL_PART_MIB
 from ..operators.parts import composite_etag, part_bytes_of, part_plan
 from ..schemas import PART_RESULT, RESULT
 from ..session import stored
+from .checkpoints import CheckpointLog
+from .stopping import StopFlag
 from .store import ObjectRoot
 from .tasks import CALLS_AT_ONCE, RESULT_ARROW, default_tasks, per_row, result_of
 
@@ -49,10 +51,11 @@ def _upload(token: str, target_key: str) -> str:
 def copy_parts(
     objects: DataFrame, source_root: str, target_root: str, token: str,
     part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES, calls: int = CALLS_AT_ONCE,
+    stop: StopFlag | None = None,
 ) -> DataFrame:
     """Stages the parts of each object (``key, target_key, size``); ``PART_RESULT`` rows.
 
-    Write the rows once: computing them moves the bytes.
+    Write the rows once: computing them moves the bytes. Once ``stop`` is raised, parts are left out.
     """
     parts = part_plan(
         objects.select("key", "target_key", "size"), part_bytes_of(F.col("size"), part_bytes),
@@ -62,7 +65,9 @@ def copy_parts(
         source, target = ObjectRoot(source_root), ObjectRoot(target_root)
         task = TaskContext.get().partitionId()
 
-        def copy(row: dict) -> dict:
+        def copy(row: dict) -> dict | None:
+            if stop is not None and stop.raised():
+                return None
             md5 = hashlib.md5(usedforsecurity=False)
 
             def pieces():
@@ -86,12 +91,18 @@ def copy_parts(
 
 def finish_parts(
     objects: DataFrame, manifest: DataFrame, target_root: str, token: str,
-    calls: int = CALLS_AT_ONCE,
+    calls: int = CALLS_AT_ONCE, log: CheckpointLog | None = None,
 ) -> DataFrame:
-    """``RESULT`` rows of the staged objects: each appears whole, or its stage is removed."""
+    """``RESULT`` rows of the staged objects: each appears whole, or its stage is removed.
+
+    An object of which a part was left out, because the run stopped, has no result and stays staged.
+    """
     arrived = manifest.groupBy("key", "target_key").agg(
         F.count("*").alias("parts"), F.min("error").alias("error"),
-        F.sum("length").alias("staged"))
+        F.sum("length").alias("staged")
+    ).join(
+        objects.select("key", "target_key", F.coalesce("size", F.lit(0)).alias("_size")),
+        ["key", "target_key"]).filter("staged = _size or error is not null").drop("_size")
     extra = [c for c in ("content_type", "cache_control") if c in objects.columns]
     rows = objects.select("key", "target_key", "size", *extra).join(arrived, ["key", "target_key"])
 
@@ -112,7 +123,7 @@ def finish_parts(
                     error=str(problem) or type(problem).__name__)
             return result_of(row)
 
-        yield from per_row(finish, RESULT_ARROW, calls)(batches)
+        yield from per_row(finish, RESULT_ARROW, calls, log.through if log else iter)(batches)
 
     return rows.mapInArrow(run, RESULT)
 
@@ -128,11 +139,12 @@ def headers_of(row: dict) -> dict[str, str]:
 def copy_in_parts(
     objects: DataFrame, source_root: str, target_root: str, token: str,
     part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES, calls: int = CALLS_AT_ONCE,
+    log: CheckpointLog | None = None, stop: StopFlag | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Copies each object by all its parts: ``RESULT`` rows, lazy, and the written manifest."""
     manifest = stored(copy_parts(
-        objects, source_root, target_root, token, part_bytes, task_bytes, calls), "parts")
-    return finish_parts(objects, manifest, target_root, token, calls), manifest
+        objects, source_root, target_root, token, part_bytes, task_bytes, calls, stop), "parts")
+    return finish_parts(objects, manifest, target_root, token, calls, log), manifest
 
 
 def manifest_etags(manifest: DataFrame) -> DataFrame:

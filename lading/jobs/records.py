@@ -6,12 +6,18 @@ replaces what the first attempt left and nothing of other runs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.runs import last_sync_watermark
 from ..plans.reports import report_json
 from ..schemas import ACL, CHECKPOINT, HEAD, STATE
+from ..session import remove
+from .checkpoints import CheckpointLog
+from .stopping import ancestors
+from .store import ObjectRoot
 
 STATES, CHECKPOINTS, REPORTS = "states", "checkpoints", "reports"
 HEADS, ACLS = "heads", "acls"
@@ -21,10 +27,13 @@ def _write(rows: DataFrame, store: str, kind: str, run_id: str, batch: int = 0)
     rows.write.mode("overwrite").parquet(f"{store}/{kind}/run={run_id}/batch={batch}")
 
 
-def _read(spark: SparkSession, store: str, kind: str, schema: T.StructType) -> DataFrame:
+def _read(
+    spark: SparkSession, store: str, kind: str, schema: T.StructType,
+    inner: tuple[str, T.DataType] = ("batch", T.IntegerType()),
+) -> DataFrame:
     """The table over all runs; empty where no run has written yet."""
     wide = T.StructType(schema.fields + [
-        T.StructField("run", T.StringType()), T.StructField("batch", T.IntegerType())])
+        T.StructField("run", T.StringType()), T.StructField(*inner)])
     try:
         return spark.read.schema(wide).option("basePath", f"{store}/{kind}").parquet(
             f"{store}/{kind}")
@@ -52,24 +61,60 @@ def checkpoint_write(
     results: DataFrame, store: str, run_id: str, source_bucket: str, target_bucket: str,
     batch: int = 0, include_failed: bool = False,
 ) -> None:
-    """Keys a batch has handled. Failed ones are left out, so a resumed run tries them again;
-    ``include_failed`` keeps them."""
+    """Keys a batch has handled, from its results. Failed ones are left out, so a resumed run tries
+    them again; ``include_failed`` keeps them. Copies of a run write theirs themselves
+    (``CheckpointLog``)."""
     done = results if include_failed else results.filter("success")
-    _write(done.select(
+    done.select(
         F.lit(source_bucket).alias("source_bucket"), F.lit(target_bucket).alias("target_bucket"),
-        "key"), store, CHECKPOINTS, run_id, batch)
+        "key",
+    ).write.mode("overwrite").parquet(f"{store}/{checkpoint_folder(run_id, f'batch-{batch}')}")
+
+
+def checkpoint_folder(run_id: str, attempt: str) -> str:
+    return f"{CHECKPOINTS}/run={run_id}/attempt={attempt}"
+
+
+def checkpoint_log(
+    store: str, run_id: str, source_bucket: str, target_bucket: str, every: int
+) -> CheckpointLog:
+    """The log of a new attempt."""
+    return CheckpointLog(
+        store, checkpoint_folder(run_id, uuid.uuid4().hex), source_bucket, target_bucket, every)
+
+
+def checkpoint_drop(spark: SparkSession, store: str, run_id: str) -> None:
+    """Forgets what earlier attempts under an id handled, for a run that begins anew."""
+    remove(spark, f"{store}/{CHECKPOINTS}/run={run_id}")
+
+
+def checkpoint_compact(spark: SparkSession, store: str, run_id: str) -> None:
+    """Puts the many small files of a run's log together into one attempt.
+
+    The new files are complete before the old ones go; in between keys are only listed twice.
+    """
+    root = ObjectRoot(store)
+    folder = f"{CHECKPOINTS}/run={run_id}"
+    old = [name for name, is_folder, *_ in root.scan(folder) if is_folder] if root.exists(folder) else []
+    if len(old) == 1 and old[0].startswith("attempt=base"):
+        return
+    if old:
+        rows = _checkpoints(spark, store).filter(F.col("run") == run_id).select(
+            *CHECKPOINT.names).distinct()
+        rows.write.parquet(f"{store}/{checkpoint_folder(run_id, 'base' + uuid.uuid4().hex)}")
+        for name in old:
+            remove(spark, f"{store}/{folder}/{name}")
 
 
-def checkpoint_inherit(spark: SparkSession, store: str, run_id: str, resumed: str) -> DataFrame:
-    """The checkpoint of the run that is resumed, which becomes part of the new run's own."""
-    _write(read_checkpoints(spark, store, resumed), store, CHECKPOINTS, run_id, -1)
-    return read_checkpoints(spark, store, run_id)
+def _checkpoints(spark: SparkSession, store: str) -> DataFrame:
+    return _read(spark, store, CHECKPOINTS, CHECKPOINT, ("attempt", T.StringType()))
 
 
 def read_checkpoints(spark: SparkSession, store: str, run_id: str | None = None) -> DataFrame:
-    """Handled keys of one run (only its folder is read), or of all runs."""
-    rows = _read(spark, store, CHECKPOINTS, CHECKPOINT)
-    rows = rows.filter(F.col("run") == run_id) if run_id else rows
+    """Handled keys of all runs, or of one and those it goes on from (only their folders are read)."""
+    rows = _checkpoints(spark, store)
+    if run_id is not None:
+        rows = rows.filter(F.col("run").isin(ancestors(store, run_id)))
     return rows.select(*CHECKPOINT.names)
 
 

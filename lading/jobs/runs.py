@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from ..constants import CANCELLED, FAILED_ROWS
+from ..constants import CANCELLED, FAILED, FAILED_ROWS, RUNNING
 from ..functions.keys import instant, storage_class_pick
 from ..functions.text import run_duration
 from ..operators.acl import acl_copy
@@ -23,8 +23,11 @@ from ..plans.validate import (
 from ..schemas import RESULT
 from ..sources.inventory import prefix_filter, single
 from . import records
+from .checkpoints import EVERY, CheckpointLog
+from .journal import COUNTS, Journal
 from .objects import copy_objects, delete_objects, dense_slices, digest_objects
 from .parts import composite_digests
+from .stopping import ancestors
 
 TASK_BYTES = 1024 * 1024 * 1024
 
@@ -77,17 +80,42 @@ def run_sync(
     source_root: str, target_root: str, source_heads: DataFrame | None = None,
     source_acls: DataFrame | None = None, resume: str | None = None, batches: int = 8,
     task_bytes: int = TASK_BYTES, sync_id: str | None = None,
-    progress: Callable[[dict], None] | None = None,
+    progress: Callable[[dict], None] | None = None, checkpoint_every: int = EVERY,
+    take_over: bool = False,
 ) -> DataFrame:
     """Mirrors the source onto the target and returns the one-row summary.
 
-    The plan is written first, so that acting on it cannot change it. Copies run in at most
-    ``batches`` steps; after each one its keys enter the checkpoint, and ``progress`` is told
-    the counts so far. ``resume`` names an interrupted run whose handled keys are left out.
-    All counts of the summary come from the written result tables.
+    The run is claimed and journalled: one driver works on it, ``run_records`` tells how it stands, and
+    ``request_stop`` ends it after the objects it is copying (``take_over`` ignores the claim of a
+    driver that is gone). The plan is written first, so that acting on it cannot change it. Copies
+    run in at most ``batches`` steps; tasks log what they handled after every ``checkpoint_every``
+    objects, and ``progress`` is told the counts after each step. ``resume`` names an interrupted run:
+    what it and the runs it resumed have handled is left out. All counts of the summary come from the
+    written result tables.
     """
     spark = source.sparkSession
     sync_id = sync_id or new_run_id("sync")
+    identity = {
+        "source_bucket": options.source_bucket, "target_bucket": options.target_bucket,
+        "source_prefix": options.source_prefix, "target_prefix": options.target_prefix,
+        "dry_run": options.dry_run}
+    journal = Journal(spark, store, sync_id, identity, resume, take_over)
+    try:
+        return _journalled(
+            source, target, options, store, source_root, target_root, source_heads, source_acls,
+            resume, batches, task_bytes, journal, progress, checkpoint_every)
+    except BaseException:
+        journal.end(FAILED)
+        raise
+
+
+def _journalled(
+    source: DataFrame, target: DataFrame, options: SyncOptions, store: str, source_root: str,
+    target_root: str, source_heads: DataFrame | None, source_acls: DataFrame | None,
+    resume: str | None, batches: int, task_bytes: int, journal: Journal,
+    progress: Callable[[dict], None] | None, checkpoint_every: int,
+) -> DataFrame:
+    spark, sync_id = source.sparkSession, journal.run_id
     start = _now()
     folder = f"{store}/runs/{sync_id}"
     places = (options.source_bucket, options.target_bucket)
@@ -98,7 +126,12 @@ def run_sync(
         if prefix_filter(source, options.source_prefix).isEmpty():
             raise EmptySourceError("the source lists no object; nothing is deleted")
 
-    checkpoint = records.checkpoint_inherit(spark, store, sync_id, resume) if resume else None
+    checkpoint = None
+    if resume:
+        records.checkpoint_compact(spark, store, resume)
+        checkpoint = records.read_checkpoints(spark, store, resume)
+    if resume != sync_id:
+        records.checkpoint_drop(spark, store, sync_id)
     plan = _stored(
         mirror_plan(source, target, options, checkpoint, all_rows=True), f"{folder}/plan", "action")
 
@@ -109,23 +142,30 @@ def run_sync(
     else:
         copies, tasks = _store_copies(
             plan, f"{folder}/copies", options, source_heads, task_bytes, batches)
+        log = records.checkpoint_log(store, sync_id, *places, checkpoint_every)
+        # Parts staged by a run are found again by those that go on from it.
+        token = ancestors(store, sync_id)[-1]
         results = _copy_in_batches(
-            copies, tasks, options, store, folder, sync_id, source_root, target_root, progress)
+            copies, tasks, options, folder, source_root, target_root, progress, journal, log, token)
         deletes = None
-        if options.delete:
+        if options.delete and not journal.stop.raised(now=True):
             orphans = plan.filter("action = 'delete'")
             deletes = _stored(delete_objects(orphans, target_root), f"{folder}/deletes")
         _carry_over(results, options, store, sync_id, source_heads, source_acls)
 
-    summary = sync_summary(plan, results, options, sync_id, start, _now(), deletes)
+    summary = sync_summary(
+        plan, results, options, sync_id, start, _now(), deletes, journal.stop.raised(now=True))
     summary = _stored(summary, f"{folder}/summary")
     records.state_write(summary, store, sync_id)
+    row = summary.first()
+    journal.end(row["status"], **{name: row[name] for name in COUNTS})
     return summary
 
 
 def _copy_in_batches(
-    copies: DataFrame, tasks: int, options: SyncOptions, store: str, folder: str, sync_id: str,
-    source_root: str, target_root: str, progress: Callable[[dict], None] | None,
+    copies: DataFrame, tasks: int, options: SyncOptions, folder: str, source_root: str,
+    target_root: str, progress: Callable[[dict], None] | None, journal: Journal,
+    log: CheckpointLog, token: str,
 ) -> DataFrame:
     # A folder per attempt: a rerun under one id never counts the rows of an earlier one.
     path = f"{folder}/results/attempt={uuid.uuid4().hex}"
@@ -134,16 +174,19 @@ def _copy_in_batches(
     split = split if split is not None and (largest or 0) > split else None
     so_far = dict.fromkeys(("processed", "uploaded", "skipped", "failed"), 0)
     for batch in range((last or 0) + 1):
+        if batch and journal.stop.raised(now=True):
+            break
+        journal.record(RUNNING, total_objects=total, **{
+            name: so_far[name] for name in ("uploaded", "skipped", "failed")})
         rows = copies.filter(F.col("batch") == batch).repartitionById(tasks, F.col("task"))
         counts = Observation(f"batch {batch}")
         moved = copy_objects(
-            rows, source_root, target_root, options.part_bytes, split_bytes=split, token=sync_id)
-        results = _stored(moved.observe(counts, *_batch_counts()), f"{path}/batch={batch}")
-        records.checkpoint_write(
-            results, store, sync_id, options.source_bucket, options.target_bucket, batch)
+            rows, source_root, target_root, options.part_bytes, split_bytes=split, token=token,
+            log=log, stop=journal.stop)
+        _stored(moved.observe(counts, *_batch_counts()), f"{path}/batch={batch}")
+        for name, count in counts.get.items():
+            so_far[name] += count or 0
         if progress:
-            for name, count in counts.get.items():
-                so_far[name] += count or 0
             progress({**so_far, "total": total})
     return copies.sparkSession.read.schema(RESULT).option("basePath", path).parquet(path)
 

@@ -21,6 +21,7 @@ class ObjectRoot:
     """Objects below one root URI (``file:``, ``hdfs://``, ``s3a://``, ``gs://``, ...)."""
 
     def __init__(self, uri: str):
+        self.uri = uri.rstrip("/")
         if "://" not in uri:
             uri = uri.removeprefix("file:")
         uri = uri.replace("s3a://", "s3://", 1) if uri.startswith("s3a://") else uri
@@ -180,6 +181,9 @@ class ObjectRoot:
         self.files.copy_file(self.path(key), other.path(other_key))
         return True
 
+    def exists(self, key: str) -> bool:
+        return self.files.get_file_info(self.path(key)).type != fs.FileType.NotFound
+
     def delete(self, key: str) -> None:
         """Removing what is not there is no error."""
         with suppress(FileNotFoundError):

@@ -43,14 +43,15 @@ def overlapped(
 
 
 def per_row(
-    function: Callable[[dict], dict | None], schema: pa.Schema, calls: int = CALLS_AT_ONCE
+    function: Callable[[dict], dict | None], schema: pa.Schema, calls: int = CALLS_AT_ONCE,
+    through: Callable[[Iterator[dict]], Iterator[dict]] = iter,
 ):
-    """Arrow batches in, one result per row out."""
+    """Arrow batches in, one result per row out, all of which pass ``through`` something."""
     def run(batches):
         rows = (r for batch in batches for start in range(0, batch.num_rows, _ROWS_AT_ONCE)
                 for r in batch.slice(start, _ROWS_AT_ONCE).to_pylist())
         done: list[dict] = []
-        for result in overlapped(function, rows, calls):
+        for result in through(overlapped(function, rows, calls)):
             done.append(result)
             if len(done) >= _ROWS_AT_ONCE:
                 yield pa.RecordBatch.from_pylist(done, schema)

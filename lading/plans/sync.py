@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import (
-    COMPLETED, COMPLETED_WITH_ERRORS, DRY_RUN_DELETE, DRY_RUN_UPLOAD, FAILED_ROWS,
+    CANCELLED, COMPLETED, COMPLETED_WITH_ERRORS, DRY_RUN_DELETE, DRY_RUN_UPLOAD, FAILED_ROWS,
 )
 from ..functions.globs import glob_included
 from ..functions.keys import instant, relative_key, storage_class_pick
@@ -178,14 +178,15 @@ def sync_counters(
 def sync_summary(
     plan: DataFrame, results: DataFrame, options: SyncOptions, sync_id: str,
     start_time: str | None = None, end_time: str | None = None,
-    deletes: DataFrame | None = None,
+    deletes: DataFrame | None = None, stopped: bool = False,
 ) -> DataFrame:
     """One row on a run: identity, options, counters, status, duration, first failures."""
     failures = failed_sample(results, FAILED_ROWS).agg(
         F.array_sort(F.collect_list(F.struct("key", "error")))
     ).scalar()
     start, end = instant(start_time), instant(end_time)
-    status = F.when(F.col("failed") == 0, F.lit(COMPLETED)).otherwise(COMPLETED_WITH_ERRORS)
+    ended = F.when(F.col("failed") == 0, F.lit(COMPLETED)).otherwise(COMPLETED_WITH_ERRORS)
+    status = F.lit(CANCELLED) if stopped else ended
     return sync_counters(plan, results, deletes).select(
         F.lit(sync_id).alias("sync_id"),
         status.alias("status"),

@@ -71,6 +71,16 @@ STATE_JSON = _struct(
     ("skipped", _long), ("failed", _long), ("start_time", _str), ("end_time", _str),
 )
 
+# A journal record: how a run stands.
+_JOURNAL = (
+    ("sync_id", _str), ("source_bucket", _str), ("target_bucket", _str), ("source_prefix", _str),
+    ("target_prefix", _str), ("status", _str), ("dry_run", _bool), ("total_objects", _long),
+    ("uploaded", _long), ("deleted", _long), ("skipped", _long), ("failed", _long), ("seq", _long),
+    ("resumed_from", _str),
+)
+JOURNAL = _struct(*_JOURNAL, ("start_time", _ts), ("updated_at", _ts))
+JOURNAL_JSON = _struct(*_JOURNAL, ("start_time", _str), ("updated_at", _str))
+
 VALIDATION = _struct(
     ("key", _str), ("target_key", _str), ("success", _bool), ("content_ok", _bool),
     ("metadata_ok", _bool), ("acl_ok", _bool), ("errors", T.ArrayType(_str)),
