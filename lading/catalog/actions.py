@@ -10,12 +10,14 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..jobs import objects, parts, records, runs as job_runs
+from ..jobs import journal, objects, parts, records, runs as job_runs
+from ..jobs.heads import inventory_of, live_heads
 from ..operators.acl import acl_copy
 from ..operators.metadata import metadata_batch_update
 from ..plans import sync, validate as validation
 from ..plans.options import SyncOptions
 from ..session import new_run_dir
+from ..sources.heads import head_scan, prefix_metadata
 from ..sources.runs import report_scan
 from ..streaming.incremental import incremental_sync_stream
 from .fixture_sql import using
@@ -69,6 +71,57 @@ def inventory_scan_store(spark, sf):
     return objects.list_objects(spark, source, "docs/src1").select("key", "size")
 
 
+@query("inventory_scan_flat", using("docs") + """
+select md5(key) as key, size from docs""")
+def inventory_scan_flat(spark, sf):
+    """Live listing of one folder that holds every document, dealt to tasks by names."""
+    folder = new_run_dir(spark, "flat")
+    rows = fx.bodies(spark, sf).select(F.md5("key").alias("key"), "content")
+    _kept(objects.write_objects(rows, f"{folder}/flat"), folder, "written")
+    return objects.list_objects(spark, f"{folder}/flat", names_at_once=100).select("key", "size")
+
+
+_LIVE_SQL = using("docs") + """
+select 'b' as bucket, key, size as content_length, md5(text) as etag, 'STANDARD' as storage_class
+from docs where doc_id % 50 <> 1"""
+
+
+@query("head_scan_live", _LIVE_SQL)
+def head_scan_live(spark, sf):
+    """Heads read from a store that holds the documents."""
+    source = _source_tree(spark, sf, new_run_dir(spark, "heads"))
+    return head_scan(live_heads(spark, source, bucket="b", etags="md5")).select(
+        "bucket", "key", "content_length", "etag", "storage_class")
+
+
+@query("prefix_metadata_live", _LIVE_SQL + " and key like 'docs/src3/%'")
+def prefix_metadata_live(spark, sf):
+    """Heads below a prefix: folders outside it are not listed."""
+    source = _source_tree(spark, sf, new_run_dir(spark, "heads"))
+    heads = live_heads(spark, source, "docs/src3/", "b", "md5")
+    return prefix_metadata(inventory_of(heads), heads, "docs/src3/").select(
+        "bucket", "key", "content_length", "etag", "storage_class")
+
+
+@query("run_validation_live", using("docs") + """
+select count(*) as total_objects,
+       cast(count_if(doc_id % 10 <> 3 and doc_id % 7 <> 0) as bigint) as content_passed,
+       cast(count_if(doc_id % 10 <> 3 and doc_id % 7 <> 0) as bigint) as metadata_passed
+from docs where doc_id % 50 <> 1""")
+def run_validation_live(spark, sf):
+    """Source against target from what the two stores say now, without any table of heads."""
+    folder = new_run_dir(spark, "live")
+    source, target = _source_tree(spark, sf, folder), f"{folder}/target"
+    _kept(objects.write_objects(fx.bodies(spark, sf, target=True), target), folder, "put")
+    heads = live_heads(spark, source)
+    report = job_runs.run_validation(
+        inventory_of(heads), heads, live_heads(spark, target),
+        replace(VALIDATE_OPTIONS, metadata_fields=("ContentLength",)), f"{folder}/store", source, target,
+        task_bytes=_TASK_BYTES)
+    return report.select(
+        "summary.total_objects", "summary.content_passed", "summary.metadata_passed")
+
+
 @query("copy_object", using("docs") + """
 select key, 'copy/' || key as target_key, md5(text) as md5 from docs
 where doc_id % 50 <> 1""")
@@ -145,6 +198,41 @@ def checkpoint_write(spark, sf):
     return records.read_checkpoints(spark, store)
 
 
+@query("checkpoint_log", using("docs") + """
+select 'src-bucket' as source_bucket, 'tgt-bucket' as target_bucket, key from docs
+where doc_id % 50 <> 1""")
+def checkpoint_log(spark, sf):
+    """Keys that copying tasks logged themselves; objects without a body failed and are not there."""
+    folder = new_run_dir(spark, "log")
+    source = _source_tree(spark, sf, folder)
+    log = records.checkpoint_log(
+        f"{folder}/store", "one", fx.SOURCE_BUCKET, fx.TARGET_BUCKET, 20)
+    listed = fx.src_inventory(spark, sf).select("key", F.col("key").alias("target_key"), "size")
+    _kept(objects.copy_objects(listed, source, f"{folder}/target", log=log), folder, "results")
+    records.checkpoint_compact(spark, f"{folder}/store", "one")
+    return records.read_checkpoints(spark, f"{folder}/store", "one")
+
+
+@query("run_lookup_journal", using("diff") + """
+, c as (select count(*) as total, count_if(doc_id % 50 <> 1) as uploaded from diff
+        where why is not null and last_modified >= timestamp '2024-01-01 04:00:00'
+          and key not like '%.tmp')
+select 'ended' as sync_id, 'state' as origin,
+       case when total = uploaded then 'completed' else 'completed_with_errors' end as status,
+       cast(uploaded as bigint) as uploaded, cast(total - uploaded as bigint) as failed from c
+union all select 'going on', 'checkpoint', 'running', cast(uploaded as bigint), 0 from c""")
+def run_lookup_journal(spark, sf):
+    """Two runs as they stand: one that ended, and one whose last record says that it goes on."""
+    folder = new_run_dir(spark, "journal")
+    source, store = _source_tree(spark, sf, folder), f"{folder}/store"
+    row = job_runs.run_sync(
+        *_sides(spark, sf), replace(OPTIONS, delete=False), store, source, f"{folder}/target",
+        sync_id="ended", batches=2).first()
+    journal.Journal(spark, store, "going on", {}, "ended").record("running", uploaded=row["uploaded"])
+    return journal.run_records(spark, store).select(
+        "sync_id", "origin", "status", "uploaded", "failed")
+
+
 _PASSED = """doc_id % 10 <> 3 and doc_id % 11 <> 0
     and (doc_id % 7 <> 0 or doc_id % 14 = 0)"""
 
@@ -313,3 +401,26 @@ def incremental_sync_stream_query(spark, sf):
             f"{folder}/offsets").awaitTermination()
     return spark.read.parquet(f"{folder}/plans").select(
         "batch", "key", "size", "action", "reason")
+
+
+@query("incremental_sync_stream_versions", using("feed") + f"""
+, firsts as (select * from feed qualify row_number() over (partition by key
+               order by last_modified, size, etag) = 1),
+  newest as (select * from feed qualify row_number() over (partition by key
+               order by last_modified desc, size desc, etag desc) = 1)
+select case when n.last_modified >= {_STREAM_HALF} then 0 else 1 end as batch, n.key, n.size,
+       case when n.etag = f.etag and n.size = f.size then 'unchanged' else 'copy' end as action
+from newest n join firsts f on n.key = f.key""")
+def incremental_sync_stream_versions(spark, sf):
+    """The later half of the feed comes first: of the earlier half only keys without a newer row are
+    planned, though every row of it is new to the stream."""
+    folder = new_run_dir(spark, "versions")
+    feed = fx.inventory_feed(spark, sf)
+    later = F.col("last_modified") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    target = _kept(fx.feed_target(spark, sf), folder, "target")
+    for part in (feed.filter(later), feed.filter(~later)):
+        part.write.mode("append").parquet(f"{folder}/feed")
+        incremental_sync_stream(
+            spark, f"{folder}/feed", lambda: target, SyncOptions(), f"{folder}/plans",
+            f"{folder}/offsets").awaitTermination()
+    return spark.read.parquet(f"{folder}/plans").select("batch", "key", "size", "action")

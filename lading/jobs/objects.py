@@ -186,13 +186,18 @@ def body_digests(spark: SparkSession, root: str, column_bytes: int) -> DataFrame
     return content_digest(small).unionByName(rest.join(digests, "key").select("key", "length", "md5"))
 
 
-def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+FOLDER_NAMES = 100_000
+
+
+def list_objects(
+    spark: SparkSession, root: str, prefix: str = "", names_at_once: int = FOLDER_NAMES
+) -> DataFrame:
     """Live listing of a store as an inventory, empty objects included.
 
     Folders are listed level by level, each level as one distributed job over the folders
     found before, and entries leave a task as they come, so neither the driver nor one task ever
     holds the whole listing. Only folders that can hold keys below ``prefix`` are entered. A folder
-    with more than ``FOLDER_NAMES`` names is left to the next level, where all tasks take a share of
+    with more than ``names_at_once`` names is left to the next level, where all tasks take a share of
     its names each, by a hash.
     """
     path = new_run_dir(spark, "listing")
@@ -203,7 +208,7 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
         here = f"{path}/level={level}"
         # A given number of tasks: folder names are small, what is listed below them is not.
         spread = folders.repartition(tasks, "folder", "share") if level else folders
-        spread.mapInArrow(_listing(root, prefix), _LISTED).write.parquet(here)
+        spread.mapInArrow(_listing(root, prefix, names_at_once), _LISTED).write.parquet(here)
         found = spark.read.schema(_LISTED).parquet(here).filter("kind <> 'object'")
         if found.isEmpty():
             break
@@ -222,14 +227,11 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     )
 
 
-FOLDER_NAMES = 100_000
 _FOLDERS = "folder string, share int, shares int"
 _LISTED = "kind string, key string, size long, mtime_us long"
 
 
-def _listing(root: str, prefix: str):
-    most = FOLDER_NAMES
-
+def _listing(root: str, prefix: str, most: int):
     def entries(store: ObjectRoot, folder: str, share: int, shares: int):
         found = store.scan(folder)
         if shares == 1:

@@ -85,15 +85,14 @@ def test_validation_works_from_live_heads_alone(spark, tmp_path):
     assert report.summary.content_passed == len(FILES) - 3
 
 
-def test_a_large_folder_is_listed_by_several_tasks(spark, tmp_path, monkeypatch):
+def test_a_large_folder_is_listed_by_several_tasks(spark, tmp_path):
     files = {f"flat/{k:05d}": b"" for k in range(700)} | {"flat/sub/x": b"1", "other/y": b"2"}
     root = _put(tmp_path, files)
-    monkeypatch.setattr(objects, "FOLDER_NAMES", 100)
-    listed = objects.list_objects(spark, root)
+    listed = objects.list_objects(spark, root, names_at_once=100)
     rows = listed.withColumn("file", F.input_file_name()).collect()
     assert sorted(r.key for r in rows) == sorted(files)
     assert len({r.file for r in rows if r.key.startswith("flat/0")}) > 3
-    assert {r.key for r in objects.list_objects(spark, root, "flat/0001").collect()} == {
+    assert {r.key for r in objects.list_objects(spark, root, "flat/0001", 50).collect()} == {
         k for k in files if k.startswith("flat/0001")}
 
 
