@@ -195,9 +195,6 @@ class _Words(dict):
         return value
 
 
-_worker: dict = {}
-
-
 def splitter(beyond: bool = True) -> re.Pattern:
     """The pre-split of byte-level BPE: contractions, letters, numbers, other signs, blanks.
 
@@ -205,8 +202,6 @@ def splitter(beyond: bool = True) -> re.Pattern:
     Without ``beyond`` the pattern is for texts with no character above U+FFFF, which it splits
     three times as fast.
     """
-    if beyond in _worker:
-        return _worker[beyond]
     ranges: dict[str, list[list[int]]] = {"L": [], "N": []}
     for code in range((sys.maxunicode if beyond else 0xFFFF) + 1):
         kind = unicodedata.category(chr(code))[0]
@@ -219,33 +214,45 @@ def splitter(beyond: bool = True) -> re.Pattern:
         "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges[kind]) for kind in "LN")
     # The characters with the White_Space property.
     blank = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-    _worker[beyond] = re.compile(
+    return re.compile(
         f"'(?:[stmd]|re|ve|ll)| ?[{letter}]+| ?[{number}]+| ?[^{blank}{letter}{number}]+"
         f"|[{blank}]+(?![^{blank}])|[{blank}]+")
-    return _worker[beyond]
 
 
-def _automaton(sent: Broadcast) -> tuple[_Words, Vocabulary]:
-    """The compiled automaton of this worker, made once for all its tasks."""
-    labels, merges, specials = sent.value
-    key = (len(labels), hash(merges))
-    if _worker.get("key") != key:
-        vocabulary = Vocabulary(labels, merges, specials)
-        _worker.update(key=key, words=_Words(Automaton(vocabulary)), vocabulary=vocabulary)
-    return _worker["words"], _worker["vocabulary"]
+class Encoder:
+    """A vocabulary with its automaton, its patterns and the words it has seen."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.words = _Words(Automaton(vocabulary))
+        self.special = dict(vocabulary.specials)
+        self._splitters: dict[bool, re.Pattern] = {}
+
+    def split(self, text: bytes):
+        """The pattern's ``findall`` for a text. Only characters above U+FFFF have bytes from 0xF0 on."""
+        beyond = bool((np.frombuffer(text, np.uint8) >= 0xF0).any())
+        if beyond not in self._splitters:
+            self._splitters[beyond] = splitter(beyond)
+        return self._splitters[beyond].findall
+
+
+def _encoder(sent: Broadcast) -> Encoder:
+    """The encoder of this worker. It is kept in the broadcast value, which a worker loads once, and so
+    outlives the task that made it."""
+    held = sent.value
+    if "encoder" not in held:
+        held["encoder"] = Encoder(held["vocabulary"])
+    return held["encoder"]
 
 
 def _send(frame: DataFrame, path: str) -> Broadcast:
     """Broadcasts the vocabulary, whose size the file bounds."""
-    v = load(path)
-    return frame.sparkSession.sparkContext.broadcast((v.labels, v.merges, v.specials))
+    return frame.sparkSession.sparkContext.broadcast({"vocabulary": load(path)})
 
 
-def packed_ids(text: bytes, words: _Words, vocabulary: Vocabulary) -> bytes:
+def packed_ids(text: bytes, encoder: Encoder) -> bytes:
     """Ids of a whole UTF-8 text, as little-endian unsigned 32-bit integers."""
-    # Only characters above U+FFFF have bytes from 0xF0 on.
-    split = splitter(bool((np.frombuffer(text, np.uint8) >= 0xF0).any())).findall
-    special = dict(vocabulary.specials)
+    split, words, special = encoder.split(text), encoder.words, encoder.special
     names = sorted((n for n in special if n.encode() in text), key=len, reverse=True)
     if not names:
         return b"".join(map(words.__getitem__, split(text.decode())))
@@ -264,9 +271,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", column: str = "token_
     at = names.index(text)
 
     def run(batches):
-        words, vocabulary = _automaton(sent)
+        encoder = _encoder(sent)
         for piece, texts in pieces(batches, f"c{at}"):
-            ids = [packed_ids(t or b"", words, vocabulary) for t in texts]
+            ids = [packed_ids(t or b"", encoder) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns, pa.array(ids, pa.binary())], [*piece.schema.names, "ids"])
 
@@ -282,7 +289,7 @@ def decode(rows: DataFrame, path: str, column: str = "token_ids", text: str = "d
     at = f"c{names.index(column)}"
 
     def run(batches):
-        labels = sent.value[0]
+        labels = sent.value["vocabulary"].labels
         for piece, packed in pieces(batches, at):
             texts = [
                 b"".join(map(labels.__getitem__, np.frombuffer(p or b"", "<u4").tolist()))

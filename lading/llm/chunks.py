@@ -239,14 +239,11 @@ def without_runs(docs: DataFrame, runs: DataFrame, id_column: str, text: str) ->
 
     def run(batches):
         memo = Hashes()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch, texts in pieces(batches, t):
             at = batch.schema.get_field_index(t)
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            spans = batch.column(batch.num_columns - 1).to_pylist()
-            for k, (value, cut) in enumerate(zip(texts, spans)):
+            for k, cut in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 if cut:
+                    value = texts[k]
                     words = value.split()
                     starts = chunk_starts(memo.of(words))
                     begins = _blank_runs(value, words)

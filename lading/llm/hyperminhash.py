@@ -126,11 +126,11 @@ def _sets(batches, width: int):
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(id, n, digest, registers, fine) of every document; the digest names its whole set."""
+    """(id, row, n, digest, registers, fine) of every document; the digest names its whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, sets in _sets(batches, width):
             yield pa.RecordBatch.from_arrays([
-                piece.column(0),
+                piece.column(0), piece.column(1),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([
                     hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
@@ -138,10 +138,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 *(pa.array(
                     [sketch(s, bits).tobytes() if len(s) else None for s in sets], pa.binary())
                   for bits in (BUCKET_BITS, FINE_BITS)),
-            ], ["id", "n", "digest", "registers", "fine"])
+            ], ["id", "row", "n", "digest", "registers", "fine"])
 
-    return docs.select("id", "text").mapInArrow(
-        run, "id long, n long, digest binary, registers binary, fine binary"
+    return docs.select("id", F.xxhash64("text").alias("row"), "text").mapInArrow(
+        run, "id long, row long, n long, digest binary, registers binary, fine binary"
     )
 
 
@@ -298,9 +298,10 @@ def _apart(pairs: DataFrame, labels: DataFrame, named_too: bool = False) -> Data
 
 def near_duplicates(
     docs: DataFrame, width: int = 5, similarity: float = 0.8,
-    id_column: str = "doc_id", text: str = "text",
+    id_column: str = "doc_id", text: str = "text", with_row: bool = False,
 ) -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id``, ``kept``."""
+    """One row per document: id, ``n_shingles``, ``component_id``, ``kept``, and with ``with_row`` a hash
+    of its text, ``row``."""
     docs = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
     signed = stored(signatures(docs, width), "signatures")
     classes = stored(
@@ -343,10 +344,12 @@ def near_duplicates(
     named = classes.join(labels, classes.lead == labels.id, "left").select(
         "digest", "size", F.coalesce("component", "lead").alias("component"))
     linked = join_hot(
-        signed.filter("n > 0 and id is not null").select("id", "n", "digest"), named,
+        signed.filter("n > 0 and id is not null").select("id", "row", "n", "digest"), named,
         "digest", "size")
-    alone = signed.filter("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
-    return linked.select("id", "n", "component").union(alone).select(
+    alone = signed.filter("n = 0 or id is null").select(
+        "id", "row", "n", F.col("id").alias("component"))
+    return linked.select("id", "row", "n", "component").union(alone).select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"),
+        *["row"] * with_row)

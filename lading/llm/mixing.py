@@ -222,15 +222,10 @@ def mix(
         taken.cast("long").alias("taken")).toDF(*names, "size", "source_size", "target", "taken")
 
 
-def realised(mixed: DataFrame, columns: Sequence[str], text: str = "text") -> DataFrame:
-    """The rows of the mix, with ``columns``: whole texts as often as taken, and the rest, if any,
-    as a text of that many first words."""
-    full = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    rest = (F.col("taken") - full * F.col("size")).cast("int")
-    words = F.array_remove(F.split(F.col(text), BLANKS), "")
-    head = F.array_join(F.slice(words, 1, F.greatest(rest, F.lit(1))), " ")
-    texts = F.concat(
-        F.array_repeat(F.col(text), full), F.when(rest > 0, F.array(head)).otherwise(F.array()))
-    spread = mixed.withColumn("_texts", texts).select(
-        *[c for c in columns if c != text], F.explode("_texts").alias(text))
+def realised(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of the mix, with ``columns``: whole texts as often as taken. A document of which a part is
+    taken is one time more in the mix if that part is half of it or more."""
+    times = F.when(
+        F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
+    spread = mixed.withColumn("_times", F.explode(F.array_repeat(F.lit(0), times)))
     return spread.select(*columns)

@@ -35,11 +35,27 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """Keeps of every group of near copies the one with the smallest id."""
-    groups = hyperminhash.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY)
-    dropped = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    # Repeats of a row, which share its id, are copies as well.
-    return docs.join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti").dropDuplicates(
-        ["doc_id", "text"])
+    groups = hyperminhash.near_duplicates(docs, SHINGLE_WORDS, SIMILARITY, with_row=True)
+    dropped = groups.filter(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone"), F.col("row").alias("_row")).distinct()
+    row = F.xxhash64("text")
+    left = docs.join(
+        dropped, (F.col("doc_id") == F.col("_gone")) & (row == F.col("_row")), "left_anti")
+    return _once(left)
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """Of rows with one id and text, which are copies as well, the first. Only such rows are shuffled."""
+    names = docs.columns
+    key = {"_id": F.col("doc_id"), "_row": F.xxhash64("text")}
+    repeats = stored(docs.select(*(c.alias(n) for n, c in key.items())).groupBy("_id", "_row").count()
+                     .filter("count > 1").drop("count"), "repeats")
+    if repeats.isEmpty():
+        return docs
+    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_row"))
+    repeated = docs.join(repeats, match, "left_semi").withColumns(key)
+    first = repeated.groupBy("_id", "_row").agg(F.first(F.struct(*names)).alias("r")).select("r.*")
+    return docs.join(repeats, match, "left_anti").unionByName(first)
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
@@ -48,20 +64,25 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
 
 def source_mixing(docs: DataFrame) -> DataFrame:
-    """The mix: documents as often as taken, with the last one of a source cut to fit."""
+    """The mix: whole documents as often as taken."""
     # Own names, so that columns of ``docs`` may be called like those that mixing adds.
     of = {name: f"c{k}" for k, name in enumerate(docs.columns)}
     plain = docs.toDF(*of.values())
     mixed = mixing.mix(plain, id_column=of["doc_id"], text=of["text"], source=of["source"])
-    return _counted(mixing.realised(mixed, plain.columns, of["text"]).toDF(*of))
+    return mixing.realised(mixed, plain.columns).toDF(*of)
 
 
 def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """Adds ``n_tokens``, ``token_ids`` (packed) and whether decoding gives the text back."""
-    decoded = bpe.decode(bpe.encode(docs, path), path)
+    """Adds ``n_tokens``, ``token_ids`` (packed) and ``round_trip``, whether decoding gives the text back.
+    Columns of ``docs`` with one of these names give way to them."""
+    of = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+    plain = docs.toDF(*of.values())
+    decoded = bpe.decode(
+        bpe.encode(plain, path, of["text"], "_ids"), path, "_ids", "_decoded")
+    kept = [F.col(c).alias(n) for n, c in of.items() if n not in ("n_tokens", "token_ids", "round_trip")]
     return decoded.select(
-        *docs.columns, (F.length("token_ids") / 4).cast("long").alias("n_tokens"), "token_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+        *kept, (F.length("_ids") / 4).cast("long").alias("n_tokens"), F.col("_ids").alias("token_ids"),
+        (F.col("_decoded") == F.coalesce(of["text"], F.lit(""))).alias("round_trip"))
 
 
 def _counted(docs: DataFrame) -> DataFrame:

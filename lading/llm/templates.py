@@ -1,10 +1,15 @@
 """URL verdicts from a tree of path templates per host.
 
 The segments of every path form a tree below its host. Going down level by level, segments are
-generalised in three steps: numbers, hexadecimal names and dates become their kind; where a node
-has many children that are each seen seldom, all of them become ``*``; siblings that are alike,
-in what follows them and in how often their labelled urls are bad (within two standard errors of
-all labelled siblings), are merged into one branch. What remains of a path is its template.
+generalised in three steps: numbers, hexadecimal names and dates become their kind; children that are
+each seen seldom become ``*``; siblings that are alike, in what follows them and in how often their
+labelled urls are bad (within two standard errors of all labelled siblings), are merged into one
+branch. What remains of a path is its template.
+
+Whether a child is seen seldom is its own affair, not that of its parent: a child with many urls stays
+a branch. Of the seldom ones, those without labels become ``*`` together. Those with labels join them only
+where labels are the rule among the seldom children, by more than chance (two standard errors above
+one half of them); else a few labelled children would speak for many that nobody has judged.
 
 A template's purity is the share of bad ones among its labelled urls, smoothed towards ``prior``
 with the weight of ``strength`` urls; templates above ``reject`` are blocked. Templates without a
@@ -12,8 +17,8 @@ labelled url have the purity ``prior`` and are allowed.
 
 Explicit rules (host with all subdomains, beginning of the path; the longest wins) come first and
 are the labels in ``judge``. All of it is grouping and joining; urls are first counted by host and
-generalised path, so a host with a third of all urls is many small rows. Levels beyond
-``MAX_DEPTH`` are one wildcard, ``**``.
+generalised path, so a host with a third of all urls is many small rows. All levels of a path count;
+what comes after ``MOST_LEVELS`` of them is taken as one last level, by its whole text.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, and the template
 of the empty host. Repeated rows get the same verdict; extra columns are passed over.
@@ -24,15 +29,13 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stored
 from .joins import join_hot
 
-MAX_DEPTH = 4
-MANY_CHILDREN = 20
+MOST_LEVELS = 32
 SELDOM = 5
 
 
@@ -81,46 +84,62 @@ def kind_of(segment: Column) -> Column:
 
 
 def _segments(path: Column) -> Column:
-    """The generalised segments, at most MAX_DEPTH and one wildcard for all further ones."""
+    """The generalised segments, one for each level."""
     parts = F.array_remove(F.split(path, "/"), "")
-    first = F.transform(F.slice(parts, 1, MAX_DEPTH), kind_of)
-    return F.when(F.size(parts) > MAX_DEPTH, F.concat(first, F.array(F.lit("**")))).otherwise(first)
+    first = F.transform(F.slice(parts, 1, MOST_LEVELS), kind_of)
+    rest = F.array_join(F.slice(parts, MOST_LEVELS + 1, 2147483647), "/")
+    return F.when(F.size(parts) > MOST_LEVELS, F.concat(first, F.array(rest))).otherwise(first)
 
 
 def _level(leaves: DataFrame, depth: int) -> DataFrame:
-    """``leaves`` with segment number ``depth`` moved from the path into the template."""
+    """``leaves``, all with a segment number ``depth``, with it moved into the template."""
     here = F.get("segments", F.lit(depth))
     after = F.coalesce(F.get("segments", F.lit(depth + 1)), F.lit(""))
     # What may follow, by kind only: nothing, a variable part, or a name.
     shape = F.when(after == "", F.lit(".")).when(after.startswith("{"), F.lit("{}")).otherwise("a")
-    kids = leaves.filter(here.isNotNull()).groupBy("template", here.alias("segment")).agg(
+    kids = leaves.groupBy("template", here.alias("segment")).agg(
         F.sum("size").alias("size"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"),
         F.sort_array(F.collect_set(shape)).alias("shape"))
+    few = F.col("size") < SELDOM
     parents = kids.groupBy("template").agg(
-        F.count("*").alias("kinds"), F.sum("size").alias("all"),
-        F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
+        F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"),
+        F.count_if(few).alias("seldom"), F.count_if(few & (F.col("labelled") > 0)).alias("judged"))
     rate = F.col("all_bad") / F.col("all_labelled")
     off = F.when(F.col("labelled") > 0, F.col("bad") - F.col("labelled") * rate)
     wide = 2 * F.sqrt(F.col("labelled") * rate * (1 - rate))
     side = (
         F.when(off.isNull(), F.lit("unknown")).when(off > wide, F.lit("worse"))
         .when(off < -wide, F.lit("better")).otherwise("usual"))
-    seldom = (F.col("kinds") >= MANY_CHILDREN) & (F.col("all") < SELDOM * F.col("kinds"))
+    ruled = 2 * F.col("judged") - F.col("seldom") > 2 * F.sqrt("seldom")
+    fold = (
+        F.when(few & side.isin("unknown", "usual") & ruled, F.lit("*"))
+        .when(few & (side == "unknown"), F.lit("*")).when(few & ruled, F.concat(F.lit("*"), side)))
     judged = kids.join(parents, "template").select(
-        "template", "segment", seldom.alias("seldom"), F.to_json(
+        "template", "segment", fold.alias("fold"), F.to_json(
             F.struct(side.alias("side"), "shape")).alias("like"))
-    groups = judged.groupBy("template", "like").agg(
+    groups = judged.filter("fold is null").groupBy("template", "like").agg(
         F.min("segment").alias("least"), F.count("*").alias("members"))
-    named = judged.join(groups, ["template", "like"]).select(
+    named = judged.join(groups, ["template", "like"], "left").select(
         "template", "segment",
-        F.when(F.col("seldom"), F.lit("*"))
-        .when(F.col("members") > 1, F.concat("least", F.lit("|..")))
-        .otherwise(F.col("segment")).alias("name"))
-    moved = leaves.withColumn("segment", here).join(named, ["template", "segment"], "left")
-    # A level reads the one before it more than once, so each is written.
-    return stored(moved.withColumn(
-        "template", F.when(F.col("name").isNull(), F.col("template"))
-        .otherwise(F.concat_ws("/", "template", "name"))).drop("segment", "name"), "level")
+        F.coalesce("fold", F.when(
+            F.col("members") > 1, F.concat("least", F.lit("|.."))).otherwise(F.col("segment")))
+        .alias("name"))
+    moved = leaves.withColumn("segment", here).join(named, ["template", "segment"])
+    return moved.withColumn("template", F.concat_ws("/", "template", "name")).drop("segment", "name")
+
+
+def _generalised(leaves: DataFrame) -> DataFrame:
+    """``leaves`` with their templates. A level only takes the leaves that reach down to it."""
+    done, depth = None, 0
+    while True:
+        ended = leaves.filter(F.size("segments") <= depth)
+        done = ended if done is None else done.union(ended)
+        deeper = leaves.filter(F.size("segments") > depth)
+        if deeper.isEmpty():
+            return done
+        # A level reads the one before it more than once, so each is written.
+        leaves = stored(_level(deeper, depth).select(*leaves.columns), "level")
+        depth += 1
 
 
 def purities(
@@ -134,7 +153,7 @@ def purities(
         F.first("host").alias("template"), F.first("segments").alias("segments"),
         F.count("*").alias("size"), F.count("bad").alias("labelled"),
         F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"))
-    leaves = reduce(_level, range(MAX_DEPTH + 1), stored(leaves, "leaves"))
+    leaves = _generalised(stored(leaves, "leaves"))
     known = leaves.groupBy("template").agg(
         F.sum("labelled").alias("known"), F.sum("bad").alias("known_bad"))
     purity = (F.col("known_bad") + strength * prior) / (F.col("known") + strength)

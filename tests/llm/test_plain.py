@@ -17,7 +17,7 @@ tokenizers = pytest.importorskip("tokenizers")
 def test_bpe_agrees_with_the_library():
     library = tokenizers.Tokenizer.from_file(tokenizer_path())
     vocabulary = bpe.load(tokenizer_path())
-    words = bpe._Words(bpe.Automaton(vocabulary))
+    encoder = bpe.Encoder(vocabulary)
     rng = random.Random(1)
     signs = "abcdehinorstu   ABCéüñß0129!?.,'\n\t#½²Ⅷ中文😀 　\x1c\x85"
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 90))) for _ in range(1500)]
@@ -26,7 +26,7 @@ def test_bpe_agrees_with_the_library():
         "I'll we've DON'T can't", " \n\n  x\n "]
     for text in texts:
         ids = library.encode(text, add_special_tokens=False).ids
-        packed = bpe.packed_ids(text.encode(), words, vocabulary)
+        packed = bpe.packed_ids(text.encode(), encoder)
         assert np.frombuffer(packed, "<u4").tolist() == ids
         assert b"".join(vocabulary.labels[i] for i in ids).decode("utf-8", "replace") == \
             library.decode(ids, skip_special_tokens=False)
