@@ -38,12 +38,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import discard, stored
-from .words import mix, pieces
+from .words import pieces, word_hashes
 
 HELD_CHUNKS = 400_000
 HELD_ENTRIES = 2_000_000
 LONG_TEXT = 1 << 22
-BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 1 << 27
 FILTER_PROBES = 4
 CELLS = 1 << 16
@@ -157,29 +156,6 @@ def chunk_terms(counts: DataFrame) -> DataFrame:
     return each.select("chunk", "term", times.alias("times"), F.inline("langs"))
 
 
-def chunk_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the chunks of some bytes begin and end, and a hash of each: its bytes as the digits of a
-    number, from differences of running sums."""
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
-    start, stop = edges[::2], edges[1::2]
-    powers = np.full(len(data), BASE)
-    powers[:1] = 1
-    powers = np.cumprod(powers)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
-    # Digits that come first count least, so a chunk's sum is divided by the power it begins with.
-    return start, stop, mix((sums[stop] - sums[start]) * _inverse(powers[start]))
-
-
-def _inverse(odd: np.ndarray) -> np.ndarray:
-    """The inverses of odd numbers modulo 2^64: every step doubles the bits that are right."""
-    found = odd.copy()
-    for _ in range(5):
-        found *= np.uint64(2) - odd * found
-    return found
-
-
 class Filter:
     """A Bloom filter over hashes."""
 
@@ -212,7 +188,7 @@ def filter_of(chunks: DataFrame, count: int) -> Filter:
     def run(batches):
         held = Filter(bits)
         for _, chunks in pieces(batches, "chunk"):
-            held.add(chunk_hashes(np.frombuffer(b" ".join(chunks), np.uint8))[2])
+            held.add(word_hashes(np.frombuffer(b" ".join(chunks), np.uint8))[2])
         at = np.flatnonzero(held.words)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at), pa.array(held.words[at].view(np.int64))], ["at", "word"])
@@ -236,7 +212,7 @@ def documents_with(docs: DataFrame, held: Filter) -> DataFrame:
                 t or b"" if not t or len(t) <= LONG_TEXT else b" ".join(set(t.split())) for t in texts]
             blob = b" ".join(texts)
             begin = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-            start, stop, hashes = chunk_hashes(np.frombuffer(blob, np.uint8))
+            start, stop, hashes = word_hashes(np.frombuffer(blob, np.uint8))
             hit = held.held(hashes)
             at = np.searchsorted(begin, start[hit], "right") - 1
             # Once for each document.

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..jobs.store import ObjectRoot
 from ..session import remove, stored
 from . import rans
-from .words import pieces
+from .words import pieces, ragged, word_hashes
 
 MAGIC = b"LTOKENS1"
 FORMAT = 1
@@ -51,6 +51,7 @@ FILE_BYTES = 1 << 25
 SPLIT = 1 << 23
 MOST_TASKS = 10_000
 KNOWN_WORDS = 1_000_000
+PIECE_BYTES = 1 << 22
 MANIFEST = "file long, name string, docs long, ids long, bytes long"
 _SEGMENT = np.dtype([
     ("offset", "<u8"), ("first", "<u8"), ("ids", "<u4"), ("lanes", "<u4"), ("crc", "<u4"), ("final", "u1")])
@@ -97,25 +98,21 @@ class PieceIds:
         encoding, = self.library.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoding.ids, "<u4").tobytes()
 
-    def _words(self, text: str) -> tuple[list[str], bool] | None:
-        """The words of a text as they are known, and whether they begin with a line end that the text
-        has not; None for a text that is to be encoded as a whole."""
-        if not self.by_word or any(a in text for a in self.apart):
-            return None
-        if not text:
-            return [], False
-        odd = text[0] in " \n" or text[-1] in " \n" or any(
-            two in text for two in ("  ", " \n", "\n ", "\n\n")) or self.other_blank(text)
-        if not odd:
-            return ("\0" + text.replace("\n", " \0")).split(" "), True
-        words = []
-        for piece in self.pieces(text):
-            if piece[0] == " " and len(piece) > 1 and not piece.isspace():
-                words.append(piece[1:])
-            else:
-                # A run of blanks, or a word after another blank.
-                words.append("\0\0" + piece)
-        return words, False
+    def _is_whole(self, text: str) -> bool:
+        return not self.by_word or any(a in text for a in self.apart)
+
+    def _is_plain(self, text: str) -> bool:
+        """Whether single blanks and line ends between words are all blanks the text has."""
+        return not (
+            text[0] in " \n" or text[-1] in " \n"
+            or any(two in text for two in ("  ", " \n", "\n ", "\n\n")) or self.other_blank(text))
+
+    def _odd(self, text: str) -> list[str]:
+        """The words, as they are known, of a text that is not plain."""
+        return [
+            piece[1:] if piece[0] == " " and len(piece) > 1 and not piece.isspace()
+            # A run of blanks, or a word after another blank.
+            else "\0\0" + piece for piece in self.pieces(text)]
 
     def _learn(self, words: list[str]) -> None:
         """Looks up new words."""
@@ -136,30 +133,74 @@ class PieceIds:
             self.known[word] = self.line_end + ids if after_line else ids
             begin = end + 1
 
+    def _packed(self, words: list[str]) -> list[bytes]:
+        """Packed ids of distinct words, as they are known."""
+        found = list(map(self.known.get, words))
+        new = [w for w, ids in zip(words, found) if ids is None]
+        if new:
+            keep = len(self.known) + len(new) <= KNOWN_WORDS
+            self._learn(new)
+            found = [self.known[w] if ids is None else ids for w, ids in zip(words, found)]
+            if not keep:
+                # Words that come first stay: among them are the frequent ones.
+                for word in new:
+                    del self.known[word]
+        return found
+
+    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of plain texts, which are taken together: every distinct word is looked at once, its
+        places are found by a hash and compared byte by byte."""
+        blob = b"\n" + b"\n".join(texts)
+        data = np.frombuffer(blob, np.uint8)
+        start, stop, hashes = word_hashes(data)
+        after_line = data[start - 1] == 10
+        hashes[after_line] ^= np.uint64(0x5555555555555555)
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        size = stop - start
+        if not (size[first][which] == size).all() or not (
+                after_line[first][which] == after_line).all() or not (
+                data[ragged(start[first][which], size)] == data[ragged(start, size)]).all():
+            # Two words with one hash; not seen so far.
+            words = [
+                ("\0" if line else "") + blob[a:b].decode()
+                for a, b, line in zip(start.tolist(), stop.tolist(), after_line.tolist())]
+            which = np.fromiter(map(
+                {w: k for k, w in enumerate(dict.fromkeys(words))}.__getitem__, words), np.int64, len(words))
+            words = list(dict.fromkeys(words))
+        else:
+            words = [
+                ("\0" if line else "") + blob[a:b].decode() for a, b, line in
+                zip(start[first].tolist(), stop[first].tolist(), after_line[first].tolist())]
+        packed = self._packed(words)
+        length = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        begin = np.cumsum(length) - length
+        ids = np.frombuffer(b"".join(packed), "<u4")[ragged(begin[which], length[which])]
+        # Where the texts' first words are; their line ends are not part of the texts.
+        word = np.searchsorted(start, np.cumsum([1, *(len(t) + 1 for t in texts)]))
+        limits = np.concatenate([[0], np.cumsum(length[which])])[word]
+        return [ids[a + 1:b] for a, b in zip(limits[:-1].tolist(), limits[1:].tolist())]
+
     def of(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Ids of each text; null is empty."""
-        plain = [(t or b"").decode() for t in texts]
-        split = [self._words(t) for t in plain]
-        # One look at every word; those that are not known are looked up together.
-        found = [list(map(self.known.get, words[0])) if words else None for words in split]
-        gaps = [
-            [] if ids is None or all(ids) else [k for k, i in enumerate(ids) if i is None]
-            for ids in found]
-        new = {words[0][k] for words, missing in zip(split, gaps) for k in missing}
-        keep = len(self.known) + len(new) <= KNOWN_WORDS
-        if new:
-            self._learn(list(new))
-        for words, ids, missing in zip(split, found, gaps):
-            for k in missing:
-                ids[k] = self.known[words[0][k]]
-        out = [
-            np.frombuffer(
-                self.whole(t) if words is None else b"".join(ids)[4 * words[1]:], "<u4")
-            for t, words, ids in zip(plain, split, found)]
-        if not keep:
-            # Words that come first stay: among them are the frequent ones.
-            for word in new:
-                del self.known[word]
+        out: list[np.ndarray] = [np.empty(0, "<u4")] * len(texts)
+        plain, odd = [], []
+        for k, text in enumerate(texts):
+            if text:
+                shown = text.decode()
+                if self._is_whole(shown):
+                    out[k] = np.frombuffer(self.whole(shown), "<u4")
+                elif self._is_plain(shown):
+                    plain.append(k)
+                else:
+                    odd.append((k, self._odd(shown)))
+        if plain:
+            for k, ids in zip(plain, self._plain([texts[k] for k in plain])):
+                out[k] = ids
+        if odd:
+            words = list(dict.fromkeys(w for _, found in odd for w in found))
+            packed = dict(zip(words, self._packed(words)))
+            for k, found in odd:
+                out[k] = np.frombuffer(b"".join(map(packed.__getitem__, found)), "<u4")
         return out
 
 
@@ -280,7 +321,7 @@ def _tokenizing(folder: str, sent: Broadcast, size: int, end: int | None):
             sink = io.BytesIO()
             options = pa.ipc.IpcWriteOptions(compression="zstd")
             with pa.ipc.new_stream(sink, schema, options=options) as out:
-                for piece, texts in pieces(batches):
+                for piece, texts in pieces(batches, most=PIECE_BYTES):
                     found = [part for one in ids.of(texts) for part in (one, tail)]
                     flat = np.concatenate(found)
                     ends = np.cumsum([0, *(len(a) + len(b) for a, b in zip(found[::2], found[1::2]))])

@@ -53,3 +53,35 @@ def mix(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return values ^ (values >> np.uint64(32))
+
+
+BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of some bytes begin and end, and a hash of each: its bytes as the digits of a
+    number, from differences of running sums."""
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+    start, stop = edges[::2], edges[1::2]
+    powers = np.full(len(data), BASE)
+    powers[:1] = 1
+    powers = np.cumprod(powers)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
+    # Digits that come first count least, so a word's sum is divided by the power it begins with.
+    return start, stop, mix((sums[stop] - sums[start]) * _inverse(powers[start]))
+
+
+def _inverse(odd: np.ndarray) -> np.ndarray:
+    """The inverses of odd numbers modulo 2^64: every step doubles the bits that are right."""
+    found = odd.copy()
+    for _ in range(5):
+        found *= np.uint64(2) - odd * found
+    return found
+
+
+def ragged(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers from each ``begin`` on, ``length`` of them, one run after the other."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + length, length)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lading.llm import clusters, divergence, rans, token_files
+from lading.llm import clusters, divergence, rans, token_files, words
 from lading.llm.queries import END_ID, QUERIES, tokenizer_path
 from lading.session import new_run_dir
 
@@ -302,9 +302,9 @@ def _random_rows(seed, n=300):
 
 def test_hashes_and_filter_of_chunks():
     rng = random.Random(2)
-    words = ["".join(rng.choices("ab\x00é日", k=rng.randint(1, 9))).encode() for _ in range(3000)]
-    text = b"".join(w + rng.choice([b" ", b"\n", b" \t\x0b\x0c\r "]) for w in words)
-    start, stop, hashes = divergence.chunk_hashes(np.frombuffer(text, np.uint8))
+    some = ["".join(rng.choices("ab\x00é日", k=rng.randint(1, 9))).encode() for _ in range(3000)]
+    text = b"".join(w + rng.choice([b" ", b"\n", b" \t\x0b\x0c\r "]) for w in some)
+    start, stop, hashes = words.word_hashes(np.frombuffer(text, np.uint8))
     assert [text[a:b] for a, b in zip(start, stop)] == text.split()
     # A hash depends on the chunk alone, not on its place.
     by_word = dict(zip(text.split(), hashes.tolist()))
@@ -315,7 +315,7 @@ def test_hashes_and_filter_of_chunks():
     held.add(some)
     assert set(some.tolist()) <= set(hashes[held.held(hashes)].tolist())
     assert len(set(hashes[held.held(hashes)].tolist())) < len(some) * 1.2
-    assert len(divergence.chunk_hashes(np.empty(0, np.uint8))[2]) == 0
+    assert len(words.word_hashes(np.empty(0, np.uint8))[2]) == 0
 
 
 @pytest.mark.parametrize("held", [1, divergence.HELD_CHUNKS])
