@@ -50,8 +50,10 @@ FORMAT = 1
 FILE_BYTES = 1 << 25
 SPLIT = 1 << 23
 MOST_TASKS = 10_000
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 800_000
 PIECE_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 19
+BLOCK_WORDS = 1 << 16
 MANIFEST = "file long, name string, docs long, ids long, bytes long"
 _SEGMENT = np.dtype([
     ("offset", "<u8"), ("first", "<u8"), ("ids", "<u4"), ("lanes", "<u4"), ("crc", "<u4"), ("final", "u1")])
@@ -147,30 +149,49 @@ class PieceIds:
                     del self.known[word]
         return found
 
+    @staticmethod
+    def _shown(blob: bytes, start: np.ndarray, stop: np.ndarray, after_line: np.ndarray) -> list[str]:
+        """Words as they are known."""
+        return [
+            "\0" + blob[a:b].decode() if line else blob[a:b].decode()
+            for a, b, line in zip(start.tolist(), stop.tolist(), after_line.tolist())]
+
+    @staticmethod
+    def _same(data, start, stop, after_line, other) -> bool:
+        """Whether each word has the same bytes as the other one named for it."""
+        size = stop - start
+        if (size[other] != size).any() or (after_line[other] != after_line).any():
+            return False
+        return all(
+            (data[ragged(start[other[k:k + BLOCK_WORDS]], size[k:k + BLOCK_WORDS])]
+             == data[ragged(start[k:k + BLOCK_WORDS], size[k:k + BLOCK_WORDS])]).all()
+            for k in range(0, len(start), BLOCK_WORDS))
+
     def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of plain texts, which are taken together: every distinct word is looked at once, its
         places are found by a hash and compared byte by byte."""
         blob = b"\n" + b"\n".join(texts)
         data = np.frombuffer(blob, np.uint8)
-        start, stop, hashes = word_hashes(data)
+        # Hashed in blocks of whole lines, so that what that takes stays small.
+        found, at = [], 0
+        while at < len(blob):
+            end = blob.find(b"\n", at + BLOCK_BYTES)
+            end = len(blob) if end < 0 else end
+            begin, stop, hashes = word_hashes(data[at:end])
+            found.append((begin + at, stop + at, hashes))
+            at = end
+        start, stop, hashes = (np.concatenate(part) for part in zip(*found))
         after_line = data[start - 1] == 10
         hashes[after_line] ^= np.uint64(0x5555555555555555)
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        size = stop - start
-        if not (size[first][which] == size).all() or not (
-                after_line[first][which] == after_line).all() or not (
-                data[ragged(start[first][which], size)] == data[ragged(start, size)]).all():
-            # Two words with one hash; not seen so far.
-            words = [
-                ("\0" if line else "") + blob[a:b].decode()
-                for a, b, line in zip(start.tolist(), stop.tolist(), after_line.tolist())]
-            which = np.fromiter(map(
-                {w: k for k, w in enumerate(dict.fromkeys(words))}.__getitem__, words), np.int64, len(words))
-            words = list(dict.fromkeys(words))
+        if self._same(data, start, stop, after_line, first[which]):
+            words = self._shown(blob, start[first], stop[first], after_line[first])
         else:
-            words = [
-                ("\0" if line else "") + blob[a:b].decode() for a, b, line in
-                zip(start[first].tolist(), stop[first].tolist(), after_line[first].tolist())]
+            # Two words with one hash; not seen so far.
+            every = self._shown(blob, start, stop, after_line)
+            words = list(dict.fromkeys(every))
+            which = np.fromiter(
+                map({w: k for k, w in enumerate(words)}.__getitem__, every), np.int64, len(every))
         packed = self._packed(words)
         length = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         begin = np.cumsum(length) - length

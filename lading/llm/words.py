@@ -55,7 +55,24 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE = 0x9E3779B97F4A7C15
+
+
+class _Powers:
+    """Powers of ``BASE`` modulo 2^64, and their inverses, as many as were ever asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.empty(0, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (
+                np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, base, np.uint64)]))
+                for base in (BASE, pow(BASE, -1, 1 << 64)))
+        return self.up[:n], self.down[:n]
+
+
+_powers = _Powers()
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,21 +81,13 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
     start, stop = edges[::2], edges[1::2]
-    powers = np.full(len(data), BASE)
-    powers[:1] = 1
-    powers = np.cumprod(powers)
+    up, down = _powers.of(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, out=sums[1:])
+    np.multiply(data, up, out=sums[1:])
+    sums[1:] += up
+    np.cumsum(sums, out=sums)
     # Digits that come first count least, so a word's sum is divided by the power it begins with.
-    return start, stop, mix((sums[stop] - sums[start]) * _inverse(powers[start]))
-
-
-def _inverse(odd: np.ndarray) -> np.ndarray:
-    """The inverses of odd numbers modulo 2^64: every step doubles the bits that are right."""
-    found = odd.copy()
-    for _ in range(5):
-        found *= np.uint64(2) - odd * found
-    return found
+    return start, stop, mix((sums[stop] - sums[start]) * down[start])
 
 
 def ragged(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
