@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..operators import joins, parts, sets
-from ..plans import sync
+from ..plans import ranges, sync
 from ..plans.options import SyncOptions
+from ..session import new_run_dir
 from ..sources.bodies import content_digest
 from .fixture_sql import using
 from .registry import query
@@ -37,6 +38,16 @@ def diff_join(spark, sf):
     return joins.diff_join(*_sides(spark, sf), *PREFIXES)
 
 
+@query("diff_join_ranges", using("diff") + """
+select key, rel_key, size, etag, why as reason from diff where why is not null""")
+def diff_join_ranges(spark, sf):
+    """Both listings stored with digests of their ranges; only ranges that differ are joined."""
+    folder = new_run_dir(spark, "ranges")
+    for name, side, prefix in zip(("source", "target"), _sides(spark, sf), PREFIXES):
+        ranges.store_listing(side, f"{folder}/{name}", prefix)
+    return ranges.diff_by_ranges(spark, f"{folder}/source", f"{folder}/target")
+
+
 @query("orphan_anti_join", using("src", "tgt") + """
 select key, rel_key, size from tgt where rel_key not in (select rel_key from src)""")
 def orphan_anti_join(spark, sf):

@@ -11,7 +11,7 @@ from ..jobs.objects import body_digests, write_objects
 from ..operators import filters
 from ..plans.reports import report_json
 from ..session import new_run_dir
-from ..sources import acls, bodies, heads, inventory, runs
+from ..sources import acls, bodies, heads, inventory, pages, runs
 from .fixture_sql import using
 from .registry import ORACLES, query
 
@@ -73,6 +73,16 @@ def list_page(spark, sf):
     )
 
 
+@query("list_page_indexed", using("src") + f"""
+select {_LISTING} from src where key > 'docs/src1/en/3' and key like 'docs/src1%'
+order by key limit 40""")
+def list_page_indexed(spark, sf):
+    """The same page of a listing stored in key order, from the files that hold it."""
+    path = new_run_dir(spark, "pages")
+    pages.write_page_index(fx.src_inventory(spark, sf).drop("doc_id"), path, 16)
+    return pages.indexed_page(spark, path, "docs/src1", None, 40, "docs/src1/en/3")
+
+
 @query("list_page_delimiter", using("tgt") + """
 select key, size from tgt
 where key like 'mirror/orphan/%' and instr(substring(key, 15), '/') = 0

@@ -8,6 +8,7 @@ from ..constants import (
     FAILED_ROWS, HISTORY_ROWS, PREVIEW_KEY_CHARS, PREVIEW_ROWS, PREVIEW_TIME_CHARS,
 )
 from ..functions.text import format_size
+from ..session import stored
 
 
 def sync_history(states: DataFrame, limit: int = HISTORY_ROWS) -> DataFrame:
@@ -25,9 +26,21 @@ def failed_sample(results: DataFrame, limit: int = FAILED_ROWS) -> DataFrame:
 
 
 def plan_preview(objects: DataFrame, limit: int = PREVIEW_ROWS) -> DataFrame:
-    """The first rows of a plan as shown to a reader, each with the number of rows left out."""
-    total = objects.agg(F.count("*")).scalar()
-    return objects.orderBy("key").limit(limit).select(
+    """The first rows of a plan as shown to a reader, each with the number of rows left out.
+
+    What is shown is written once, so that the plan is evaluated once for the rows and their number.
+    """
+    return shown_rows(held_for_preview(objects), limit)
+
+
+def held_for_preview(objects: DataFrame) -> DataFrame:
+    """The columns a preview needs, written to the shared folder."""
+    return stored(objects.select("key", "size", "last_modified"), "preview")
+
+
+def shown_rows(held: DataFrame, limit: int = PREVIEW_ROWS) -> DataFrame:
+    total = held.agg(F.count("*")).scalar()
+    return held.orderBy("key").limit(limit).select(
         F.substring("key", 1, PREVIEW_KEY_CHARS).alias("shown_key"),
         format_size(F.coalesce(F.col("size"), F.lit(0))).alias("shown_size"),
         F.coalesce(

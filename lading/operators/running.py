@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import shared_dir
+from ..session import stored
 
 OBJECT_OVERHEAD_BYTES = 4096
 
@@ -16,39 +17,56 @@ def running_totals(
 ) -> DataFrame:
     """Adds, per entry of ``totals``, the sum of its expression up to and including each row.
 
-    The rows are range-partitioned by the order columns (which should include a unique key, so
-    that equal times can be split) and checkpointed, which pins each row to its slice. Every
-    slice is summed; the sums of the slices before it, one small row per slice, are added to
-    the running sum inside the slice.
+    The rows are written once, with what is to be summed, so that they are evaluated once. Then they
+    are range-partitioned by the order columns (which should include a unique key, so that equal
+    times can be split), each slice is sorted and summed up where it lies, a batch at a time, and
+    the slices are written. Only the sums of the slices before are still missing: one small row per
+    slice, added where the rows are read. Nulls count as 0.
     """
     spark = rows.sparkSession
-    shared_dir(spark)
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    measured = rows.withColumns({f"_m_{name}": expr for name, expr in totals.items()})
-    pinned = (
-        measured.repartitionByRange(slices, *order_by)
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
-    )
-    per_slice = pinned.groupBy("_slice").agg(
-        *[F.sum(f"_m_{name}").alias(f"_s_{name}") for name in totals]
-    )
-    # At most `slices` rows from here on; keeping them in one ordered window is bounded.
+    measures = {name: F.coalesce(expr, F.lit(0)) for name, expr in totals.items()}
+    measured = stored(rows.withColumns(measures), "measured")
+    whole = {name: measured.schema[name].dataType.simpleString() not in ("float", "double") for name in totals}
+    wide = measured.select(*[
+        F.col(c).cast("long" if whole[c] else "double").alias(c) if c in whole else F.col(c)
+        for c in measured.columns])
+
+    names = list(totals)
+
+    def run(batches):
+        number = TaskContext.get().partitionId()
+        before, waiting = dict.fromkeys(names, 0), None
+
+        def marked(columns: dict, end: bool) -> pa.RecordBatch:
+            rows = len(next(iter(columns.values())))
+            return pa.RecordBatch.from_arrays([
+                *columns.values(), pa.array([number] * rows, pa.int32()),
+                pa.array([False] * (rows - 1) + [end])], [*columns, "_slice", "_end"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if waiting is not None:
+                yield marked(waiting, False)
+            waiting = dict(zip(batch.schema.names, batch.columns))
+            for name in names:
+                waiting[name] = summed = pc.cumulative_sum(waiting[name], before[name])
+                before[name] = summed[-1].as_py()
+        if waiting is not None:
+            yield marked(waiting, True)
+
+    schema = wide.withColumns({"_slice": F.lit(0), "_end": F.lit(True)}).schema
+    summed = stored(
+        wide.repartitionByRange(slices, *order_by).sortWithinPartitions(*order_by).mapInArrow(run, schema),
+        "slices")
+    # The last row of a slice has its sums; there is at most one such row per slice.
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        "_slice",
-        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in totals],
-    )
-    within = Window.partitionBy("_slice").orderBy(*order_by).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    # Each slice goes to the task of its own number, and the window needs no other exchange.
-    apart = pinned.repartitionById(slices, F.col("_slice"))
-    summed = apart.join(F.broadcast(offsets), "_slice").withColumns({
-        name: F.col(f"_o_{name}") + F.sum(f"_m_{name}").over(within) for name in totals
-    })
-    extra = ["_slice"] + [f"_{tag}_{name}" for name in totals for tag in "mo"]
-    return reduce(lambda frame, name: frame.drop(name), extra, summed)
+    offsets = summed.filter("_end").select("_slice", *[
+        F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_o_{n}") for n in totals])
+    joined = summed.join(F.broadcast(offsets), "_slice")
+    return joined.select(*[
+        (F.col(c) + F.col(f"_o_{c}")).alias(c) if c in totals else F.col(c) for c in wide.columns])
 
 
 def byte_slices(

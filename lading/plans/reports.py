@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import FAILED_ROWS_IN_TEXT, PREVIEW_KEY_CHARS, PREVIEW_ROWS, PREVIEW_TIME_CHARS
 from ..functions.text import format_duration, format_size, labelled, thousands
-from ..operators.limits import plan_preview, preview_totals
+from ..operators.limits import held_for_preview, preview_totals, shown_rows
 
 _RULE = "=" * 60
 
@@ -167,14 +167,15 @@ def migration_preview_text(
     objects: DataFrame, source_bucket: str, target_bucket: str, source_prefix: str = "",
     column: str = "preview",
 ) -> DataFrame:
-    """Totals and the first 50 objects of a plan as one text."""
+    """Totals and the first 50 objects of a plan as one text; the plan is evaluated once."""
+    objects = held_for_preview(objects)
     row = F.concat(
         F.lit("  "), F.rpad("shown_key", PREVIEW_KEY_CHARS, " "), F.lit(" "),
         F.lpad("shown_size", F.greatest(F.lit(12), F.length("shown_size")), F.lit(" ")),
         F.lit(" "), F.rpad("shown_time", PREVIEW_TIME_CHARS + 1, " "),
     )
     # At most 50 rows are gathered here.
-    table = plan_preview(objects, PREVIEW_ROWS).agg(
+    table = shown_rows(objects, PREVIEW_ROWS).agg(
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct("shown_key", row.alias("line")))),
             lambda r: r["line"],

@@ -95,9 +95,10 @@ def single(rows: DataFrame, repeated_keys: bool, *keys: str) -> DataFrame:
     return latest_per_key(rows, *keys) if repeated_keys else rows
 
 
-def _page_rows(
+def page_rows(
     inventory: DataFrame, prefix: str, delimiter: str | None, max_keys: int, token: str | None
 ) -> DataFrame:
+    """The rows of a page and one more, in key order."""
     rows = prefix_filter(inventory, prefix)
     if delimiter:
         rest = F.substring("key", len(prefix) + 1, 2147483647)
@@ -118,7 +119,7 @@ def list_page(
 
     Keys that hold the delimiter after the prefix are rolled up and not returned.
     """
-    return _page_rows(inventory, prefix, delimiter, max_keys, continuation_token).limit(max_keys)
+    return page_rows(inventory, prefix, delimiter, max_keys, continuation_token).limit(max_keys)
 
 
 def page_summary(
@@ -133,7 +134,7 @@ def page_summary(
     One row beyond the page tells whether it is truncated; the token is the largest key that
     is left when that extra row is taken away.
     """
-    rows = _page_rows(inventory, prefix, delimiter, max_keys, continuation_token)
+    rows = page_rows(inventory, prefix, delimiter, max_keys, continuation_token)
     found = rows.agg(
         F.count("*").alias("n"),
         F.array_sort(F.collect_list("key")).alias("keys"),

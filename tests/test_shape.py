@@ -124,10 +124,80 @@ def test_repeated_keys_cost_no_further_shuffle(stored):
     assert plan.count("Exchange hashpartitioning") == 2 and "partial_max" in plan
 
 
-def test_running_totals_exchange_rows_once_after_the_checkpoint(spark, stored):
+def _executions(spark, what):
+    """The plans that Spark ran while ``what`` was done."""
+    seen = spark._jsparkSession.sharedState().statusStore()
+    before = seen.executionsCount()
+    what()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    return [
+        seen.executionsList().apply(k).physicalPlanDescription()
+        for k in range(before, seen.executionsCount())]
+
+
+def test_running_totals_move_rows_once(spark, stored):
+    """One range exchange of the rows, from what was written; what is left moves one row per slice."""
     from lading.operators.running import running_totals
 
-    plan = _plan(running_totals(stored[0].select("key", "size"), ["key"], {"t": F.col("size")}))
-    rows_moved = plan.count("Exchange") - plan.count("BroadcastExchange")
-    # One for the rows; two more move one row per slice (its total, and the offsets' order).
-    assert rows_moved == 3, plan
+    made = []
+    ran = _executions(spark, lambda: made.append(
+        running_totals(stored[0].select("key", "size"), ["key"], {"t": F.col("size")}, 4)))
+    assert sum("rangepartitioning" in p for p in ran) == 1
+    assert sum("/source" in p for p in ran) == 1, "the input is evaluated once"
+    plan = _plan(made[0])
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1 and "SinglePartition" in plan
+    rows = made[0].orderBy("key").collect()
+    total = 0
+    for r in rows:
+        total += r.size
+        assert r.t == total
+
+
+def test_previews_evaluate_a_plan_once(spark, stored):
+    from lading.operators.limits import plan_preview
+    from lading.plans.reports import migration_preview_text
+
+    for preview in (plan_preview, lambda plan: migration_preview_text(plan, "a", "b")):
+        plan = sync.mirror_plan(stored[0].filter("size > 3"), stored[1], OPTIONS)
+        ran = _executions(spark, lambda: preview(plan).collect())
+        assert sum("/source" in p for p in ran) == 1 and sum("/target" in p for p in ran) == 1
+
+
+def test_pages_open_the_files_they_need(spark, stored, tmp_path):
+    from lading.sources.pages import indexed_page, write_page_index
+
+    write_page_index(stored[0], str(tmp_path / "pages"), 20)
+    for prefix, delimiter, most, token in (
+            ("s/", None, 50, "s/15"), ("s/19", None, 1000, None), ("s/", "/", 5, None), ("s/", "9", 300, None),
+            ("none", None, 10, None), ("", None, 10, "s/9990"), ("s/1", None, 10, "s/0"), ("", None, 3000, None)):
+        page = indexed_page(spark, str(tmp_path / "pages"), prefix, delimiter, most, token)
+        want = list_page(stored[0], prefix, delimiter, most, token)
+        assert [r.key for r in page.collect()] == [r.key for r in want.collect()]
+        if most == 50:
+            assert len(page.inputFiles()) <= 2
+
+
+def test_only_differing_ranges_are_joined(spark, stored, tmp_path):
+    from lading.plans import ranges
+
+    rows = stored[0].withColumn("key", F.concat(
+        F.lit("s/"), F.pmod(F.col("size"), F.lit(100)).cast("string"), F.lit("/x/"), F.col("size").cast("string")))
+    changed = rows.filter("size <> 505").withColumn("etag", F.when(
+        F.col("size").isin(5, 105), F.lit("other")).otherwise(F.col("etag")))
+    extra = rows.filter("size = 7").withColumn("key", F.lit("s/7/x/new"))
+    paths = [str(tmp_path / "a"), str(tmp_path / "b")]
+    ranges.store_listing(rows, paths[0], "s/")
+    ranges.store_listing(changed.unionByName(extra), paths[1], "s/")
+    leaves = ranges.differing_leaves(spark, *paths).collect()
+    assert {r.branch for r in leaves} == {"5/x", "7/x"} and len(leaves) <= 4
+    found = ranges.diff_by_ranges(spark, *paths)
+    want = joins.diff_join(rows, changed.unionByName(extra), "s/", "s/")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted((r.rel_key, r.reason) for r in found.collect()) == [
+        ("5/x/105", "etag"), ("5/x/5", "etag"), ("5/x/505", "missing")]
+    # Of 2,000 rows, those of a few leaves reach the join.
+    assert "In(branch" in _plan(found)
+    read = spark.read.parquet(paths[0] + "/rows").join(
+        ranges.differing_leaves(spark, *paths).withColumnRenamed("branch", "b"),
+        (F.col("branch") == F.col("b")) & (ranges._leaf(F.col("rel_key")) == F.col("leaf")), "left_semi")
+    assert read.count() < 100
