@@ -214,7 +214,7 @@ def checkpoint_log(spark, sf):
 
 
 @query("run_lookup_journal", using("diff") + """
-, c as (select count(*) as total, count_if(doc_id % 50 <> 1) as uploaded from diff
+, c as (select count(*) as total, coalesce(count_if(doc_id % 50 <> 1), 0) as uploaded from diff
         where why is not null and last_modified >= timestamp '2024-01-01 04:00:00'
           and key not like '%.tmp')
 select 'ended' as sync_id, 'state' as origin,
