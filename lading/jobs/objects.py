@@ -20,13 +20,14 @@ from ..functions.keys import from_micros
 from ..operators.running import byte_slices, running_totals
 from ..schemas import RESULT
 from ..session import new_run_dir, stored
-from ..sources.bodies import content_digest, content_scan
+from ..sources.bodies import content_digest
 from .checkpoints import CheckpointLog
 from .parts import copy_in_parts, headers_of
 from .stopping import StopFlag
 from .store import ObjectRoot
-from .tasks import CALLS_AT_ONCE, RESULT_ARROW, default_tasks, per_row, result_of
+from .tasks import RESULT_ARROW, default_tasks, per_row, result_of
 
+_CONTENT_ARROW = pa.schema([("key", pa.string()), ("content", pa.binary())])
 _DIGEST_ARROW = pa.schema([("key", pa.string()), ("md5", pa.string())])
 
 
@@ -51,7 +52,7 @@ def balanced(plan: DataFrame, task_bytes: int) -> DataFrame:
 
 
 def _copying(
-    source_root: str, target_root: str, part_bytes: int, calls: int, log: CheckpointLog | None,
+    source_root: str, target_root: str, part_bytes: int, calls: int | None, log: CheckpointLog | None,
     stop: StopFlag | None,
 ):
     def run(batches):
@@ -78,20 +79,21 @@ def _copying(
                     row, target_key=None, success=False, error=str(error) or type(error).__name__)
             return result_of(row)
 
-        yield from per_row(copy, RESULT_ARROW, calls, log.through if log else iter)(batches)
+        yield from per_row(
+            copy, RESULT_ARROW, calls or max(source.calls, target.calls), log.through if log else iter)(batches)
 
     return run
 
 
 def copy_objects(
     plan: DataFrame, source_root: str, target_root: str, part_bytes: int = PART_BYTES,
-    task_bytes: int | None = None, calls: int = CALLS_AT_ONCE, split_bytes: int | None = None,
+    task_bytes: int | None = None, calls: int | None = None, split_bytes: int | None = None,
     token: str = "", log: CheckpointLog | None = None, stop: StopFlag | None = None,
 ) -> DataFrame:
     """Moves the bytes of each row (``key`` to ``target_key``); a failure becomes a result row.
 
     Bodies stream through in pieces of ``part_bytes`` and never enter a DataFrame; a task works on
-    up to ``calls`` objects at once. With ``task_bytes`` the rows are first spread so that tasks
+    up to ``calls`` objects at once (without a number: ten on stores reached over a network, else one). With ``task_bytes`` the rows are first spread so that tasks
     carry about equal numbers of bytes. Objects longer than ``split_bytes`` are copied by their parts,
     by as many tasks as they are worth, under the run's ``token``; that part of the work is done
     at once, the rest when the result is computed. Tasks write the keys they handled to ``log``; once
@@ -132,7 +134,7 @@ def copy_object(
 
 
 def delete_objects(
-    orphans: DataFrame, target_root: str, calls: int = CALLS_AT_ONCE
+    orphans: DataFrame, target_root: str, calls: int | None = None
 ) -> DataFrame:
     """Removes each ``key`` below the target root, up to ``calls`` at once in a task."""
     def run(batches):
@@ -145,7 +147,7 @@ def delete_objects(
                 return result_of(row, success=False, error=str(error))
             return result_of(row, target_key=row["key"], reason="deleted")
 
-        yield from per_row(delete, RESULT_ARROW, calls)(batches)
+        yield from per_row(delete, RESULT_ARROW, calls or target.calls)(batches)
 
     # Few bytes, many round trips: the keys are spread over all tasks, whatever their files.
     spread = orphans.select("key", "size").repartition(default_tasks(orphans.sparkSession))
@@ -153,7 +155,7 @@ def delete_objects(
 
 
 def digest_objects(
-    objects: DataFrame, root: str, part_bytes: int = PART_BYTES, calls: int = CALLS_AT_ONCE
+    objects: DataFrame, root: str, part_bytes: int = PART_BYTES, calls: int | None = None
 ) -> DataFrame:
     """``key, md5`` of the listed objects, read in pieces; null where a body cannot be read."""
     def run(batches):
@@ -168,7 +170,7 @@ def digest_objects(
                 return {"key": row["key"], "md5": None}
             return {"key": row["key"], "md5": md5.hexdigest()}
 
-        yield from per_row(digest, _DIGEST_ARROW, calls)(batches)
+        yield from per_row(digest, _DIGEST_ARROW, calls or store.calls)(batches)
 
     return objects.select("key").mapInArrow(run, "key string, md5 string")
 
@@ -176,14 +178,32 @@ def digest_objects(
 def body_digests(spark: SparkSession, root: str, column_bytes: int) -> DataFrame:
     """``key, length, md5`` of every object of a store.
 
-    Bodies of up to ``column_bytes`` are read as a column, many in a task; longer ones, and those
-    that the file source does not show, stream through ``digest_objects``.
+    The store is listed once, by tasks. Bodies of up to ``column_bytes`` become a column, many in a
+    task; longer ones stream through ``digest_objects``.
     """
-    small = content_scan(spark, root, column_bytes)
-    rest = stored(list_objects(spark, root).select("key", F.col("size").alias("length")).join(
-        small.select("key"), "key", "left_anti"), "rest")
-    digests = digest_objects(rest.repartition(default_tasks(spark), "key"), root)
-    return content_digest(small).unionByName(rest.join(digests, "key").select("key", "length", "md5"))
+    # Files of a listing may be few and hold many keys.
+    listed = stored(list_objects(spark, root).select("key", F.col("size").alias("length")), "listed")
+    spread = listed.repartition(default_tasks(spark), "key")
+    small = read_objects(spread.filter(F.col("length") <= column_bytes), root)
+    long = spread.filter(F.col("length") > column_bytes)
+    digests = digest_objects(long, root)
+    return content_digest(small).unionByName(long.join(digests, "key").select("key", "length", "md5"))
+
+
+def read_objects(objects: DataFrame, root: str) -> DataFrame:
+    """``key, content`` of the listed objects; null where a body cannot be read. For short ones."""
+    def run(batches):
+        store = ObjectRoot(root)
+
+        def read(row: dict) -> dict:
+            try:
+                return {"key": row["key"], "content": b"".join(store.chunks(row["key"], PART_BYTES))}
+            except Exception:
+                return {"key": row["key"], "content": None}
+
+        yield from per_row(read, _CONTENT_ARROW, store.calls)(batches)
+
+    return objects.select("key").mapInArrow(run, "key string, content binary")
 
 
 FOLDER_NAMES = 100_000
@@ -233,7 +253,10 @@ _LISTED = "kind string, key string, size long, mtime_us long"
 
 def _listing(root: str, prefix: str, most: int):
     def entries(store: ObjectRoot, folder: str, share: int, shares: int):
-        found = store.scan(folder)
+        def in_share(name: str) -> bool:
+            return zlib.crc32(name.encode("utf-8", "surrogatepass")) % shares == share
+
+        found = store.scan(folder, in_share) if shares > 1 else store.scan(folder)
         if shares == 1:
             first = list(islice(found, most + 1))
             if len(first) > most:
@@ -241,8 +264,6 @@ def _listing(root: str, prefix: str, most: int):
                 return
             found = first
         for name, is_folder, size, mtime_us in found:
-            if shares > 1 and zlib.crc32(name.encode("utf-8", "surrogatepass")) % shares != share:
-                continue
             key = f"{folder}/{name}" if folder else name
             below = f"{key}/" if is_folder else key
             if below.startswith(prefix) or (is_folder and prefix.startswith(below)):
@@ -274,6 +295,8 @@ def write_objects(bodies: DataFrame, root: str) -> DataFrame:
                 return result_of(row, success=False, error=str(error))
             return result_of(row, target_key=row["key"], size=size)
 
-        yield from per_row(put, RESULT_ARROW)(batches)
+        yield from per_row(put, RESULT_ARROW, store.calls)(batches)
 
-    return bodies.select("key", "content").mapInArrow(run, RESULT)
+    # A table may be few files, and its rows be read by few tasks.
+    spread = bodies.select("key", "content").repartition(default_tasks(bodies.sparkSession), "key")
+    return spread.mapInArrow(run, RESULT)

@@ -25,7 +25,7 @@ from ..session import stored
 from .checkpoints import CheckpointLog
 from .stopping import StopFlag
 from .store import ObjectRoot
-from .tasks import CALLS_AT_ONCE, RESULT_ARROW, default_tasks, per_row, result_of
+from .tasks import RESULT_ARROW, default_tasks, per_row, result_of
 
 MIB = 1024 * 1024
 TASK_BYTES = 256 * MIB
@@ -50,7 +50,7 @@ def _upload(token: str, target_key: str) -> str:
 
 def copy_parts(
     objects: DataFrame, source_root: str, target_root: str, token: str,
-    part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES, calls: int = CALLS_AT_ONCE,
+    part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES, calls: int | None = None,
     stop: StopFlag | None = None,
 ) -> DataFrame:
     """Stages the parts of each object (``key, target_key, size``); ``PART_RESULT`` rows.
@@ -84,14 +84,14 @@ def copy_parts(
                 error = str(problem) or type(problem).__name__
             return {**row, "md5": None if error else md5.hexdigest(), "error": error, "task": task}
 
-        yield from per_row(copy, _PART_ARROW, calls)(batches)
+        yield from per_row(copy, _PART_ARROW, calls or max(source.calls, target.calls))(batches)
 
     return _dealt(parts, objects, task_bytes).mapInArrow(run, PART_RESULT)
 
 
 def finish_parts(
     objects: DataFrame, manifest: DataFrame, target_root: str, token: str,
-    calls: int = CALLS_AT_ONCE, log: CheckpointLog | None = None,
+    calls: int | None = None, log: CheckpointLog | None = None,
 ) -> DataFrame:
     """``RESULT`` rows of the staged objects: each appears whole, or its stage is removed.
 
@@ -123,7 +123,7 @@ def finish_parts(
                     error=str(problem) or type(problem).__name__)
             return result_of(row)
 
-        yield from per_row(finish, RESULT_ARROW, calls, log.through if log else iter)(batches)
+        yield from per_row(finish, RESULT_ARROW, calls or target.calls, log.through if log else iter)(batches)
 
     return rows.mapInArrow(run, RESULT)
 
@@ -138,7 +138,7 @@ def headers_of(row: dict) -> dict[str, str]:
 
 def copy_in_parts(
     objects: DataFrame, source_root: str, target_root: str, token: str,
-    part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES, calls: int = CALLS_AT_ONCE,
+    part_bytes: int = PART_BYTES, task_bytes: int = TASK_BYTES, calls: int | None = None,
     log: CheckpointLog | None = None, stop: StopFlag | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Copies each object by all its parts: ``RESULT`` rows, lazy, and the written manifest."""
@@ -156,7 +156,7 @@ def manifest_etags(manifest: DataFrame) -> DataFrame:
 
 
 def part_digests(
-    objects: DataFrame, root: str, task_bytes: int = TASK_BYTES, calls: int = CALLS_AT_ONCE,
+    objects: DataFrame, root: str, task_bytes: int = TASK_BYTES, calls: int | None = None,
 ) -> DataFrame:
     """``key, each, part_number, md5`` of the parts of ``objects`` (``key, size, each``: the size of a
     part); a digest is null where its range cannot be read."""
@@ -174,7 +174,7 @@ def part_digests(
                 return {**row, "md5": None}
             return {**row, "md5": md5.hexdigest()}
 
-        yield from per_row(digest, arrow, calls)(batches)
+        yield from per_row(digest, arrow, calls or store.calls)(batches)
 
     arrow = pa.schema([
         ("key", pa.string()), ("each", pa.int64()), ("part_number", pa.int64()), ("md5", pa.string())])
@@ -197,7 +197,7 @@ def part_sizes(length, parts, unit: int = MIB, usual: tuple[int, ...] = USUAL_PA
 
 def composite_digests(
     cases: DataFrame, root: str, unit: int = MIB, usual: tuple[int, ...] = USUAL_PART_MIB,
-    task_bytes: int = TASK_BYTES, calls: int = CALLS_AT_ONCE,
+    task_bytes: int = TASK_BYTES, calls: int | None = None,
 ) -> DataFrame:
     """``key, etags``: what composite ETag the body of each key (``key, size, parts``) can have.
 

@@ -9,12 +9,13 @@ from concurrent.futures import ThreadPoolExecutor
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from .store import CALLS_AT_ONCE
+
 RESULT_ARROW = pa.schema([
     ("key", pa.string()), ("target_key", pa.string()), ("success", pa.bool_()),
     ("skipped", pa.bool_()), ("error", pa.string()), ("reason", pa.string()),
     ("size", pa.int64()),
 ])
-CALLS_AT_ONCE = 10
 _ROWS_AT_ONCE = 256
 
 
