@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from ..jobs import journal, objects, parts, records, runs as job_runs
 from ..jobs.heads import inventory_of, live_heads
+from ..jobs.tasks import default_tasks
 from ..operators.acl import acl_copy
 from ..operators.metadata import metadata_batch_update
 from ..plans import sync, validate as validation
@@ -36,6 +37,11 @@ def _kept(frame, folder, name):
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _spread(keys, key="key"):
+    """Keys over all tasks: what they stand for is work, however few files they lie in."""
+    return keys.repartition(default_tasks(keys.sparkSession), key)
+
+
 def _source_tree(spark, sf, folder):
     """The bodies of the documents as objects; two of a hundred are left out."""
     rows = fx.bodies(spark, sf).filter("doc_id % 50 <> 1")
@@ -113,7 +119,7 @@ def run_validation_live(spark, sf):
     folder = new_run_dir(spark, "live")
     source, target = _source_tree(spark, sf, folder), f"{folder}/target"
     _kept(objects.write_objects(fx.bodies(spark, sf, target=True), target), folder, "put")
-    heads = live_heads(spark, source)
+    heads = _kept(live_heads(spark, source), folder, "listed")
     report = job_runs.run_validation(
         inventory_of(heads), heads, live_heads(spark, target),
         replace(VALIDATE_OPTIONS, metadata_fields=("ContentLength",)), f"{folder}/store", source, target,
@@ -132,9 +138,9 @@ def copy_object(spark, sf):
     mapping = fx.src_inventory(spark, sf).filter("doc_id % 50 <> 1").select(
         F.col("key").alias("source_key"), F.concat(F.lit("copy/"), "key").alias("target_key"),
         "size")
-    moved = _kept(objects.copy_object(mapping, source, f"{folder}/target"), folder, "results")
+    moved = _kept(objects.copy_object(_spread(mapping, "source_key"), source, f"{folder}/target"), folder, "results")
     digests = objects.digest_objects(
-        moved.select(F.col("target_key").alias("key")), f"{folder}/target")
+        _spread(moved.select(F.col("target_key").alias("key"))), f"{folder}/target")
     return digests.select(
         F.substring("key", 6, 2147483647).alias("key"), F.col("key").alias("target_key"), "md5")
 
@@ -208,7 +214,7 @@ def checkpoint_log(spark, sf):
     log = records.checkpoint_log(
         f"{folder}/store", "one", fx.SOURCE_BUCKET, fx.TARGET_BUCKET, 20)
     listed = fx.src_inventory(spark, sf).select("key", F.col("key").alias("target_key"), "size")
-    _kept(objects.copy_objects(listed, source, f"{folder}/target", log=log), folder, "results")
+    _kept(objects.copy_objects(_spread(listed), source, f"{folder}/target", log=log), folder, "results")
     records.checkpoint_compact(spark, f"{folder}/store", "one")
     return records.read_checkpoints(spark, f"{folder}/store", "one")
 
@@ -309,7 +315,7 @@ def copy_objects_in_parts(spark, sf):
     moved, manifest = parts.copy_in_parts(listed, source, target, "run", _PART, _TASK_BYTES)
     moved = _kept(moved, folder, "results")
     digests = objects.digest_objects(
-        moved.filter("success").select(F.col("target_key").alias("key")), target)
+        _spread(moved.filter("success").select(F.col("target_key").alias("key"))), target)
     return digests.withColumnRenamed("key", "target_key").join(
         parts.manifest_etags(manifest), "target_key").select("key", "target_key", "md5", "etag", "n_parts")
 
@@ -331,19 +337,19 @@ def content_check_composite(spark, sf):
             fx._KEY.format(prefix=fx.SOURCE_PREFIX) + " as key", f"cast({text} as binary) as content",
             "doc_id")
         _kept(objects.write_objects(rows.select("key", "content"), f"{folder}/{side}"), folder, f"put_{side}")
-        heads[side] = rows.selectExpr(
+        heads[side] = _kept(rows.selectExpr(
             "key", "doc_id", "cast(octet_length(content) as bigint) as content_length",
             f"case when doc_id % 3 = {composite} then {fx.parts_etag('content', _PART)}"
             " else md5(content) end as etag",
-            "timestamp_ntz'2024-01-01 00:00:00' as last_modified")
-    listing = fx.src_inventory(spark, sf)
+            "timestamp_ntz'2024-01-01 00:00:00' as last_modified"), folder, f"heads_{side}")
+    listing = _kept(fx.src_inventory(spark, sf), folder, "listing")
     options = replace(VALIDATE_OPTIONS, etag_part_unit=_PART // 8)
     given = listing, heads["source"], heads["target"], options
     cases, verdicts = job_runs.composites_of(
         *given, f"{folder}/source", f"{folder}/target", folder)
     open_cases = _kept(validation.undecided_bodies(*given, verdicts), folder, "open")
     source_md5, target_md5 = (
-        objects.digest_objects(open_cases.select(F.col(c).alias("key")), f"{folder}/{side}")
+        objects.digest_objects(_spread(open_cases.select(F.col(c).alias("key"))), f"{folder}/{side}")
         for c, side in (("key", "source"), ("target_key", "target")))
     checks = validation.content_check(*given, source_md5, target_md5, verdicts)
     return checks.join(cases.select("key", F.lit(True).alias("tried")), "key", "left").select(

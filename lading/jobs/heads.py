@@ -120,13 +120,18 @@ def objects_of(root: ObjectRoot, share: Share, keys: KeyRange) -> Iterator[dict]
     while folders:
         folder = folders.pop()
         dealt = share.of > 1 and folder == share.folder
-        for name, is_folder, size, mtime_us in root.scan(folder):
+
+        def own(name: str) -> bool:
+            return zlib.crc32(name.encode("utf-8", "surrogatepass")) % share.of == share.index
+
+        # The first share sees all names, for the folders among them.
+        seen = root.scan(folder, own) if dealt and share.index else root.scan(folder)
+        for name, is_folder, size, mtime_us in seen:
             key = _path(folder, name)
             if is_folder:
                 if share.below and keys.meets(key + "/") and (not dealt or share.index == 0):
                     folders.append(key)
-            elif keys.holds(key) and (
-                    not dealt or zlib.crc32(name.encode("utf-8", "surrogatepass")) % share.of == share.index):
+            elif keys.holds(key) and (not dealt or own(name)):
                 yield {"key": key, "size": size, "mtime_us": mtime_us}
 
 

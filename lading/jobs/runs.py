@@ -273,6 +273,11 @@ def run_validation(
     folder = f"{store}/runs/{validation_id}"
     digests = {}
     if options.check_content and source_root and target_root:
+        # Written first: the three steps below read one state of the stores, and what is live, or made
+        # from bodies, is made once.
+        source, source_heads, target_heads = (
+            _stored(rows, f"{folder}/{name}") for name, rows in (
+                ("source", source), ("source_heads", source_heads), ("target_heads", target_heads)))
         _, composites = composites_of(
             source, source_heads, target_heads, options, source_root, target_root, folder)
         open_cases = undecided_bodies(source, source_heads, target_heads, options, composites)
