@@ -50,8 +50,8 @@ FORMAT = 1
 FILE_BYTES = 1 << 25
 SPLIT = 1 << 23
 MOST_TASKS = 10_000
-KNOWN_WORDS = 800_000
-PIECE_BYTES = 1 << 22
+KNOWN_WORDS = 450_000
+PIECE_BYTES = 3 << 20
 BLOCK_BYTES = 1 << 19
 BLOCK_WORDS = 1 << 16
 MANIFEST = "file long, name string, docs long, ids long, bytes long"

@@ -345,3 +345,14 @@ def test_audit_of_odd_rows(spark, edges, nothing):
     longest = spark.createDataFrame([("x" * 2_000_000, "en", "a"), ("x" * 2_000_000, "en", "b")],
                                     "text string, lang string, source string")
     assert len(divergence.divergence(longest, 2).filter(F.col("part") == "pair").collect()) == 2
+
+
+def test_remembered_words_stay_small():
+    """What a worker remembers of 20,000 words, times how many it may, is within 75 MB."""
+    import sys
+
+    ids = token_files.PieceIds(open(tokenizer_path()).read())
+    ids.of([" ".join(f"word{n}" for n in range(100_000, 120_000)).encode()])
+    held = sys.getsizeof(ids.known) + sum(
+        sys.getsizeof(word) + sys.getsizeof(packed) for word, packed in ids.known.items())
+    assert held / len(ids.known) * token_files.KNOWN_WORDS < 75e6
