@@ -32,6 +32,7 @@ import json
 import re
 import struct
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from itertools import chain
 
@@ -54,11 +55,20 @@ KNOWN_WORDS = 450_000
 PIECE_BYTES = 3 << 20
 BLOCK_BYTES = 1 << 19
 BLOCK_WORDS = 1 << 16
+LOT = 1 << 10
 MANIFEST = "file long, name string, docs long, ids long, bytes long"
 _SEGMENT = np.dtype([
     ("offset", "<u8"), ("first", "<u8"), ("ids", "<u4"), ("lanes", "<u4"), ("crc", "<u4"), ("final", "u1")])
 # The characters with the White_Space property but blank and line end.
 _OTHER_BLANK = "\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Lines with a word of letters of old standing and marks behind it, which the byte-level split takes apart
+# just there; other lines.
+_SIMPLE = re.compile(
+    rb"^(?:(\0?)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)"
+    rb"([.,;:!?]*)|.*)$", re.M).findall
+# The characters that stand for the bytes in a byte-level vocabulary.
+_OTHERS = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+_BYTE_CHARS = "".join(chr(256 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256))
 
 
 class PieceIds:
@@ -67,8 +77,10 @@ class PieceIds:
     A byte-level split of a text breaks at every blank, where a single one goes with the word after it
     and of several the last one does. So words split alike alone and in their text, and ids of a text
     are those of its words. A word is known by its characters where one blank stands before it; after a
-    line end it is known with ``\\0`` before it and has the line end's id first. New words go to the
-    library as one text, with line ends between them, which are ids of their own there. Texts with other
+    line end it is known with ``\\0`` before it and has the line end's id first. New words of letters, with
+    or without marks behind them, go to the library's model as the piece its split makes of them; other
+    new words go to the library as one text, with line ends between them, which are ids of their own
+    there. Texts with other
     blanks are taken apart more carefully. Other tokenizers get whole texts, and so does every
     tokenizer where a text holds one of its added tokens, which is an end to all blanks.
     """
@@ -94,7 +106,10 @@ class PieceIds:
         blank = f"[ \\n{_OTHER_BLANK}]"
         self.pieces = re.compile(
             f"{blank}+(?![^ \\n{_OTHER_BLANK}])| ?[^ \\n{_OTHER_BLANK}]+|{blank}").findall
-        self.known: dict[str, bytes] = {}
+        model = parsed.get("model") or {}
+        self.by_piece = self.by_word and model.get("type") == "BPE" and not model.get("dropout")
+        self.marks: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         encoding, = self.library.encode_batch_fast([text], add_special_tokens=False)
@@ -109,18 +124,50 @@ class PieceIds:
             text[0] in " \n" or text[-1] in " \n"
             or any(two in text for two in ("  ", " \n", "\n ", "\n\n")) or self.other_blank(text))
 
-    def _odd(self, text: str) -> list[str]:
+    def _odd(self, text: str) -> list[bytes]:
         """The words, as they are known, of a text that is not plain."""
         return [
-            piece[1:] if piece[0] == " " and len(piece) > 1 and not piece.isspace()
-            # A run of blanks, or a word after another blank.
-            else "\0\0" + piece for piece in self.pieces(text)]
-
-    def _learn(self, words: list[str]) -> None:
+            (piece[1:] if piece[0] == " " and len(piece) > 1 and not piece.isspace()
+             # A run of blanks, or a word after another blank.
+             else "\0\0" + piece).encode() for piece in self.pieces(text)]
+
+    def _of_model(self, piece: bytes) -> list[int]:
+        return [t.id for t in self.library.model.tokenize(charmap_decode(piece, "strict", _BYTE_CHARS)[0])]
+
+    def _learn_simple(self, words: list[bytes]) -> list[bytes]:
+        """Looks up the new words that are letters with marks behind them, and returns the others."""
+        # Those with other blanks may hold line ends.
+        others = [w for w in words if w[:2] == b"\0\0"]
+        if others:
+            words = [w for w in words if w[:2] != b"\0\0"]
+        found, ids, limits = [], [], [0]
+        for word, simple in zip(words, _SIMPLE(b"\n".join(words))):
+            after_line, letters, marks = simple
+            if not letters:
+                others.append(word)
+                continue
+            ids += self._of_model(letters if after_line else b" " + letters)
+            limits.append(len(ids))
+            found.append(word)
+            if marks and marks not in self.marks:
+                self.marks[marks] = np.array(self._of_model(marks), "<u4").tobytes()
+        packed = np.array(ids, "<u4").tobytes()
+        for word, begin, end in zip(found, limits, limits[1:]):
+            one = packed[4 * begin:4 * end]
+            if word[-1] < 64:
+                one += self.marks[word[len(word.rstrip(b".,;:!?")):]]
+            self.known[word] = self.line_end + one if word[0] == 0 else one
+        return others
+
+    def _learn(self, words: list[bytes]) -> None:
         """Looks up new words."""
-        plain = [w for w in words if w[:2] != "\0\0" or not w[2:].isspace()]
-        for blank in set(words).difference(plain):
-            self.known[blank] = self.whole(blank[2:])
+        if self.by_piece:
+            # In lots, so that few objects wait while the next ones are made.
+            words = [w for k in range(0, len(words), LOT) for w in self._learn_simple(words[k:k + LOT])]
+        shown = [w.decode() for w in words]
+        plain = [w for w in shown if w[:2] != "\0\0" or not w[2:].isspace()]
+        for blank in set(shown).difference(plain):
+            self.known[blank.encode()] = self.whole(blank[2:])
         if not plain:
             return
         packed = self.whole("\n".join(w.lstrip("\0") if w[0] == "\0" else " " + w for w in plain))
@@ -132,10 +179,10 @@ class PieceIds:
         for word, end in zip(plain, ends):
             ids = packed[4 * begin:4 * end]
             after_line = word[0] == "\0" and word[:2] != "\0\0"
-            self.known[word] = self.line_end + ids if after_line else ids
+            self.known[word.encode()] = self.line_end + ids if after_line else ids
             begin = end + 1
 
-    def _packed(self, words: list[str]) -> list[bytes]:
+    def _packed(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of distinct words, as they are known."""
         found = list(map(self.known.get, words))
         new = [w for w, ids in zip(words, found) if ids is None]
@@ -150,11 +197,12 @@ class PieceIds:
         return found
 
     @staticmethod
-    def _shown(blob: bytes, start: np.ndarray, stop: np.ndarray, after_line: np.ndarray) -> list[str]:
+    def _shown(blob: bytes, start: np.ndarray, stop: np.ndarray, after_line: np.ndarray) -> list[bytes]:
         """Words as they are known."""
-        return [
-            "\0" + blob[a:b].decode() if line else blob[a:b].decode()
-            for a, b, line in zip(start.tolist(), stop.tolist(), after_line.tolist())]
+        words = [blob[a:b] for a, b in zip(start.tolist(), stop.tolist())]
+        for k in np.flatnonzero(after_line).tolist():
+            words[k] = b"\0" + words[k]
+        return words
 
     @staticmethod
     def _same(data, start, stop, after_line, other) -> bool:
