@@ -1,8 +1,8 @@
 """Near-duplicate documents by HyperMinHash sketches, banding and verification on full sets.
 
 A document is the set of its distinct word shingles (A-Z lower-cased), as 64-bit hashes. Its
-sketch has 256 registers, and 1,024 for the blocks of step 4: the smallest hash of a bucket, kept
-as its count of leading zeros and ten bits of mantissa. Steps, all of them distributed:
+sketch has 256 registers, and for the documents of step 4 another one has 1,024: the smallest hash of
+a bucket, kept as its count of leading zeros and ten bits of mantissa. Steps, all of them distributed:
 
 1. equal sets are one class, of which only the smallest id goes on;
 2. bands of five registers (empty ones borrow from others along fixed permutations) give buckets;
@@ -27,7 +27,7 @@ judged each by its text; rows with a null id are in no component (null) and kept
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -125,24 +125,41 @@ def _sets(batches, width: int):
         ]
 
 
+def _digests(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([
+        hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+        pa.binary())
+
+
+def _sketches(sets: list[np.ndarray], bits: int) -> pa.Array:
+    return pa.array([sketch(s, bits).tobytes() if len(s) else None for s in sets], pa.binary())
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """(id, row, n, digest, registers, fine) of every document; the digest names its whole set."""
+    """(id, row, n, digest, registers) of every document; the digest names its whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, sets in _sets(batches, width):
             yield pa.RecordBatch.from_arrays([
-                piece.column(0), piece.column(1),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([
-                    hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                    for s in sets], pa.binary()),
-                *(pa.array(
-                    [sketch(s, bits).tobytes() if len(s) else None for s in sets], pa.binary())
-                  for bits in (BUCKET_BITS, FINE_BITS)),
-            ], ["id", "row", "n", "digest", "registers", "fine"])
+                piece.column(0), piece.column(1), pa.array([len(s) for s in sets], pa.int64()),
+                _digests(sets), _sketches(sets, BUCKET_BITS)],
+                ["id", "row", "n", "digest", "registers"])
 
     return docs.select("id", F.xxhash64("text").alias("row"), "text").mapInArrow(
-        run, "id long, row long, n long, digest binary, registers binary, fine binary"
-    )
+        run, "id long, row long, n long, digest binary, registers binary")
+
+
+def _fine(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, n, fine) of those classes whose smallest id is among ``ids``. Only they get the wide sketch."""
+    def run(batches):
+        for piece, sets in _sets(batches, width):
+            yield pa.RecordBatch.from_arrays([
+                piece.column(0), pa.array([len(s) for s in sets], pa.int64()), _digests(sets),
+                _sketches(sets, FINE_BITS)], ["id", "n", "digest", "fine"])
+
+    made = docs.select("id", "text").join(ids, "id", "left_semi").mapInArrow(
+        run, "id long, n long, digest binary, fine binary")
+    leads = classes.select(F.col("lead").alias("id"), "digest").join(ids, "id", "left_semi")
+    return stored(made.join(leads, ["id", "digest"], "left_semi").select("id", "n", "fine"), "fine")
 
 
 def _bands(representatives: DataFrame) -> DataFrame:
@@ -222,11 +239,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, similarity: float)
 
 
 def _open_pairs(
-    members: DataFrame, labels: DataFrame, sketches: DataFrame, similarity: float
+    members: DataFrame, labels: DataFrame, sketches: Callable[[DataFrame], DataFrame], similarity: float
 ) -> DataFrame:
     """Possible pairs between different components inside one bucket, block by block.
 
-    ``members`` are (band, id), ``sketches`` (id, n, fine). The largest component of a bucket is never compared with itself.
+    ``members`` are (band, id), ``sketches`` gives (id, n, fine) of some ids. The largest component of a
+    bucket is never compared with itself.
     """
     labelled = members.join(labels, "id", "left").select(
         "band", "id", F.coalesce("component", "id").alias("component"))
@@ -245,7 +263,7 @@ def _open_pairs(
         F.ceil(F.col("others") / BLOCK).cast("int").alias("rows"))
     held = stored(labelled.join(open_buckets, "band"), "open")
     ids = sized(stored(held.select("id").distinct(), "ids"))
-    held = held.join(sketches.join(ids, "id", "left_semi"), "id")
+    held = held.join(sketches(ids), "id")
     block = F.xxhash64("id").bitwiseAND(F.lit((1 << 40) - 1))
     keep = ("band", "id", "component", "n", "fine")
     left = held.filter("component <> main").select(
@@ -309,7 +327,6 @@ def near_duplicates(
         .agg(F.min("id").alias("lead"), F.count("*").alias("size")), "classes")
     heads = signed.join(classes, (signed.id == classes.lead) & (signed.digest == classes.digest))
     sketches = stored(heads.select(signed.id, "n", "registers").distinct(), "sketches")
-    fine = heads.select(signed.id, "n", "fine")
 
     bands = _bands(sketches)
     buckets = bands.groupBy("band").agg(
@@ -330,7 +347,8 @@ def near_duplicates(
             pairs = _one_each(_apart(held, labels, True))
         elif step == "best":
             held = stored(_open_pairs(
-                members.filter("size > 2").select("band", "id"), labels, fine, similarity
+                members.filter("size > 2").select("band", "id"), labels,
+                lambda ids: _fine(docs, classes, ids, width), similarity
             ).join(stars, ["a", "b"], "left_anti"), "held")
             pairs = _one_each(_apart(held, labels, True))
         else:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lading.llm import (
     bpe, chunks, hyperminhash, kneser_ney, ledger, mixing, mixture, neighbours, quality, stages,
-    templates,
+    templates, words,
 )
 from lading.llm.queries import URL_RULES, remainder, tokenizer_path
 
@@ -76,3 +76,21 @@ def test_odd_vectors(spark):
         (0, 1, 1, 1.0), (0, 2, 50, 1.0), (0, 3, 6, 0.0),
         (50, 1, 0, 1.0), (50, 2, 1, 1.0), (50, 3, 6, 0.0)]
     assert neighbours.nearest(table.filter("vec_id < 0"), F.lit(True)).collect() == []
+
+
+def test_wide_sketches_of_some_leads_only(spark):
+    """Signatures hold no wide sketch; it is made of the asked ids' leading texts alone."""
+    texts = {k: " ".join(f"w{k}x{n}" for n in range(40)) for k in range(6)}
+    rows = [*texts.items(), (7, texts[3]), (7, "another text of seven words under it")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    signed = hyperminhash.signatures(docs, 2)
+    assert signed.columns == ["id", "row", "n", "digest", "registers"]
+    classes = signed.groupBy("digest").agg(F.min("id").alias("lead"))
+    ids = spark.createDataFrame([(2,), (7,)], "id long")
+    found = {(r.id, r.n): bytes(r.fine) for r in hyperminhash._fine(docs, classes, ids, 2).collect()}
+    memo = words.Hashes()
+    assert found == {
+        (k, n): hyperminhash.sketch(
+            hyperminhash.shingle_set(memo.of([w.encode() for w in text.split()]), 2),
+            hyperminhash.FINE_BITS).tobytes()
+        for k, n, text in ((2, 39, texts[2]), (7, 6, rows[-1][1]))}
